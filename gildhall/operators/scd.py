@@ -31,8 +31,8 @@ SCD_COLS = ("eff_start_dt", "eff_end_dt", "is_current_flag")
 def scd2_initial(df: DataFrame, as_of: str) -> DataFrame:
     """Initial load: every row current from ``as_of``, no end date (SCD-2f)."""
     return df.withColumns({
-        "eff_start_dt": F.lit(as_of).cast("timestamp"),
-        "eff_end_dt": F.lit(None).cast("timestamp"),
+        "eff_start_dt": F.lit(as_of).cast("timestamp_ntz"),
+        "eff_end_dt": F.lit(None).cast("timestamp_ntz"),
         "is_current_flag": F.lit(True),
     })
 
@@ -76,7 +76,7 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: Sequence[str], trac
     attrs = [c for c in current.columns if c not in SCD_COLS and c not in (
         "_gold_created_at", "_gold_updated_at", "_source_batch_id")]
     audit = [c for c in ("_gold_created_at", "_gold_updated_at", "_source_batch_id") if c in current.columns]
-    ts = F.lit(as_of).cast("timestamp")
+    ts = F.lit(as_of).cast("timestamp_ntz")
     cls = scd2_classify(current, incoming, key, tracked, inplace)
     a = F.col("_action")
     inc_cols = set(incoming.columns)
@@ -99,7 +99,7 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: Sequence[str], trac
                 v = pick(c, "cur")
             fields.append(v.alias(c))
         start = ts if kind in ("insert", "new") else F.col("_cur.eff_start_dt")
-        end = ts if kind == "closed" else F.lit(None).cast("timestamp")
+        end = ts if kind == "closed" else F.lit(None).cast("timestamp_ntz")
         fields += [start.alias("eff_start_dt"), end.alias("eff_end_dt"),
                    F.lit(kind != "closed").alias("is_current_flag")]
         if audit:

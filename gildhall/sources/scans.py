@@ -30,16 +30,25 @@ def live(df: DataFrame, flag: str = "is_deleted", also: Sequence[tuple[str, str]
 def date_spine(spark: SparkSession, start: str = "2000-01-01", end: str = "2040-12-31") -> DataFrame:
     """One row per day with calendar and fiscal attributes (SRC-4).
 
-    Generated by ``explode(sequence())`` on the executors; 2000-01-01 to
-    2040-12-31 gives 14,976 rows and 41 fiscal-year-end rows.
+    2000-01-01 to 2040-12-31 gives 14,976 rows and 41 fiscal-year-end rows.
     """
-    d = F.col("calendar_date")
-    base = spark.range(1).select(
-        F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)),
-                             F.expr("interval 1 day"))).alias("calendar_date"))
+    bounds = spark.range(1).select(F.to_date(F.lit(start)).alias("_lo"), F.to_date(F.lit(end)).alias("_hi"))
+    return date_spine_over(bounds, "_lo", "_hi")
+
+
+def date_spine_over(bounds: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Day spine between two columns of a one-row frame (e.g. ``min``/``max``
+    of the fact dates), generated by ``explode(sequence())`` on an executor."""
+    base = bounds.select(F.explode(F.sequence(F.to_date(F.col(lo)), F.to_date(F.col(hi)),
+                                              F.expr("interval 1 day"))).alias("calendar_date"))
+    return calendar_attributes(base)
+
+
+def calendar_attributes(base: DataFrame, d: str = "calendar_date") -> DataFrame:
+    d = F.col(d)
     return base.select(
         cal.date_sk(d).alias("date_sk"),
-        d,
+        d.alias("calendar_date"),
         F.date_format(d, "EEEE").alias("day_of_week"),
         cal.iso_weekday(d).alias("day_of_week_num"),
         F.dayofmonth(d).alias("day_of_month"),
@@ -61,14 +70,17 @@ def date_spine(spark: SparkSession, start: str = "2000-01-01", end: str = "2040-
 
 def period_spine(spark: SparkSession, first_cal_year: int, end_cal_year: int) -> DataFrame:
     """Monthly accrual periods from October of ``first_cal_year`` up to, not
-    including, October of ``end_cal_year`` (SRC-5).
+    including, October of ``end_cal_year`` (SRC-5)."""
+    bounds = spark.range(1).select(F.lit(first_cal_year).alias("_y0"), F.lit(end_cal_year).alias("_y1"))
+    return period_spine_over(bounds, "_y0", "_y1")
 
-    Built with ``sequence(.., interval 1 month)``; no driver-side loop.
-    """
-    start = F.make_date(F.lit(first_cal_year), F.lit(10), F.lit(1))
-    stop = F.make_date(F.lit(end_cal_year), F.lit(9), F.lit(1))
-    m = spark.range(1).select(
-        F.explode(F.sequence(start, stop, F.expr("interval 1 month"))).alias("period_start_dt"))
+
+def period_spine_over(bounds: DataFrame, first_cal_year: str, end_cal_year: str) -> DataFrame:
+    """Period spine between year columns of a one-row frame; built with
+    ``sequence(.., interval 1 month)`` and expressions, no driver loop."""
+    start = F.make_date(F.col(first_cal_year), F.lit(10), F.lit(1))
+    stop = F.make_date(F.col(end_cal_year), F.lit(9), F.lit(1))
+    m = bounds.select(F.explode(F.sequence(start, stop, F.expr("interval 1 month"))).alias("period_start_dt"))
     ps = F.col("period_start_dt")
     fy, fm = cal.fiscal_year(ps), cal.fiscal_month(ps)
     return m.select(
@@ -98,6 +110,10 @@ def blocked(spark: SparkSession, contract: T.StructType) -> DataFrame:
     return spark.createDataFrame([], contract)
 
 
+def _as_col(v) -> Column:
+    return v if isinstance(v, Column) else F.col(v)
+
+
 def load_ref(sources: Mapping[str, DataFrame], config: Sequence[Mapping]) -> DataFrame:
     """Config-driven code-table load (SRC-7).
 
@@ -112,10 +128,11 @@ def load_ref(sources: Mapping[str, DataFrame], config: Sequence[Mapping]) -> Dat
         df = sources[cfg["source"]]
         if cfg.get("live", True) and "is_deleted" in df.columns:
             df = live(df)
-        cd = F.col(cfg.get("code_col", "cd"))
-        desc = F.col(cfg.get("desc_col", "description"))
-        short = F.col(cfg["short_col"]) if cfg.get("short_col") else F.lit(None).cast("string")
-        sort = F.col(cfg["sort_col"]).cast("int") if cfg.get("sort_col") else F.lit(None).cast("int")
+        cd = _as_col(cfg.get("code_col", "cd"))
+        desc = _as_col(cfg.get("desc_col", "description"))
+        short = _as_col(cfg["short_col"]) if cfg.get("short_col") is not None else F.lit(None).cast("string")
+        sort = _as_col(cfg["sort_col"]).cast("int") if cfg.get("sort_col") is not None \
+            else F.lit(None).cast("int")
         active = cfg.get("active")
         if active is None:
             act = F.lit(None).cast("boolean")
@@ -135,6 +152,8 @@ def load_ref(sources: Mapping[str, DataFrame], config: Sequence[Mapping]) -> Dat
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if any(cfg.get("distinct") for cfg in config):
+        out = out.distinct()
     return out
 
 
