@@ -70,7 +70,7 @@ def date_sk(d) -> Column:
 
 def from_date_sk(sk) -> Column:
     """INT yyyyMMdd key back to DATE (FN-9); malformed keys give NULL."""
-    return F.try_to_date(col_of(sk).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(col_of(sk).cast("string"), "yyyyMMdd")
 
 
 def period_label(fy, fy_month, cal_month, cal_year) -> Column:
