@@ -129,3 +129,34 @@ ledger_fact AS (
          LEFT JOIN orders o ON o.o_orderkey = g.order_key
          LEFT JOIN ia_dim d ON d.c_custkey = o.o_custkey
   WHERE NOT (g.discount_amt = 0 AND g.tax_amt = 0 AND COALESCE(r.returned_amt, 0) = 0))"""
+
+
+def cust_history(t: Tables) -> DataFrame:
+    """Customer as an SCD2 dimension with history: keys divisible by 7 have
+    a closed first version and a current second one (balance + 100)."""
+    c = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    changed = F.col("c_custkey") % 7 == 0
+    v1 = c.select("*",
+                  F.lit("1995-01-01").cast("timestamp_ntz").alias("eff_start_dt"),
+                  F.when(changed, F.lit(AS_OF).cast("timestamp_ntz")).alias("eff_end_dt"),
+                  (~changed).alias("is_current_flag"))
+    v2 = c.filter(changed).select(
+        "c_custkey", "c_name", "c_nationkey", (F.col("c_acctbal") + 100).alias("c_acctbal"), "c_mktsegment",
+        F.lit(AS_OF).cast("timestamp_ntz").alias("eff_start_dt"),
+        F.lit(None).cast("timestamp_ntz").alias("eff_end_dt"), F.lit(True).alias("is_current_flag"))
+    return v1.unionByName(v2)
+
+
+CUST_HISTORY_SQL = f"""cust_history AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, TIMESTAMP '1995-01-01' AS eff_start_dt,
+         CASE WHEN c_custkey % 7 = 0 THEN TIMESTAMP '{AS_OF}' END AS eff_end_dt, c_custkey % 7 <> 0 AS is_current_flag
+  FROM customer
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, TIMESTAMP '{AS_OF}', CAST(NULL AS TIMESTAMP), TRUE
+  FROM customer WHERE c_custkey % 7 = 0)"""
+
+
+def supp_dim(t: Tables) -> DataFrame:
+    """Supplier as the LOA/contractor dimension; keys divisible by 10 are missing."""
+    return (t["supplier"].filter(F.col("s_suppkey") % 10 != 0)
+            .withColumn("supp_sk", F.col("s_suppkey")).withColumn("is_current_flag", F.lit(True)))
