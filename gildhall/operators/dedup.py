@@ -33,11 +33,13 @@ def latest_flag(df: DataFrame, keys: Sequence[str], by: str, out: str = "is_late
     aggregate is pre-combined map-side and the join back is split by AQE
     when a key is hot, so no task ever holds a whole hot partition.
     """
-    m = df.groupBy(*keys).agg(F.max(by).alias("_lf_max"))
-    cond = [df[k].eqNullSafe(m[k]) for k in keys]
-    j = df.join(m, cond, "left")
+    ren = {k: f"_lf_k{i}" for i, k in enumerate(keys)}
+    m = df.groupBy(*[F.col(k).alias(ren[k]) for k in keys]).agg(F.max(by).alias("_lf_max"))
+    cond = None
     for k in keys:
-        j = j.drop(m[k])
+        e = F.col(k).eqNullSafe(F.col(ren[k]))
+        cond = e if cond is None else cond & e
+    j = df.join(m, cond, "left").drop(*ren.values())
     return j.withColumn(out, F.coalesce(F.col(by) == F.col("_lf_max"), F.lit(False))).drop("_lf_max")
 
 

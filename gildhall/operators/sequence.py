@@ -36,12 +36,19 @@ def _n_parts(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column | None:
+def _join_renamed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
+                  null_safe: Sequence[str] = ()) -> DataFrame:
+    """Join on ``keys`` after renaming the right-side keys, so frames derived
+    from the same lineage (self-joins) never resolve ambiguously. Keys in
+    ``null_safe`` compare with ``<=>`` (NULL group keys match)."""
+    ren = {k: f"_rj_{i}_{k}" for i, k in enumerate(keys)}
+    r = right.select(*[F.col(c).alias(ren[c]) if c in ren else F.col(c) for c in right.columns])
     cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(ren[k])) if k in null_safe else (F.col(k) == F.col(ren[k]))
         cond = e if cond is None else cond & e
-    return cond
+    j = left.join(r, cond, how)
+    return j if how in ("left_semi", "left_anti") else j.drop(*ren.values())
 
 
 def ordinal(df: DataFrame, group: Sequence[str], order: Sequence, name: str = "rn",
@@ -62,14 +69,7 @@ def ordinal(df: DataFrame, group: Sequence[str], order: Sequence, name: str = "r
         if group else Window.orderBy("_ord_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_ord_before", F.coalesce(F.sum("_ord_cnt").over(before), F.lit(0)))
     pieces = pieces.select("_ord_pid", *group, "_ord_first", "_ord_before")
-    cond = staged["_ord_pid"] == pieces["_ord_pid"]
-    ns = _null_safe_on(staged, pieces, group)
-    if ns is not None:
-        cond = cond & ns
-    j = staged.join(pieces, cond, "inner")
-    j = j.drop(pieces["_ord_pid"])
-    for g in group:
-        j = j.drop(pieces[g])
+    j = _join_renamed(staged, pieces, ["_ord_pid", *group], "inner", null_safe=group)
     rn = F.col("_ord_mid") - F.col("_ord_first") + F.col("_ord_before") + F.lit(1)
     return j.withColumn(name, rn.cast("long")).drop("_ord_pid", "_ord_mid", "_ord_first", "_ord_before")
 
@@ -108,13 +108,7 @@ def delta(df: DataFrame, part: Sequence[str], order: Sequence, cols: Mapping[str
     keep = list(cols) + list(date_cols)
     prev = o.select(*part, (F.col("_dl_rn") + 1).alias("_dl_rn"),
                     *[F.col(c).alias(f"_prev_{c}") for c in keep])
-    cond = o["_dl_rn"] == prev["_dl_rn"]
-    ns = _null_safe_on(o, prev, part)
-    if ns is not None:
-        cond = cond & ns
-    j = o.join(prev, cond, "left").drop(prev["_dl_rn"])
-    for p in part:
-        j = j.drop(prev[p])
+    j = _join_renamed(o, prev, [*part, "_dl_rn"], "left", null_safe=part)
     adds = {out: F.col(c) - F.col(f"_prev_{c}") for c, out in cols.items()}
     adds.update({out: F.datediff(F.col(c), F.col(f"_prev_{c}")) for c, out in date_cols.items()})
     return j.withColumns(adds).drop(*[f"_prev_{c}" for c in keep], "_dl_rn")
@@ -145,17 +139,10 @@ def exact_percentile(df: DataFrame, group: Sequence[str], value: str,
         need = need.unionByName(r)
     wanted = need.select(*group, F.col("_lo").alias("_prn")).unionByName(
         need.select(*group, F.col("_hi").alias("_prn"))).distinct()
-    cond = ranked["_prn"] == wanted["_prn"]
-    ns = _null_safe_on(ranked, wanted, group)
-    if ns is not None:
-        cond = cond & ns
-    picked = ranked.join(wanted, cond, "left_semi")
+    picked = _join_renamed(ranked, wanted, [*group, "_prn"], "left_semi", null_safe=group)
     lo = picked.select(*group, F.col("_prn").alias("_lo"), F.col("_pv").alias("_vlo"))
     hi = picked.select(*group, F.col("_prn").alias("_hi"), F.col("_pv").alias("_vhi"))
-    key_lo = [*group, "_lo"]
-    key_hi = [*group, "_hi"]
-    res = (need.join(lo, _null_safe_on(need, lo, key_lo), "left")
-               .drop(*[lo[c] for c in key_lo]))
-    res = res.join(hi, _null_safe_on(res, hi, key_hi), "left").drop(*[hi[c] for c in key_hi])
+    res = _join_renamed(need, lo, [*group, "_lo"], "left", null_safe=group)
+    res = _join_renamed(res, hi, [*group, "_hi"], "left", null_safe=group)
     res = res.withColumn("_pval", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
     return res.groupBy(*group).pivot("_pname", list(pcts)).agg(F.first("_pval"))
