@@ -1,5 +1,7 @@
 from gildhall.operators.audit import audit_event, gate, run_outcome, run_state
-from gildhall.operators.cdc import affected_grains, change_window, changed_keys, high_water, is_fresh, reaggregate
+from gildhall.operators.cdc import (
+    affected_grains, change_window, changed_keys, freshness, high_water, high_waters, is_fresh, reaggregate,
+)
 from gildhall.operators.dedup import keep_one, latest_flag, latest_snapshot
 from gildhall.operators.joins import (
     cast_join, const_lookup, decode, first_hit, net_new, not_in_guarded, period_contains, pick_one,
@@ -13,7 +15,8 @@ from gildhall.operators.tree import org_checks, org_paths
 
 __all__ = [
     "audit_event", "gate", "run_outcome", "run_state",
-    "affected_grains", "change_window", "changed_keys", "high_water", "is_fresh", "reaggregate",
+    "affected_grains", "change_window", "changed_keys", "freshness", "high_water", "high_waters", "is_fresh",
+    "reaggregate",
     "keep_one", "latest_flag", "latest_snapshot",
     "cast_join", "const_lookup", "decode", "first_hit", "net_new", "not_in_guarded", "period_contains",
     "pick_one", "poly_ref", "preagg_join", "prefix_join", "resolve_sk", "semi", "unique_on", "valid_rows",
