@@ -9,8 +9,10 @@ from gildhall.operators import exact_percentile, preagg_join
 from gildhall.plans.registry import query
 from gildhall.plans.standins import AS_OF, money_sum
 
-AGING_RULES = [(F.col("age_days") <= 365, "0-365"), (F.col("age_days") <= 730, "366-730"),
-               (F.col("age_days") <= 1095, "731-1095")]
+
+def aging_rules():
+    a = F.col("age_days")
+    return [(a <= 365, "0-365"), (a <= 730, "366-730"), (a <= 1095, "731-1095")]
 
 
 @query("q_aging_buckets", f"""WITH o AS (SELECT *, date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF}') AS age_days
@@ -23,7 +25,7 @@ def q_aging_buckets(t):
     """Open-balance ageing buckets at a fixed as-of (oet.v_udo_aging)."""
     o = t["orders"].filter(F.col("o_orderstatus") == "O") \
         .withColumn("age_days", F.datediff(F.to_date(F.lit(AS_OF)), "o_orderdate"))
-    return o.groupBy(rules(F.col("age_days"), AGING_RULES, "1096+", normalise=False).alias("aging_bucket")).agg(
+    return o.groupBy(rules(F.col("age_days"), aging_rules(), "1096+", normalise=False).alias("aging_bucket")).agg(
         F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("open_amt"))
 
 
