@@ -42,7 +42,7 @@ def dim_date(silver, gold, as_of: str) -> DataFrame:
     return date_spine(next(iter(silver.values())).sparkSession)
 
 
-def dim_agency(silver, gold, as_of: str) -> DataFrame:
+def agency_rows(silver, gold, as_of: str) -> DataFrame:
     """One current row per activity address code (AAC)."""
     aac = live(silver["aasbs_lu_activity_address_code"]).select(
         F.col("cd").alias("activity_address_cd"), F.col("fpds_ng_agency_identifier").alias("agency_code_2"),
@@ -71,7 +71,7 @@ def dim_agency(silver, gold, as_of: str) -> DataFrame:
         F.coalesce(F.col("agency_type").isin(OMB_AGENCY_TYPES), F.lit(False)).alias("is_omb_agency_flag"),
         F.lit(False).alias("is_intel_community"))
     out = keep_one(out, ["activity_address_cd"], ["agency_code", "bureau_code"])
-    return scd2_initial(assign_sk(out, ["activity_address_cd"], name="agency_sk"), as_of)
+    return out
 
 
 def _ia_type(code_col) -> tuple:
@@ -83,7 +83,7 @@ def _ia_type(code_col) -> tuple:
     return cd, desc
 
 
-def dim_ia(silver, gold, as_of: str) -> DataFrame:
+def ia_rows(silver, gold, as_of: str) -> DataFrame:
     ia = live(silver["aasbs_ia"]).select(
         F.col("id").alias("ia_id"), F.col("piid").alias("ia_num"), "instrument_type_cd", "ia_status_cd",
         "fiscal_year", F.col("ia_began_dt").alias("ia_start_dt"), F.col("activity_address_cd").alias("serv_aac"))
@@ -101,10 +101,10 @@ def dim_ia(silver, gold, as_of: str) -> DataFrame:
         F.lit(None).cast("decimal(15,2)").alias("total_direct_cost_est_amt"),
         F.lit(None).cast("decimal(15,2)").alias("total_charges_est_amt"),
         "servicing_agency_sk", F.lit(None).cast("bigint").alias("requesting_agency_sk"), "program_cd", "region_cd")
-    return scd2_initial(assign_sk(out, ["ia_id"], name="ia_sk"), as_of)
+    return out
 
 
-def dim_loa(silver, gold, as_of: str) -> DataFrame:
+def loa_rows(silver, gold, as_of: str) -> DataFrame:
     loa = live(silver["aasbs_loa"])
     tas = compose_code("-", "tsym_alloc_trans_agency_cd", "requesting_agency_cd",
                        F.concat(F.coalesce("tsym_availability_type", F.lit("")), F.coalesce("appropriation", F.lit(""))),
@@ -127,10 +127,10 @@ def dim_loa(silver, gold, as_of: str) -> DataFrame:
         *[F.lit(None).cast("string").alias(c) for c in ("object_class_cd", "program_activity_cd", "budget_activity_cd")],
         "org_code", F.lit(None).cast("string").alias("cost_center"), F.lit(None).cast("string").alias("project_code"),
         "bbfy", "ebfy", "agreement_end_dt", "transmitted_dt", "agency_sk")
-    return scd2_initial(assign_sk(out, ["loa_id"], name="loa_sk"), as_of)
+    return out
 
 
-def dim_award(silver, gold, as_of: str) -> DataFrame:
+def award_rows(silver, gold, as_of: str) -> DataFrame:
     mods = live(silver["aasbs_award_mod"])
     counts = mods.groupBy("award_id").agg(
         F.count(F.lit(1)).alias("total_mods_count"),
@@ -154,10 +154,10 @@ def dim_award(silver, gold, as_of: str) -> DataFrame:
         F.lit(None).cast("string").alias("vehicle_type_cd"), F.lit(None).cast("string").alias("vehicle_type_desc"),
         "ia_sk", "agency_sk", "award_start_dt", F.lit(None).cast("timestamp_ntz").alias("award_end_dt"),
         "base_award_dt", "last_mod_dt", "total_mods_count")
-    return scd2_initial(assign_sk(out, ["award_id"], name="award_sk"), as_of)
+    return out
 
 
-def dim_funding(silver, gold, as_of: str) -> DataFrame:
+def funding_rows(silver, gold, as_of: str) -> DataFrame:
     amend = live(silver["aasbs_funding_amendment"])
     amloa = live(silver["aasbs_funding_amendment_loa"])
     funded = amend.select(F.col("id").alias("funding_amendment_id"), "funding_id").join(amloa, "funding_amendment_id") \
@@ -179,10 +179,10 @@ def dim_funding(silver, gold, as_of: str) -> DataFrame:
         F.lit(None).cast("string").alias("fund_type_cd"), F.lit(None).cast("string").alias("fund_type_desc"),
         "ia_sk", "agency_sk", F.coalesce("total_funded_amt", F.lit(0)).cast("decimal(15,2)").alias("total_funded_amt"),
         F.lit(None).cast("int").alias("fiscal_year"))
-    return scd2_initial(assign_sk(out, ["funding_id"], name="funding_sk"), as_of)
+    return out
 
 
-def dim_line_item(silver, gold, as_of: str) -> DataFrame:
+def line_item_rows(silver, gold, as_of: str) -> DataFrame:
     lia = live(silver["aasbs_line_item_accepted"])
     latest = pick_one(lia, "line_item_id", "id", how="max", out="line_item_accepted_id")
     detail = latest.join(lia.select(F.col("id").alias("line_item_accepted_id"), "budget_fy", "exercise_this_yn"),
@@ -211,6 +211,35 @@ def dim_line_item(silver, gold, as_of: str) -> DataFrame:
         "severability_type_cd", "li_pop_start_dt", "li_pop_end_dt", "obligated_ceiling_amt",
         yn_flag("exercise_this_yn", default=None).alias("exercise_this_yn"), "bona_fide_need_fy",
         F.coalesce("budget_fy", "li_fy").alias("budget_fy"))
-    return scd2_initial(assign_sk(out, ["line_item_id"], name="line_item_sk"), as_of)
+    return out
 
 
+
+
+# natural key and surrogate key of every SCD2 dimension built from rows
+DIM_KEYS = {
+    "common.dim_agency": ("activity_address_cd", "agency_sk", agency_rows),
+    "common.dim_ia": ("ia_id", "ia_sk", ia_rows),
+    "common.dim_loa": ("loa_id", "loa_sk", loa_rows),
+    "common.dim_award": ("award_id", "award_sk", award_rows),
+    "common.dim_funding": ("funding_id", "funding_sk", funding_rows),
+    "common.dim_line_item": ("line_item_id", "line_item_sk", line_item_rows),
+}
+
+
+def _full_load(name: str):
+    key, sk, rows = DIM_KEYS[name]
+
+    def build(silver, gold, as_of: str) -> DataFrame:
+        """Full load: rows, dense surrogate keys by natural key, all current (SCD-2f)."""
+        return scd2_initial(assign_sk(rows(silver, gold, as_of), [key], name=sk), as_of)
+    build.__name__ = name.split(".")[-1]
+    return build
+
+
+dim_agency = _full_load("common.dim_agency")
+dim_ia = _full_load("common.dim_ia")
+dim_loa = _full_load("common.dim_loa")
+dim_award = _full_load("common.dim_award")
+dim_funding = _full_load("common.dim_funding")
+dim_line_item = _full_load("common.dim_line_item")

@@ -183,3 +183,32 @@ def test_fact_drops_all_zero_rows(spark, gold):
         [(T(2021, 10, 5), 7, 10, 1, None, 4242, None, None, D("0.00"), 100, None, None)], SCHEMAS["aasbs_loa_ledger"])
     assert fact_obligation_expenditure(silver, gold, "2022-01-01").count() == 0
     assert F is not None
+
+
+def test_cdc_refresh_dimension_and_fact(spark, gold):
+    """An IA status change closes the old version and opens a new one with a
+    fresh surrogate key; an unchanged IA is kept; the fact is re-aggregated
+    for the grains touched in the window only."""
+    from gildhall.plans.domain.cdc import affected_fact_grains, refresh_dimension, refresh_fact
+    silver = {}
+    for name, schema in SCHEMAS.items():
+        cols = [c.strip().split(" ")[0] for c in re.split(r",(?![^()]*\))", schema)]
+        rows = [tuple(r.get(c) for c in cols) for r in ROWS.get(name, [])]
+        silver[name] = spark.createDataFrame(rows, schema)
+    ia = silver["aasbs_ia"]
+    ia = ia.withColumn("ia_status_cd", F.when(F.col("id") == 10, F.lit("C")).otherwise(F.col("ia_status_cd"))) \
+        .withColumn("updated_dt", F.when(F.col("id") == 10, F.lit("2022-02-01 10:00:00").cast("timestamp_ntz")))
+    silver["aasbs_ia"] = ia
+    out = refresh_dimension(silver, gold, "common.dim_ia", "2022-02-01", "2022-03-01", "2022-03-01", "cdc-1")
+    rows = sorted((r.ia_id, r._action, r.ia_status_cd, r.ia_sk, r.is_current_flag) for r in out.collect())
+    assert rows == [(10, "closed", "A", 1, False), (10, "inserted", "C", 3, True), (11, "kept", "Z", 2, True)]
+    assert Q.scd2_invariants(out, ["ia_id"]).count() == 0
+
+    g = silver["aasbs_acceptance_item"]
+    silver["aasbs_acceptance_item"] = g.unionByName(spark.createDataFrame(
+        [(3, None, D("5.00"), 3001)], SCHEMAS["aasbs_acceptance_item"])).withColumn(
+        "created_dt", F.when(F.col("acceptance_id") == 3, F.lit("2022-02-10").cast("timestamp_ntz")))
+    grains = sorted(tuple(r) for r in affected_fact_grains(silver, "2022-02-01", "2022-03-01").collect())
+    assert grains == [(3001, 100)]                                   # distinct on the 2-column grain (D-4)
+    fact = {r.fiscal_month: r for r in refresh_fact(silver, gold, "2022-02-01", "2022-03-01", "2022-03-01", "c").collect()}
+    assert fact[1].accepted_amt == D("45.00") and fact[1]._source_batch_id == "c"
