@@ -96,3 +96,14 @@ def all_zero(cols: Iterable) -> Column:
 def money(c) -> Column:
     """Money as DECIMAL(15,2); doubles are rounded on the cast."""
     return col_of(c).cast("decimal(15,2)")
+
+
+def like_any(c, patterns, normalise: bool = True) -> Column:
+    """TRUE when the (upper-trimmed) value matches any LIKE pattern; NULL input gives FALSE."""
+    c = col_of(c)
+    if normalise:
+        c = F.upper(F.trim(c))
+    out = F.lit(False)
+    for p in patterns:
+        out = out | c.like(p)
+    return F.coalesce(out, F.lit(False))

@@ -9,6 +9,10 @@ pure DataFrame plans; writing, conforming and auditing are the caller's.
 from gildhall.plans.domain.common import (
     dim_agency, dim_award, dim_date, dim_funding, dim_ia, dim_line_item, dim_loa,
 )
+from gildhall.plans.domain.lookups import (
+    dim_accrual_period, dim_amend_action, dim_cost_rate_type, dim_entity_type, dim_event_type, dim_finding,
+    dim_responsible_role, dim_review_type, dim_reviewer_type,
+)
 from gildhall.plans.domain.oet import fact_obligation_expenditure
 
 BUILDERS = {
@@ -20,6 +24,15 @@ BUILDERS = {
     "common.dim_funding": dim_funding,
     "common.dim_line_item": dim_line_item,
     "oet.fact_obligation_expenditure": fact_obligation_expenditure,
+    "cat.dim_event_type": dim_event_type,
+    "cat.dim_review_type": dim_review_type,
+    "cat.dim_reviewer_type": dim_reviewer_type,
+    "cat.dim_finding": dim_finding,
+    "iat.dim_amend_action": dim_amend_action,
+    "psc.dim_cost_rate_type": dim_cost_rate_type,
+    "wpr.dim_responsible_role": dim_responsible_role,
+    "wpr.dim_entity_type": dim_entity_type,
+    "air.dim_accrual_period": dim_accrual_period,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
