@@ -14,6 +14,7 @@ from gildhall.plans.domain.lookups import (
     dim_responsible_role, dim_review_type, dim_reviewer_type,
 )
 from gildhall.plans.domain.oet import fact_obligation_expenditure
+from gildhall.plans.domain.wpr import dim_client, dim_industry_partner, dim_org_hierarchy, dim_user
 
 BUILDERS = {
     "common.dim_date": dim_date,
@@ -33,6 +34,10 @@ BUILDERS = {
     "wpr.dim_responsible_role": dim_responsible_role,
     "wpr.dim_entity_type": dim_entity_type,
     "air.dim_accrual_period": dim_accrual_period,
+    "wpr.dim_user": dim_user,
+    "wpr.dim_client": dim_client,
+    "wpr.dim_industry_partner": dim_industry_partner,
+    "wpr.dim_org_hierarchy": dim_org_hierarchy,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
