@@ -14,6 +14,7 @@ from gildhall.plans.domain.lookups import (
     dim_responsible_role, dim_review_type, dim_reviewer_type,
 )
 from gildhall.plans.domain.oet import fact_obligation_expenditure
+from gildhall.plans.domain.psc import dim_billing_period, dim_clin_subtype
 from gildhall.plans.domain.wpr import dim_client, dim_industry_partner, dim_org_hierarchy, dim_user
 
 BUILDERS = {
@@ -38,6 +39,8 @@ BUILDERS = {
     "wpr.dim_client": dim_client,
     "wpr.dim_industry_partner": dim_industry_partner,
     "wpr.dim_org_hierarchy": dim_org_hierarchy,
+    "psc.dim_clin_subtype": dim_clin_subtype,
+    "psc.dim_billing_period": dim_billing_period,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
