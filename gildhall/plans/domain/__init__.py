@@ -9,6 +9,7 @@ pure DataFrame plans; writing, conforming and auditing are the caller's.
 from gildhall.plans.domain.common import (
     dim_agency, dim_award, dim_date, dim_funding, dim_ia, dim_line_item, dim_loa,
 )
+from gildhall.plans.domain.iat_smi import dim_fin_code_history, dim_piid, dim_posting_type, dim_reviewer
 from gildhall.plans.domain.lookups import (
     dim_accrual_period, dim_amend_action, dim_cost_rate_type, dim_entity_type, dim_event_type, dim_finding,
     dim_responsible_role, dim_review_type, dim_reviewer_type,
@@ -41,6 +42,10 @@ BUILDERS = {
     "wpr.dim_org_hierarchy": dim_org_hierarchy,
     "psc.dim_clin_subtype": dim_clin_subtype,
     "psc.dim_billing_period": dim_billing_period,
+    "iat.dim_reviewer": dim_reviewer,
+    "iat.dim_fin_code_history": dim_fin_code_history,
+    "smi.dim_posting_type": dim_posting_type,
+    "smi.dim_piid": dim_piid,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
