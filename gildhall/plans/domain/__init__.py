@@ -6,6 +6,10 @@ built Gold tables (``"common.dim_agency"``) for key resolution. Builders are
 pure DataFrame plans; writing, conforming and auditing are the caller's.
 """
 
+from gildhall.plans.domain.alt_fre import (
+    dim_acquisition, dim_closeout, dim_contractor, dim_fpds_agency, dim_fpds_award, dim_fpds_contractor,
+    dim_fpds_psc, dim_solicitation,
+)
 from gildhall.plans.domain.common import (
     dim_agency, dim_award, dim_date, dim_funding, dim_ia, dim_line_item, dim_loa,
 )
@@ -46,6 +50,14 @@ BUILDERS = {
     "iat.dim_fin_code_history": dim_fin_code_history,
     "smi.dim_posting_type": dim_posting_type,
     "smi.dim_piid": dim_piid,
+    "alt.dim_contractor": dim_contractor,
+    "alt.dim_acquisition": dim_acquisition,
+    "alt.dim_solicitation": dim_solicitation,
+    "alt.dim_closeout": dim_closeout,
+    "fre.dim_fpds_psc": dim_fpds_psc,
+    "fre.dim_fpds_agency": dim_fpds_agency,
+    "fre.dim_fpds_contractor": dim_fpds_contractor,
+    "fre.dim_fpds_award": dim_fpds_award,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
