@@ -20,6 +20,9 @@ from gildhall.plans.domain.lookups import (
 )
 from gildhall.plans.domain.oet import fact_obligation_expenditure
 from gildhall.plans.domain.psc import dim_billing_period, dim_clin_subtype
+from gildhall.plans.domain.tpp_air import (
+    dim_aac_envelope, dim_agreement, dim_onefund_program, dim_receiving_report, dim_transmittal_type,
+)
 from gildhall.plans.domain.wpr import dim_client, dim_industry_partner, dim_org_hierarchy, dim_user
 
 BUILDERS = {
@@ -58,6 +61,11 @@ BUILDERS = {
     "fre.dim_fpds_agency": dim_fpds_agency,
     "fre.dim_fpds_contractor": dim_fpds_contractor,
     "fre.dim_fpds_award": dim_fpds_award,
+    "tpp.dim_transmittal_type": dim_transmittal_type,
+    "tpp.dim_aac_envelope": dim_aac_envelope,
+    "tpp.dim_agreement": dim_agreement,
+    "tpp.dim_receiving_report": dim_receiving_report,
+    "air.dim_onefund_program": dim_onefund_program,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
