@@ -10,9 +10,11 @@ from gildhall.plans.domain.alt_fre import (
     dim_acquisition, dim_closeout, dim_contractor, dim_fpds_agency, dim_fpds_award, dim_fpds_contractor,
     dim_fpds_psc, dim_solicitation,
 )
+from gildhall.plans.domain.blocked import fact_review_determination, fact_role_assignment
 from gildhall.plans.domain.common import (
     dim_agency, dim_award, dim_date, dim_funding, dim_ia, dim_line_item, dim_loa,
 )
+from gildhall.plans.domain.iat_facts import fact_ia_amendment, fact_ia_review
 from gildhall.plans.domain.iat_smi import dim_fin_code_history, dim_piid, dim_posting_type, dim_reviewer
 from gildhall.plans.domain.lookups import (
     dim_accrual_period, dim_amend_action, dim_cost_rate_type, dim_entity_type, dim_event_type, dim_finding,
@@ -20,6 +22,7 @@ from gildhall.plans.domain.lookups import (
 )
 from gildhall.plans.domain.oet import fact_obligation_expenditure
 from gildhall.plans.domain.psc import dim_billing_period, dim_clin_subtype
+from gildhall.plans.domain.psc_facts import fact_service_charge_schedule
 from gildhall.plans.domain.tpp_air import (
     dim_aac_envelope, dim_agreement, dim_onefund_program, dim_receiving_report, dim_transmittal_type,
 )
@@ -66,6 +69,11 @@ BUILDERS = {
     "tpp.dim_agreement": dim_agreement,
     "tpp.dim_receiving_report": dim_receiving_report,
     "air.dim_onefund_program": dim_onefund_program,
+    "wpr.fact_role_assignment": fact_role_assignment,
+    "cat.fact_review_determination": fact_review_determination,
+    "iat.fact_ia_amendment": fact_ia_amendment,
+    "iat.fact_ia_review": fact_ia_review,
+    "psc.fact_service_charge_schedule": fact_service_charge_schedule,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
