@@ -22,7 +22,7 @@ from gildhall.plans.domain.lookups import (
 )
 from gildhall.plans.domain.oet import fact_obligation_expenditure
 from gildhall.plans.domain.psc import dim_billing_period, dim_clin_subtype
-from gildhall.plans.domain.psc_facts import fact_service_charge_schedule
+from gildhall.plans.domain.psc_facts import fact_clin_pricing, fact_service_charge_schedule
 from gildhall.plans.domain.tpp_air import (
     dim_aac_envelope, dim_agreement, dim_onefund_program, dim_receiving_report, dim_transmittal_type,
 )
@@ -74,6 +74,7 @@ BUILDERS = {
     "iat.fact_ia_amendment": fact_ia_amendment,
     "iat.fact_ia_review": fact_ia_review,
     "psc.fact_service_charge_schedule": fact_service_charge_schedule,
+    "psc.fact_clin_pricing": fact_clin_pricing,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).

@@ -60,3 +60,65 @@ def fact_service_charge_schedule(silver, gold, as_of: str) -> DataFrame:
         within(inv, sched, ON_SCHEDULE_TOLERANCE).alias("on_schedule_flag"),
         F.coalesce("_tv_n", F.lit(0)).cast("int").alias("travel_voucher_count"),
         F.coalesce("_tv_amt", zero).cast("decimal(15,2)").alias("travel_voucher_amt"))
+
+
+def fact_clin_pricing(silver, gold, as_of: str) -> DataFrame:
+    """Line × LOA (× subtype) pricing with the LOA burn order.
+
+    The burn order ranks a line's LOAs by their first ledger row (WIN-6):
+    aggregate to (line, LOA) first, then number within the line with the
+    skew-safe ``rank_by_agg``. Planned amounts are the first non-NULL of the
+    labour / fixed-fee / travel plans, else the line total; actuals are the
+    line's invoice items, aggregated before the join.
+    """
+    from gildhall.operators import preagg_join, rank_by_agg
+
+    zero = F.lit(0).cast("decimal(15,2)")
+    li = live(silver["aasbs_line_item"])
+    any_sub = (F.col("li_deliverable_id").isNotNull() | F.col("li_sc_labor_id").isNotNull()
+               | F.col("li_sc_fixed_fee_id").isNotNull() | F.col("li_sc_travel_id").isNotNull()
+               | F.col("li_award_fee_id").isNotNull())
+    li = li.filter(any_sub)
+    lia = live(silver["aasbs_line_item_accepted"])
+    ledger = live(silver["aasbs_loa_ledger"]).select(F.col("line_item_accepted_id").alias("lia_id"), "loa_id",
+                                                     F.col("id").alias("ll_id"))
+    per_loa = ledger.join(lia.select(F.col("id").alias("lia_id"), "line_item_id"), "lia_id")
+    burn = rank_by_agg(per_loa, ["loa_id"], ["line_item_id"], [F.min("ll_id").alias("_first_ll")],
+                       [F.col("_first_ll"), F.col("loa_id")], name="loa_burn_order")
+    plan_cols = []
+    f = li.select(F.col("id").alias("line_item_id"), "li_sc_labor_id", "li_sc_fixed_fee_id", "li_sc_travel_id",
+                  "line_item_total_amt", "parent_award_mod_id", "parent_ia_id")
+    for ptr, table, alias in [("li_sc_labor_id", "aasbs_li_sc_labor", "_lab"),
+                              ("li_sc_fixed_fee_id", "aasbs_li_sc_fixed_fee", "_ff"),
+                              ("li_sc_travel_id", "aasbs_li_sc_travel", "_tr")]:
+        t = live(silver[table])
+        extra = [F.col("cost_rate_type_cd").alias("cost_rate_type_cd")] if alias == "_lab" else []
+        f = f.join(t.select(F.col("id").alias(ptr), F.col("planned_amt").alias(alias), *extra), ptr, "left")
+        plan_cols.append(F.col(alias))
+    f = f.join(burn.select("line_item_id", "loa_id", "loa_burn_order"), "line_item_id", "inner")
+    inv = live(silver["aasbs_invoice_item"]).join(
+        lia.select(F.col("id").alias("cost_line_item_accepted_id"), "line_item_id"), "cost_line_item_accepted_id")
+    f = preagg_join(f, inv, "line_item_id", [F.sum(F.coalesce("invoice_item_amt", zero)).alias("actual_amt")])
+    latest = pick_one(lia, "line_item_id", "id", how="max", out="lia_id")
+    f = f.join(latest, "line_item_id", "left")
+    f = resolve_sk(f, gold["common.dim_line_item"], {"lia_id": "line_item_accepted_id"}, "line_item_sk")
+    subs = gold["psc.dim_clin_subtype"].select("line_item_id", "clin_subtype_sk")
+    f = f.join(subs, "line_item_id", "left")
+    f = resolve_sk(f, gold["psc.dim_cost_rate_type"], "cost_rate_type_cd", "cost_rate_type_sk", missing=None)
+    mods = live(silver["aasbs_award_mod"]).select(F.col("id").alias("parent_award_mod_id"), "award_id")
+    f = f.join(mods, "parent_award_mod_id", "left")
+    f = resolve_sk(f, gold["common.dim_award"], "award_id", "award_sk")
+    f = resolve_sk(f, gold["common.dim_ia"], {"parent_ia_id": "ia_id"}, "ia_sk")
+    f = resolve_sk(f, gold["common.dim_loa"], "loa_id", "loa_sk")
+    return f.select(
+        "line_item_sk", F.coalesce("clin_subtype_sk", F.lit(-1)).cast("bigint").alias("clin_subtype_sk"),
+        "cost_rate_type_sk", "award_sk", "ia_sk", "loa_sk",
+        F.coalesce(*plan_cols, F.col("line_item_total_amt"), zero).cast("decimal(15,2)").alias("planned_amt"),
+        F.lit(None).cast("decimal(10,2)").alias("planned_hours"), F.lit(None).cast("decimal(10,4)").alias("planned_rate"),
+        F.lit(None).cast("decimal(15,2)").alias("award_fee_amt"),
+        F.lit(None).cast("decimal(7,4)").alias("award_fee_surcharge_rate"),
+        F.col("_ff").cast("decimal(15,2)").alias("fixed_fee_amt"),
+        F.col("_tr").cast("decimal(15,2)").alias("travel_planned_amt"),
+        F.coalesce("actual_amt", zero).cast("decimal(15,2)").alias("actual_amt"),
+        F.lit(None).cast("decimal(10,2)").alias("actual_hours"), "loa_burn_order",
+        F.lit(None).cast("decimal(7,4)").alias("loa_proration_pct"))
