@@ -26,6 +26,7 @@ from gildhall.plans.domain.psc_facts import fact_clin_pricing, fact_service_char
 from gildhall.plans.domain.tpp_air import (
     dim_aac_envelope, dim_agreement, dim_onefund_program, dim_receiving_report, dim_transmittal_type,
 )
+from gildhall.plans.domain.tpp_facts import fact_payment_reconciliation, fact_transmission_event
 from gildhall.plans.domain.wpr import dim_client, dim_industry_partner, dim_org_hierarchy, dim_user
 
 BUILDERS = {
@@ -75,6 +76,8 @@ BUILDERS = {
     "iat.fact_ia_review": fact_ia_review,
     "psc.fact_service_charge_schedule": fact_service_charge_schedule,
     "psc.fact_clin_pricing": fact_clin_pricing,
+    "tpp.fact_transmission_event": fact_transmission_event,
+    "tpp.fact_payment_reconciliation": fact_payment_reconciliation,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
