@@ -23,6 +23,7 @@ from gildhall.plans.domain.lookups import (
 from gildhall.plans.domain.oet import fact_obligation_expenditure
 from gildhall.plans.domain.psc import dim_billing_period, dim_clin_subtype
 from gildhall.plans.domain.psc_facts import fact_clin_pricing, fact_service_charge_schedule
+from gildhall.plans.domain.smi_facts import fact_solicitation_response
 from gildhall.plans.domain.tpp_air import (
     dim_aac_envelope, dim_agreement, dim_onefund_program, dim_receiving_report, dim_transmittal_type,
 )
@@ -78,6 +79,7 @@ BUILDERS = {
     "psc.fact_clin_pricing": fact_clin_pricing,
     "tpp.fact_transmission_event": fact_transmission_event,
     "tpp.fact_payment_reconciliation": fact_payment_reconciliation,
+    "smi.fact_solicitation_response": fact_solicitation_response,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
