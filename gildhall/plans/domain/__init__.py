@@ -10,6 +10,7 @@ from gildhall.plans.domain.alt_fre import (
     dim_acquisition, dim_closeout, dim_contractor, dim_fpds_agency, dim_fpds_award, dim_fpds_contractor,
     dim_fpds_psc, dim_solicitation,
 )
+from gildhall.plans.domain.cat_facts import fact_lifecycle_event
 from gildhall.plans.domain.blocked import fact_review_determination, fact_role_assignment
 from gildhall.plans.domain.common import (
     dim_agency, dim_award, dim_date, dim_funding, dim_ia, dim_line_item, dim_loa,
@@ -80,6 +81,7 @@ BUILDERS = {
     "tpp.fact_transmission_event": fact_transmission_event,
     "tpp.fact_payment_reconciliation": fact_payment_reconciliation,
     "smi.fact_solicitation_response": fact_solicitation_response,
+    "cat.fact_lifecycle_event": fact_lifecycle_event,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
