@@ -6,6 +6,7 @@ built Gold tables (``"common.dim_agency"``) for key resolution. Builders are
 pure DataFrame plans; writing, conforming and auditing are the caller's.
 """
 
+from gildhall.plans.domain.air_facts import fact_accrual_income
 from gildhall.plans.domain.alt_fre import (
     dim_acquisition, dim_closeout, dim_contractor, dim_fpds_agency, dim_fpds_award, dim_fpds_contractor,
     dim_fpds_psc, dim_solicitation,
@@ -82,6 +83,7 @@ BUILDERS = {
     "tpp.fact_payment_reconciliation": fact_payment_reconciliation,
     "smi.fact_solicitation_response": fact_solicitation_response,
     "cat.fact_lifecycle_event": fact_lifecycle_event,
+    "air.fact_accrual_income": fact_accrual_income,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
