@@ -7,6 +7,7 @@ pure DataFrame plans; writing, conforming and auditing are the caller's.
 """
 
 from gildhall.plans.domain.air_facts import fact_accrual_income
+from gildhall.plans.domain.alt_facts import fact_award_lifecycle
 from gildhall.plans.domain.alt_fre import (
     dim_acquisition, dim_closeout, dim_contractor, dim_fpds_agency, dim_fpds_award, dim_fpds_contractor,
     dim_fpds_psc, dim_solicitation,
@@ -84,6 +85,7 @@ BUILDERS = {
     "smi.fact_solicitation_response": fact_solicitation_response,
     "cat.fact_lifecycle_event": fact_lifecycle_event,
     "air.fact_accrual_income": fact_accrual_income,
+    "alt.fact_award_lifecycle": fact_award_lifecycle,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
