@@ -17,6 +17,7 @@ from gildhall.plans.domain.blocked import fact_review_determination, fact_role_a
 from gildhall.plans.domain.common import (
     dim_agency, dim_award, dim_date, dim_funding, dim_ia, dim_line_item, dim_loa,
 )
+from gildhall.plans.domain.fre_facts import fact_fpds_transaction
 from gildhall.plans.domain.iat_facts import fact_ia_amendment, fact_ia_review
 from gildhall.plans.domain.iat_smi import dim_fin_code_history, dim_piid, dim_posting_type, dim_reviewer
 from gildhall.plans.domain.lookups import (
@@ -86,6 +87,7 @@ BUILDERS = {
     "cat.fact_lifecycle_event": fact_lifecycle_event,
     "air.fact_accrual_income": fact_accrual_income,
     "alt.fact_award_lifecycle": fact_award_lifecycle,
+    "fre.fact_fpds_transaction": fact_fpds_transaction,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).
