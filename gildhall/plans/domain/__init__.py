@@ -27,6 +27,7 @@ from gildhall.plans.domain.lookups import (
 from gildhall.plans.domain.oet import fact_obligation_expenditure
 from gildhall.plans.domain.psc import dim_billing_period, dim_clin_subtype
 from gildhall.plans.domain.psc_facts import fact_clin_pricing, fact_service_charge_schedule
+from gildhall.plans.domain.ref import ref_code_tables
 from gildhall.plans.domain.smi_facts import fact_solicitation_response
 from gildhall.plans.domain.tpp_air import (
     dim_aac_envelope, dim_agreement, dim_onefund_program, dim_receiving_report, dim_transmittal_type,
@@ -88,6 +89,7 @@ BUILDERS = {
     "air.fact_accrual_income": fact_accrual_income,
     "alt.fact_award_lifecycle": fact_award_lifecycle,
     "fre.fact_fpds_transaction": fact_fpds_transaction,
+    "ref.lu_code_tables": ref_code_tables,
 }
 
 # Build order of the first product (dimensions before the fact that resolves them).

@@ -141,6 +141,8 @@ def load_ref(sources: Mapping[str, DataFrame], config: Sequence[Mapping]) -> Dat
         else:
             a = F.upper(F.trim(F.col(active)))
             act = F.when(a == "Y", True).when(a == "N", False)
+        extra = [F.lit(cfg.get("source_label")).cast("string").alias("source_table")] \
+            if any("source_label" in c for c in config) else []
         parts.append(df.select(
             F.lit(cfg["code_set"]).alias("code_set"),
             F.trim(cd.cast("string")).alias("code_value"),
@@ -148,6 +150,7 @@ def load_ref(sources: Mapping[str, DataFrame], config: Sequence[Mapping]) -> Dat
             short.alias("short_desc"),
             sort.alias("sort_order"),
             act.alias("is_active_flag"),
+            *extra,
         ))
     out = parts[0]
     for p in parts[1:]:
