@@ -35,7 +35,7 @@ def audit_event(spark: SparkSession, *, run_id: str, target_table: str, run_stat
                 rows_read: int | None = None, rows_written: int | None = None,
                 watermark_from=None, watermark_to=None, message: str | None = None) -> DataFrame:
     """One event row; keyword-only so rows read and rows written cannot be
-    swapped (fix for D-23). Append it with ``write(mode='insert')``."""
+    swapped (fix for D-23). Append it with ``write(df, path, mode='append')``."""
     return spark.createDataFrame([(run_id, product, target_table, run_type, run_status, event_ts, start_ts,
                                    end_ts, rows_read, rows_written, watermark_from, watermark_to, message)],
                                  AUDIT_SCHEMA)

@@ -23,3 +23,20 @@ def test_ref_code_tables(spark):
     assert (rows[("lu_fund", "F1")].is_active_flag, rows[("lu_fund", "F1")].sort_order) == (False, None)
     assert rows[("lu_transmittal_stage", "S1")].source_table == "aasbs_transmit.lu_transmittal_stage"
     assert len(blocked_code_sets(s)) == 85 - 3
+
+
+def test_load_target_records_audit(spark, tmpdir_run):
+    import os
+    from gildhall.operators import high_water, run_state
+    from gildhall.plans.domain.load import load_target
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    audit = os.path.join(tmpdir_run, "audit")
+    status = load_target(df, "common.dim_x", os.path.join(tmpdir_run, "dim_x"), audit, "r1", "2024-01-01T00:00:00",
+                         rows_read=2)
+    assert status == "SUCCESS"
+    log = spark.read.parquet(audit)
+    st = run_state(log).first()
+    assert (st.run_status, st.rows_written, st.rows_read) == ("SUCCESS", 2, 2)
+    # the first CDC window starts where the full load ended (D-3), not 24 h back
+    hw = high_water(log, "common.dim_x", "2024-02-01 00:00:00").first()
+    assert str(hw.watermark_from) == "2024-01-01 00:00:00"
