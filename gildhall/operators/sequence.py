@@ -120,29 +120,28 @@ def exact_percentile(df: DataFrame, group: Sequence[str], value: str,
 
     Same result as ``percentile``/``percentile_cont``, but no group's values
     are ever gathered in one buffer: rows are numbered by value with
-    ``ordinal``, the 1-2 needed ranks per percentile are computed from the
-    group count, and only those rows are joined back. NULL values are ignored.
+    ``ordinal``; from the group count each percentile needs the rows at
+    ranks ``floor(p·(n-1))+1`` and ``ceil(p·(n-1))+1``. Those (group, rank,
+    percentile, side) requests — at most 2 per percentile per group — are
+    equi-joined to the numbered rows in ONE join, then one grouped aggregate
+    interpolates. NULL values are ignored.
     """
     base = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_pv"))
     ranked = ordinal(base, group, [F.col("_pv").asc()], name="_prn")
     counts = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_pn"))
-    need_rows = []
+    reqs = []
     for out, p in pcts.items():
         pos = (F.col("_pn") - 1) * F.lit(float(p))
-        need_rows.append(counts.select(
-            *group, F.lit(out).alias("_pname"),
-            (F.floor(pos) + 1).cast("long").alias("_lo"),
-            (F.ceil(pos) + 1).cast("long").alias("_hi"),
-            (pos - F.floor(pos)).alias("_frac")))
-    need = need_rows[0]
-    for r in need_rows[1:]:
-        need = need.unionByName(r)
-    wanted = need.select(*group, F.col("_lo").alias("_prn")).unionByName(
-        need.select(*group, F.col("_hi").alias("_prn"))).distinct()
-    picked = _join_renamed(ranked, wanted, [*group, "_prn"], "left_semi", null_safe=group)
-    lo = picked.select(*group, F.col("_prn").alias("_lo"), F.col("_pv").alias("_vlo"))
-    hi = picked.select(*group, F.col("_prn").alias("_hi"), F.col("_pv").alias("_vhi"))
-    res = _join_renamed(need, lo, [*group, "_lo"], "left", null_safe=group)
-    res = _join_renamed(res, hi, [*group, "_hi"], "left", null_safe=group)
-    res = res.withColumn("_pval", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-    return res.groupBy(*group).pivot("_pname", list(pcts)).agg(F.first("_pval"))
+        frac = (pos - F.floor(pos)).alias("_frac")
+        reqs.append(F.struct(F.lit(out).alias("_pname"), F.lit("lo").alias("_side"),
+                             (F.floor(pos) + 1).cast("long").alias("_prn"), frac))
+        reqs.append(F.struct(F.lit(out).alias("_pname"), F.lit("hi").alias("_side"),
+                             (F.ceil(pos) + 1).cast("long").alias("_prn"), frac))
+    need = counts.select(*group, F.explode(F.array(*reqs)).alias("_r")).select(*group, "_r.*")
+    picked = _join_renamed(need, ranked, [*group, "_prn"], "inner", null_safe=group)
+    per = picked.groupBy(*group, "_pname").agg(
+        F.max(F.when(F.col("_side") == "lo", F.col("_pv"))).alias("_vlo"),
+        F.max(F.when(F.col("_side") == "hi", F.col("_pv"))).alias("_vhi"),
+        F.max("_frac").alias("_frac"))
+    per = per.withColumn("_pval", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
+    return per.groupBy(*group).pivot("_pname", list(pcts)).agg(F.first("_pval"))
