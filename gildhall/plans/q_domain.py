@@ -165,3 +165,44 @@ def q_dp1_fact_obligation(t):
     """The obligation fact over the whole derived ledger: grain aggregate, line-level
     invoice/acceptance/bill aggregates joined once each, six key resolutions, zero rows dropped."""
     return _gold(t, "oet.fact_obligation_expenditure")["oet.fact_obligation_expenditure"]
+
+
+CFO_SQL = f"""g_line_item_attrs AS (
+  SELECT li.line_item_id, lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || 'AA' AS clin_num,
+         COALESCE(CASE WHEN li.type_cd = 'F' THEN 'Fulfilled' END, li.type_cd) AS line_item_type_desc, p.p_brand AS psc_cd
+  FROM (SELECT l_orderkey * 100 + l_linenumber AS line_item_id, l_linenumber, MIN(l_linestatus) AS type_cd,
+               MIN(l_partkey) AS part FROM lineitem GROUP BY l_orderkey, l_linenumber) li
+  LEFT JOIN part p ON p.p_partkey = li.part),
+g_loa_attrs AS (
+  SELECT s_suppkey AS loa_id, 'F' || CAST(s_suppkey % 4 AS VARCHAR) AS fund_cd, CAST(NULL AS VARCHAR) AS object_class_cd,
+         NULLIF(concat_ws('-', '047', NULLIF(trim({_pad('s_nationkey % 5', 2)} || {_pad('s_nationkey', 2)}), ''),
+                NULLIF(trim(COALESCE(CASE WHEN s_suppkey % 2 = 0 THEN 'X' END, '') || {_pad('s_suppkey % 100', 4)}), ''),
+                NULLIF(trim(CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE '001' END), '')), '') AS treasury_account_symbol
+  FROM supplier WHERE NOT (s_suppkey % 50 = 49))"""
+
+
+@query("q_dp1_cfo_summary", f"""WITH {SILVER_DIM_SQL}, {FACT_SQL}, {CFO_SQL}
+SELECT a.agency_name, a.bureau_name, f.fiscal_year, f.fiscal_quarter, ia.ia_num, ia.ia_type_desc, li.clin_num,
+       li.line_item_type_desc, li.psc_cd, loa.fund_cd, loa.treasury_account_symbol, loa.object_class_cd,
+       CAST(SUM(f.obligated_amt) AS DECIMAL(38,2)) AS total_obligated, CAST(SUM(f.accepted_amt) AS DECIMAL(38,2)) AS total_accepted,
+       CAST(SUM(f.billed_amt) AS DECIMAL(38,2)) AS total_billed, CAST(SUM(f.udo_amt) AS DECIMAL(38,2)) AS total_udo,
+       CAST(SUM(f.accrued_amt) AS DECIMAL(38,2)) AS total_accrued,
+       CAST(SUM(f.service_charge_amt) AS DECIMAL(38,2)) AS total_service_charge
+FROM fact f
+JOIN g_agency a ON a.agency_sk = f.agency_sk
+JOIN g_ia ia ON ia.ia_sk = f.ia_sk
+JOIN g_line_item gli ON gli.line_item_sk = f.line_item_sk
+JOIN g_line_item_attrs li ON li.line_item_id = gli.line_item_id
+JOIN g_loa lsk ON lsk.loa_sk = f.loa_sk
+JOIN g_loa_attrs loa ON loa.loa_id = lsk.loa_id
+GROUP BY ALL""")
+def q_dp1_cfo_summary(t):
+    """oet.v_cfo_obligation_summary over the built DP1 Gold tables: latest snapshot
+    per grain (D-6), star join to current dimensions, grouped sums."""
+    from pyspark.sql import functions as F
+
+    from gildhall.plans.views import v_cfo_obligation_summary
+    gold = _gold(t, "oet.fact_obligation_expenditure")
+    v = v_cfo_obligation_summary(gold)
+    sums = [c for c in v.columns if c.startswith("total_")]
+    return v.select(*[F.col(c).cast("decimal(38,2)").alias(c) if c in sums else F.col(c) for c in v.columns])
