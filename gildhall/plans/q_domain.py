@@ -80,7 +80,9 @@ SCD_COLS_SQL = f"TIMESTAMP '{AS_OF}' AS eff_start_dt, CAST(NULL AS TIMESTAMP) AS
 def _gold(t, upto: str):
     from gildhall.plans.domain import DP1_ORDER, build_all
     order = DP1_ORDER[1:DP1_ORDER.index(upto) + 1]
-    return build_all(derived_silver(t), AS_OF, order=order)
+    # each built target is materialised (reliable checkpoint in the shared folder), as a
+    # production load writes it: later builders read it instead of recomputing its chain
+    return build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
 
 
 @query("q_dp1_dim_agency", f"WITH {SILVER_DIM_SQL} SELECT *, {SCD_COLS_SQL} FROM g_agency")
