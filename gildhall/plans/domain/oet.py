@@ -41,9 +41,15 @@ def ledger_grain(ledger: DataFrame) -> DataFrame:
         ids.alias("source_loa_ledger_ids"))
 
 
-def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame | None = None) -> DataFrame:
+def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame | None = None,
+                                accrual_gate=None) -> DataFrame:
     """``affected``: optional ``(line_item_accepted_id, loa_id)`` grains to
-    re-aggregate in full (CDC); otherwise the full load."""
+    re-aggregate in full (CDC); otherwise the full load.
+
+    ``accrual_gate``: optional boolean Column (a scalar subquery over the audit
+    log, CDC-6). When given, accrual income per accepted line is aggregated
+    and joined once, and ``accrued_amt`` takes it only where the gate is
+    true; otherwise ``accrued_amt`` is 0 as in the full load."""
     ledger = silver["aasbs_loa_ledger"]
     if affected is not None:
         ledger = ledger.join(affected.select("line_item_accepted_id", "loa_id").distinct(),
@@ -59,6 +65,9 @@ def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame |
                                   F.count_distinct("acceptance_id").alias("acceptance_count")])
     bill = live(silver["aasbs_bill_item"]).filter(F.col(key).isNotNull())
     g = preagg_join(g, bill, key, [F.sum("bill_item_amt").alias("billed_amt")])
+    if accrual_gate is not None:
+        acr = live(silver["aasbs_accrual_income"]).filter(F.col(key).isNotNull())
+        g = preagg_join(g, acr, key, [F.sum("calculated_income_amt").alias("_accrued")])
     lia = live(silver["aasbs_line_item_accepted"]).select(F.col("id").alias(key), "line_item_id", "budget_fy")
     g = g.join(lia.dropDuplicates([key]), key, "left")
 
@@ -84,7 +93,9 @@ def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame |
         obl.cast("decimal(15,2)").alias("obligated_amt"), inv_amt.cast("decimal(15,2)").alias("invoiced_amt"),
         acc_amt.cast("decimal(15,2)").alias("accepted_amt"),
         F.coalesce("billed_amt", ZERO).cast("decimal(15,2)").alias("billed_amt"),
-        ZERO.alias("accrued_amt"), (obl - acc_amt).cast("decimal(15,2)").alias("udo_amt"),
+        (F.when(accrual_gate, F.coalesce(F.col("_accrued"), ZERO)).otherwise(ZERO) if accrual_gate is not None
+         else ZERO).cast("decimal(15,2)").alias("accrued_amt"),
+        (obl - acc_amt).cast("decimal(15,2)").alias("udo_amt"),
         F.coalesce("service_charge_amt", ZERO).cast("decimal(15,2)").alias("service_charge_amt"),
         F.lit(None).cast("decimal(15,2)").alias("disbursed_amt"),
         (obl - inv_amt).cast("decimal(15,2)").alias("undelivered_orders_amt"),

@@ -212,3 +212,27 @@ def test_cdc_refresh_dimension_and_fact(spark, gold):
     assert grains == [(3001, 100)]                                   # distinct on the 2-column grain (D-4)
     fact = {r.fiscal_month: r for r in refresh_fact(silver, gold, "2022-02-01", "2022-03-01", "2022-03-01", "c").collect()}
     assert fact[1].accepted_amt == D("45.00") and fact[1]._source_batch_id == "c"
+
+
+def test_cdc_fact_accrual_only_when_fresh(spark, gold):
+    """accrued_amt is filled only when the accrual product ran after the window start (CDC-6)."""
+    from gildhall.operators import audit_event
+    from gildhall.plans.domain.cdc import refresh_fact
+    silver = {}
+    for name, schema in SCHEMAS.items():
+        cols = [c.strip().split(" ")[0] for c in re.split(r",(?![^()]*\))", schema)]
+        rows = [tuple(r.get(c) for c in cols) for r in ROWS.get(name, [])]
+        silver[name] = spark.createDataFrame(rows, schema)
+    silver["aasbs_loa_ledger"] = silver["aasbs_loa_ledger"].withColumn(
+        "created_dt", F.when(F.col("id") == 1, F.lit("2022-02-05").cast("timestamp_ntz")).otherwise(F.col("created_dt")))
+    silver["aasbs_accrual_income"] = spark.createDataFrame([(3001, D("7.50"), None), (3001, D("2.50"), None)],
+                                                           "line_item_accepted_id bigint, calculated_income_amt "
+                                                           "decimal(15,2), is_deleted boolean")
+    fresh = audit_event(spark, run_id="r", target_table="air.fact_accrual_income", run_status="SUCCESS",
+                        product="DP4", event_ts=T(2022, 2, 20), end_ts=T(2022, 2, 20), watermark_to=T(2022, 2, 20))
+    stale = audit_event(spark, run_id="r", target_table="air.fact_accrual_income", run_status="SUCCESS",
+                        product="DP4", event_ts=T(2022, 1, 20), end_ts=T(2022, 1, 20), watermark_to=T(2022, 1, 20))
+    on = refresh_fact(silver, gold, "2022-02-01", "2022-03-01", "2022-03-01", "c", audit=fresh).collect()
+    off = refresh_fact(silver, gold, "2022-02-01", "2022-03-01", "2022-03-01", "c", audit=stale).collect()
+    assert {r.accrued_amt for r in on} == {D("10.00")}
+    assert {r.accrued_amt for r in off} == {D("0.00")}
