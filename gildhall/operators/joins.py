@@ -53,7 +53,8 @@ def unique_on(df: DataFrame, keys, values: Sequence[str], what: str = "lookup")
 def resolve_sk(df: DataFrame, dim: DataFrame, on: str | Mapping[str, str], sk: str,
                out: str | None = None, missing: int | None = -1,
                current_flag: str | None = "is_current_flag",
-               null_key_missing: int | None = None) -> DataFrame:
+               null_key_missing: int | None = None,
+               carry: Mapping[str, str] | None = None) -> DataFrame:
     """Natural key → current surrogate key, else the sentinel (JON-3, FLT-7).
 
     ``on`` is a column name shared by both sides or ``{left_col: dim_col}``.
@@ -61,7 +62,11 @@ def resolve_sk(df: DataFrame, dim: DataFrame, on: str | Mapping[str, str], sk: s
     key (a duplicate current key fails the job) and left-joined; the row
     count of ``df`` never changes. A NULL natural key gets ``null_key_missing``
     (default: the same sentinel); pass None for "not applicable".
+    ``carry`` maps further dimension columns to output names; they come
+    through the same unique lookup (NULL when unmatched), so a dimension
+    needed for two columns is aggregated and joined once.
     """
+    carry = dict(carry or {})
     mapping = {on: on} if isinstance(on, str) else dict(on)
     out = out or sk
     d = dim
@@ -69,8 +74,10 @@ def resolve_sk(df: DataFrame, dim: DataFrame, on: str | Mapping[str, str], sk: s
         d = d.filter(F.col(current_flag))
     dcols = list(mapping.values())
     rn = {dc: f"_rk_{i}" for i, dc in enumerate(dcols)}
-    d = d.select(*[F.col(dc).alias(rn[dc]) for dc in dcols], F.col(sk).alias("_rk_sk"))
-    d = unique_on(d, list(rn.values()), ["_rk_sk"], what=f"resolve_sk({sk})")
+    cnames = {c: f"_rk_c{i}" for i, c in enumerate(carry)}
+    d = d.select(*[F.col(dc).alias(rn[dc]) for dc in dcols], F.col(sk).alias("_rk_sk"),
+                 *[F.col(c).alias(cnames[c]) for c in carry])
+    d = unique_on(d, list(rn.values()), ["_rk_sk", *cnames.values()], what=f"resolve_sk({sk})")
     cond = None
     for lc, dc in mapping.items():
         c = df[lc] == d[rn[dc]]
@@ -84,8 +91,10 @@ def resolve_sk(df: DataFrame, dim: DataFrame, on: str | Mapping[str, str], sk: s
     val = F.col("_rk_sk")
     if missing is not None:
         val = F.coalesce(val, F.when(any_null, F.lit(nk_missing)).otherwise(F.lit(missing)))
-    return j.withColumn(out, val.cast(dim.schema[sk].dataType)).drop(*rn.values()).drop("_rk_sk") \
-        if out != "_rk_sk" else j
+    j = j.withColumn(out, val.cast(dim.schema[sk].dataType))
+    for c, o in carry.items():
+        j = j.withColumnRenamed(cnames[c], o)
+    return j.drop(*rn.values()).drop("_rk_sk")
 
 
 def decode(df: DataFrame, lookup: DataFrame, code: str, desc: str, out: str | None = None,

@@ -170,8 +170,8 @@ def funding_rows(silver, gold, as_of: str) -> DataFrame:
                           ("billing_type_cd", "aasbs_lu_billing_type", "billing_type_desc")]:
         f = decode(f, _lookup(silver, lk), code, "description", out=out, lookup_code="cd")
     ia = gold["common.dim_ia"]
-    f = resolve_sk(f, ia, "ia_id", "ia_sk")
-    f = resolve_sk(f, ia, "ia_id", "servicing_agency_sk", out="agency_sk")
+    f = resolve_sk(f, ia, "ia_id", "ia_sk", carry={"servicing_agency_sk": "_serv_agency"})
+    f = f.withColumn("agency_sk", F.coalesce("_serv_agency", F.lit(-1)).cast("bigint")).drop("_serv_agency")
     f = f.join(funded, "funding_id", "left")
     out = f.select(
         "funding_id", "funding_amendment_id", "fund_status_cd", "fund_status_desc", "fund_category_cd",

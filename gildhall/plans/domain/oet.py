@@ -71,14 +71,13 @@ def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame |
     lia = live(silver["aasbs_line_item_accepted"]).select(F.col("id").alias(key), "line_item_id", "budget_fy")
     g = g.join(lia.dropDuplicates([key]), key, "left")
 
-    g = resolve_sk(g, gold["common.dim_line_item"], "line_item_id", "line_item_sk", missing=None)
-    g = resolve_sk(g, gold["common.dim_line_item"], "line_item_id", "award_sk", out="li_award_sk", missing=None)
+    g = resolve_sk(g, gold["common.dim_line_item"], "line_item_id", "line_item_sk", missing=None,
+                   carry={"award_sk": "li_award_sk"})
     g = resolve_sk(g, gold["common.dim_loa"], "loa_id", "loa_sk")
     g = resolve_sk(g, gold["common.dim_funding"], "funding_id", "funding_sk")
     g = resolve_sk(g, gold["common.dim_award"].withColumnRenamed("award_sk", "li_award_sk")
                    .withColumn("award_sk", F.col("li_award_sk")), "li_award_sk", "award_sk")
-    g = resolve_sk(g, gold["common.dim_ia"], "ia_id", "ia_sk")
-    g = resolve_sk(g, gold["common.dim_ia"], "ia_id", "servicing_agency_sk", out="_serv_agency", missing=None)
+    g = resolve_sk(g, gold["common.dim_ia"], "ia_id", "ia_sk", carry={"servicing_agency_sk": "_serv_agency"})
     g = resolve_sk(g, gold["common.dim_agency"].withColumnRenamed("agency_sk", "_serv_agency")
                    .withColumn("agency_sk", F.col("_serv_agency")), "_serv_agency", "agency_sk")
 
