@@ -208,3 +208,44 @@ def q_dp1_cfo_summary(t):
     v = v_cfo_obligation_summary(gold)
     sums = [c for c in v.columns if c.startswith("total_")]
     return v.select(*[F.col(c).cast("decimal(38,2)").alias(c) if c in sums else F.col(c) for c in v.columns])
+
+
+CDC_AS_OF = "2002-03-01"
+CDC_LO, CDC_HI = "2002-02-01", "2002-03-01"
+
+
+def _silver_v2(silver):
+    """Second Silver state: every seventh IA changes status inside the CDC window."""
+    from pyspark.sql import functions as F
+    ia = silver["aasbs_ia"]
+    changed = F.col("id") % 7 == 0
+    out = dict(silver)
+    out["aasbs_ia"] = ia.withColumn("ia_status_cd", F.when(changed, F.lit("S9")).otherwise(F.col("ia_status_cd"))) \
+        .withColumn("updated_dt", F.when(changed, F.lit("2002-02-10 08:00:00").cast("timestamp_ntz")))
+    return out
+
+
+CDC_IA_SQL = f"""chg AS (SELECT * FROM g_ia WHERE ia_id % 7 = 0),
+mx AS (SELECT MAX(ia_sk) AS m FROM g_ia),
+nxt AS (SELECT * REPLACE ('S9' AS ia_status_cd, 'S9' AS ia_status_desc, 'S9' AS instrument_type_desc) FROM chg),
+cdc AS (
+  SELECT *, {SCD_COLS_SQL}, 'kept' AS _action FROM g_ia
+  WHERE ia_id % 7 <> 0
+  UNION ALL
+  SELECT *, TIMESTAMP '{AS_OF}' AS eff_start_dt, TIMESTAMP '{CDC_AS_OF}' AS eff_end_dt, FALSE AS is_current_flag,
+         'closed' AS _action FROM chg
+  UNION ALL
+  SELECT * REPLACE ((SELECT m FROM mx) + ROW_NUMBER() OVER (ORDER BY ia_id) AS ia_sk),
+         TIMESTAMP '{CDC_AS_OF}' AS eff_start_dt, CAST(NULL AS TIMESTAMP) AS eff_end_dt, TRUE AS is_current_flag,
+         'inserted' AS _action FROM nxt)"""
+
+
+@query("q_dp1_cdc_ia", f"WITH {SILVER_DIM_SQL}, {CDC_IA_SQL} SELECT * FROM cdc")
+def q_dp1_cdc_ia(t):
+    """CDC refresh of the IA dimension over the whole derived Silver: changed keys from
+    the window, the full-load row builder on the restricted input, one classifying
+    SCD2 join, fresh surrogate keys for new versions after the current maximum (CDC-7)."""
+    from gildhall.plans.domain.cdc import refresh_dimension
+    silver = derived_silver(t)
+    gold = _gold(t, "common.dim_ia")
+    return refresh_dimension(_silver_v2(silver), gold, "common.dim_ia", CDC_LO, CDC_HI, CDC_AS_OF, "cdc-1")
