@@ -68,7 +68,9 @@ def derived_silver(t) -> dict[str, DataFrame]:
         (F.lit(1995) + F.col("c_custkey") % 7).cast("int").alias("fiscal_year"),
         F.date_add(F.to_date(F.lit("1995-01-01")), (F.col("c_custkey") % 1000).cast("int")).cast("timestamp_ntz")
          .alias("ia_began_dt"),
-        _aac("c_nationkey").alias("activity_address_cd"), (F.col("c_custkey") % 97 == 1).alias("is_deleted"))
+        _aac("c_nationkey").alias("activity_address_cd"),
+        F.concat(F.lit("SVC"), (F.col("c_nationkey") % 5).cast("string")).alias("serv_agency_cd"),
+        (F.col("c_custkey") % 97 == 1).alias("is_deleted"))
     s["aasbs_lu_ia_status"] = _code_table(s["aasbs_ia"].filter(F.col("ia_status_cd") != "S3"), "ia_status_cd")
     s["aasbs_loa"] = supplier.select(
         F.col("s_suppkey").alias("id"), (F.col("s_suppkey") + 1000).alias("tracking_num"),
@@ -163,4 +165,25 @@ def derived_silver(t) -> dict[str, DataFrame]:
     s["aasbs_bill_item"] = lineitem.filter(F.col("l_returnflag") == "N").select(
         lia.alias("line_item_accepted_id"), dmul("l_extendedprice", "l_tax").alias("bill_item_amt"),
         F.lit(None).cast("boolean").alias("is_deleted"))
+    # IA amendments (IA tracker): one per order of the IA's customer
+    prio = F.col("o_orderpriority")
+    action = (F.when(prio == "1-URGENT", "COST_INCREASE").when(prio == "2-HIGH", "EXTEND_POP")
+               .when(prio == "3-MEDIUM", "SCOPE_CHANGE").otherwise("ADMIN"))
+    status = F.col("o_orderstatus")
+    s["aasbs_ia_amendment"] = orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("ia_id"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("X1")).otherwise(_pad(F.col("o_orderkey") % 100, 2)).alias("piid_ext"),
+        action.alias("ia_amend_action_cd"), F.col("o_totalprice").cast("decimal(15,2)").alias("direct_cost_est_amt"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("decimal(15,2)"))
+         .otherwise(dmul("o_totalprice", F.lit(0.05))).alias("charges_est_amt"),
+        F.col("o_orderdate").alias("start_dt"),
+        F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 400).cast("int")).cast("timestamp_ntz"))
+         .alias("end_dt"),
+        F.when(status.isin("F", "O"), F.date_add(F.to_date("o_orderdate"), 5).cast("timestamp_ntz"))
+         .alias("service_agency_signed_dt"),
+        F.when(status == "F", F.date_add(F.to_date("o_orderdate"), 10).cast("timestamp_ntz"))
+         .alias("request_agency_signed_dt"),
+        F.col("o_orderdate").alias("created_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_lu_ia_amend_action"] = _code_table(s["aasbs_ia_amendment"], "ia_amend_action_cd")
     return s

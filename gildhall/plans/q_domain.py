@@ -35,7 +35,7 @@ s_ia AS (
               WHEN 'HOUSEHOLD' THEN 'LOCAL' END AS instrument_type_cd,
          'S' || CAST(c_custkey % 4 AS VARCHAR) AS ia_status_cd, CAST(1995 + c_custkey % 7 AS INTEGER) AS fiscal_year,
          CAST(DATE '1995-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS TIMESTAMP) AS ia_began_dt,
-         'AAC' || {_pad('c_nationkey', 3)} AS activity_address_cd
+         'AAC' || {_pad('c_nationkey', 3)} AS activity_address_cd, 'SVC' || CAST(c_nationkey % 5 AS VARCHAR) AS serv_agency_cd
   FROM customer WHERE NOT (c_custkey % 97 = 1)),
 s_ia_status AS (SELECT DISTINCT ia_status_cd AS cd, 'Code ' || ia_status_cd AS description FROM (
   SELECT 'S' || CAST(c_custkey % 4 AS VARCHAR) AS ia_status_cd FROM customer) WHERE ia_status_cd <> 'S3'),
@@ -249,3 +249,61 @@ def q_dp1_cdc_ia(t):
     silver = derived_silver(t)
     gold = _gold(t, "common.dim_ia")
     return refresh_dimension(_silver_v2(silver), gold, "common.dim_ia", CDC_LO, CDC_HI, CDC_AS_OF, "cdc-1")
+
+
+AMEND_SQL = f"""s_am AS (
+  SELECT o_orderkey AS id, o_custkey AS ia_id,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'X1' ELSE {_pad('o_orderkey % 100', 2)} END AS piid_ext,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'COST_INCREASE' WHEN '2-HIGH' THEN 'EXTEND_POP'
+              WHEN '3-MEDIUM' THEN 'SCOPE_CHANGE' ELSE 'ADMIN' END AS ia_amend_action_cd,
+         CAST(o_totalprice AS DECIMAL(15,2)) AS direct_cost,
+         CASE WHEN o_orderkey % 3 = 0 THEN NULL
+              ELSE round(CAST(o_totalprice AS DECIMAL(15,2)) * CAST(0.05 AS DECIMAL(15,2)), 2) END AS charges,
+         CASE WHEN o_orderkey % 13 = 0 THEN NULL
+              ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) AS TIMESTAMP) END AS end_dt,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN CAST(CAST(o_orderdate AS DATE) + 5 AS TIMESTAMP) END AS svc_signed,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) + 10 AS TIMESTAMP) END AS req_signed,
+         o_orderdate AS created_dt
+  FROM orders),
+g_action AS (SELECT ROW_NUMBER() OVER (ORDER BY cd) AS amend_action_sk, cd
+             FROM (SELECT DISTINCT ia_amend_action_cd AS cd FROM s_am)),
+ia_agency AS (SELECT i.id AS ia_id, i.serv_agency_cd, COALESCE(ag.agency_sk, -1) AS agency_sk
+              FROM s_ia i LEFT JOIN g_agency ag ON ag.activity_address_cd = i.activity_address_cd),
+loa_per_ia AS (
+  SELECT o_custkey AS ia_id, MIN(o_orderkey % (SELECT MAX(s_suppkey) + 1 FROM supplier)) AS loa_id,
+         SUM(CAST(o_totalprice AS DECIMAL(15,2))) AS loa_change_amt FROM orders GROUP BY 1),
+d AS (SELECT *, CAST(COALESCE(direct_cost, 0) + COALESCE(charges, 0) AS DECIMAL(16,2)) AS rev FROM s_am),
+w AS (SELECT *, rev - LAG(rev) OVER (PARTITION BY ia_id ORDER BY id) AS cost_change,
+             date_diff('day', LAG(CAST(end_dt AS DATE)) OVER (PARTITION BY ia_id ORDER BY id), CAST(end_dt AS DATE)) AS pop_ext
+      FROM d),
+amend AS (
+  SELECT COALESCE(ia.ia_sk, -1) AS ia_sk, CAST(-1 AS BIGINT) AS award_sk, COALESCE(ac.amend_action_sk, -1) AS amend_action_sk,
+         COALESCE(fu.funding_sk, -1) AS funding_sk, COALESCE(lo.loa_sk, -1) AS loa_sk, COALESCE(iag.agency_sk, -1) AS agency_sk,
+         CAST(strftime(COALESCE(w.svc_signed, w.created_dt), '%Y%m%d') AS INTEGER) AS amend_date_sk,
+         w.id AS source_ia_amendment_id, TRY_CAST(w.piid_ext AS INTEGER) AS amendment_num,
+         CASE WHEN w.svc_signed IS NOT NULL AND w.req_signed IS NOT NULL THEN 'FINAL'
+              WHEN w.svc_signed IS NOT NULL THEN 'PENDING_REQUEST' ELSE 'DRAFT' END AS amendment_status_cd,
+         CAST(w.cost_change AS DECIMAL(15,2)) AS cost_change_amt, CAST(w.rev AS DECIMAL(15,2)) AS revised_total_cost_amt,
+         CAST(w.pop_ext AS INTEGER) AS pop_extension_days, w.end_dt AS revised_pop_end_dt, iag.serv_agency_cd AS servicing_aac_cd,
+         CAST(NULL AS VARCHAR) AS mod_type_cds, CAST(NULL AS BOOLEAN) AS validation_override_flag,
+         CAST(NULL AS VARCHAR) AS validation_override_reason,
+         CAST(COALESCE(lp.loa_change_amt, 0) AS DECIMAL(15,2)) AS loa_change_amt
+  FROM w
+  LEFT JOIN g_ia ia ON ia.ia_id = w.ia_id
+  LEFT JOIN g_action ac ON ac.cd = w.ia_amend_action_cd
+  LEFT JOIN g_funding fu ON fu.funding_id = w.ia_id
+  LEFT JOIN loa_per_ia lp ON lp.ia_id = w.ia_id
+  LEFT JOIN g_loa lo ON lo.loa_id = lp.loa_id
+  LEFT JOIN ia_agency iag ON iag.ia_id = w.ia_id)"""
+
+
+@query("q_iat_fact_ia_amendment", f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {AMEND_SQL} SELECT * FROM amend")
+def q_iat_fact_ia_amendment(t):
+    """IA amendment fact over amendments derived from all orders: LAG cost and period
+    deltas per IA as a rank equi-join (skew-safe), one funding and LOA per IA (D-14)."""
+    from gildhall.plans.domain import BUILDERS, build_all
+    silver = derived_silver(t)
+    gold = build_all(silver, AS_OF, order=["common.dim_agency", "common.dim_ia", "common.dim_loa", "common.dim_funding",
+                                            "iat.dim_amend_action"],
+                     materialise=lambda name, df: df.checkpoint(eager=True))
+    return BUILDERS["iat.fact_ia_amendment"](silver, gold, AS_OF)
