@@ -186,4 +186,41 @@ def derived_silver(t) -> dict[str, DataFrame]:
          .alias("request_agency_signed_dt"),
         F.col("o_orderdate").alias("created_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_lu_ia_amend_action"] = _code_table(s["aasbs_ia_amendment"], "ia_amend_action_cd")
+    # lifecycle (cat): events → chronology entries, conversations → collaborations and their comments
+    events, conv = t["events"], t["conversations"]
+    et = F.col("event_type")
+    s["aasbs_chronology"] = events.select(
+        F.col("event_id").alias("id"),
+        F.when(et == "purchase", "AWARD_MOD").when(et == "signup", "IA").when(et == "click", "FOO_IA")
+         .when(et == "view", "ACQUISITION").otherwise("MEDIA").alias("source_table_name_cd"),
+        F.col("user_id").alias("source_record_id"), (F.col("user_id") * 10 + 1).alias("event_record_id"),
+        F.upper(et).alias("event_type_cd"), F.col("ts").alias("created_dt"),
+        F.col("user_id").alias("created_by_user_id"), F.col("props").alias("entry_description"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    # the collaboration event type exists whenever there are collaborations; distinct collapses it to one row
+    codes = events.select(F.upper("event_type").alias("cd")).unionByName(
+        conv.select(F.lit("COLLABORATION").alias("cd")))
+    s["aasbs_lu_event_type"] = codes.distinct().select(
+        "cd", F.concat(F.lit("Code "), F.col("cd")).alias("description"), F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_acquisition"] = orders.select(
+        F.col("o_orderkey").alias("id"), _aac(F.col("o_custkey") % 25).alias("activity_address_cd"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    k = F.col("conv_id") % 4
+    first = conv.filter(F.col("turn") == 0)
+    s["aasbs_central_collab"] = first.select(
+        F.col("conv_id").alias("id"),
+        F.when(k == 0, "IA").when(k == 1, "AWARD_MOD").when(k == 2, "X_IA").otherwise("MEDIA").alias("table_name_cd"),
+        F.when(k == 1, F.col("conv_id") * 10 + 1).otherwise(F.col("conv_id")).alias("table_record_id"),
+        F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("conv_id") % 365).cast("int")).cast("timestamp_ntz")
+         .alias("created_dt"),
+        F.col("conv_id").alias("created_by_user_id"), F.col("role").alias("subject"), F.lit("REVIEW").alias("collab_type_cd"),
+        F.when(F.col("conv_id") % 2 == 0, "OPEN").otherwise("CLOSED").alias("collab_status_cd"),
+        F.lit(None).cast("timestamp_ntz").alias("due_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_central_collab_acq"] = conv.filter(F.col("turn").isin(1, 2)).select(
+        F.col("conv_id").alias("central_collab_id"), (F.col("conv_id") * 3 + F.col("turn") - 1).alias("acquisition_id"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_central_comment"] = conv.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit("CENTRAL_COLLAB").alias("table_name_cd"),
+        F.col("conv_id").alias("table_record_id"), F.col("role").alias("comment_type_cd"),
+        F.col("text").alias("comment_text"), F.lit(None).cast("boolean").alias("is_deleted"))
     return s

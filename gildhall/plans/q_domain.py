@@ -307,3 +307,88 @@ def q_iat_fact_ia_amendment(t):
                                             "iat.dim_amend_action"],
                      materialise=lambda name, df: df.checkpoint(eager=True))
     return BUILDERS["iat.fact_ia_amendment"](silver, gold, AS_OF)
+
+
+def _entity_sql(code: str) -> str:
+    u = f"upper({code})"
+    return (f"CASE WHEN {u} LIKE '%AWARD%' THEN 'AWARD' WHEN {u} = 'IA' OR {u} LIKE '%\\_IA' ESCAPE '\\' THEN 'IA' "
+            f"WHEN {u} LIKE '%ACQUISITION%' THEN 'ACQUISITION' WHEN {u} LIKE '%SOLICIT%' THEN 'SOLICITATION' "
+            f"WHEN {u} LIKE '%FUNDING%' THEN 'FUNDING' ELSE 'COLLAB' END")
+
+
+def _is_ia_sql(code: str) -> str:
+    u = f"upper({code})"
+    return f"({u} = 'IA' OR {u} LIKE '%\\_IA' ESCAPE '\\')"
+
+
+LIFECYCLE_SQL = f"""ev_type AS (SELECT ROW_NUMBER() OVER (ORDER BY cd) AS event_type_sk, cd FROM (
+    SELECT DISTINCT upper(event_type) AS cd FROM events UNION SELECT 'COLLABORATION' FROM conversations)),
+ent AS (SELECT * FROM (VALUES ('ACQUISITION', 1), ('AWARD', 2), ('COLLAB', 3), ('FUNDING', 4), ('IA', 5),
+                              ('SOLICITATION', 6)) v(entity_type_cd, entity_type_sk)),
+award_by_mod AS (SELECT o_orderkey * 10 + k AS award_mod_id, aw.award_sk
+                 FROM orders, (VALUES (0), (1)) m(k), g_award aw WHERE aw.award_id = o_orderkey),
+acq AS (SELECT o_orderkey AS acquisition_id, COALESCE(ag.agency_sk, -1) AS agency_sk FROM orders
+        LEFT JOIN g_agency ag ON ag.activity_address_cd = 'AAC' || {_pad('o_custkey % 25', 3)}),
+chron AS (SELECT event_id AS id,
+            CASE event_type WHEN 'purchase' THEN 'AWARD_MOD' WHEN 'signup' THEN 'IA' WHEN 'click' THEN 'FOO_IA'
+                 WHEN 'view' THEN 'ACQUISITION' ELSE 'MEDIA' END AS code,
+            user_id AS source_record_id, user_id * 10 + 1 AS event_record_id, upper(event_type) AS event_type_cd,
+            ts AS created_dt, user_id AS created_by_user_id, props AS entry_description FROM events),
+chron_rows AS (
+  SELECT COALESCE(et.event_type_sk, -1) AS event_type_sk, COALESCE(en.entity_type_sk, -1) AS entity_type_sk,
+         COALESCE(am.award_sk, -1) AS award_sk, COALESCE(ia.ia_sk, -1) AS ia_sk, COALESCE(a.agency_sk, -1) AS agency_sk,
+         CAST(strftime(c.created_dt, '%Y%m%d') AS INTEGER) AS event_date_sk, c.source_record_id AS source_entity_id,
+         c.id AS source_chronology_id, CAST(NULL AS BIGINT) AS source_collab_id, c.created_dt AS event_timestamp,
+         c.created_by_user_id AS event_user_id, c.entry_description AS event_description,
+         CAST(NULL AS VARCHAR) AS collab_type_cd, CAST(NULL AS VARCHAR) AS collab_status_cd,
+         CAST(NULL AS TIMESTAMP) AS collab_due_dt, CAST(NULL AS VARCHAR) AS comment_type_cd,
+         CAST(NULL AS VARCHAR) AS comment_text, CAST(NULL AS VARCHAR) AS email_status_cd
+  FROM chron c
+  LEFT JOIN ev_type et ON et.cd = c.event_type_cd
+  LEFT JOIN ent en ON en.entity_type_cd = {_entity_sql('c.code')}
+  LEFT JOIN award_by_mod am ON upper(c.code) LIKE '%AWARD%' AND am.award_mod_id = c.event_record_id
+  LEFT JOIN g_ia ia ON {_is_ia_sql('c.code')} AND ia.ia_id = c.source_record_id
+  LEFT JOIN acq a ON upper(c.code) LIKE '%ACQUISITION%' AND a.acquisition_id = c.source_record_id),
+collab AS (SELECT conv_id AS id,
+             CASE conv_id % 4 WHEN 0 THEN 'IA' WHEN 1 THEN 'AWARD_MOD' WHEN 2 THEN 'X_IA' ELSE 'MEDIA' END AS code,
+             CASE WHEN conv_id % 4 = 1 THEN conv_id * 10 + 1 ELSE conv_id END AS table_record_id,
+             CAST(DATE '2024-01-01' + CAST(conv_id % 365 AS INTEGER) AS TIMESTAMP) AS created_dt,
+             conv_id AS created_by_user_id, role AS subject,
+             CASE WHEN conv_id % 2 = 0 THEN 'OPEN' ELSE 'CLOSED' END AS collab_status_cd
+           FROM conversations WHERE turn = 0),
+collab_acq AS (SELECT conv_id AS id, MIN(conv_id * 3 + turn - 1) AS acquisition_id FROM conversations
+               WHERE turn IN (1, 2) GROUP BY 1),
+last_comment AS (SELECT conv_id AS id, role AS comment_type_cd, text AS comment_text FROM (
+                   SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY conv_id * 1000 + turn DESC) AS rn
+                   FROM conversations) WHERE rn = 1),
+collab_rows AS (
+  SELECT COALESCE((SELECT event_type_sk FROM ev_type WHERE cd = 'COLLABORATION'), -1) AS event_type_sk,
+         COALESCE(en.entity_type_sk, -1) AS entity_type_sk, COALESCE(am.award_sk, -1) AS award_sk,
+         COALESCE(ia.ia_sk, -1) AS ia_sk, COALESCE(a.agency_sk, -1) AS agency_sk,
+         CAST(strftime(c.created_dt, '%Y%m%d') AS INTEGER) AS event_date_sk, c.table_record_id AS source_entity_id,
+         CAST(NULL AS BIGINT) AS source_chronology_id, c.id AS source_collab_id, c.created_dt AS event_timestamp,
+         c.created_by_user_id AS event_user_id, c.subject AS event_description, 'REVIEW' AS collab_type_cd,
+         c.collab_status_cd, CAST(NULL AS TIMESTAMP) AS collab_due_dt, lc.comment_type_cd, lc.comment_text,
+         CAST(NULL AS VARCHAR) AS email_status_cd
+  FROM collab c
+  LEFT JOIN ent en ON en.entity_type_cd = {_entity_sql('c.code')}
+  LEFT JOIN award_by_mod am ON upper(c.code) LIKE '%AWARD%' AND am.award_mod_id = c.table_record_id
+  LEFT JOIN g_ia ia ON {_is_ia_sql('c.code')} AND ia.ia_id = c.table_record_id
+  LEFT JOIN collab_acq ca ON ca.id = c.id
+  LEFT JOIN acq a ON a.acquisition_id = ca.acquisition_id
+  LEFT JOIN last_comment lc ON lc.id = c.id)"""
+
+
+@query("q_cat_fact_lifecycle_event", f"""WITH {SILVER_DIM_SQL}, {FACT_SQL}, {LIFECYCLE_SQL}
+SELECT * FROM chron_rows UNION ALL SELECT * FROM collab_rows""")
+def q_cat_fact_lifecycle_event(t):
+    """Lifecycle event fact over all events (chronology) and conversations (collaborations,
+    whole comment texts): polymorphic references with the escaped IA pattern (D-28), the
+    COLLABORATION event type as a constant lookup (scalar subquery), latest comment per
+    collaboration, both branches in one shape."""
+    from gildhall.plans.domain import BUILDERS, build_all
+    silver = derived_silver(t)
+    gold = build_all(silver, AS_OF, order=["common.dim_agency", "common.dim_ia", "common.dim_award",
+                                            "cat.dim_event_type", "wpr.dim_entity_type"],
+                     materialise=lambda name, df: df.checkpoint(eager=True))
+    return BUILDERS["cat.fact_lifecycle_event"](silver, gold, AS_OF)
