@@ -6,15 +6,27 @@ and applies every micro-batch with the batch operators:
 
 1. ``keep_one`` per natural key, latest ``order_col`` first (the batch may
    hold several versions of a key);
-2. ``scd2_apply`` against the dimension's current rows;
-3. current rows → new version of ``<dim>/current`` (pointer swap);
-   closed rows → ``<dim>/history`` partitioned by ``_epoch`` with dynamic
-   partition overwrite.
+2. ``scd2_apply`` against the dimension's current rows, written once as
+   ``<dim>/_staged/epoch=N`` (a table in the dimension's shared folder, which
+   also cuts the lineage);
+3. closed rows → ``<dim>/history`` partitioned by ``_epoch`` with dynamic
+   partition overwrite, *then* current rows → ``<dim>/current``.
+
+Two layouts of ``current``:
+
+* plain (``buckets=None``): the whole next state is a new version folder
+  and the pointer is swapped; fine for small dimensions;
+* bucketed (``buckets=n``): ``current`` is partitioned by
+  ``_bucket = pmod(xxhash64(key), n)``; only the changed keys are classified
+  (``changes_only``) and only their buckets are read (partition filter on
+  the touched bucket ids) and rewritten (dynamic partition overwrite). A
+  refresh then costs the change set, not the dimension.
 
 The stream checkpoint replaces the audit watermark: each file is processed
-once. If an epoch is replayed after a failure, its history partition is
-rewritten, not duplicated, and ``scd2_apply`` of a batch already applied
-classifies every row as unchanged, so a replay is a no-op.
+once. A replayed epoch (failure after some writes) reuses its staged result
+instead of re-classifying against a half-updated state, and every write is
+an overwrite of the same partitions with the same rows, so a replay yields
+the same dimension and the same history.
 """
 
 from __future__ import annotations
@@ -26,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gildhall.operators.dedup import keep_one
-from gildhall.operators.scd import scd2_apply, scd2_initial
+from gildhall.operators.scd import key_bucket, scd2_apply, scd2_initial
 from gildhall.session import checkpoint_dir
 from gildhall.sources.sinks import _exists, read_table, write
 
@@ -43,32 +55,72 @@ def history_path(dim_path: str) -> str:
     return _join(dim_path, "history")
 
 
-def initial_load(df: DataFrame, dim_path: str, as_of: str) -> str:
+def initial_load(df: DataFrame, dim_path: str, as_of: str, key: Sequence[str] | None = None,
+                 buckets: int | None = None) -> str:
     """Seed the dimension: every row current from ``as_of`` (SCD-2f)."""
-    return write(scd2_initial(df, as_of), current_path(dim_path), "overwrite")
+    rows = scd2_initial(df, as_of)
+    if buckets:
+        return write(rows.withColumn("_bucket", key_bucket(key, buckets)), current_path(dim_path),
+                     "append_snapshot", snapshot_col="_bucket")
+    return write(rows, current_path(dim_path), "overwrite")
+
+
+def _read_current(spark: SparkSession, dim_path: str, buckets: int | None) -> DataFrame:
+    if buckets:
+        return spark.read.parquet(current_path(dim_path))
+    return read_table(spark, current_path(dim_path))
+
+
+def _staged(spark: SparkSession, dim_path: str, epoch_id: int, compute) -> DataFrame:
+    """The epoch's classified rows, computed once and kept as a table."""
+    path = _join(dim_path, f"_staged/epoch={epoch_id}")
+    if not _exists(spark, _join(path, "_SUCCESS")):
+        compute().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, dim_path: str, key: Sequence[str],
-                order_col: str, tracked: Sequence[str], inplace: Sequence[str]) -> None:
+                order_col: str, tracked: Sequence[str], inplace: Sequence[str],
+                buckets: int | None = None) -> None:
     """Apply one micro-batch of changed rows to the dimension."""
     if batch.isEmpty():
         return
-    latest = keep_one(batch, key, [F.col(order_col).desc()] + [F.col(c).desc_nulls_last() for c in batch.columns
-                                                               if c not in key and c != order_col])
-    as_of = latest.select(F.max(order_col).cast("string")).first()[0]   # one scalar per batch
-    incoming = latest.drop(order_col)
-    current = read_table(spark, current_path(dim_path))
-    applied = scd2_apply(current, incoming, key, tracked, inplace, as_of, batch_id=f"epoch-{epoch_id}")
-    # materialise once in the shared checkpoint folder: both outputs read it
-    applied = applied.checkpoint(eager=True)
-    write(applied.filter(F.col("is_current_flag")).drop("_action"), current_path(dim_path), "overwrite")
+
+    def classify() -> DataFrame:
+        latest = keep_one(batch, key, [F.col(order_col).desc()] + [F.col(c).desc_nulls_last() for c in batch.columns
+                                                                   if c not in key and c != order_col])
+        as_of = latest.select(F.max(order_col).cast("string")).first()[0]   # one scalar per batch
+        current = _read_current(spark, dim_path, buckets)
+        if buckets:
+            current = current.drop("_bucket")
+        return scd2_apply(current, latest.drop(order_col), key, tracked, inplace, as_of,
+                          batch_id=f"epoch-{epoch_id}", changes_only=bool(buckets))
+
+    applied = _staged(spark, dim_path, epoch_id, classify)
     closed = applied.filter(~F.col("is_current_flag")).drop("_action").withColumn("_epoch", F.lit(epoch_id))
     write(closed, history_path(dim_path), "append_snapshot", snapshot_col="_epoch")
+    now_current = applied.filter(F.col("is_current_flag")).drop("_action")
+    if not buckets:
+        write(now_current, current_path(dim_path), "overwrite")
+        return
+    changed = now_current.withColumn("_bucket", key_bucket(key, buckets))
+    # at most ``buckets`` small ints (a bound the caller sets): a static
+    # partition filter, so the scan lists and reads only those buckets
+    touched = [r[0] for r in changed.select("_bucket").distinct().collect()]
+    if not touched:
+        return
+    stored = _read_current(spark, dim_path, buckets).filter(F.col("_bucket").isin(touched))
+    untouched = stored.join(changed.select(*key), list(key), "left_anti")
+    # the rewrite reads the buckets it overwrites: materialise it first
+    checkpoint_dir(spark)
+    rewrite = untouched.unionByName(changed.select(*untouched.columns)).checkpoint(eager=True)
+    write(rewrite, current_path(dim_path), "append_snapshot", snapshot_col="_bucket")
 
 
 def refresh_dimension(spark: SparkSession, source_dir: str, schema: T.StructType | str, dim_path: str,
                       key: Sequence[str], order_col: str, tracked: Sequence[str], inplace: Sequence[str],
-                      name: str = "dim", fmt: str = "parquet", checkpoint: str | None = None) -> int:
+                      name: str = "dim", fmt: str = "parquet", checkpoint: str | None = None,
+                      buckets: int | None = None) -> int:
     """Process every file not yet seen under ``source_dir`` and stop.
 
     Returns the number of micro-batches run. The stream checkpoint lives
@@ -79,7 +131,7 @@ def refresh_dimension(spark: SparkSession, source_dir: str, schema: T.StructType
     epochs: list[int] = []
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        apply_batch(spark, batch, epoch_id, dim_path, key, order_col, tracked, inplace)
+        apply_batch(spark, batch, epoch_id, dim_path, key, order_col, tracked, inplace, buckets)
         epochs.append(epoch_id)
 
     q = (stream.writeStream.foreachBatch(handle)
@@ -90,9 +142,11 @@ def refresh_dimension(spark: SparkSession, source_dir: str, schema: T.StructType
     return len(epochs)
 
 
-def dimension_history(spark: SparkSession, dim_path: str) -> DataFrame:
+def dimension_history(spark: SparkSession, dim_path: str, buckets: int | None = None) -> DataFrame:
     """Current rows plus closed history as one frame."""
-    cur = read_table(spark, current_path(dim_path))
+    cur = _read_current(spark, dim_path, buckets)
+    if buckets:
+        cur = cur.drop("_bucket")
     hp = history_path(dim_path)
     if not _exists(spark, hp):
         return cur

@@ -203,6 +203,9 @@ def test_cdc_refresh_dimension_and_fact(spark, gold):
     rows = sorted((r.ia_id, r._action, r.ia_status_cd, r.ia_sk, r.is_current_flag) for r in out.collect())
     assert rows == [(10, "closed", "A", 1, False), (10, "inserted", "C", 3, True), (11, "kept", "Z", 2, True)]
     assert Q.scd2_invariants(out, ["ia_id"]).count() == 0
+    delta = refresh_dimension(silver, gold, "common.dim_ia", "2022-02-01", "2022-03-01", "2022-03-01", "cdc-1",
+                              changes_only=True)
+    assert sorted((r.ia_id, r._action, r.ia_sk) for r in delta.collect()) == [(10, "closed", 1), (10, "inserted", 3)]
 
     g = silver["aasbs_acceptance_item"]
     silver["aasbs_acceptance_item"] = g.unionByName(spark.createDataFrame(
