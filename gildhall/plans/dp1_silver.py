@@ -128,7 +128,12 @@ def derived_silver(t) -> dict[str, DataFrame]:
         F.min("l_partkey").alias("_part"), F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("_total"),
         F.min("l_shipdate").alias("_start"), F.max("l_shipdate").alias("_end"), F.min("l_linestatus").alias("_status"))
     li_id = F.col("l_orderkey") * 100 + F.col("l_linenumber")
-    s["aasbs_line_item"] = lines.select(
+    # the order gives each line its IA (the order's customer); every 50th order's lines share a
+    # service charge; third lines carry a travel plan
+    lines_o = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    s["aasbs_line_item"] = lines_o.select(
+        F.col("o_custkey").alias("parent_ia_id"), (F.col("l_orderkey") % 50).alias("service_charge_id"),
+        F.when(F.col("l_linenumber") == 3, li_id).alias("li_sc_travel_id"),
         li_id.alias("id"), F.concat(_pad("l_linenumber", 4), F.lit("AA")).alias("line_item_num"),
         (F.col("l_orderkey") * 10 + 1).alias("parent_award_mod_id"), F.year("_start").alias("line_item_fy"),
         F.col("_part").alias("li_deliverable_id"), F.col("_status").alias("line_item_type_cd"),
@@ -158,7 +163,27 @@ def derived_silver(t) -> dict[str, DataFrame]:
     s["aasbs_invoice_item"] = lineitem.filter(F.col("l_returnflag") == "A").select(
         lia.alias("id"), lia.alias("cost_line_item_accepted_id"), F.col("l_orderkey").alias("invoice_id"),
         dmul("l_extendedprice", F.lit(1) - F.col("l_discount")).alias("invoice_item_amt"),
+        # service dates: shipped, then three days per line number
+        F.col("l_shipdate").alias("invoice_item_begin_dt"),
+        F.date_add(F.to_date("l_shipdate"), (F.col("l_linenumber") * 3).cast("int")).cast("timestamp_ntz")
+         .alias("invoice_item_end_dt"),
         F.lit(None).cast("boolean").alias("is_deleted"))
+    # service charge schedules (psc): two periods per line from its order date, days 0-60 and 61-180;
+    # the second has no start on every ninth order, no amount on every seventh line, and some are deleted
+    od = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    day = F.to_date("o_orderdate")
+    first_period = od.select(
+        (lia * 10 + 1).alias("id"), lia.alias("line_item_id"), day.cast("timestamp_ntz").alias("service_start_dt"),
+        F.date_add(day, 60).cast("timestamp_ntz").alias("service_end_dt"),
+        dmul("_total", F.lit(0.5)).alias("scheduled_amt"),
+        F.col("_status").alias("sc_schedule_status_cd"), F.lit(None).cast("boolean").alias("is_deleted"))
+    second_period = od.select(
+        (lia * 10 + 2).alias("id"), lia.alias("line_item_id"),
+        F.when(F.col("l_orderkey") % 9 != 0, F.date_add(day, 61).cast("timestamp_ntz")).alias("service_start_dt"),
+        F.date_add(day, 180).cast("timestamp_ntz").alias("service_end_dt"),
+        F.when(lia % 7 != 0, dmul("_total", F.lit(0.25))).alias("scheduled_amt"),
+        F.col("_status").alias("sc_schedule_status_cd"), (lia % 41 == 0).alias("is_deleted"))
+    s["aasbs_service_charge_schedule"] = first_period.unionByName(second_period)
     s["aasbs_acceptance_item"] = lineitem.filter(F.col("l_linestatus") == "F").select(
         F.col("l_orderkey").alias("acceptance_id"), lia.alias("line_item_accepted_id"),
         dmul("l_extendedprice", F.lit(0.9)).alias("item_gsa_approved_amt"), F.lit(None).cast("boolean").alias("is_deleted"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from gildhall.plans.dp1_silver import derived_silver
 from gildhall.plans.registry import query
-from gildhall.plans.standins import AS_OF, LEDGER_SQL
+from gildhall.plans.standins import AS_OF, DMUL, LEDGER_SQL
 
 LIVE = "(is_deleted IS NULL OR is_deleted = FALSE)"
 
@@ -392,3 +392,87 @@ def q_cat_fact_lifecycle_event(t):
                                             "cat.dim_event_type", "wpr.dim_entity_type"],
                      materialise=lambda name, df: df.checkpoint(eager=True))
     return BUILDERS["cat.fact_lifecycle_event"](silver, gold, AS_OF)
+
+
+BILLING_SQL = f"""s_lines AS (SELECT l_orderkey, l_orderkey * 100 + l_linenumber AS lia,
+                   SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS total FROM lineitem GROUP BY l_orderkey, l_linenumber),
+s_od AS (SELECT l.*, CAST(o.o_orderdate AS DATE) AS od FROM s_lines l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+s_scs AS (
+  SELECT lia * 10 + 1 AS id, lia AS line_item_id, CAST(od AS TIMESTAMP) AS service_start_dt,
+         CAST(od + 60 AS TIMESTAMP) AS service_end_dt, {DMUL("total", "0.5")} AS scheduled_amt,
+         CAST(NULL AS BOOLEAN) AS is_deleted FROM s_od
+  UNION ALL
+  SELECT lia * 10 + 2, lia, CASE WHEN l_orderkey % 9 <> 0 THEN CAST(od + 61 AS TIMESTAMP) END,
+         CAST(od + 180 AS TIMESTAMP), CASE WHEN lia % 7 <> 0 THEN {DMUL("total", "0.25")} END,
+         lia % 41 = 0 FROM s_od),
+s_inv_item AS (SELECT l_orderkey * 100 + l_linenumber AS lia, {DMUL("l_extendedprice", "1 - l_discount")} AS amt,
+               l_shipdate AS begin_dt, CAST(CAST(l_shipdate AS DATE) + l_linenumber * 3 AS TIMESTAMP) AS end_dt
+               FROM lineitem WHERE l_returnflag = 'A'),
+scs_live AS (SELECT * FROM s_scs WHERE {LIVE}),
+sched_inv AS (SELECT p.id AS schedule_id, SUM(COALESCE(i.amt, 0)) AS inv
+              FROM scs_live p JOIN s_inv_item i ON i.lia = p.line_item_id
+               AND p.service_start_dt <= i.begin_dt AND i.end_dt <= p.service_end_dt
+              WHERE p.service_start_dt IS NOT NULL AND p.service_end_dt IS NOT NULL GROUP BY 1),
+billing AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY p.id) AS billing_period_sk, p.id AS schedule_id,
+         CASE WHEN p.service_start_dt IS NOT NULL THEN CAST(year(p.service_start_dt) AS VARCHAR) || '-M'
+              || lpad(CAST(month(p.service_start_dt) AS VARCHAR), 2, '0') END AS billing_period_label,
+         CAST(p.service_start_dt AS DATE) AS period_start_dt, CAST(p.service_end_dt AS DATE) AS period_end_dt,
+         CAST(COALESCE(p.scheduled_amt, 0) AS DECIMAL(15,2)) AS scheduled_amt,
+         CAST(COALESCE(si.inv, 0) AS DECIMAL(15,2)) AS invoiced_amt,
+         CASE WHEN COALESCE(p.scheduled_amt, 0) <> 0 THEN CAST(round((COALESCE(si.inv, 0) - p.scheduled_amt)
+              / p.scheduled_amt, 4) AS DECIMAL(7,4)) END AS variance_pct
+  FROM scs_live p LEFT JOIN sched_inv si ON si.schedule_id = p.id)"""
+
+
+@query("q_psc_dim_billing_period", f"WITH {BILLING_SQL} SELECT * FROM billing")
+def q_psc_dim_billing_period(t):
+    """Billing periods over every derived schedule: invoice items matched to the periods that
+    contain their service dates (one equi + range join), variance against the schedule."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["psc.dim_billing_period"])["psc.dim_billing_period"]
+
+
+SCS_FACT_SQL = f"""s_li AS (SELECT l.l_orderkey * 100 + l.l_linenumber AS line_item_id, o.o_custkey AS parent_ia_id,
+                l.l_orderkey % 50 AS service_charge_id, l.l_orderkey AS award_id, l.l_linenumber = 3 AS is_travel,
+                MIN(l.l_linestatus) AS status
+                FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+                GROUP BY l.l_orderkey, l.l_linenumber, o.o_custkey),
+per_schedule AS (
+  SELECT p.id AS schedule_id, SUM(COALESCE(i.amt, 0)) AS inv,
+         COUNT(CASE WHEN COALESCE(li.is_travel, FALSE) THEN i.lia END) AS tv_n,
+         SUM(CASE WHEN COALESCE(li.is_travel, FALSE) THEN COALESCE(i.amt, 0) END) AS tv_amt
+  FROM scs_live p JOIN s_inv_item i ON i.lia = p.line_item_id
+   AND p.service_start_dt <= i.begin_dt AND i.end_dt <= p.service_end_dt
+  LEFT JOIN s_li li ON li.line_item_id = p.line_item_id
+  WHERE p.service_start_dt IS NOT NULL AND p.service_end_dt IS NOT NULL GROUP BY 1),
+scs_fact AS (
+  SELECT COALESCE(gl.line_item_sk, -1) AS line_item_sk, b.billing_period_sk, COALESCE(ga.award_sk, -1) AS award_sk,
+         COALESCE(gi.ia_sk, -1) AS ia_sk, li.service_charge_id AS source_service_charge_id,
+         li.status AS schedule_status_cd, CAST(COALESCE(p.scheduled_amt, 0) AS DECIMAL(15,2)) AS scheduled_amt,
+         CAST(COALESCE(ps.inv, 0) AS DECIMAL(15,2)) AS invoiced_amt,
+         CAST(COALESCE(ps.inv, 0) AS DECIMAL(15,2)) AS accepted_amt,
+         CASE WHEN COALESCE(p.scheduled_amt, 0) = 0 THEN NULL
+              ELSE CAST(abs(COALESCE(ps.inv, 0) - p.scheduled_amt) AS DOUBLE)
+                   <= abs(CAST(p.scheduled_amt AS DOUBLE)) * CAST(0.1 AS DOUBLE) END AS on_schedule_flag,
+         CAST(COALESCE(ps.tv_n, 0) AS INTEGER) AS travel_voucher_count,
+         CAST(COALESCE(ps.tv_amt, 0) AS DECIMAL(15,2)) AS travel_voucher_amt
+  FROM scs_live p
+  LEFT JOIN s_li li ON li.line_item_id = p.line_item_id
+  LEFT JOIN per_schedule ps ON ps.schedule_id = p.id
+  LEFT JOIN g_line_item gl ON gl.line_item_id = p.line_item_id
+  LEFT JOIN billing b ON b.schedule_id = p.id
+  LEFT JOIN g_award ga ON ga.award_id = li.award_id
+  LEFT JOIN g_ia gi ON gi.ia_id = li.parent_ia_id)"""
+
+
+@query("q_psc_fact_service_charge_schedule",
+       f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {BILLING_SQL}, {SCS_FACT_SQL} SELECT * FROM scs_fact")
+def q_psc_fact_service_charge_schedule(t):
+    """Service charge schedule fact: one row per live schedule, invoice and travel measures from
+    one containment join, four key resolutions, the +/-10 % on-schedule flag."""
+    from gildhall.plans.domain import DP1_ORDER, build_all
+    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
+        "psc.dim_billing_period", "psc.fact_service_charge_schedule"]
+    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+    return gold["psc.fact_service_charge_schedule"]
