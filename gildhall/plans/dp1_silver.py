@@ -133,13 +133,41 @@ def derived_silver(t) -> dict[str, DataFrame]:
     lines_o = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     s["aasbs_line_item"] = lines_o.select(
         F.col("o_custkey").alias("parent_ia_id"), (F.col("l_orderkey") % 50).alias("service_charge_id"),
+        F.when(F.col("l_linenumber") == 1, li_id).alias("li_sc_labor_id"),
+        F.when(F.col("l_linenumber") == 2, li_id).alias("li_sc_fixed_fee_id"),
         F.when(F.col("l_linenumber") == 3, li_id).alias("li_sc_travel_id"),
+        F.when(F.col("l_linenumber") == 4, li_id).alias("li_award_fee_id"),
         li_id.alias("id"), F.concat(_pad("l_linenumber", 4), F.lit("AA")).alias("line_item_num"),
         (F.col("l_orderkey") * 10 + 1).alias("parent_award_mod_id"), F.year("_start").alias("line_item_fy"),
         F.col("_part").alias("li_deliverable_id"), F.col("_status").alias("line_item_type_cd"),
         F.col("_start").alias("line_item_start_dt"), F.col("_end").alias("line_item_end_dt"),
         F.col("_total").cast("decimal(15,2)").alias("line_item_total_amt"),
         F.concat(F.lit("T"), li_id.cast("string")).alias("li_tracking_num"), F.lit(None).cast("boolean").alias("is_deleted"))
+    # CLIN subtypes (psc): labour on first lines, fixed fee on second, travel on third, award fee on
+    # fourth; service charges are the order key classes of the lines
+    ok = F.col("l_orderkey")
+    rate = F.when(ok % 3 == 0, "ACT").when(ok % 3 == 1, "EST").otherwise("FIXED")
+    s["aasbs_li_sc_labor"] = lines.filter(F.col("l_linenumber") == 1).select(
+        li_id.alias("id"), dmul("_total", F.lit(0.6)).alias("planned_amt"), rate.alias("cost_rate_type_cd"),
+        F.concat(F.lit("PH"), (ok % 4).cast("string")).alias("proc_phase_cd"),
+        F.concat(F.lit("PRJ"), (ok % 100).cast("string")).alias("project_num"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_li_sc_fixed_fee"] = lines.filter(F.col("l_linenumber") == 2).select(
+        li_id.alias("id"), F.when(li_id % 5 != 0, dmul("_total", F.lit(0.3))).alias("planned_amt"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_li_sc_travel"] = lines.filter(F.col("l_linenumber") == 3).select(
+        li_id.alias("id"), dmul("_total", F.lit(0.1)).alias("planned_amt"), (li_id % 13 == 0).alias("is_deleted"))
+    s["aasbs_li_award_fee"] = lines.filter(F.col("l_linenumber") == 4).select(
+        li_id.alias("id"), F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_lu_cost_rate_type"] = _code_table(s["aasbs_li_sc_labor"].filter(F.col("cost_rate_type_cd") != "FIXED"),
+                                               "cost_rate_type_cd")
+    s["aasbs_lu_proc_phase"] = _code_table(s["aasbs_li_sc_labor"].filter(F.col("proc_phase_cd") != "PH3"),
+                                           "proc_phase_cd")
+    sc_id = F.col("o_orderkey") % 50
+    s["aasbs_service_charge"] = orders.select(sc_id.alias("id")).distinct().select(
+        "id", F.concat(F.lit("ACT"), F.col("id").cast("string")).alias("act_number"),
+        F.when(F.col("id") % 4 == 0, "Y").when(F.col("id") % 4 == 1, "n").alias("is_credit_yn"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_line_item_accepted"] = lines.select(
         li_id.alias("id"), li_id.alias("line_item_id"), F.year("_end").alias("budget_fy"),
         F.when(F.col("l_linenumber") % 2 == 0, "Y").otherwise("N").alias("exercise_this_yn"),

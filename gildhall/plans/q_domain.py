@@ -476,3 +476,98 @@ def q_psc_fact_service_charge_schedule(t):
         "psc.dim_billing_period", "psc.fact_service_charge_schedule"]
     gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
     return gold["psc.fact_service_charge_schedule"]
+
+
+CLIN_SQL = f"""s_lines2 AS (SELECT l_orderkey, l_linenumber, l_orderkey * 100 + l_linenumber AS lia,
+                    SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS total, MIN(l_partkey) AS part
+                    FROM lineitem GROUP BY l_orderkey, l_linenumber),
+s_labor AS (SELECT lia AS id, {DMUL("total", "0.6")} AS planned_amt,
+                   CASE l_orderkey % 3 WHEN 0 THEN 'ACT' WHEN 1 THEN 'EST' ELSE 'FIXED' END AS cost_rate_type_cd,
+                   'PH' || CAST(l_orderkey % 4 AS VARCHAR) AS proc_phase_cd,
+                   'PRJ' || CAST(l_orderkey % 100 AS VARCHAR) AS project_num
+            FROM s_lines2 WHERE l_linenumber = 1),
+s_ff AS (SELECT lia AS id, CASE WHEN lia % 5 <> 0 THEN {DMUL("total", "0.3")} END AS planned_amt
+         FROM s_lines2 WHERE l_linenumber = 2),
+s_tr AS (SELECT lia AS id, {DMUL("total", "0.1")} AS planned_amt FROM s_lines2 WHERE l_linenumber = 3 AND lia % 13 <> 0),
+s_af AS (SELECT lia AS id FROM s_lines2 WHERE l_linenumber = 4),
+s_sc AS (SELECT DISTINCT o_orderkey % 50 AS id FROM orders),
+sub_rows AS (
+  SELECT l.lia AS line_item_id, 'DELIVERABLE' AS clin_subtype_cd, CAST(NULL AS VARCHAR) AS proc_phase_cd,
+         CAST(NULL AS VARCHAR) AS project_num, p.p_brand AS psc_cd, p.p_type AS contract_type_cd, l.l_orderkey
+  FROM s_lines2 l JOIN part p ON p.p_partkey = l.part
+  UNION ALL SELECT l.lia, 'SC_LABOR', b.proc_phase_cd, b.project_num, NULL, NULL, l.l_orderkey
+  FROM s_lines2 l JOIN s_labor b ON b.id = l.lia WHERE l.l_linenumber = 1
+  UNION ALL SELECT l.lia, 'SC_FIXED_FEE', NULL, NULL, NULL, NULL, l.l_orderkey
+  FROM s_lines2 l JOIN s_ff b ON b.id = l.lia WHERE l.l_linenumber = 2
+  UNION ALL SELECT l.lia, 'SC_TRAVEL', NULL, NULL, NULL, NULL, l.l_orderkey
+  FROM s_lines2 l JOIN s_tr b ON b.id = l.lia WHERE l.l_linenumber = 3
+  UNION ALL SELECT l.lia, 'AWARD_FEE', NULL, NULL, NULL, NULL, l.l_orderkey
+  FROM s_lines2 l JOIN s_af b ON b.id = l.lia WHERE l.l_linenumber = 4),
+clin_subtype AS (
+  SELECT r.line_item_id, r.clin_subtype_cd, r.proc_phase_cd,
+         CASE WHEN r.proc_phase_cd IS NULL THEN NULL WHEN r.proc_phase_cd = 'PH3' THEN 'PH3'
+              ELSE 'Code ' || r.proc_phase_cd END AS proc_phase_desc,
+         r.project_num,
+         CASE WHEN r.clin_subtype_cd IN ('SC_LABOR', 'SC_FIXED_FEE', 'SC_TRAVEL') THEN
+              CASE WHEN (r.l_orderkey % 50) % 4 = 0 THEN TRUE WHEN (r.l_orderkey % 50) % 4 = 1 THEN FALSE
+                   ELSE FALSE END END AS is_credit_flag,
+         CASE WHEN r.clin_subtype_cd IN ('SC_LABOR', 'SC_FIXED_FEE', 'SC_TRAVEL')
+              THEN 'ACT' || CAST(r.l_orderkey % 50 AS VARCHAR) END AS act_num,
+         CAST(NULL AS VARCHAR) AS severability_type_cd, r.psc_cd, r.contract_type_cd,
+         ROW_NUMBER() OVER (ORDER BY r.line_item_id, r.clin_subtype_cd) AS clin_subtype_sk
+  FROM sub_rows r),
+cost_rate AS (SELECT ROW_NUMBER() OVER (ORDER BY cd) AS cost_rate_type_sk, cd
+              FROM (SELECT DISTINCT cost_rate_type_cd AS cd FROM s_labor WHERE cost_rate_type_cd <> 'FIXED') x),
+burn AS (
+  SELECT line_item_id, loa_id,
+         ROW_NUMBER() OVER (PARTITION BY line_item_id ORDER BY first_ll, loa_id) AS loa_burn_order
+  FROM (SELECT line_item_accepted_id AS line_item_id, loa_id, MIN(id) AS first_ll FROM s_ledger
+        WHERE {LIVE} GROUP BY 1, 2) x),
+actual AS (SELECT lia AS line_item_id, SUM(COALESCE(amt, 0)) AS actual_amt FROM s_inv_item GROUP BY 1),
+clin_fact AS (
+  SELECT COALESCE(gl.line_item_sk, -1) AS line_item_sk, COALESCE(cs.clin_subtype_sk, -1) AS clin_subtype_sk,
+         cr.cost_rate_type_sk, COALESCE(ga.award_sk, -1) AS award_sk, COALESCE(gi.ia_sk, -1) AS ia_sk,
+         COALESCE(lo.loa_sk, -1) AS loa_sk,
+         CAST(COALESCE(lab.planned_amt, ff.planned_amt, tr.planned_amt, l.total, 0) AS DECIMAL(15,2)) AS planned_amt,
+         CAST(NULL AS DECIMAL(10,2)) AS planned_hours, CAST(NULL AS DECIMAL(10,4)) AS planned_rate,
+         CAST(NULL AS DECIMAL(15,2)) AS award_fee_amt, CAST(NULL AS DECIMAL(7,4)) AS award_fee_surcharge_rate,
+         CAST(ff.planned_amt AS DECIMAL(15,2)) AS fixed_fee_amt, CAST(tr.planned_amt AS DECIMAL(15,2)) AS travel_planned_amt,
+         CAST(COALESCE(a.actual_amt, 0) AS DECIMAL(15,2)) AS actual_amt, CAST(NULL AS DECIMAL(10,2)) AS actual_hours,
+         b.loa_burn_order, CAST(NULL AS DECIMAL(7,4)) AS loa_proration_pct
+  FROM s_lines2 l
+  JOIN burn b ON b.line_item_id = l.lia
+  LEFT JOIN s_labor lab ON lab.id = l.lia AND l.l_linenumber = 1
+  LEFT JOIN s_ff ff ON ff.id = l.lia AND l.l_linenumber = 2
+  LEFT JOIN s_tr tr ON tr.id = l.lia AND l.l_linenumber = 3
+  LEFT JOIN actual a ON a.line_item_id = l.lia
+  LEFT JOIN g_line_item gl ON gl.line_item_id = l.lia
+  LEFT JOIN clin_subtype cs ON cs.line_item_id = l.lia
+  LEFT JOIN cost_rate cr ON cr.cd = lab.cost_rate_type_cd
+  LEFT JOIN g_award ga ON ga.award_id = l.l_orderkey
+  LEFT JOIN s_li li ON li.line_item_id = l.lia
+  LEFT JOIN g_ia gi ON gi.ia_id = li.parent_ia_id
+  LEFT JOIN g_loa lo ON lo.loa_id = b.loa_id)"""
+
+
+def _psc_gold(t, upto: str):
+    from gildhall.plans.domain import DP1_ORDER, build_all
+    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
+        "psc.dim_cost_rate_type", "psc.dim_clin_subtype", "psc.fact_clin_pricing"]
+    return build_all(derived_silver(t), AS_OF, order=order[:order.index(upto) + 1],
+                     materialise=lambda name, df: df.checkpoint(eager=True))[upto]
+
+
+@query("q_psc_dim_clin_subtype", f"WITH {CLIN_SQL} SELECT * FROM clin_subtype")
+def q_psc_dim_clin_subtype(t):
+    """CLIN subtypes: line items scanned once, exploded into subtype pointers, paired with the
+    five subtype tables in one tagged union and one equi-join; service charge and phase decoded."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["psc.dim_clin_subtype"])["psc.dim_clin_subtype"]
+
+
+@query("q_psc_fact_clin_pricing", f"""WITH {SILVER_DIM_SQL}, {FACT_SQL}, {BILLING_SQL}, {SCS_FACT_SQL}, {CLIN_SQL}
+SELECT * FROM clin_fact""")
+def q_psc_fact_clin_pricing(t):
+    """CLIN pricing: line x LOA x subtype with the LOA burn order (skew-safe ranking of each
+    line's LOAs by first ledger row), plans by first non-NULL, actuals pre-aggregated."""
+    return _psc_gold(t, "psc.fact_clin_pricing")
