@@ -17,6 +17,8 @@ tables, so the work grows with them; the same derivation is written in SQL
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,36 +33,73 @@ def _aac(c) -> F.Column:
     return F.concat(F.lit("AAC"), _pad(c, 3))
 
 
+class LazyTables(Mapping):
+    """Name → DataFrame whose plan is built on first access: a query plans
+    (and reads the footers of) only the Silver tables it uses."""
+
+    def __init__(self):
+        self._fns: dict = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def __setitem__(self, name: str, fn) -> None:
+        self._fns[name] = fn
+        self._built.pop(name, None)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._fns[name]()
+        return self._built[name]
+
+    def __contains__(self, name) -> bool:
+        return name in self._fns
+
+    def __iter__(self):
+        return iter(self._fns)
+
+    def __len__(self) -> int:
+        return len(self._fns)
+
+
+def _once(fn):
+    """Zero-argument builder evaluated once (a plan shared by several tables)."""
+    done: list = []
+
+    def get():
+        if not done:
+            done.append(fn())
+        return done[0]
+    return get
+
+
 def _code_table(df: DataFrame, col: str) -> DataFrame:
     return df.select(F.col(col).alias("cd")).filter(F.col("cd").isNotNull()).distinct().select(
         "cd", F.concat(F.lit("Code "), F.col("cd")).alias("description"), F.lit(None).cast("boolean").alias("is_deleted"))
 
 
-def derived_silver(t) -> dict[str, DataFrame]:
-    region, nation, customer = t["region"], t["nation"], t["customer"]
-    supplier, orders, lineitem, part = t["supplier"], t["orders"], t["lineitem"], t["part"]
-    s: dict[str, DataFrame] = {}
-    s["aasbs_lu_agency"] = region.select(
+def derived_silver(t) -> Mapping[str, DataFrame]:
+    s = LazyTables()
+    T = t.__getitem__
+    s["aasbs_lu_agency"] = lambda: T("region").select(
         F.upper(F.substring("r_name", 1, 3)).alias("cd"), _pad("r_regionkey", 2).alias("cd_2char"),
         F.col("r_name").alias("description"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["table_master_lu_federal_agency"] = region.select(
+    s["table_master_lu_federal_agency"] = lambda: T("region").select(
         _pad("r_regionkey", 2).alias("agency_code"), F.lower("r_name").alias("agency_description"),
         F.when(F.col("r_regionkey") % 3 == 0, "EXEC").when(F.col("r_regionkey") % 3 == 1, "LEGIS")
          .otherwise("OTHER").alias("agency_type"),
         F.lit(None).cast("string").alias("bureau_description"), F.lit(None).cast("timestamp_ntz").alias("inactive_date"),
         F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_lu_activity_address_code"] = nation.select(
+    s["aasbs_lu_activity_address_code"] = lambda: T("nation").select(
         _aac("n_nationkey").alias("cd"), F.col("n_name").alias("description"),
         _pad("n_regionkey", 2).alias("fpds_ng_agency_identifier"),
         F.concat(F.lit("P"), (F.col("n_nationkey") % 3).cast("string")).alias("program_cd"),
         _pad("n_regionkey", 2).alias("region_cd"), (F.col("n_nationkey") == 24).alias("is_deleted"))
-    s["aasbs_lu_bureau"] = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    s["aasbs_lu_bureau"] = lambda: T("nation").join(T("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.upper(F.substring("r_name", 1, 3)).alias("agency_cd"), F.concat(F.lit("B"), _pad("n_nationkey", 2)).alias("cd"),
         F.concat(F.col("n_name"), F.lit(" bureau")).alias("description"), F.lit(None).cast("boolean").alias("is_deleted"),
         F.date_add(F.to_date(F.lit("2000-01-01")), (24 - F.col("n_nationkey")).cast("int")).cast("timestamp_ntz")
          .alias("updated_dt"))
     seg = F.col("c_mktsegment")
-    s["aasbs_ia"] = customer.select(
+    s["aasbs_ia"] = lambda: T("customer").select(
         F.col("c_custkey").alias("id"), F.concat(F.lit("IA-"), F.col("c_custkey").cast("string")).alias("piid"),
         F.when(seg == "AUTOMOBILE", "MIPR").when(seg == "BUILDING", "gtc").when(seg == "FURNITURE", "IAA")
          .when(seg == "HOUSEHOLD", "LOCAL").alias("instrument_type_cd"),
@@ -71,8 +110,8 @@ def derived_silver(t) -> dict[str, DataFrame]:
         _aac("c_nationkey").alias("activity_address_cd"),
         F.concat(F.lit("SVC"), (F.col("c_nationkey") % 5).cast("string")).alias("serv_agency_cd"),
         (F.col("c_custkey") % 97 == 1).alias("is_deleted"))
-    s["aasbs_lu_ia_status"] = _code_table(s["aasbs_ia"].filter(F.col("ia_status_cd") != "S3"), "ia_status_cd")
-    s["aasbs_loa"] = supplier.select(
+    s["aasbs_lu_ia_status"] = lambda: _code_table(s["aasbs_ia"].filter(F.col("ia_status_cd") != "S3"), "ia_status_cd")
+    s["aasbs_loa"] = lambda: T("supplier").select(
         F.col("s_suppkey").alias("id"), (F.col("s_suppkey") + 1000).alias("tracking_num"),
         F.concat(F.lit("L"), (F.col("s_suppkey") % 3).cast("string")).alias("loa_status_cd"),
         F.concat(F.lit("AG-"), (F.col("s_suppkey") % 17).cast("string")).alias("agreement_number"),
@@ -87,51 +126,61 @@ def derived_silver(t) -> dict[str, DataFrame]:
         F.lit(2000).alias("first_fy_available_year"), F.lit(2002).alias("last_fy_available_year"),
         F.lit(None).cast("timestamp_ntz").alias("agreement_end_dt"), F.lit(None).cast("timestamp_ntz").alias("transmitted_dt"),
         (F.col("s_suppkey") % 50 == 49).alias("is_deleted"))
-    s["aasbs_lu_loa_status"] = _code_table(s["aasbs_loa"], "loa_status_cd")
-    s["aasbs_award"] = orders.select(
+    s["aasbs_lu_loa_status"] = lambda: _code_table(s["aasbs_loa"], "loa_status_cd")
+    s["aasbs_award"] = lambda: T("orders").select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("47QA"), _pad("o_orderkey", 9)).alias("award_piid"),
         F.col("o_orderstatus").alias("award_status_cd"), F.col("o_orderpriority").alias("award_fin"),
         _aac(F.col("o_custkey") % 25).alias("lead_svc_activity_address_cd"),
         (F.col("o_orderkey") * 10 + 1).alias("latest_award_mod_id"), F.lit(None).cast("boolean").alias("is_deleted"))
-    base = orders.select(F.col("o_orderkey").alias("award_id"), "o_orderdate")
-    s["aasbs_award_mod"] = base.select(
+    @_once
+    def base():
+        return T("orders").select(F.col("o_orderkey").alias("award_id"), "o_orderdate")
+    s["aasbs_award_mod"] = lambda: base().select(
         (F.col("award_id") * 10).alias("id"), "award_id", F.lit("0").alias("mod_num"),
         F.col("o_orderdate").alias("m1p_mod_start_dt"), F.col("o_orderdate").alias("co_signature_dt"),
-        F.lit(None).cast("boolean").alias("is_deleted")).unionByName(base.select(
+        F.lit(None).cast("boolean").alias("is_deleted")).unionByName(base().select(
         (F.col("award_id") * 10 + 1).alias("id"), "award_id", F.lit("P01").alias("mod_num"),
         (F.col("o_orderdate") + F.expr("interval 30 days")).alias("m1p_mod_start_dt"),
         (F.col("o_orderdate") + F.expr("interval 31 days")).alias("co_signature_dt"),
         F.lit(None).cast("boolean").alias("is_deleted")))
-    pairs = orders.select(F.col("o_orderkey").alias("award_id"), F.col("o_custkey").alias("ia_id"))
-    s["aasbs_award_ia"] = pairs.unionByName(
-        orders.filter(F.col("o_orderkey") % 5 == 0).select(F.col("o_orderkey").alias("award_id"),
+    @_once
+    def pairs():
+        return T("orders").select(F.col("o_orderkey").alias("award_id"), F.col("o_custkey").alias("ia_id"))
+    s["aasbs_award_ia"] = lambda: pairs().unionByName(
+        T("orders").filter(F.col("o_orderkey") % 5 == 0).select(F.col("o_orderkey").alias("award_id"),
                                                            (F.col("o_custkey") + 1).alias("ia_id"))) \
         .withColumn("is_deleted", F.lit(None).cast("boolean"))
-    s["aasbs_funding"] = customer.select(
+    s["aasbs_funding"] = lambda: T("customer").select(
         F.col("c_custkey").alias("id"), F.col("c_custkey").alias("ia_id"),
         F.concat(F.lit("FS"), (F.col("c_custkey") % 3).cast("string")).alias("fund_status_cd"),
         F.upper(F.substring("c_mktsegment", 1, 2)).alias("fund_category_cd"),
         F.when(F.col("c_custkey") % 2 == 0, "DIRECT").otherwise("REIMB").alias("billing_type_cd"),
         (F.col("c_custkey") * 10).alias("latest_funding_amendment_id"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_funding_amendment"] = customer.select(
+    s["aasbs_funding_amendment"] = lambda: T("customer").select(
         (F.col("c_custkey") * 10).alias("id"), F.col("c_custkey").alias("funding_id"),
         F.lit(None).cast("boolean").alias("is_deleted"))
-    nsupp = supplier.select(F.max("s_suppkey") + 1).scalar()
-    s["aasbs_funding_amendment_loa"] = orders.select(
+    @_once
+    def nsupp():
+        return T("supplier").select(F.max("s_suppkey") + 1).scalar()
+    s["aasbs_funding_amendment_loa"] = lambda: T("orders").select(
         (F.col("o_custkey") * 10).alias("funding_amendment_id"),
         F.col("o_totalprice").cast("decimal(15,2)").alias("loa_change_amt"),
-        (F.col("o_orderkey") % nsupp).alias("loa_id"), F.lit(None).cast("boolean").alias("is_deleted"))
+        (F.col("o_orderkey") % nsupp()).alias("loa_id"), F.lit(None).cast("boolean").alias("is_deleted"))
     for code, lk in [("fund_status_cd", "aasbs_lu_fund_status"), ("fund_category_cd", "aasbs_lu_fund_category"),
                      ("billing_type_cd", "aasbs_lu_billing_type")]:
-        s[lk] = _code_table(s["aasbs_funding"], code)
-    lines = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        s[lk] = lambda code=code: _code_table(s["aasbs_funding"], code)
+    @_once
+    def lines():
+        return T("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_partkey").alias("_part"), F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("_total"),
         F.min("l_shipdate").alias("_start"), F.max("l_shipdate").alias("_end"), F.min("l_linestatus").alias("_status"))
     li_id = F.col("l_orderkey") * 100 + F.col("l_linenumber")
     # the order gives each line its IA (the order's customer); every 50th order's lines share a
     # service charge; third lines carry a travel plan
-    lines_o = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    s["aasbs_line_item"] = lines_o.select(
+    @_once
+    def lines_o():
+        return lines().join(T("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    s["aasbs_line_item"] = lambda: lines_o().select(
         F.col("o_custkey").alias("parent_ia_id"), (F.col("l_orderkey") % 50).alias("service_charge_id"),
         F.when(F.col("l_linenumber") == 1, li_id).alias("li_sc_labor_id"),
         F.when(F.col("l_linenumber") == 2, li_id).alias("li_sc_fixed_fee_id"),
@@ -147,40 +196,42 @@ def derived_silver(t) -> dict[str, DataFrame]:
     # fourth; service charges are the order key classes of the lines
     ok = F.col("l_orderkey")
     rate = F.when(ok % 3 == 0, "ACT").when(ok % 3 == 1, "EST").otherwise("FIXED")
-    s["aasbs_li_sc_labor"] = lines.filter(F.col("l_linenumber") == 1).select(
+    s["aasbs_li_sc_labor"] = lambda: lines().filter(F.col("l_linenumber") == 1).select(
         li_id.alias("id"), dmul("_total", F.lit(0.6)).alias("planned_amt"), rate.alias("cost_rate_type_cd"),
         F.concat(F.lit("PH"), (ok % 4).cast("string")).alias("proc_phase_cd"),
         F.concat(F.lit("PRJ"), (ok % 100).cast("string")).alias("project_num"),
         F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_li_sc_fixed_fee"] = lines.filter(F.col("l_linenumber") == 2).select(
+    s["aasbs_li_sc_fixed_fee"] = lambda: lines().filter(F.col("l_linenumber") == 2).select(
         li_id.alias("id"), F.when(li_id % 5 != 0, dmul("_total", F.lit(0.3))).alias("planned_amt"),
         F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_li_sc_travel"] = lines.filter(F.col("l_linenumber") == 3).select(
+    s["aasbs_li_sc_travel"] = lambda: lines().filter(F.col("l_linenumber") == 3).select(
         li_id.alias("id"), dmul("_total", F.lit(0.1)).alias("planned_amt"), (li_id % 13 == 0).alias("is_deleted"))
-    s["aasbs_li_award_fee"] = lines.filter(F.col("l_linenumber") == 4).select(
+    s["aasbs_li_award_fee"] = lambda: lines().filter(F.col("l_linenumber") == 4).select(
         li_id.alias("id"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_lu_cost_rate_type"] = _code_table(s["aasbs_li_sc_labor"].filter(F.col("cost_rate_type_cd") != "FIXED"),
+    s["aasbs_lu_cost_rate_type"] = lambda: _code_table(s["aasbs_li_sc_labor"].filter(F.col("cost_rate_type_cd") != "FIXED"),
                                                "cost_rate_type_cd")
-    s["aasbs_lu_proc_phase"] = _code_table(s["aasbs_li_sc_labor"].filter(F.col("proc_phase_cd") != "PH3"),
+    s["aasbs_lu_proc_phase"] = lambda: _code_table(s["aasbs_li_sc_labor"].filter(F.col("proc_phase_cd") != "PH3"),
                                            "proc_phase_cd")
     sc_id = F.col("o_orderkey") % 50
-    s["aasbs_service_charge"] = orders.select(sc_id.alias("id")).distinct().select(
+    s["aasbs_service_charge"] = lambda: T("orders").select(sc_id.alias("id")).distinct().select(
         "id", F.concat(F.lit("ACT"), F.col("id").cast("string")).alias("act_number"),
         F.when(F.col("id") % 4 == 0, "Y").when(F.col("id") % 4 == 1, "n").alias("is_credit_yn"),
         F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_line_item_accepted"] = lines.select(
+    s["aasbs_line_item_accepted"] = lambda: lines().select(
         li_id.alias("id"), li_id.alias("line_item_id"), F.year("_end").alias("budget_fy"),
         F.when(F.col("l_linenumber") % 2 == 0, "Y").otherwise("N").alias("exercise_this_yn"),
         (F.col("l_orderkey") * 10 + 1).alias("award_mod_id"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_li_deliverable"] = part.select(
+    s["aasbs_li_deliverable"] = lambda: T("part").select(
         F.col("p_partkey").alias("id"), F.col("p_brand").alias("psc_cd"), F.col("p_type").alias("contract_type_cd"),
         F.lit(None).cast("string").alias("severability_type_cd"), F.lit(None).cast("string").alias("unit_of_measure_cd"),
         F.lit(None).cast("int").alias("bona_fide_need_fy"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_lu_line_item_type"] = lineitem.select(F.col("l_linestatus").alias("cd")).distinct().filter(
+    s["aasbs_lu_line_item_type"] = lambda: T("lineitem").select(F.col("l_linestatus").alias("cd")).distinct().filter(
         F.col("cd") == "F").select("cd", F.lit("Fulfilled").alias("description"), F.lit(None).cast("boolean").alias("is_deleted"))
-    led = ledger(t).join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    @_once
+    def led():
+        return ledger(t).join(T("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     lia = F.col("l_orderkey") * 100 + F.col("l_linenumber")
-    s["aasbs_loa_ledger"] = led.select(
+    s["aasbs_loa_ledger"] = lambda: led().select(
         lia.alias("id"), lia.alias("line_item_accepted_id"), F.col("l_suppkey").alias("loa_id"),
         F.col("o_custkey").alias("funding_id"), F.col("o_custkey").alias("ia_id"), F.col("l_shipdate").alias("created_dt"),
         F.col("l_extendedprice").cast("decimal(15,2)").alias("line_item_obligated_amt"),
@@ -188,7 +239,7 @@ def derived_silver(t) -> dict[str, DataFrame]:
         dmul("l_extendedprice", F.lit(1) - F.col("l_discount")).alias("line_item_certified_amt"),
         dmul("l_extendedprice", "l_tax").alias("service_charge_amt"),
         F.col("l_linestatus").alias("transaction_type_cd"), "is_deleted")
-    s["aasbs_invoice_item"] = lineitem.filter(F.col("l_returnflag") == "A").select(
+    s["aasbs_invoice_item"] = lambda: T("lineitem").filter(F.col("l_returnflag") == "A").select(
         lia.alias("id"), lia.alias("cost_line_item_accepted_id"), F.col("l_orderkey").alias("invoice_id"),
         dmul("l_extendedprice", F.lit(1) - F.col("l_discount")).alias("invoice_item_amt"),
         # service dates: shipped, then three days per line number
@@ -198,24 +249,30 @@ def derived_silver(t) -> dict[str, DataFrame]:
         F.lit(None).cast("boolean").alias("is_deleted"))
     # service charge schedules (psc): two periods per line from its order date, days 0-60 and 61-180;
     # the second has no start on every ninth order, no amount on every seventh line, and some are deleted
-    od = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    @_once
+    def od():
+        return lines().join(T("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
     day = F.to_date("o_orderdate")
-    first_period = od.select(
+    @_once
+    def first_period():
+        return od().select(
         (lia * 10 + 1).alias("id"), lia.alias("line_item_id"), day.cast("timestamp_ntz").alias("service_start_dt"),
         F.date_add(day, 60).cast("timestamp_ntz").alias("service_end_dt"),
         dmul("_total", F.lit(0.5)).alias("scheduled_amt"),
         F.col("_status").alias("sc_schedule_status_cd"), F.lit(None).cast("boolean").alias("is_deleted"))
-    second_period = od.select(
+    @_once
+    def second_period():
+        return od().select(
         (lia * 10 + 2).alias("id"), lia.alias("line_item_id"),
         F.when(F.col("l_orderkey") % 9 != 0, F.date_add(day, 61).cast("timestamp_ntz")).alias("service_start_dt"),
         F.date_add(day, 180).cast("timestamp_ntz").alias("service_end_dt"),
         F.when(lia % 7 != 0, dmul("_total", F.lit(0.25))).alias("scheduled_amt"),
         F.col("_status").alias("sc_schedule_status_cd"), (lia % 41 == 0).alias("is_deleted"))
-    s["aasbs_service_charge_schedule"] = first_period.unionByName(second_period)
-    s["aasbs_acceptance_item"] = lineitem.filter(F.col("l_linestatus") == "F").select(
+    s["aasbs_service_charge_schedule"] = lambda: first_period().unionByName(second_period())
+    s["aasbs_acceptance_item"] = lambda: T("lineitem").filter(F.col("l_linestatus") == "F").select(
         F.col("l_orderkey").alias("acceptance_id"), lia.alias("line_item_accepted_id"),
         dmul("l_extendedprice", F.lit(0.9)).alias("item_gsa_approved_amt"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_bill_item"] = lineitem.filter(F.col("l_returnflag") == "N").select(
+    s["aasbs_bill_item"] = lambda: T("lineitem").filter(F.col("l_returnflag") == "N").select(
         lia.alias("line_item_accepted_id"), dmul("l_extendedprice", "l_tax").alias("bill_item_amt"),
         F.lit(None).cast("boolean").alias("is_deleted"))
     # IA amendments (IA tracker): one per order of the IA's customer
@@ -223,7 +280,7 @@ def derived_silver(t) -> dict[str, DataFrame]:
     action = (F.when(prio == "1-URGENT", "COST_INCREASE").when(prio == "2-HIGH", "EXTEND_POP")
                .when(prio == "3-MEDIUM", "SCOPE_CHANGE").otherwise("ADMIN"))
     status = F.col("o_orderstatus")
-    s["aasbs_ia_amendment"] = orders.select(
+    s["aasbs_ia_amendment"] = lambda: T("orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("ia_id"),
         F.when(F.col("o_orderkey") % 11 == 0, F.lit("X1")).otherwise(_pad(F.col("o_orderkey") % 100, 2)).alias("piid_ext"),
         action.alias("ia_amend_action_cd"), F.col("o_totalprice").cast("decimal(15,2)").alias("direct_cost_est_amt"),
@@ -238,11 +295,10 @@ def derived_silver(t) -> dict[str, DataFrame]:
         F.when(status == "F", F.date_add(F.to_date("o_orderdate"), 10).cast("timestamp_ntz"))
          .alias("request_agency_signed_dt"),
         F.col("o_orderdate").alias("created_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_lu_ia_amend_action"] = _code_table(s["aasbs_ia_amendment"], "ia_amend_action_cd")
+    s["aasbs_lu_ia_amend_action"] = lambda: _code_table(s["aasbs_ia_amendment"], "ia_amend_action_cd")
     # lifecycle (cat): events → chronology entries, conversations → collaborations and their comments
-    events, conv = t["events"], t["conversations"]
     et = F.col("event_type")
-    s["aasbs_chronology"] = events.select(
+    s["aasbs_chronology"] = lambda: T("events").select(
         F.col("event_id").alias("id"),
         F.when(et == "purchase", "AWARD_MOD").when(et == "signup", "IA").when(et == "click", "FOO_IA")
          .when(et == "view", "ACQUISITION").otherwise("MEDIA").alias("source_table_name_cd"),
@@ -251,16 +307,20 @@ def derived_silver(t) -> dict[str, DataFrame]:
         F.col("user_id").alias("created_by_user_id"), F.col("props").alias("entry_description"),
         F.lit(None).cast("boolean").alias("is_deleted"))
     # the collaboration event type exists whenever there are collaborations; distinct collapses it to one row
-    codes = events.select(F.upper("event_type").alias("cd")).unionByName(
-        conv.select(F.lit("COLLABORATION").alias("cd")))
-    s["aasbs_lu_event_type"] = codes.distinct().select(
+    @_once
+    def codes():
+        return T("events").select(F.upper("event_type").alias("cd")).unionByName(
+        T("conversations").select(F.lit("COLLABORATION").alias("cd")))
+    s["aasbs_lu_event_type"] = lambda: codes().distinct().select(
         "cd", F.concat(F.lit("Code "), F.col("cd")).alias("description"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_acquisition"] = orders.select(
+    s["aasbs_acquisition"] = lambda: T("orders").select(
         F.col("o_orderkey").alias("id"), _aac(F.col("o_custkey") % 25).alias("activity_address_cd"),
         F.lit(None).cast("boolean").alias("is_deleted"))
     k = F.col("conv_id") % 4
-    first = conv.filter(F.col("turn") == 0)
-    s["aasbs_central_collab"] = first.select(
+    @_once
+    def first():
+        return T("conversations").filter(F.col("turn") == 0)
+    s["aasbs_central_collab"] = lambda: first().select(
         F.col("conv_id").alias("id"),
         F.when(k == 0, "IA").when(k == 1, "AWARD_MOD").when(k == 2, "X_IA").otherwise("MEDIA").alias("table_name_cd"),
         F.when(k == 1, F.col("conv_id") * 10 + 1).otherwise(F.col("conv_id")).alias("table_record_id"),
@@ -269,10 +329,10 @@ def derived_silver(t) -> dict[str, DataFrame]:
         F.col("conv_id").alias("created_by_user_id"), F.col("role").alias("subject"), F.lit("REVIEW").alias("collab_type_cd"),
         F.when(F.col("conv_id") % 2 == 0, "OPEN").otherwise("CLOSED").alias("collab_status_cd"),
         F.lit(None).cast("timestamp_ntz").alias("due_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_central_collab_acq"] = conv.filter(F.col("turn").isin(1, 2)).select(
+    s["aasbs_central_collab_acq"] = lambda: T("conversations").filter(F.col("turn").isin(1, 2)).select(
         F.col("conv_id").alias("central_collab_id"), (F.col("conv_id") * 3 + F.col("turn") - 1).alias("acquisition_id"),
         F.lit(None).cast("boolean").alias("is_deleted"))
-    s["aasbs_central_comment"] = conv.select(
+    s["aasbs_central_comment"] = lambda: T("conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit("CENTRAL_COLLAB").alias("table_name_cd"),
         F.col("conv_id").alias("table_record_id"), F.col("role").alias("comment_type_cd"),
         F.col("text").alias("comment_text"), F.lit(None).cast("boolean").alias("is_deleted"))
