@@ -13,7 +13,9 @@ the job. ``ordinal`` numbers rows within groups without that:
    #groups + #partitions rows; a running sum over partitions per group gives
    each piece its offset;
 4. equi-join the pieces back on ``(partition, g)`` — a hot group is spread
-   over many partition ids, so this join is not skewed either.
+   over many partition ids, so this join is not skewed either. Without
+   groups (surrogate keys) the pieces are one row per partition, a size
+   bounded by the partition count, and are broadcast.
 
 ``assign_sk`` (KEY-1), ``rank_by_agg`` (WIN-6), ``delta`` (WIN-7/8, LAG as an
 equi-join on ``(g, rn - 1)``) and ``exact_percentile`` (AGG-4) use it.
@@ -69,6 +71,10 @@ def ordinal(df: DataFrame, group: Sequence[str], order: Sequence, name: str = "r
         if group else Window.orderBy("_ord_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_ord_before", F.coalesce(F.sum("_ord_cnt").over(before), F.lit(0)))
     pieces = pieces.select("_ord_pid", *group, "_ord_first", "_ord_before")
+    if not group:
+        # one row per range partition: the size is bounded by the partition
+        # count, so broadcast it and never shuffle the numbered rows
+        pieces = F.broadcast(pieces)
     j = _join_renamed(staged, pieces, ["_ord_pid", *group], "inner", null_safe=group)
     rn = F.col("_ord_mid") - F.col("_ord_first") + F.col("_ord_before") + F.lit(1)
     return j.withColumn(name, rn.cast("long")).drop("_ord_pid", "_ord_mid", "_ord_first", "_ord_before")
