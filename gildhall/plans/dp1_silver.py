@@ -296,6 +296,23 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
          .alias("request_agency_signed_dt"),
         F.col("o_orderdate").alias("created_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_lu_ia_amend_action"] = lambda: _code_table(s["aasbs_ia_amendment"], "ia_amend_action_cd")
+    # IA reviews: one per fulfilled order, reviewed three days after it by user (customer mod 37) * 5;
+    # users are the event users (so some reviewers have no user record at every scale)
+    s["aasbs_ia_review"] = lambda: T("orders").filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("ia_id"),
+        F.when(F.col("o_orderkey") % 17 != 0, (F.col("o_custkey") % 37) * 5).alias("service_agency_reviewer_id"),
+        F.date_add(F.to_date("o_orderdate"), 3).cast("timestamp_ntz").alias("review_dt"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("H"), F.col("o_orderkey").cast("string")))
+         .alias("attach_hash_id"),
+        (F.col("o_orderkey") % 101 == 0).alias("is_deleted"))
+    uid = F.col("user_id")
+    s["assist_users"] = lambda: T("events").select("user_id").distinct().select(
+        uid.alias("id"), F.when(uid % 11 != 0, F.lit("User")).alias("first_name"),
+        F.when(uid % 2 == 0, F.lit("Q")).otherwise(F.lit(" ")).alias("middle_initial"),
+        F.concat(F.lit("N"), uid.cast("string")).alias("last_name"),
+        F.when(uid % 5 == 0, "INACTIVE").otherwise("ACTIVE").alias("reg_status"),
+        F.when(uid % 10 == 3, F.lit("2001-01-01").cast("timestamp_ntz")).alias("inactive_date"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
     # lifecycle (cat): events → chronology entries, conversations → collaborations and their comments
     et = F.col("event_type")
     s["aasbs_chronology"] = lambda: T("events").select(

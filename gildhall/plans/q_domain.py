@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from gildhall.plans.dp1_silver import derived_silver
 from gildhall.plans.registry import query
-from gildhall.plans.standins import AS_OF, DMUL, LEDGER_SQL
+from gildhall.plans.standins import AS_OF, DMUL, FY, LEDGER_SQL
 
 LIVE = "(is_deleted IS NULL OR is_deleted = FALSE)"
 
@@ -572,3 +572,64 @@ def q_psc_fact_clin_pricing(t):
     """CLIN pricing: line x LOA x subtype with the LOA burn order (skew-safe ranking of each
     line's LOAs by first ledger row), plans by first non-NULL, actuals pre-aggregated."""
     return _psc_gold(t, "psc.fact_clin_pricing")
+
+
+@query("q_tpp_invoice_line_report", """SELECT l_orderkey AS invoice_id,
+       COUNT(DISTINCT l_orderkey * 100 + l_linenumber) AS n_lines
+FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey
+HAVING COUNT(DISTINCT l_orderkey * 100 + l_linenumber) > 1""")
+def q_tpp_invoice_line_report(t):
+    """Invoices whose items span more than one accepted line, counted on the raw items."""
+    from gildhall.plans.domain.tpp_facts import invoice_line_report
+    return invoice_line_report(derived_silver(t))
+
+
+REVIEW_SQL = f"""s_review AS (
+  SELECT o_orderkey AS id, o_custkey AS ia_id,
+         CASE WHEN o_orderkey % 17 <> 0 THEN (o_custkey % 37) * 5 END AS reviewer_id,
+         CAST(CAST(o_orderdate AS DATE) + 3 AS TIMESTAMP) AS review_dt,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'H' || CAST(o_orderkey AS VARCHAR) END AS attach_hash_id
+  FROM orders WHERE o_orderstatus = 'F' AND NOT (o_orderkey % 101 = 0)),
+s_users AS (
+  SELECT user_id AS id, CASE WHEN user_id % 11 <> 0 THEN 'User' END AS first_name,
+         CASE WHEN user_id % 2 = 0 THEN 'Q' ELSE ' ' END AS middle_initial, 'N' || CAST(user_id AS VARCHAR) AS last_name,
+         CASE WHEN user_id % 5 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS reg_status,
+         CASE WHEN user_id % 10 = 3 THEN TIMESTAMP '2001-01-01' END AS inactive_date
+  FROM (SELECT DISTINCT user_id FROM events)),
+reviewer AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY r.reviewer_user_id) AS reviewer_sk, r.reviewer_user_id,
+         CASE WHEN u.first_name IS NOT NULL THEN concat_ws(' ', NULLIF(trim(u.first_name), ''),
+              NULLIF(trim(u.middle_initial), ''), NULLIF(trim(u.last_name), '')) END AS reviewer_name,
+         CAST(NULL AS VARCHAR) AS reviewer_role_cd, CAST(NULL AS VARCHAR) AS reviewer_org,
+         CASE WHEN u.reg_status = 'ACTIVE' AND u.inactive_date IS NULL THEN TRUE
+              WHEN u.id IS NULL THEN NULL ELSE FALSE END AS is_active_flag
+  FROM (SELECT DISTINCT CAST(reviewer_id AS VARCHAR) AS reviewer_user_id FROM s_review
+        WHERE reviewer_id IS NOT NULL) r
+  LEFT JOIN s_users u ON CAST(u.id AS VARCHAR) = r.reviewer_user_id),
+review_fact AS (
+  SELECT COALESCE(gi.ia_sk, -1) AS ia_sk, COALESCE(rv.reviewer_sk, -1) AS reviewer_sk,
+         COALESCE(iag.agency_sk, -1) AS agency_sk,
+         CAST(strftime(r.review_dt, '%Y%m%d') AS INTEGER) AS review_date_sk, r.id AS source_ia_review_id,
+         {FY("r.review_dt")} AS review_fiscal_year, CAST(NULL AS VARCHAR) AS review_type_cd,
+         r.attach_hash_id IS NOT NULL AS has_attachment_flag, CAST(NULL AS BOOLEAN) AS review_completed_flag,
+         CAST(NULL AS INTEGER) AS days_overdue
+  FROM s_review r
+  LEFT JOIN g_ia gi ON gi.ia_id = r.ia_id
+  LEFT JOIN reviewer rv ON rv.reviewer_user_id = CAST(r.reviewer_id AS VARCHAR)
+  LEFT JOIN ia_agency iag ON iag.ia_id = r.ia_id)"""
+
+
+@query("q_iat_dim_reviewer", f"WITH {REVIEW_SQL} SELECT * FROM reviewer")
+def q_iat_dim_reviewer(t):
+    """Reviewers named on IA reviews, joined to their user records (name, active flag)."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["iat.dim_reviewer"])["iat.dim_reviewer"]
+
+
+@query("q_iat_fact_ia_review", f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {AMEND_SQL}, {REVIEW_SQL} SELECT * FROM review_fact")
+def q_iat_fact_ia_review(t):
+    """IA review fact: IA, reviewer and servicing agency keys, review date key and fiscal year."""
+    from gildhall.plans.domain import build_all
+    order = ["common.dim_agency", "common.dim_ia", "iat.dim_reviewer", "iat.fact_ia_review"]
+    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+    return gold["iat.fact_ia_review"]
