@@ -633,3 +633,63 @@ def q_iat_fact_ia_review(t):
     order = ["common.dim_agency", "common.dim_ia", "iat.dim_reviewer", "iat.fact_ia_review"]
     gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
     return gold["iat.fact_ia_review"]
+
+
+def _like_any_sql(c: str, patterns) -> str:
+    return "COALESCE(" + " OR ".join(f"upper(trim({c})) LIKE '{p}'" for p in patterns) + ", FALSE)"
+
+
+def _first_sql(c: str, table) -> str:
+    return "CASE " + " ".join(f"WHEN {_like_any_sql(c, pats)} THEN '{label}'" for label, pats in table) + " END"
+
+
+def _code_dim_sql(codes_sql: str, code: str, desc: str, extra: dict, sk: str) -> str:
+    cols = "".join(f", {expr} AS {name}" for name, expr in extra.items())
+    return (f"SELECT cd AS {code}, 'Code ' || cd AS {desc}{cols}, ROW_NUMBER() OVER (ORDER BY cd) AS {sk} "
+            f"FROM (SELECT DISTINCT cd FROM ({codes_sql}) WHERE cd IS NOT NULL)")
+
+
+def _lookup_sql():
+    from gildhall.plans.domain import lookups as L
+    ev = _code_dim_sql("SELECT upper(event_type) AS cd FROM events UNION ALL SELECT 'COLLABORATION' FROM conversations",
+                       "event_type_cd", "event_type_desc", {
+                           "lifecycle_phase_cd": _first_sql("cd", L.EVENT_PHASE),
+                           "is_system_event_flag": _like_any_sql("cd", L.EVENT_SYSTEM),
+                           "is_audit_significant": _like_any_sql("cd", L.EVENT_AUDIT)}, "event_type_sk")
+    am = _code_dim_sql("SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'COST_INCREASE' WHEN '2-HIGH' THEN "
+                       "'EXTEND_POP' WHEN '3-MEDIUM' THEN 'SCOPE_CHANGE' ELSE 'ADMIN' END AS cd FROM orders",
+                       "amend_action_cd", "amend_action_desc", {
+                           "changes_scope_flag": _like_any_sql("cd", L.AMEND_SCOPE),
+                           "changes_cost_flag": _like_any_sql("cd", L.AMEND_COST),
+                           "changes_period_flag": _like_any_sql("cd", L.AMEND_PERIOD)}, "amend_action_sk")
+    actual = ", ".join(f"'{c}'" for c in L.ACTUAL_RATE_CODES)
+    cr = _code_dim_sql("SELECT CASE l_orderkey % 3 WHEN 0 THEN 'ACT' WHEN 1 THEN 'EST' END AS cd FROM lineitem "
+                       "WHERE l_linenumber = 1", "cost_rate_type_cd", "cost_rate_type_desc", {
+                           "is_actual_flag": f"COALESCE(upper(trim(cd)) IN ({actual}), FALSE)"}, "cost_rate_type_sk")
+    return ev, am, cr
+
+
+_EV_SQL, _AM_SQL, _CR_SQL = _lookup_sql()
+
+
+def _lookup_dim(t, name: str):
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=[name])[name]
+
+
+@query("q_cat_dim_event_type", _EV_SQL)
+def q_cat_dim_event_type(t):
+    """Event types of all events (plus collaborations) with lifecycle phase and flags from the pattern rules."""
+    return _lookup_dim(t, "cat.dim_event_type")
+
+
+@query("q_iat_dim_amend_action", _AM_SQL)
+def q_iat_dim_amend_action(t):
+    """IA amendment actions with scope / cost / period flags from the pattern rules."""
+    return _lookup_dim(t, "iat.dim_amend_action")
+
+
+@query("q_psc_dim_cost_rate_type", _CR_SQL)
+def q_psc_dim_cost_rate_type(t):
+    """Cost rate types of the labour plans with the actual-rate flag."""
+    return _lookup_dim(t, "psc.dim_cost_rate_type")
