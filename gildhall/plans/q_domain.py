@@ -693,3 +693,110 @@ def q_iat_dim_amend_action(t):
 def q_psc_dim_cost_rate_type(t):
     """Cost rate types of the labour plans with the actual-rate flag."""
     return _lookup_dim(t, "psc.dim_cost_rate_type")
+
+
+def _nb(x: str) -> str:
+    """blank → NULL, as the library's blank_to_null."""
+    return f"NULLIF(trim({x}), '')"
+
+
+DP1_DIMS_SQL = f"""d_loa_src AS (
+  SELECT s_suppkey AS loa_id, s_suppkey + 1000 AS tracking_num, 'L' || CAST(s_suppkey % 3 AS VARCHAR) AS loa_status_cd,
+         'AG-' || CAST(s_suppkey % 17 AS VARCHAR) AS agreement_number,
+         CAST(CAST(s_suppkey % 9 AS INTEGER) AS VARCHAR) AS agreement_line_num,
+         {_pad('s_nationkey % 5', 2)} || {_pad('s_nationkey', 2)} AS req,
+         CASE WHEN s_suppkey % 2 = 0 THEN 'X' END AS avail, {_pad('s_suppkey % 100', 4)} AS appropriation,
+         CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE '001' END AS sub_account,
+         'F' || CAST(s_suppkey % 4 AS VARCHAR) AS fund_cd, s_name AS org_code
+  FROM supplier WHERE NOT (s_suppkey % 50 = 49)),
+d_loa AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY l.loa_id) AS loa_sk, l.loa_id, l.tracking_num, l.loa_status_cd,
+         'Code ' || l.loa_status_cd AS loa_status_desc, l.agreement_number, l.agreement_line_num,
+         NULLIF(concat_ws('-', {_nb("'047'")}, {_nb('l.req')},
+                          {_nb("COALESCE(l.avail, '') || COALESCE(l.appropriation, '')")}, {_nb('l.sub_account')}), '')
+           AS treasury_account_symbol,
+         l.fund_cd, 'T1' AS fund_type_cd, CAST(NULL AS VARCHAR) AS object_class_cd,
+         CAST(NULL AS VARCHAR) AS program_activity_cd, CAST(NULL AS VARCHAR) AS budget_activity_cd, l.org_code,
+         CAST(NULL AS VARCHAR) AS cost_center, CAST(NULL AS VARCHAR) AS project_code, 2000 AS bbfy, 2002 AS ebfy,
+         CAST(NULL AS TIMESTAMP) AS agreement_end_dt, CAST(NULL AS TIMESTAMP) AS transmitted_dt, a.agency_sk,
+         {SCD_COLS_SQL}
+  FROM d_loa_src l
+  LEFT JOIN (SELECT agency_code, MIN(agency_sk) AS agency_sk FROM g_agency GROUP BY 1) a
+         ON a.agency_code = substr(l.req, 1, 2)),
+d_award AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY o.o_orderkey) AS award_sk, o.o_orderkey AS award_id,
+         '47QA' || {_pad('o.o_orderkey', 9)} AS award_piid, 'P01' AS award_mod_num, o.o_orderkey * 10 + 1 AS award_mod_id,
+         o.o_orderpriority AS fin_code, o.o_orderstatus AS award_status_cd,
+         COALESCE(o.o_orderstatus, 'UNKNOWN') AS award_status_desc, CAST(NULL AS VARCHAR) AS contract_type_cd,
+         CAST(NULL AS VARCHAR) AS contract_type_desc, CAST(NULL AS VARCHAR) AS vehicle_type_cd,
+         CAST(NULL AS VARCHAR) AS vehicle_type_desc, COALESCE(gi.ia_sk, -1) AS ia_sk, COALESCE(ga.agency_sk, -1) AS agency_sk,
+         o.o_orderdate + INTERVAL 30 DAY AS award_start_dt, CAST(NULL AS TIMESTAMP) AS award_end_dt,
+         o.o_orderdate AS base_award_dt, o.o_orderdate + INTERVAL 31 DAY AS last_mod_dt, 2 AS total_mods_count,
+         {SCD_COLS_SQL}
+  FROM orders o
+  LEFT JOIN g_ia gi ON gi.ia_id = o.o_custkey
+  LEFT JOIN g_agency ga ON ga.activity_address_cd = 'AAC' || {_pad('o.o_custkey % 25', 3)}),
+d_funded AS (SELECT o_custkey AS funding_id, SUM(CAST(o_totalprice AS DECIMAL(15,2))) AS amt FROM orders GROUP BY 1),
+d_funding AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY c.c_custkey) AS funding_sk, c.c_custkey AS funding_id,
+         c.c_custkey * 10 AS funding_amendment_id, 'FS' || CAST(c.c_custkey % 3 AS VARCHAR) AS fund_status_cd,
+         'Code FS' || CAST(c.c_custkey % 3 AS VARCHAR) AS fund_status_desc,
+         upper(substr(c.c_mktsegment, 1, 2)) AS fund_category_cd, 'Code ' || upper(substr(c.c_mktsegment, 1, 2)) AS fund_category_desc,
+         CASE WHEN c.c_custkey % 2 = 0 THEN 'DIRECT' ELSE 'REIMB' END AS billing_type_cd,
+         'Code ' || CASE WHEN c.c_custkey % 2 = 0 THEN 'DIRECT' ELSE 'REIMB' END AS billing_type_desc,
+         CAST(NULL AS VARCHAR) AS fund_type_cd, CAST(NULL AS VARCHAR) AS fund_type_desc,
+         COALESCE(gi.ia_sk, -1) AS ia_sk, COALESCE(gi.servicing_agency_sk, -1) AS agency_sk,
+         CAST(COALESCE(f.amt, 0) AS DECIMAL(15,2)) AS total_funded_amt, CAST(NULL AS INTEGER) AS fiscal_year,
+         {SCD_COLS_SQL}
+  FROM customer c
+  LEFT JOIN g_ia gi ON gi.ia_id = c.c_custkey
+  LEFT JOIN d_funded f ON f.funding_id = c.c_custkey),
+d_lines AS (SELECT l_orderkey, l_linenumber, l_orderkey * 100 + l_linenumber AS lia, MIN(l_partkey) AS part,
+                   SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS total, MIN(l_shipdate) AS start_dt,
+                   MAX(l_shipdate) AS end_dt, MIN(l_linestatus) AS status
+            FROM lineitem GROUP BY l_orderkey, l_linenumber),
+d_line_item AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY l.lia) AS line_item_sk, l.lia AS line_item_id, l.lia AS line_item_accepted_id,
+         'T' || CAST(l.lia AS VARCHAR) AS li_tracking_num, COALESCE(ga.award_sk, -1) AS award_sk,
+         {_pad('l.l_linenumber', 4)} || 'AA' AS clin_num, 'AA' AS slin_num, l.status AS line_item_type_cd,
+         CASE WHEN l.status = 'F' THEN 'Fulfilled' ELSE l.status END AS line_item_type_desc,
+         p.p_brand AS psc_cd, CAST(NULL AS VARCHAR) AS unit_of_measure_cd, p.p_type AS contract_type_cd,
+         CAST(NULL AS VARCHAR) AS severability_type_cd, l.start_dt AS li_pop_start_dt, l.end_dt AS li_pop_end_dt,
+         CAST(l.total AS DECIMAL(15,2)) AS obligated_ceiling_amt, l.l_linenumber % 2 = 0 AS exercise_this_yn,
+         CAST(NULL AS INTEGER) AS bona_fide_need_fy, CAST(year(l.end_dt) AS INTEGER) AS budget_fy,
+         {SCD_COLS_SQL}
+  FROM d_lines l
+  LEFT JOIN g_award ga ON ga.award_id = l.l_orderkey
+  LEFT JOIN part p ON p.p_partkey = l.part)"""
+
+
+def _dp1_dim(t, name: str):
+    return _gold(t, name)[name]
+
+
+_DIMS_WITH = f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {DP1_DIMS_SQL}"
+
+
+@query("q_dp1_dim_loa", f"{_DIMS_WITH} SELECT * FROM d_loa")
+def q_dp1_dim_loa(t):
+    """LOA dimension: composed treasury symbol (blank parts skipped), status decode, agency by the
+    2-character prefix through a lookup made unique first (no fan-out)."""
+    return _dp1_dim(t, "common.dim_loa")
+
+
+@query("q_dp1_dim_award", f"{_DIMS_WITH} SELECT * FROM d_award")
+def q_dp1_dim_award(t):
+    """Award dimension: latest modification, base award date, IA through the bridge (smallest, D-7)."""
+    return _dp1_dim(t, "common.dim_award")
+
+
+@query("q_dp1_dim_funding", f"{_DIMS_WITH} SELECT * FROM d_funding")
+def q_dp1_dim_funding(t):
+    """Funding dimension: three decodes, IA key and its servicing agency from one lookup, funded total."""
+    return _dp1_dim(t, "common.dim_funding")
+
+
+@query("q_dp1_dim_line_item", f"{_DIMS_WITH} SELECT * FROM d_line_item")
+def q_dp1_dim_line_item(t):
+    """Line item dimension: latest accepted version, award key, type decode, deliverable attributes."""
+    return _dp1_dim(t, "common.dim_line_item")
