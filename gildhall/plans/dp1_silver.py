@@ -128,7 +128,10 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         (F.col("s_suppkey") % 50 == 49).alias("is_deleted"))
     s["aasbs_lu_loa_status"] = lambda: _code_table(s["aasbs_loa"], "loa_status_cd")
     s["aasbs_award"] = lambda: T("orders").select(
-        F.col("o_orderkey").alias("id"), F.concat(F.lit("47QA"), _pad("o_orderkey", 9)).alias("award_piid"),
+        F.col("o_orderkey").alias("id"),
+        # every tenth PIID is not zero-padded (shorter than a full PIID)
+        F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("47QA"), F.col("o_orderkey").cast("string")))
+         .otherwise(F.concat(F.lit("47QA"), _pad("o_orderkey", 9))).alias("award_piid"),
         F.col("o_orderstatus").alias("award_status_cd"), F.col("o_orderpriority").alias("award_fin"),
         _aac(F.col("o_custkey") % 25).alias("lead_svc_activity_address_cd"),
         (F.col("o_orderkey") * 10 + 1).alias("latest_award_mod_id"), F.lit(None).cast("boolean").alias("is_deleted"))
@@ -137,9 +140,11 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         return T("orders").select(F.col("o_orderkey").alias("award_id"), "o_orderdate")
     s["aasbs_award_mod"] = lambda: base().select(
         (F.col("award_id") * 10).alias("id"), "award_id", F.lit("0").alias("mod_num"),
+        F.lit(None).cast("string").alias("award_piid_ext"),
         F.col("o_orderdate").alias("m1p_mod_start_dt"), F.col("o_orderdate").alias("co_signature_dt"),
         F.lit(None).cast("boolean").alias("is_deleted")).unionByName(base().select(
         (F.col("award_id") * 10 + 1).alias("id"), "award_id", F.lit("P01").alias("mod_num"),
+        F.when(F.col("award_id") % 6 != 0, F.lit("P0001")).alias("award_piid_ext"),
         (F.col("o_orderdate") + F.expr("interval 30 days")).alias("m1p_mod_start_dt"),
         (F.col("o_orderdate") + F.expr("interval 31 days")).alias("co_signature_dt"),
         F.lit(None).cast("boolean").alias("is_deleted")))
@@ -312,6 +317,14 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.concat(F.lit("N"), uid.cast("string")).alias("last_name"),
         F.when(uid % 5 == 0, "INACTIVE").otherwise("ACTIVE").alias("reg_status"),
         F.when(uid % 10 == 3, F.lit("2001-01-01").cast("timestamp_ntz")).alias("inactive_date"),
+        F.when(uid % 7 != 0, F.concat(F.lit("user"), uid.cast("string"), F.lit("@agency.gov"))).alias("email"),
+        F.concat(F.lit("555-"), _pad(uid, 4)).alias("phone"),
+        F.when(uid % 3 == 0, F.lit(" 12 ")).when(uid % 3 == 1, F.lit("")).alias("phone_ext"),
+        F.concat(F.lit("OK"), uid.cast("string")).alias("okta_user_id"),
+        F.when(uid % 4 != 0, F.date_add(F.to_date(F.lit("2020-01-01")), uid.cast("int")).cast("timestamp_ntz"))
+         .alias("activation_date"),
+        F.date_add(F.to_date(F.lit("2019-01-01")), uid.cast("int")).cast("timestamp_ntz").alias("creation_date"),
+        F.when(uid % 13 == 0, F.lit(" y ")).when(uid % 13 == 1, F.lit("N")).alias("delete_flag"),
         F.lit(None).cast("boolean").alias("is_deleted"))
     # lifecycle (cat): events → chronology entries, conversations → collaborations and their comments
     et = F.col("event_type")

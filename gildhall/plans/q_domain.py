@@ -695,6 +695,10 @@ def q_psc_dim_cost_rate_type(t):
     return _lookup_dim(t, "psc.dim_cost_rate_type")
 
 
+PIID_SQL = (f"CASE WHEN o.o_orderkey % 10 = 0 THEN '47QA' || CAST(o.o_orderkey AS VARCHAR) "
+            f"ELSE '47QA' || {_pad('o.o_orderkey', 9)} END")
+
+
 def _nb(x: str) -> str:
     """blank → NULL, as the library's blank_to_null."""
     return f"NULLIF(trim({x}), '')"
@@ -725,7 +729,7 @@ d_loa AS (
          ON a.agency_code = substr(l.req, 1, 2)),
 d_award AS (
   SELECT ROW_NUMBER() OVER (ORDER BY o.o_orderkey) AS award_sk, o.o_orderkey AS award_id,
-         '47QA' || {_pad('o.o_orderkey', 9)} AS award_piid, 'P01' AS award_mod_num, o.o_orderkey * 10 + 1 AS award_mod_id,
+         {PIID_SQL} AS award_piid, 'P01' AS award_mod_num, o.o_orderkey * 10 + 1 AS award_mod_id,
          o.o_orderpriority AS fin_code, o.o_orderstatus AS award_status_cd,
          COALESCE(o.o_orderstatus, 'UNKNOWN') AS award_status_desc, CAST(NULL AS VARCHAR) AS contract_type_cd,
          CAST(NULL AS VARCHAR) AS contract_type_desc, CAST(NULL AS VARCHAR) AS vehicle_type_cd,
@@ -800,3 +804,52 @@ def q_dp1_dim_funding(t):
 def q_dp1_dim_line_item(t):
     """Line item dimension: latest accepted version, award key, type decode, deliverable attributes."""
     return _dp1_dim(t, "common.dim_line_item")
+
+
+WPR_SMI_SQL = f"""d_user AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY CAST(user_id AS VARCHAR)) AS user_sk, CAST(user_id AS VARCHAR) AS user_id,
+         first_name, last_name,
+         concat_ws(' ', {_nb('first_name')}, {_nb('middle_initial')}, {_nb('last_name')}) AS full_name, email,
+         CASE WHEN {_nb('phone_ext')} IS NOT NULL THEN phone || ' x' || trim(phone_ext) ELSE phone END AS phone,
+         CAST(NULL AS VARCHAR) AS org_code, CAST(NULL AS VARCHAR) AS org_name, CAST(NULL AS VARCHAR) AS region_cd,
+         reg_status = 'ACTIVE' AND inactive_date IS NULL AS is_active_flag, okta AS procurement_system_id,
+         COALESCE(activation_date, creation_date, TIMESTAMP '{AS_OF}') AS eff_start_dt,
+         CAST(NULL AS TIMESTAMP) AS eff_end_dt, TRUE AS is_current_flag
+  FROM (SELECT user_id, CASE WHEN user_id % 11 <> 0 THEN 'User' END AS first_name,
+               CASE WHEN user_id % 2 = 0 THEN 'Q' ELSE ' ' END AS middle_initial,
+               'N' || CAST(user_id AS VARCHAR) AS last_name,
+               CASE WHEN user_id % 5 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS reg_status,
+               CASE WHEN user_id % 10 = 3 THEN TIMESTAMP '2001-01-01' END AS inactive_date,
+               CASE WHEN user_id % 7 <> 0 THEN 'user' || CAST(user_id AS VARCHAR) || '@agency.gov' END AS email,
+               '555-' || {_pad('user_id', 4)} AS phone,
+               CASE WHEN user_id % 3 = 0 THEN ' 12 ' WHEN user_id % 3 = 1 THEN '' END AS phone_ext,
+               'OK' || CAST(user_id AS VARCHAR) AS okta,
+               CASE WHEN user_id % 4 <> 0 THEN CAST(DATE '2020-01-01' + CAST(user_id AS INTEGER) AS TIMESTAMP) END
+                 AS activation_date,
+               CAST(DATE '2019-01-01' + CAST(user_id AS INTEGER) AS TIMESTAMP) AS creation_date,
+               CASE WHEN user_id % 13 = 0 THEN ' y ' WHEN user_id % 13 = 1 THEN 'N' END AS delete_flag
+        FROM (SELECT DISTINCT user_id FROM events))
+  WHERE delete_flag IS NULL OR upper(trim(delete_flag)) <> 'Y'),
+d_piid AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY o.o_orderkey) AS piid_sk, o.o_orderkey AS piid_id, {PIID_SQL} AS piid_value,
+         {PIID_SQL} AS base_piid, CASE WHEN o.o_orderkey % 6 <> 0 THEN 'P0001' END AS piid_ext,
+         CASE WHEN length(trim({PIID_SQL})) >= 13 THEN substr(trim({PIID_SQL}), 1, 6) END AS aac,
+         CASE WHEN length(trim({PIID_SQL})) >= 13 THEN substr(trim({PIID_SQL}), 9, 1) END AS instrument_type_cd,
+         CASE WHEN length(trim({PIID_SQL})) >= 13 THEN substr(trim({PIID_SQL}), 10, 4) END AS sequence_num,
+         CASE WHEN length(trim({PIID_SQL})) >= 13 AND regexp_matches(substr(trim({PIID_SQL}), 7, 2), '^[0-9]{{2}}$')
+              THEN CAST(substr(trim({PIID_SQL}), 7, 2) AS INTEGER) + 2000 END AS piid_fiscal_year
+  FROM orders o)"""
+
+
+@query("q_wpr_dim_user", f"WITH {WPR_SMI_SQL} SELECT * FROM d_user")
+def q_wpr_dim_user(t):
+    """User dimension: character delete flag, composed name and phone, version starts at activation."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["wpr.dim_user"])["wpr.dim_user"]
+
+
+@query("q_smi_dim_piid", f"WITH {WPR_SMI_SQL} SELECT * FROM d_piid")
+def q_smi_dim_piid(t):
+    """PIID dimension: positional parts of full-length PIIDs, extension of the latest modification."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["smi.dim_piid"])["smi.dim_piid"]
