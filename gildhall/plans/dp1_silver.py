@@ -133,6 +133,8 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("47QA"), F.col("o_orderkey").cast("string")))
          .otherwise(F.concat(F.lit("47QA"), _pad("o_orderkey", 9))).alias("award_piid"),
         F.col("o_orderstatus").alias("award_status_cd"), F.col("o_orderpriority").alias("award_fin"),
+        # awards of up to four consecutive order keys share one acquisition
+        (F.col("o_orderkey") - F.col("o_orderkey") % 4).alias("acquisition_id"),
         _aac(F.col("o_custkey") % 25).alias("lead_svc_activity_address_cd"),
         (F.col("o_orderkey") * 10 + 1).alias("latest_award_mod_id"), F.lit(None).cast("boolean").alias("is_deleted"))
     @_once
@@ -343,9 +345,35 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         T("conversations").select(F.lit("COLLABORATION").alias("cd")))
     s["aasbs_lu_event_type"] = lambda: codes().distinct().select(
         "cd", F.concat(F.lit("Code "), F.col("cd")).alias("description"), F.lit(None).cast("boolean").alias("is_deleted"))
+    st = F.col("o_orderstatus")
     s["aasbs_acquisition"] = lambda: T("orders").select(
         F.col("o_orderkey").alias("id"), _aac(F.col("o_custkey") % 25).alias("activity_address_cd"),
+        F.when(st == "F", "CLOSED").when(st == "O", "OPEN").otherwise("AWARDED").alias("acquisition_status_cd"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "NEW").otherwise("FOLLOW_ON")
+         .alias("acquisition_type_cd"),
+        F.concat(F.lit("PT"), (F.col("o_orderkey") % 3).cast("string")).alias("performance_type_cd"),
         F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_lu_acquisition_status"] = lambda: _code_table(
+        s["aasbs_acquisition"].filter(F.col("acquisition_status_cd") != "AWARDED"), "acquisition_status_cd")
+    s["aasbs_lu_acquisition_type"] = lambda: _code_table(s["aasbs_acquisition"], "acquisition_type_cd")
+    # acquisition plans: one per line of the order (the acquisition), seventh lines deleted
+    pn = F.col("l_linenumber")
+    s["aasbs_acquisition_plan"] = lambda: lines().select(
+        F.col("l_orderkey").alias("acquisition_id"), F.col("_end").alias("created_dt"),
+        F.concat(F.lit("CT"), pn.cast("string")).alias("contract_type_cd"),
+        F.when(pn % 3 == 0, "FULL").when(pn % 3 == 1, "SOLE").otherwise("LIMITED").alias("competition_type_cd"),
+        F.when(F.col("_part") % 2 == 0, "COMM").otherwise("NONCOMM").alias("commercial_type_cd"),
+        F.when(F.col("_status") == "F", "STD").otherwise("FAST").alias("processing_speed_cd"),
+        F.when(pn == 1, F.lit("EXP")).alias("expedited_type_cd"),
+        F.when(F.col("_part") % 5 == 0, "Y").otherwise("N").alias("ap_emergency_acq_cd"),
+        F.concat(F.lit("COR"), (F.col("_part") % 3).cast("string")).alias("ap_cor_delegation_cd"),
+        F.when(F.col("_part") % 7 == 0, F.lit("HIGH")).alias("ap_supply_chain_risk_cd"),
+        F.concat(F.lit("S"), (pn % 4).cast("string")).alias("ap_surveillance_spec_cd"),
+        F.when(F.col("l_orderkey") % 9 == 0, F.lit("IC")).alias("ap_intel_community_cd"),
+        F.lit(None).cast("string").alias("idv_referenced_class_cd"),
+        F.lit(None).cast("string").alias("idv_who_can_use_cd"), (pn == 7).alias("is_deleted"))
+    s["aasbs_lu_competition_type"] = lambda: _code_table(
+        s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4
     @_once
     def first():

@@ -853,3 +853,55 @@ def q_smi_dim_piid(t):
     """PIID dimension: positional parts of full-length PIIDs, extension of the latest modification."""
     from gildhall.plans.domain import build_all
     return build_all(derived_silver(t), AS_OF, order=["smi.dim_piid"])["smi.dim_piid"]
+
+
+ACQ_SQL = f"""a_src AS (
+  SELECT o_orderkey AS acquisition_id, 'AAC' || {_pad('o_custkey % 25', 3)} AS aac,
+         CASE o_orderstatus WHEN 'F' THEN 'CLOSED' WHEN 'O' THEN 'OPEN' ELSE 'AWARDED' END AS status_cd,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'NEW' ELSE 'FOLLOW_ON' END AS type_cd,
+         'PT' || CAST(o_orderkey % 3 AS VARCHAR) AS performance_type_cd
+  FROM orders),
+a_plan AS (
+  SELECT * FROM (
+    SELECT l_orderkey AS acquisition_id, end_dt AS created_dt, 'CT' || CAST(l_linenumber AS VARCHAR) AS contract_type_cd,
+           CASE l_linenumber % 3 WHEN 0 THEN 'FULL' WHEN 1 THEN 'SOLE' ELSE 'LIMITED' END AS competition_type_cd,
+           CASE WHEN part % 2 = 0 THEN 'COMM' ELSE 'NONCOMM' END AS commercial_type_cd,
+           CASE WHEN status = 'F' THEN 'STD' ELSE 'FAST' END AS processing_speed_cd,
+           CASE WHEN l_linenumber = 1 THEN 'EXP' END AS expedited_type_cd,
+           CASE WHEN part % 5 = 0 THEN 'Y' ELSE 'N' END AS emergency_acq_cd,
+           'COR' || CAST(part % 3 AS VARCHAR) AS cor_delegation_cd,
+           CASE WHEN part % 7 = 0 THEN 'HIGH' END AS supply_chain_risk_cd,
+           'S' || CAST(l_linenumber % 4 AS VARCHAR) AS surveillance_spec_cd,
+           CASE WHEN l_orderkey % 9 = 0 THEN 'IC' END AS intel_community_cd,
+           ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY end_dt DESC NULLS LAST,
+                              'CT' || CAST(l_linenumber AS VARCHAR) ASC NULLS LAST) AS rn
+    FROM d_lines WHERE l_linenumber <> 7) WHERE rn = 1),
+a_ia AS (SELECT o_orderkey - o_orderkey % 4 AS acquisition_id, MIN(o_custkey) AS ia_id FROM orders GROUP BY 1),
+d_acquisition AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY a.acquisition_id) AS acquisition_sk, a.acquisition_id,
+         a.status_cd AS acquisition_status_cd,
+         CASE WHEN a.status_cd = 'AWARDED' THEN a.status_cd ELSE 'Code ' || a.status_cd END AS acquisition_status_desc,
+         a.type_cd AS acquisition_type_cd, 'Code ' || a.type_cd AS acquisition_type_desc,
+         p.competition_type_cd,
+         CASE WHEN p.competition_type_cd IN ('FULL', 'SOLE') THEN 'Code ' || p.competition_type_cd
+              ELSE p.competition_type_cd END AS competition_type_desc,
+         p.commercial_type_cd, p.processing_speed_cd, p.expedited_type_cd, p.emergency_acq_cd, p.cor_delegation_cd,
+         p.contract_type_cd AS consolidated_contract_cd, p.supply_chain_risk_cd, p.surveillance_spec_cd,
+         p.intel_community_cd, CAST(NULL AS DECIMAL(15,2)) AS igce_amt, CAST(NULL AS VARCHAR) AS igce_source,
+         a.performance_type_cd, COALESCE(gi.ia_sk, -1) AS ia_sk, COALESCE(ga.agency_sk, -1) AS agency_sk,
+         p.created_dt, {SCD_COLS_SQL}
+  FROM a_src a
+  LEFT JOIN a_plan p ON p.acquisition_id = a.acquisition_id
+  LEFT JOIN a_ia ai ON ai.acquisition_id = a.acquisition_id
+  LEFT JOIN g_ia gi ON gi.ia_id = ai.ia_id
+  LEFT JOIN g_agency ga ON ga.activity_address_cd = a.aac)"""
+
+
+@query("q_alt_dim_acquisition", f"{_DIMS_WITH}, {ACQ_SQL} SELECT * FROM d_acquisition")
+def q_alt_dim_acquisition(t):
+    """Acquisition dimension: latest live plan per acquisition (keep-one), three decodes, IA as the
+    smallest over the acquisition's awards (D-18), agency by address code."""
+    from gildhall.plans.domain import build_all
+    order = ["common.dim_agency", "common.dim_ia", "alt.dim_acquisition"]
+    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+    return gold["alt.dim_acquisition"]
