@@ -372,6 +372,27 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.when(F.col("l_orderkey") % 9 == 0, F.lit("IC")).alias("ap_intel_community_cd"),
         F.lit(None).cast("string").alias("idv_referenced_class_cd"),
         F.lit(None).cast("string").alias("idv_who_can_use_cd"), (pn == 7).alias("is_deleted"))
+    # solicitations (alt): one per even order key; amendments and responses are its lines
+    s["aasbs_solicit"] = lambda: T("orders").filter(F.col("o_orderkey") % 2 == 0).select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("acquisition_id"),
+        (F.col("o_orderkey") % 6).cast("int").alias("at_award_bid_cnt"),
+        F.concat(F.lit("SOL_"), F.col("o_orderstatus")).alias("sol_status_cd"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("Solicitation "), F.col("o_orderkey").cast("string")))
+         .alias("solicit_description"),
+        _aac(F.col("o_custkey") % 26).alias("sol_response_aac_visibility_cd"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_solicit_amendment"] = lambda: lines().select(
+        li_id.alias("id"), F.col("l_orderkey").alias("solicit_id"), F.col("_start").alias("created_dt"),
+        F.when(F.col("l_linenumber") != 2, F.col("_end")).alias("close_dt"),
+        F.when(F.col("l_linenumber") % 3 == 0, "OPEN").when(F.col("l_linenumber") % 3 == 1, "LIMITED")
+         .otherwise("UNKNOWN").alias("sol_posting_type_cd"),
+        (F.col("l_linenumber") == 6).alias("is_deleted"))
+    s["aasbs_lu_sol_posting_type"] = lambda: _code_table(
+        s["aasbs_solicit_amendment"].filter(F.col("sol_posting_type_cd") != "UNKNOWN"), "sol_posting_type_cd")
+    s["aasbs_solicit_response"] = lambda: lines().select(
+        li_id.alias("id"), F.col("l_orderkey").alias("solicit_id"),
+        F.when((F.col("_status") == "F") & (F.col("l_linenumber") == 1), "Y").otherwise("N").alias("winning_response_yn"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

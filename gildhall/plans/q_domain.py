@@ -905,3 +905,49 @@ def q_alt_dim_acquisition(t):
     order = ["common.dim_agency", "common.dim_ia", "alt.dim_acquisition"]
     gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
     return gold["alt.dim_acquisition"]
+
+
+SOL_SQL = f"""s_sol AS (
+  SELECT o_orderkey AS solicit_id, o_orderkey AS acquisition_id, CAST(o_orderkey % 6 AS INTEGER) AS bid_cnt,
+         'SOL_' || o_orderstatus AS sol_status_cd,
+         CASE WHEN o_orderkey % 3 <> 0 THEN 'Solicitation ' || CAST(o_orderkey AS VARCHAR) END AS descr,
+         'AAC' || {_pad('o_custkey % 26', 3)} AS aac
+  FROM orders WHERE o_orderkey % 2 = 0),
+s_amend AS (
+  SELECT lia AS id, l_orderkey AS solicit_id, start_dt AS created_dt,
+         CASE WHEN l_linenumber <> 2 THEN end_dt END AS close_dt,
+         CASE l_linenumber % 3 WHEN 0 THEN 'OPEN' WHEN 1 THEN 'LIMITED' ELSE 'UNKNOWN' END AS posting_cd
+  FROM d_lines WHERE l_linenumber <> 6),
+s_amend_latest AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY solicit_id ORDER BY created_dt DESC NULLS LAST, id DESC) AS rn
+                 FROM s_amend) WHERE rn = 1),
+s_resp AS (
+  SELECT l_orderkey AS solicit_id, COUNT(*) AS n,
+         MAX(CASE WHEN status = 'F' AND l_linenumber = 1 THEN lia END) AS winner
+  FROM d_lines GROUP BY 1),
+d_solicitation AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY s.solicit_id) AS solicitation_sk, s.solicit_id,
+         CAST(s.bid_cnt AS VARCHAR) AS solicit_num, s.sol_status_cd, COALESCE(s.descr, s.sol_status_cd) AS sol_status_desc,
+         la.posting_cd AS sol_posting_type_cd,
+         CASE WHEN la.posting_cd IN ('OPEN', 'LIMITED') THEN 'Code ' || la.posting_cd ELSE la.posting_cd END
+           AS sol_posting_type_desc,
+         la.created_dt AS open_dt, la.close_dt,
+         COALESCE(an.n, 0) AS total_amendments,
+         COALESCE(r.n, 0) AS total_responses, r.winner AS winning_response_id,
+         COALESCE(acq.acquisition_sk, -1) AS acquisition_sk, COALESCE(ga.agency_sk, -1) AS agency_sk
+  FROM s_sol s
+  LEFT JOIN s_amend_latest la ON la.solicit_id = s.solicit_id
+  LEFT JOIN (SELECT solicit_id, COUNT(*) AS n FROM s_amend GROUP BY 1) an ON an.solicit_id = s.solicit_id
+  LEFT JOIN s_resp r ON r.solicit_id = s.solicit_id
+  LEFT JOIN d_acquisition acq ON acq.acquisition_id = s.acquisition_id
+  LEFT JOIN g_agency ga ON ga.activity_address_cd = s.aac)"""
+
+
+@query("q_alt_dim_solicitation", f"{_DIMS_WITH}, {ACQ_SQL}, {SOL_SQL} SELECT * FROM d_solicitation")
+def q_alt_dim_solicitation(t):
+    """Solicitation dimension: amendment and response counts aggregated before the join, latest
+    amendment by keep-one, posting decode, acquisition and agency keys."""
+    from gildhall.plans.domain import build_all
+    order = ["common.dim_agency", "common.dim_ia", "alt.dim_acquisition", "alt.dim_solicitation"]
+    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+    return gold["alt.dim_solicitation"]
