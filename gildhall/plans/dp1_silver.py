@@ -393,6 +393,55 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         li_id.alias("id"), F.col("l_orderkey").alias("solicit_id"),
         F.when((F.col("_status") == "F") & (F.col("l_linenumber") == 1), "Y").otherwise("N").alias("winning_response_yn"),
         F.lit(None).cast("boolean").alias("is_deleted"))
+    # contractors (alt): the company on each award's latest modification; every fifth is ingested twice
+    # (the later ingestion on the base modification wins); partners are the suppliers, every tenth with
+    # an older duplicate row
+    pr = F.col("o_orderpriority")
+    btype = (F.when(pr == "1-URGENT", "SMALL_BUSINESS").when(pr == "2-HIGH", "WOMEN_OWNED_SMALL_BUSINESS")
+              .when(pr == "3-MEDIUM", "HUBZONE").when(pr == "4-NOT SPECIFIED", "SERVICE_DISABLED_VETERAN_OWNED"))
+
+    def _company(mod_offset, uei_suffix, days):
+        return T("orders").select(
+            F.col("o_orderkey").alias("id"), (F.col("o_orderkey") * 10 + mod_offset).alias("award_mod_id"),
+            F.concat(F.lit("UEI"), F.col("o_custkey").cast("string"), F.lit(uei_suffix)).alias("company_uei"),
+            _pad("o_custkey", 9).alias("company_duns"),
+            F.concat(F.lit("Company "), F.col("o_custkey").cast("string")).alias("solicit_company_name"),
+            btype.alias("business_type_cd"), (F.col("o_custkey") % 100).alias("ipartner_id"),
+            F.date_add(F.to_date("o_orderdate"), days).cast("timestamp_ntz").alias("_ingested_at"),
+            F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_award_mod_company"] = lambda: _company(1, "", 0).unionByName(
+        _company(0, "B", 1).filter(F.col("id") % 5 == 0))
+
+    def _partner(cage_prefix, days):
+        return T("supplier").select(
+            F.col("s_suppkey").alias("ipartner_id"),
+            F.concat(F.lit(cage_prefix), _pad("s_suppkey", 4)).alias("ipartner_cage_code"),
+            F.concat(F.lit("P"), F.col("s_nationkey").cast("string")).alias("ipartner_parent_uei"),
+            F.col("s_name").alias("ipartner_parent_name"),
+            F.concat(F.lit("City"), F.col("s_nationkey").cast("string")).alias("city"),
+            F.concat(F.lit("S"), (F.col("s_suppkey") % 50).cast("string")).alias("state"), F.lit("US").alias("country"),
+            _pad("s_suppkey", 5).alias("zip"),
+            F.date_add(F.to_date(F.lit("2000-01-01")), (F.col("s_suppkey") - days).cast("int")).cast("timestamp_ntz")
+             .alias("creation_date"))
+    s["table_master_industry_partners"] = lambda: _partner("C", 0).unionByName(
+        _partner("OLD", 365).filter(F.col("ipartner_id") % 10 == 0))
+    # closeouts (alt): one per fulfilled order; checklist items are its lines
+    s["aasbs_acquisition_closeout"] = lambda: T("orders").filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("acquisition_id"),
+        F.date_add(F.to_date("o_orderdate"), 100).cast("timestamp_ntz").alias("co_checked_certified_dt"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_add(F.to_date("o_orderdate"), 120).cast("timestamp_ntz"))
+         .alias("fma_certified_dt"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("y")).when(F.col("o_orderkey") % 3 == 1, F.lit("N"))
+         .alias("contract_funds_reconciled_yn"),
+        F.when(F.col("o_orderkey") % 4 == 0, F.lit(0).cast("decimal(15,2)"))
+         .otherwise(F.col("o_totalprice").cast("decimal(15,2)")).alias("ytd_total_vendor_invoiced_amt"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("P1")).alias("prohibition_cd"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_acquisition_closeout_checklist"] = lambda: lines().select(
+        F.col("l_orderkey").alias("acquisition_closeout_id"),
+        F.when(F.col("l_linenumber") == 3, F.lit(None).cast("string")).when(F.col("_status") == "F", F.lit("yes"))
+         .otherwise(F.lit("no")).alias("checklist_value_cd"),
+        (F.col("l_linenumber") == 5).alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

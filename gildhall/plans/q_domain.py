@@ -951,3 +951,69 @@ def q_alt_dim_solicitation(t):
     order = ["common.dim_agency", "common.dim_ia", "alt.dim_acquisition", "alt.dim_solicitation"]
     gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
     return gold["alt.dim_solicitation"]
+
+
+def _contractor_sql():
+    from gildhall.plans.domain.alt_fre import BUSINESS_FLAGS, COMPLETION_CODES
+    flags = "".join(f", {_like_any_sql("COALESCE(c.business_type_cd, '')", pats)} AS {name}"
+                    for name, pats in BUSINESS_FLAGS.items())
+    done = ", ".join(f"'{c}'" for c in COMPLETION_CODES)
+    return f"""c_co AS (
+  SELECT o_orderkey AS id, 'UEI' || CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderkey % 5 = 0 THEN 'B' ELSE '' END AS uei,
+         {_pad('o_custkey', 9)} AS duns, 'Company ' || CAST(o_custkey AS VARCHAR) AS company_name,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'SMALL_BUSINESS' WHEN '2-HIGH' THEN 'WOMEN_OWNED_SMALL_BUSINESS'
+              WHEN '3-MEDIUM' THEN 'HUBZONE' WHEN '4-NOT SPECIFIED' THEN 'SERVICE_DISABLED_VETERAN_OWNED' END
+           AS business_type_cd,
+         o_custkey % 100 AS ipartner_id
+  FROM orders),
+c_ip AS (
+  SELECT s_suppkey AS ipartner_id, 'C' || {_pad('s_suppkey', 4)} AS cage, 'P' || CAST(s_nationkey AS VARCHAR) AS puei,
+         s_name AS pname, 'City' || CAST(s_nationkey AS VARCHAR) AS city, 'S' || CAST(s_suppkey % 50 AS VARCHAR) AS st,
+         {_pad('s_suppkey', 5)} AS zip FROM supplier),
+d_contractor AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY c.id) AS contractor_sk, c.id AS award_mod_company_id, c.uei, c.duns AS duns_num,
+         ip.cage AS cage_code, c.company_name, CAST(NULL AS VARCHAR) AS dba_name, ip.puei AS parent_uei,
+         ip.pname AS parent_company_name, c.business_type_cd{flags}, ip.city, ip.st AS state_cd,
+         CASE WHEN ip.ipartner_id IS NOT NULL THEN 'US' END AS country_cd, ip.zip AS zip_code,
+         CAST(NULL AS VARCHAR) AS congressional_district, {SCD_COLS_SQL}
+  FROM c_co c LEFT JOIN c_ip ip ON ip.ipartner_id = c.ipartner_id),
+c_close AS (
+  SELECT o_orderkey AS acquisition_id, CAST(CAST(o_orderdate AS DATE) + 100 AS TIMESTAMP) AS co_cert_dt,
+         CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 120 AS TIMESTAMP) END AS fma_cert_dt,
+         CASE o_orderkey % 3 WHEN 0 THEN 'y' WHEN 1 THEN 'N' END AS reconciled,
+         CASE WHEN o_orderkey % 4 = 0 THEN CAST(0 AS DECIMAL(15,2)) ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS ytd,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'P1' END AS prohibition_cd
+  FROM orders WHERE o_orderstatus = 'F'),
+c_check AS (
+  SELECT l_orderkey AS id, COUNT(*) AS total,
+         COUNT(*) FILTER (WHERE upper(COALESCE(CASE WHEN l_linenumber = 3 THEN NULL WHEN status = 'F' THEN 'yes'
+                                                    ELSE 'no' END, '')) IN ({done})) AS done
+  FROM d_lines WHERE l_linenumber <> 5 GROUP BY 1),
+d_closeout AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY c.acquisition_id) AS closeout_sk, c.acquisition_id, c.co_cert_dt, c.fma_cert_dt,
+         CAST(NULL AS TIMESTAMP) AS client_cert_dt, CAST(NULL AS TIMESTAMP) AS final_invoice_dt,
+         CAST(NULL AS TIMESTAMP) AS closeout_complete_dt, COALESCE(k.total, 0) AS checklist_total_items,
+         COALESCE(k.done, 0) AS checklist_complete_items,
+         COALESCE(CAST(round(CAST(100.0 AS DOUBLE) * k.done / NULLIF(k.total, 0), 2) AS DECIMAL(5,2)),
+                  CAST(0 AS DECIMAL(5,2))) AS checklist_completion_pct,
+         upper(COALESCE(c.reconciled, 'N')) = 'N' AS has_open_udo_flag, COALESCE(c.ytd, 0) > 0 AS has_open_invoice_flag,
+         c.prohibition_cd AS closeout_prohibition_cds
+  FROM c_close c LEFT JOIN c_check k ON k.id = c.acquisition_id)"""
+
+
+CONTRACTOR_SQL = _contractor_sql()
+
+
+@query("q_alt_dim_contractor", f"{_DIMS_WITH}, {CONTRACTOR_SQL} SELECT * FROM d_contractor")
+def q_alt_dim_contractor(t):
+    """Contractor dimension: latest ingestion per company (keep-one, D-12), latest partner record,
+    socio-economic flags from the business type patterns."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["alt.dim_contractor"])["alt.dim_contractor"]
+
+
+@query("q_alt_dim_closeout", f"{_DIMS_WITH}, {CONTRACTOR_SQL} SELECT * FROM d_closeout")
+def q_alt_dim_closeout(t):
+    """Closeout dimension: checklist counts and completion percentage aggregated before the join."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["alt.dim_closeout"])["alt.dim_closeout"]
