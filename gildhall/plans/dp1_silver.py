@@ -442,6 +442,23 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.when(F.col("l_linenumber") == 3, F.lit(None).cast("string")).when(F.col("_status") == "F", F.lit("yes"))
          .otherwise(F.lit("no")).alias("checklist_value_cd"),
         (F.col("l_linenumber") == 5).alias("is_deleted"))
+    # invoices: one per order; accrual expenses: two month ends per line (the later one deleted on sixth
+    # lines), plus an undated row on fourth lines
+    s["aasbs_invoice"] = lambda: T("orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") == "F", "ACCEPTED").when(F.col("o_orderstatus") == "O", "SUBMITTED")
+         .otherwise(F.when(F.col("o_orderkey") % 2 == 0, F.lit("REJECTED"))).alias("invoice_status_cd"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+
+    def _accrual(k, month, rate, line=None):
+        src = lines() if line is None else lines().filter(F.col("l_linenumber") == line)
+        return src.select(
+            (li_id * 10 + k).alias("id"), li_id.alias("line_item_accepted_id"), month.alias("accrual_month_end_dt"),
+            dmul("_total", F.lit(rate)).alias("udo_amt"),
+            ((F.col("l_linenumber") == 6) & F.lit(k == 1)).alias("is_deleted"))
+    s["aasbs_accrual_expense"] = lambda: _accrual(1, F.last_day("_end"), 0.2).unionByName(
+        _accrual(2, F.last_day(F.add_months(F.to_date("_end"), -1)), 0.1)).unionByName(
+        _accrual(3, F.lit(None).cast("date"), 9.0, line=4))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

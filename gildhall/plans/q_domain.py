@@ -1017,3 +1017,73 @@ def q_alt_dim_closeout(t):
     """Closeout dimension: checklist counts and completion percentage aggregated before the join."""
     from gildhall.plans.domain import build_all
     return build_all(derived_silver(t), AS_OF, order=["alt.dim_closeout"])["alt.dim_closeout"]
+
+
+def _lifecycle_phase_sql(c: str, i: int) -> str:
+    from gildhall.plans.domain.alt_facts import DEFAULT_PHASE, PHASES
+    cond = " ".join(f"WHEN {_like_any_sql(c, pats)} THEN '{labels[i]}'" for labels, pats in PHASES)
+    return f"CASE {cond} ELSE '{DEFAULT_PHASE[i]}' END"
+
+
+def _award_lifecycle_sql():
+    from gildhall.plans.domain.alt_facts import CLOSED_INVOICE_STATUSES
+    closed = ", ".join(f"'{c}'" for c in CLOSED_INVOICE_STATUSES)
+    st = "COALESCE(upper(acq.acquisition_status_cd), '')"
+    return f"""al_acq AS (
+  SELECT o_orderkey - o_orderkey % 4 AS acquisition_id, 2 * COUNT(*) AS mods_count,
+         MAX(o_orderdate + INTERVAL 30 DAY) AS last_mod_signed, MIN(o_orderkey) AS company_id
+  FROM orders GROUP BY 1),
+al_inv AS (
+  SELECT i.lia, COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE NOT (CASE o.o_orderstatus WHEN 'F' THEN 'ACCEPTED' WHEN 'O' THEN 'SUBMITTED'
+                                     ELSE CASE WHEN o.o_orderkey % 2 = 0 THEN 'REJECTED' END END) IN ({closed})) AS pending
+  FROM (SELECT DISTINCT lia, l_orderkey FROM s_lineitem_ids WHERE l_returnflag = 'A') i
+  JOIN orders o ON o.o_orderkey = i.l_orderkey GROUP BY 1),
+al_accepted AS (SELECT lia, SUM({DMUL("l_extendedprice", "0.9")}) AS amt FROM s_lineitem_ids
+                WHERE l_linestatus = 'F' GROUP BY 1),
+al_sol AS (SELECT acquisition_sk, MIN(solicitation_sk) AS solicitation_sk FROM d_solicitation GROUP BY 1),
+award_lifecycle AS (
+  SELECT COALESCE(li.line_item_sk, -1) AS line_item_sk, COALESCE(aw.award_sk, -1) AS award_sk,
+         COALESCE(acq.acquisition_sk, -1) AS acquisition_sk, so.solicitation_sk, ct.contractor_sk, co.closeout_sk,
+         COALESCE(gi.ia_sk, -1) AS ia_sk, COALESCE(acq.agency_sk, -1) AS agency_sk,
+         CAST(strftime(aw.award_start_dt, '%Y%m%d') AS INTEGER) AS award_date_sk,
+         CAST(strftime(pa.last_mod_signed, '%Y%m%d') AS INTEGER) AS last_mod_date_sk,
+         {_lifecycle_phase_sql(st, 0)} AS current_proc_phase_cd, {_lifecycle_phase_sql(st, 1)} AS current_proc_phase_desc,
+         date_diff('day', CAST(acq.created_dt AS DATE), CAST(aw.award_start_dt AS DATE)) AS days_in_pre_award,
+         date_diff('day', CAST(pa.last_mod_signed AS DATE), DATE '{AS_OF}') AS days_since_last_mod,
+         date_diff('day', DATE '{AS_OF}', CAST(li.li_pop_end_dt AS DATE)) AS days_to_pop_end,
+         CAST(COALESCE(pa.mods_count, 0) AS INTEGER) AS mods_count,
+         CAST(COALESCE(inv.n, 0) AS INTEGER) AS total_invoices_count,
+         CAST(COALESCE(inv.pending, 0) AS INTEGER) AS pending_invoices_count,
+         CAST(0 AS DECIMAL(15,2)) AS base_award_amt,
+         CAST(COALESCE(li.obligated_ceiling_amt, 0) AS DECIMAL(15,2)) AS current_obligated_amt,
+         CAST(COALESCE(ac.amt, 0) AS DECIMAL(15,2)) AS current_accepted_amt,
+         CAST(greatest(COALESCE(li.obligated_ceiling_amt, 0) - COALESCE(ac.amt, 0), 0) AS DECIMAL(15,2)) AS current_udo_amt,
+         CAST(CASE WHEN l.l_linenumber = 6 THEN {DMUL("l.total", "0.1")} ELSE {DMUL("l.total", "0.2")} END
+              AS DECIMAL(15,2)) AS accrual_holdback_amt
+  FROM d_lines l
+  JOIN orders o ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN al_acq pa ON pa.acquisition_id = l.l_orderkey - l.l_orderkey % 4
+  LEFT JOIN al_inv inv ON inv.lia = l.lia
+  LEFT JOIN al_accepted ac ON ac.lia = l.lia
+  LEFT JOIN d_line_item li ON li.line_item_accepted_id = l.lia
+  LEFT JOIN d_award aw ON aw.award_mod_id = l.l_orderkey * 10 + 1
+  LEFT JOIN d_acquisition acq ON acq.acquisition_id = l.l_orderkey - l.l_orderkey % 4
+  LEFT JOIN al_sol so ON so.acquisition_sk = acq.acquisition_sk
+  LEFT JOIN d_closeout co ON co.acquisition_id = l.l_orderkey - l.l_orderkey % 4
+  LEFT JOIN d_contractor ct ON ct.award_mod_company_id = pa.company_id
+  LEFT JOIN g_ia gi ON gi.ia_id = o.o_custkey)"""
+
+
+@query("q_alt_fact_award_lifecycle", f"""{_DIMS_WITH}, {ACQ_SQL}, {SOL_SQL}, {CONTRACTOR_SQL}, {_award_lifecycle_sql()}
+SELECT * FROM award_lifecycle""")
+def q_alt_fact_award_lifecycle(t):
+    """Award lifecycle fact, one row per accepted line: modifications per acquisition, invoices
+    through the line's invoice items (D-10), latest accrual by keep-one, IA through the bridge
+    (D-18), contractor and solicitation reduced to one before joining, seven dimension keys."""
+    from gildhall.plans.domain import DP1_ORDER, build_all
+    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
+        "alt.dim_acquisition", "alt.dim_solicitation", "alt.dim_contractor", "alt.dim_closeout",
+        "alt.fact_award_lifecycle"]
+    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+    return gold["alt.fact_award_lifecycle"]
