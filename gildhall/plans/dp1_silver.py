@@ -459,6 +459,17 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
     s["aasbs_accrual_expense"] = lambda: _accrual(1, F.last_day("_end"), 0.2).unionByName(
         _accrual(2, F.last_day(F.add_months(F.to_date("_end"), -1)), 0.1)).unionByName(
         _accrual(3, F.lit(None).cast("date"), 9.0, line=4))
+    # product and service codes (fre): one per part brand; the brand's last digit picks the type
+    last = F.substring("p_brand", -1, 1)
+    s["aasbs_lus_psc"] = lambda: T("part").groupBy("p_brand").agg(
+        F.min("p_type").alias("_t_min"), F.max("p_type").alias("_t_max"), F.max("p_size").alias("_size")).select(
+        F.col("p_brand").alias("psc_code"),
+        F.when(last == "1", F.lit("  ")).otherwise(F.concat(F.lit("Full "), F.col("p_brand"))).alias("psc_full_name"),
+        F.concat(F.lit(" "), F.col("_t_min")).alias("psc_name"),
+        F.when(last.isin("1", "3", "5"), "SERVICE").when(last == "2", "R&D").otherwise("PRODUCT").alias("psc_type"),
+        F.concat(F.lit("L1 "), F.col("_t_max")).alias("level_1_category_name"),
+        F.concat(F.lit("L2 size "), F.col("_size").cast("string")).alias("level_2_category_name"),
+        F.substring("p_brand", 1, 7).alias("parent_psc_code"), F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

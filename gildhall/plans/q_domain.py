@@ -1087,3 +1087,45 @@ def q_alt_fact_award_lifecycle(t):
         "alt.fact_award_lifecycle"]
     gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
     return gold["alt.fact_award_lifecycle"]
+
+
+def _fre_sql():
+    from gildhall.plans.domain.alt_fre import SERVICE_PSC_PATTERNS
+    service = _like_any_sql("COALESCE(psc_type, '')", SERVICE_PSC_PATTERNS)
+    return f"""d_fpds_contractor AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY award_mod_company_id, eff_start_dt) AS fpds_contractor_sk, award_mod_company_id,
+         uei, duns_num, cage_code, company_name, parent_uei, parent_company_name, business_type_cd AS bus_type_cd, city,
+         state_cd, country_cd, congressional_district, eff_start_dt, eff_end_dt, is_current_flag,
+         CAST(NULL AS VARCHAR) AS sba_program_cd
+  FROM d_contractor),
+f_psc AS (
+  SELECT p_brand AS psc_code, CASE WHEN right(p_brand, 1) = '1' THEN '  ' ELSE 'Full ' || p_brand END AS psc_full_name,
+         ' ' || MIN(p_type) AS psc_name,
+         CASE WHEN right(p_brand, 1) IN ('1', '3', '5') THEN 'SERVICE' WHEN right(p_brand, 1) = '2' THEN 'R&D'
+              ELSE 'PRODUCT' END AS psc_type,
+         'L1 ' || MAX(p_type) AS l1, 'L2 size ' || CAST(MAX(p_size) AS VARCHAR) AS l2, substr(p_brand, 1, 7) AS parent
+  FROM part GROUP BY p_brand),
+d_fpds_psc AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY psc_code) AS psc_sk, psc_code AS psc_cd,
+         COALESCE({_nb('psc_full_name')}, {_nb('psc_name')}) AS psc_description, psc_type AS psc_category,
+         CASE WHEN NOT {service} THEN l1 END AS supply_category, CASE WHEN {service} THEN l2 END AS service_category,
+         parent AS naics_crosswalk
+  FROM f_psc)"""
+
+
+FRE_SQL = _fre_sql()
+
+
+@query("q_fre_dim_fpds_contractor", f"{_DIMS_WITH}, {CONTRACTOR_SQL}, {FRE_SQL} SELECT * FROM d_fpds_contractor")
+def q_fre_dim_fpds_contractor(t):
+    """FPDS contractor: the contractor dimension extended by a left join on its key (row count kept)."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["alt.dim_contractor", "fre.dim_fpds_contractor"],
+                     materialise=lambda name, df: df.checkpoint(eager=True))["fre.dim_fpds_contractor"]
+
+
+@query("q_fre_dim_fpds_psc", f"{_DIMS_WITH}, {CONTRACTOR_SQL}, {FRE_SQL} SELECT * FROM d_fpds_psc")
+def q_fre_dim_fpds_psc(t):
+    """FPDS product / service codes: first non-blank description, supply or service category by type pattern."""
+    from gildhall.plans.domain import build_all
+    return build_all(derived_silver(t), AS_OF, order=["fre.dim_fpds_psc"])["fre.dim_fpds_psc"]
