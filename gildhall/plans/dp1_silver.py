@@ -125,6 +125,7 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.lit("T1").alias("fund_type_cd"), F.col("s_name").alias("customer_act_num"),
         F.lit(2000).alias("first_fy_available_year"), F.lit(2002).alias("last_fy_available_year"),
         F.lit(None).cast("timestamp_ntz").alias("agreement_end_dt"), F.lit(None).cast("timestamp_ntz").alias("transmitted_dt"),
+        _aac(F.col("s_suppkey") % 30).alias("agency_location_code"),
         (F.col("s_suppkey") % 50 == 49).alias("is_deleted"))
     s["aasbs_lu_loa_status"] = lambda: _code_table(s["aasbs_loa"], "loa_status_cd")
     s["aasbs_award"] = lambda: T("orders").select(
@@ -133,8 +134,11 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("47QA"), F.col("o_orderkey").cast("string")))
          .otherwise(F.concat(F.lit("47QA"), _pad("o_orderkey", 9))).alias("award_piid"),
         F.col("o_orderstatus").alias("award_status_cd"), F.col("o_orderpriority").alias("award_fin"),
-        # awards of up to four consecutive order keys share one acquisition
+        # awards of up to four consecutive order keys share one acquisition; even keys were solicited
         (F.col("o_orderkey") - F.col("o_orderkey") % 4).alias("acquisition_id"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("solicit_id"),
+        F.lit(None).cast("string").alias("bundled_contract_cd"), F.lit(None).cast("string").alias("consolidated_contract_cd"),
+        F.lit(None).cast("string").alias("perf_based_svc_contract_cd"),
         _aac(F.col("o_custkey") % 25).alias("lead_svc_activity_address_cd"),
         (F.col("o_orderkey") * 10 + 1).alias("latest_award_mod_id"), F.lit(None).cast("boolean").alias("is_deleted"))
     @_once
@@ -143,10 +147,16 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
     s["aasbs_award_mod"] = lambda: base().select(
         (F.col("award_id") * 10).alias("id"), "award_id", F.lit("0").alias("mod_num"),
         F.lit(None).cast("string").alias("award_piid_ext"),
+        F.lit(None).cast("string").alias("m1p_sf30_mod_type_cd"),
+        F.lit(None).cast("string").alias("m1p_award_mod_fpds_reason_cd"), F.lit("DRAFT").alias("fpds_car_status_cd"),
         F.col("o_orderdate").alias("m1p_mod_start_dt"), F.col("o_orderdate").alias("co_signature_dt"),
         F.lit(None).cast("boolean").alias("is_deleted")).unionByName(base().select(
         (F.col("award_id") * 10 + 1).alias("id"), "award_id", F.lit("P01").alias("mod_num"),
         F.when(F.col("award_id") % 6 != 0, F.lit("P0001")).alias("award_piid_ext"),
+        F.when(F.col("award_id") % 7 == 0, "TERMINATE").when(F.col("award_id") % 7 == 1, "ADMIN").otherwise("FUNDING")
+         .alias("m1p_sf30_mod_type_cd"),
+        F.when(F.col("award_id") % 11 == 0, "d").otherwise("A").alias("m1p_award_mod_fpds_reason_cd"),
+        F.lit("FINAL").alias("fpds_car_status_cd"),
         (F.col("o_orderdate") + F.expr("interval 30 days")).alias("m1p_mod_start_dt"),
         (F.col("o_orderdate") + F.expr("interval 31 days")).alias("co_signature_dt"),
         F.lit(None).cast("boolean").alias("is_deleted")))
@@ -470,6 +480,22 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.concat(F.lit("L1 "), F.col("_t_max")).alias("level_1_category_name"),
         F.concat(F.lit("L2 size "), F.col("_size").cast("string")).alias("level_2_category_name"),
         F.substring("p_brand", 1, 7).alias("parent_psc_code"), F.lit(None).cast("boolean").alias("is_deleted"))
+    # amount snapshots (two per latest modification), transmittals and PO summaries (fre)
+    def _snap(rate):
+        return T("orders").select(
+            (F.col("o_orderkey") * 10 + 1).alias("award_mod_id"),
+            dmul("o_totalprice", F.lit(rate)).alias("base_exc_opt_amt"),
+            dmul("o_totalprice", F.lit(rate + 0.2)).alias("base_all_opt_amt"),
+            dmul("o_totalprice", F.lit(rate / 2)).alias("cum_funded_amt"),
+            dmul("o_totalprice", F.lit(rate + 0.3)).alias("cost_to_client_total_amt"),
+            F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_snap_award_mod_amts"] = lambda: _snap(0.5).unionByName(_snap(0.6))
+    s["aasbs_transmit_transmittal"] = lambda: T("orders").select(
+        F.col("o_orderkey").alias("id"), F.date_add(F.to_date("o_orderdate"), 2).cast("timestamp_ntz").alias("sent_dt"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_transmit_po_summary"] = lambda: s["aasbs_award"].select(
+        F.col("id").alias("transmittal_id"), F.when(F.col("id") % 2 == 0, F.col("award_piid")).alias("contract_number"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

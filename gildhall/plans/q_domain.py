@@ -1129,3 +1129,89 @@ def q_fre_dim_fpds_psc(t):
     """FPDS product / service codes: first non-blank description, supply or service category by type pattern."""
     from gildhall.plans.domain import build_all
     return build_all(derived_silver(t), AS_OF, order=["fre.dim_fpds_psc"])["fre.dim_fpds_psc"]
+
+
+def _fpds_txn_sql():
+    from gildhall.plans.domain.fre_facts import BASE_MOD_NUMS, TERMINATION_PATTERN, TERMINATION_REASON
+    base = ", ".join(f"'{c}'" for c in BASE_MOD_NUMS)
+    return f"""fr_mods AS (
+  SELECT o_orderkey * 10 AS id, o_orderkey AS award_id, '0' AS mod_num, o_orderdate AS co_signature_dt,
+         CAST(NULL AS VARCHAR) AS sf30, CAST(NULL AS VARCHAR) AS reason, 'DRAFT' AS car FROM orders
+  UNION ALL
+  SELECT o_orderkey * 10 + 1, o_orderkey, 'P01', o_orderdate + INTERVAL 31 DAY,
+         CASE o_orderkey % 7 WHEN 0 THEN 'TERMINATE' WHEN 1 THEN 'ADMIN' ELSE 'FUNDING' END,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'd' ELSE 'A' END, 'FINAL' FROM orders),
+fr_led AS (
+  SELECT (sl.line_item_accepted_id // 100) * 10 + 1 AS award_mod_id, SUM(COALESCE(sl.obligated, 0)) AS obligated,
+         MIN(su.s_suppkey + 1000) AS po_tracking_num, MIN(sl.loa_id) AS first_loa_id,
+         MIN('AAC' || {_pad('su.s_suppkey % 30', 3)}) AS funding_aac, MIN(sl.ia_id) AS ia_id
+  FROM s_ledger sl JOIN supplier su ON su.s_suppkey = sl.loa_id AND NOT (su.s_suppkey % 50 = 49)
+  WHERE {LIVE.replace("is_deleted", "sl.is_deleted")} GROUP BY 1),
+fr_psc AS (
+  SELECT award_mod_id, p.p_brand AS psc_cd FROM (
+    SELECT l_orderkey * 10 + 1 AS award_mod_id, part,
+           ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY {_pad('l_linenumber', 4)} || 'AA', lia) AS rn
+    FROM d_lines) x JOIN part p ON p.p_partkey = x.part WHERE rn = 1),
+fr_company AS (
+  SELECT o_orderkey * 10 + 1 AS award_mod_id, o_orderkey AS company_id FROM orders
+  UNION ALL SELECT o_orderkey * 10, o_orderkey FROM orders WHERE o_orderkey % 5 = 0),
+fr_plan AS (
+  SELECT acquisition_id, competition_type_cd FROM (
+    SELECT l_orderkey AS acquisition_id,
+           CASE l_linenumber % 3 WHEN 0 THEN 'FULL' WHEN 1 THEN 'SOLE' ELSE 'LIMITED' END AS competition_type_cd,
+           ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY end_dt DESC NULLS LAST,
+                              CASE l_linenumber % 3 WHEN 0 THEN 'FULL' WHEN 1 THEN 'SOLE' ELSE 'LIMITED' END
+                              ASC NULLS LAST) AS rn
+    FROM d_lines WHERE l_linenumber <> 7) WHERE rn = 1),
+fr_offers AS (SELECT l_orderkey AS solicit_id, COUNT(*) AS n FROM d_lines GROUP BY 1),
+fr_aac AS (SELECT ROW_NUMBER() OVER (ORDER BY cd) AS fpds_agency_sk, cd FROM s_aac),
+fpds_txn AS (
+  SELECT COALESCE(ga.award_sk, -1) AS fpds_award_sk, COALESCE(fc.fpds_contractor_sk, -1) AS fpds_contractor_sk,
+         COALESCE(lead.fpds_agency_sk, -1) AS fpds_agency_sk, COALESCE(fund.fpds_agency_sk, -1) AS funding_agency_sk,
+         ps.psc_sk, COALESCE(ga.award_sk, -1) AS award_sk, COALESCE(gi.ia_sk, -1) AS ia_sk, lo.loa_sk,
+         CAST(strftime(m.co_signature_dt, '%Y%m%d') AS INTEGER) AS action_date_sk, m.id AS award_mod_id, m.mod_num,
+         m.sf30 AS sf30_mod_type_cd, m.reason AS fpds_reason_cd,
+         CASE WHEN upper(COALESCE(m.mod_num, '')) IN ({base}) THEN 'A'
+              WHEN upper(COALESCE(m.sf30, '')) LIKE '{TERMINATION_PATTERN}'
+                   OR upper(COALESCE(m.reason, '')) = '{TERMINATION_REASON}' THEN 'D' ELSE 'C' END AS action_type_cd,
+         m.car AS car_status_cd, m.co_signature_dt AS car_submitted_dt, CAST(NULL AS TIMESTAMP) AS car_accepted_dt,
+         fl.po_tracking_num, CAST(COALESCE(fl.obligated, 0) AS DECIMAL(15,2)) AS action_obligation_amt,
+         CAST(CASE WHEN m.mod_num = 'P01' THEN {DMUL("o.o_totalprice", "0.6")} ELSE 0 END AS DECIMAL(15,2))
+           AS base_exercised_opts_amt,
+         CAST(CASE WHEN m.mod_num = 'P01' THEN {DMUL("o.o_totalprice", "0.8")} ELSE 0 END AS DECIMAL(15,2))
+           AS base_all_opts_amt,
+         CAST(CASE WHEN m.mod_num = 'P01' THEN {DMUL("o.o_totalprice", "0.3")} ELSE 0 END AS DECIMAL(15,2))
+           AS current_total_value_amt,
+         CAST(CASE WHEN m.mod_num = 'P01' THEN {DMUL("o.o_totalprice", "0.9")} ELSE 0 END AS DECIMAL(15,2))
+           AS ultimate_contract_value,
+         COALESCE(ct.small_business_flag, FALSE) AS is_small_business_flag, pl.competition_type_cd,
+         CAST(NULL AS VARCHAR) AS reason_not_competed_cd,
+         CAST(CASE WHEN m.award_id % 2 = 0 THEN COALESCE(off.n, 0) END AS BIGINT) AS number_of_offers
+  FROM fr_mods m
+  JOIN orders o ON o.o_orderkey = m.award_id
+  LEFT JOIN fr_led fl ON fl.award_mod_id = m.id
+  LEFT JOIN fr_psc fp ON fp.award_mod_id = m.id
+  LEFT JOIN d_fpds_psc ps ON ps.psc_cd = fp.psc_cd
+  LEFT JOIN (SELECT award_mod_id, MIN(company_id) AS company_id FROM fr_company GROUP BY 1) co ON co.award_mod_id = m.id
+  LEFT JOIN d_fpds_contractor fc ON fc.award_mod_company_id = co.company_id
+  LEFT JOIN d_contractor ct ON ct.award_mod_company_id = co.company_id
+  LEFT JOIN fr_plan pl ON pl.acquisition_id = m.award_id - m.award_id % 4
+  LEFT JOIN fr_offers off ON off.solicit_id = m.award_id
+  LEFT JOIN g_award ga ON ga.award_id = m.award_id
+  LEFT JOIN fr_aac lead ON lead.cd = 'AAC' || {_pad('o.o_custkey % 25', 3)}
+  LEFT JOIN fr_aac fund ON fund.cd = fl.funding_aac
+  LEFT JOIN g_ia gi ON gi.ia_id = fl.ia_id
+  LEFT JOIN d_loa lo ON lo.loa_id = fl.first_loa_id)"""
+
+
+@query("q_fre_fact_fpds_transaction", f"""{_DIMS_WITH}, {CONTRACTOR_SQL}, {FRE_SQL}, {_fpds_txn_sql()}
+SELECT * FROM fpds_txn""")
+def q_fre_fact_fpds_transaction(t):
+    """FPDS transaction fact, one row per award modification: ledger, companies, plans, snapshots and
+    offers each reduced to one row per key before joining; first line's PSC by keep-one; eight keys."""
+    from gildhall.plans.domain import DP1_ORDER, build_all
+    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
+        "alt.dim_contractor", "fre.dim_fpds_contractor", "fre.dim_fpds_psc", "fre.dim_fpds_agency",
+        "fre.dim_fpds_award", "fre.fact_fpds_transaction"]
+    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+    return gold["fre.fact_fpds_transaction"]
