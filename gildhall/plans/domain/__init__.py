@@ -6,6 +6,8 @@ built Gold tables (``"common.dim_agency"``) for key resolution. Builders are
 pure DataFrame plans; writing, conforming and auditing are the caller's.
 """
 
+from collections.abc import Mapping
+
 from gildhall.plans.domain.air_facts import fact_accrual_income
 from gildhall.plans.domain.alt_facts import fact_award_lifecycle
 from gildhall.plans.domain.alt_fre import (
@@ -97,6 +99,59 @@ DP1_ORDER = ["common.dim_date", "common.dim_agency", "common.dim_ia", "common.di
              "common.dim_funding", "common.dim_line_item", "oet.fact_obligation_expenditure"]
 
 
+class LazyGold(Mapping):
+    """Gold tables built on first access.
+
+    A builder's own reads of ``gold`` build what it needs first, so asking for
+    one target builds exactly its dependency closure, in dependency order,
+    each table once. ``materialise(name, df) -> df`` is applied to every built
+    table (the production path writes it, tests checkpoint it).
+    """
+
+    def __init__(self, silver, as_of: str, materialise=None, builders=None):
+        self._silver = silver
+        self._as_of = as_of
+        self._materialise = materialise
+        self._builders = builders or BUILDERS
+        self._built: dict = {}
+        self._building: list[str] = []
+
+    def _make(self, name: str):
+        if name not in self._builders:
+            raise KeyError(name)
+        if name in self._building:
+            raise ValueError("dependency cycle: " + " -> ".join([*self._building, name]))
+        self._building.append(name)
+        try:
+            return self._builders[name](self._silver, self, self._as_of)
+        finally:
+            self._building.pop()
+
+    def __getitem__(self, name: str):
+        if name not in self._built:
+            df = self._make(name)
+            self._built[name] = self._materialise(name, df) if self._materialise else df
+        return self._built[name]
+
+    def plan(self, name: str):
+        """``name`` with everything it reads built first; the target itself is
+        returned as a plan for the caller to write, not materialised."""
+        return self._built[name] if name in self._built else self._make(name)
+
+    def __contains__(self, name) -> bool:
+        return name in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def built(self) -> list[str]:
+        """Names built so far, in build order."""
+        return list(self._built)
+
+
 def build_all(silver, as_of: str, order=DP1_ORDER, materialise=None):
     """Build targets in order; each built table is visible to the next.
 

@@ -77,24 +77,34 @@ g_ia AS (SELECT ROW_NUMBER() OVER (ORDER BY ia_id) AS ia_sk, * FROM g_ia_rows)""
 SCD_COLS_SQL = f"TIMESTAMP '{AS_OF}' AS eff_start_dt, CAST(NULL AS TIMESTAMP) AS eff_end_dt, TRUE AS is_current_flag"
 
 
-def _gold(t, upto: str):
-    from gildhall.plans.domain import DP1_ORDER, build_all
-    order = DP1_ORDER[1:DP1_ORDER.index(upto) + 1]
-    # each built target is materialised (reliable checkpoint in the shared folder), as a
-    # production load writes it: later builders read it instead of recomputing its chain
-    return build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
+def _ckpt(name: str, df):
+    # each Gold table a target reads is materialised (reliable checkpoint in the shared
+    # folder), as a production load writes it: later builders read it instead of
+    # recomputing its chain
+    return df.checkpoint(eager=True)
+
+
+def _gold(t, silver=None):
+    """Gold over derived Silver, each table built on first access with only what it reads."""
+    from gildhall.plans.domain import LazyGold
+    return LazyGold(derived_silver(t) if silver is None else silver, AS_OF, materialise=_ckpt)
+
+
+def _build(t, target: str):
+    """``target`` over derived Silver; the Gold tables it reads (and only those) are built first."""
+    return _gold(t).plan(target)
 
 
 @query("q_dp1_dim_agency", f"WITH {SILVER_DIM_SQL} SELECT *, {SCD_COLS_SQL} FROM g_agency")
 def q_dp1_dim_agency(t):
     """Agency dimension built from derived Silver: one bureau per agency (D-16), dense keys by address code."""
-    return _gold(t, "common.dim_agency")["common.dim_agency"]
+    return _build(t, "common.dim_agency")
 
 
 @query("q_dp1_dim_ia", f"WITH {SILVER_DIM_SQL} SELECT *, {SCD_COLS_SQL} FROM g_ia")
 def q_dp1_dim_ia(t):
     """IA dimension: type rules, status decode, servicing agency key with sentinel."""
-    return _gold(t, "common.dim_ia")["common.dim_ia"]
+    return _build(t, "common.dim_ia")
 
 
 FACT_SQL = f"""{LEDGER_SQL},
@@ -166,7 +176,7 @@ fact AS (
 def q_dp1_fact_obligation(t):
     """The obligation fact over the whole derived ledger: grain aggregate, line-level
     invoice/acceptance/bill aggregates joined once each, six key resolutions, zero rows dropped."""
-    return _gold(t, "oet.fact_obligation_expenditure")["oet.fact_obligation_expenditure"]
+    return _build(t, "oet.fact_obligation_expenditure")
 
 
 CFO_SQL = f"""g_line_item_attrs AS (
@@ -204,7 +214,7 @@ def q_dp1_cfo_summary(t):
     from pyspark.sql import functions as F
 
     from gildhall.plans.views import v_cfo_obligation_summary
-    gold = _gold(t, "oet.fact_obligation_expenditure")
+    gold = _gold(t)
     v = v_cfo_obligation_summary(gold)
     sums = [c for c in v.columns if c.startswith("total_")]
     return v.select(*[F.col(c).cast("decimal(38,2)").alias(c) if c in sums else F.col(c) for c in v.columns])
@@ -248,7 +258,7 @@ def q_dp1_cdc_ia(t):
     SCD2 join, fresh surrogate keys for new versions after the current maximum (CDC-7)."""
     from gildhall.plans.domain.cdc import refresh_dimension
     silver = derived_silver(t)
-    gold = _gold(t, "common.dim_ia")
+    gold = _gold(t)
     return refresh_dimension(_silver_v2(silver), gold, "common.dim_ia", CDC_LO, CDC_HI, CDC_AS_OF, "cdc-1")
 
 
@@ -302,12 +312,7 @@ amend AS (
 def q_iat_fact_ia_amendment(t):
     """IA amendment fact over amendments derived from all orders: LAG cost and period
     deltas per IA as a rank equi-join (skew-safe), one funding and LOA per IA (D-14)."""
-    from gildhall.plans.domain import BUILDERS, build_all
-    silver = derived_silver(t)
-    gold = build_all(silver, AS_OF, order=["common.dim_agency", "common.dim_ia", "common.dim_loa", "common.dim_funding",
-                                            "iat.dim_amend_action"],
-                     materialise=lambda name, df: df.checkpoint(eager=True))
-    return BUILDERS["iat.fact_ia_amendment"](silver, gold, AS_OF)
+    return _build(t, "iat.fact_ia_amendment")
 
 
 def _entity_sql(code: str) -> str:
@@ -387,12 +392,7 @@ def q_cat_fact_lifecycle_event(t):
     whole comment texts): polymorphic references with the escaped IA pattern (D-28), the
     COLLABORATION event type as a constant lookup (scalar subquery), latest comment per
     collaboration, both branches in one shape."""
-    from gildhall.plans.domain import BUILDERS, build_all
-    silver = derived_silver(t)
-    gold = build_all(silver, AS_OF, order=["common.dim_agency", "common.dim_ia", "common.dim_award",
-                                            "cat.dim_event_type", "wpr.dim_entity_type"],
-                     materialise=lambda name, df: df.checkpoint(eager=True))
-    return BUILDERS["cat.fact_lifecycle_event"](silver, gold, AS_OF)
+    return _build(t, "cat.fact_lifecycle_event")
 
 
 BILLING_SQL = f"""s_lines AS (SELECT l_orderkey, l_orderkey * 100 + l_linenumber AS lia,
@@ -430,8 +430,7 @@ billing AS (
 def q_psc_dim_billing_period(t):
     """Billing periods over every derived schedule: invoice items matched to the periods that
     contain their service dates (one equi + range join), variance against the schedule."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["psc.dim_billing_period"])["psc.dim_billing_period"]
+    return _build(t, "psc.dim_billing_period")
 
 
 SCS_FACT_SQL = f"""s_li AS (SELECT l.l_orderkey * 100 + l.l_linenumber AS line_item_id, o.o_custkey AS parent_ia_id,
@@ -472,11 +471,7 @@ scs_fact AS (
 def q_psc_fact_service_charge_schedule(t):
     """Service charge schedule fact: one row per live schedule, invoice and travel measures from
     one containment join, four key resolutions, the +/-10 % on-schedule flag."""
-    from gildhall.plans.domain import DP1_ORDER, build_all
-    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
-        "psc.dim_billing_period", "psc.fact_service_charge_schedule"]
-    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
-    return gold["psc.fact_service_charge_schedule"]
+    return _build(t, "psc.fact_service_charge_schedule")
 
 
 CLIN_SQL = f"""s_lines2 AS (SELECT l_orderkey, l_linenumber, l_orderkey * 100 + l_linenumber AS lia,
@@ -550,20 +545,11 @@ clin_fact AS (
   LEFT JOIN g_loa lo ON lo.loa_id = b.loa_id)"""
 
 
-def _psc_gold(t, upto: str):
-    from gildhall.plans.domain import DP1_ORDER, build_all
-    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
-        "psc.dim_cost_rate_type", "psc.dim_clin_subtype", "psc.fact_clin_pricing"]
-    return build_all(derived_silver(t), AS_OF, order=order[:order.index(upto) + 1],
-                     materialise=lambda name, df: df.checkpoint(eager=True))[upto]
-
-
 @query("q_psc_dim_clin_subtype", f"WITH {CLIN_SQL} SELECT * FROM clin_subtype")
 def q_psc_dim_clin_subtype(t):
     """CLIN subtypes: line items scanned once, exploded into subtype pointers, paired with the
     five subtype tables in one tagged union and one equi-join; service charge and phase decoded."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["psc.dim_clin_subtype"])["psc.dim_clin_subtype"]
+    return _build(t, "psc.dim_clin_subtype")
 
 
 @query("q_psc_fact_clin_pricing", f"""WITH {SILVER_DIM_SQL}, {FACT_SQL}, {BILLING_SQL}, {SCS_FACT_SQL}, {CLIN_SQL}
@@ -571,7 +557,7 @@ SELECT * FROM clin_fact""")
 def q_psc_fact_clin_pricing(t):
     """CLIN pricing: line x LOA x subtype with the LOA burn order (skew-safe ranking of each
     line's LOAs by first ledger row), plans by first non-NULL, actuals pre-aggregated."""
-    return _psc_gold(t, "psc.fact_clin_pricing")
+    return _build(t, "psc.fact_clin_pricing")
 
 
 @query("q_tpp_invoice_line_report", """SELECT l_orderkey AS invoice_id,
@@ -622,17 +608,13 @@ review_fact AS (
 @query("q_iat_dim_reviewer", f"WITH {REVIEW_SQL} SELECT * FROM reviewer")
 def q_iat_dim_reviewer(t):
     """Reviewers named on IA reviews, joined to their user records (name, active flag)."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["iat.dim_reviewer"])["iat.dim_reviewer"]
+    return _build(t, "iat.dim_reviewer")
 
 
 @query("q_iat_fact_ia_review", f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {AMEND_SQL}, {REVIEW_SQL} SELECT * FROM review_fact")
 def q_iat_fact_ia_review(t):
     """IA review fact: IA, reviewer and servicing agency keys, review date key and fiscal year."""
-    from gildhall.plans.domain import build_all
-    order = ["common.dim_agency", "common.dim_ia", "iat.dim_reviewer", "iat.fact_ia_review"]
-    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
-    return gold["iat.fact_ia_review"]
+    return _build(t, "iat.fact_ia_review")
 
 
 def _like_any_sql(c: str, patterns) -> str:
@@ -672,27 +654,22 @@ def _lookup_sql():
 _EV_SQL, _AM_SQL, _CR_SQL = _lookup_sql()
 
 
-def _lookup_dim(t, name: str):
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=[name])[name]
-
-
 @query("q_cat_dim_event_type", _EV_SQL)
 def q_cat_dim_event_type(t):
     """Event types of all events (plus collaborations) with lifecycle phase and flags from the pattern rules."""
-    return _lookup_dim(t, "cat.dim_event_type")
+    return _build(t, "cat.dim_event_type")
 
 
 @query("q_iat_dim_amend_action", _AM_SQL)
 def q_iat_dim_amend_action(t):
     """IA amendment actions with scope / cost / period flags from the pattern rules."""
-    return _lookup_dim(t, "iat.dim_amend_action")
+    return _build(t, "iat.dim_amend_action")
 
 
 @query("q_psc_dim_cost_rate_type", _CR_SQL)
 def q_psc_dim_cost_rate_type(t):
     """Cost rate types of the labour plans with the actual-rate flag."""
-    return _lookup_dim(t, "psc.dim_cost_rate_type")
+    return _build(t, "psc.dim_cost_rate_type")
 
 
 PIID_SQL = (f"CASE WHEN o.o_orderkey % 10 = 0 THEN '47QA' || CAST(o.o_orderkey AS VARCHAR) "
@@ -774,10 +751,6 @@ d_line_item AS (
   LEFT JOIN part p ON p.p_partkey = l.part)"""
 
 
-def _dp1_dim(t, name: str):
-    return _gold(t, name)[name]
-
-
 _DIMS_WITH = f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {DP1_DIMS_SQL}"
 
 
@@ -785,25 +758,25 @@ _DIMS_WITH = f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {DP1_DIMS_SQL}"
 def q_dp1_dim_loa(t):
     """LOA dimension: composed treasury symbol (blank parts skipped), status decode, agency by the
     2-character prefix through a lookup made unique first (no fan-out)."""
-    return _dp1_dim(t, "common.dim_loa")
+    return _build(t, "common.dim_loa")
 
 
 @query("q_dp1_dim_award", f"{_DIMS_WITH} SELECT * FROM d_award")
 def q_dp1_dim_award(t):
     """Award dimension: latest modification, base award date, IA through the bridge (smallest, D-7)."""
-    return _dp1_dim(t, "common.dim_award")
+    return _build(t, "common.dim_award")
 
 
 @query("q_dp1_dim_funding", f"{_DIMS_WITH} SELECT * FROM d_funding")
 def q_dp1_dim_funding(t):
     """Funding dimension: three decodes, IA key and its servicing agency from one lookup, funded total."""
-    return _dp1_dim(t, "common.dim_funding")
+    return _build(t, "common.dim_funding")
 
 
 @query("q_dp1_dim_line_item", f"{_DIMS_WITH} SELECT * FROM d_line_item")
 def q_dp1_dim_line_item(t):
     """Line item dimension: latest accepted version, award key, type decode, deliverable attributes."""
-    return _dp1_dim(t, "common.dim_line_item")
+    return _build(t, "common.dim_line_item")
 
 
 WPR_SMI_SQL = f"""d_user AS (
@@ -844,15 +817,13 @@ d_piid AS (
 @query("q_wpr_dim_user", f"WITH {WPR_SMI_SQL} SELECT * FROM d_user")
 def q_wpr_dim_user(t):
     """User dimension: character delete flag, composed name and phone, version starts at activation."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["wpr.dim_user"])["wpr.dim_user"]
+    return _build(t, "wpr.dim_user")
 
 
 @query("q_smi_dim_piid", f"WITH {WPR_SMI_SQL} SELECT * FROM d_piid")
 def q_smi_dim_piid(t):
     """PIID dimension: positional parts of full-length PIIDs, extension of the latest modification."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["smi.dim_piid"])["smi.dim_piid"]
+    return _build(t, "smi.dim_piid")
 
 
 ACQ_SQL = f"""a_src AS (
@@ -901,10 +872,7 @@ d_acquisition AS (
 def q_alt_dim_acquisition(t):
     """Acquisition dimension: latest live plan per acquisition (keep-one), three decodes, IA as the
     smallest over the acquisition's awards (D-18), agency by address code."""
-    from gildhall.plans.domain import build_all
-    order = ["common.dim_agency", "common.dim_ia", "alt.dim_acquisition"]
-    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
-    return gold["alt.dim_acquisition"]
+    return _build(t, "alt.dim_acquisition")
 
 
 SOL_SQL = f"""s_sol AS (
@@ -947,10 +915,7 @@ d_solicitation AS (
 def q_alt_dim_solicitation(t):
     """Solicitation dimension: amendment and response counts aggregated before the join, latest
     amendment by keep-one, posting decode, acquisition and agency keys."""
-    from gildhall.plans.domain import build_all
-    order = ["common.dim_agency", "common.dim_ia", "alt.dim_acquisition", "alt.dim_solicitation"]
-    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
-    return gold["alt.dim_solicitation"]
+    return _build(t, "alt.dim_solicitation")
 
 
 def _contractor_sql():
@@ -1008,15 +973,13 @@ CONTRACTOR_SQL = _contractor_sql()
 def q_alt_dim_contractor(t):
     """Contractor dimension: latest ingestion per company (keep-one, D-12), latest partner record,
     socio-economic flags from the business type patterns."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["alt.dim_contractor"])["alt.dim_contractor"]
+    return _build(t, "alt.dim_contractor")
 
 
 @query("q_alt_dim_closeout", f"{_DIMS_WITH}, {CONTRACTOR_SQL} SELECT * FROM d_closeout")
 def q_alt_dim_closeout(t):
     """Closeout dimension: checklist counts and completion percentage aggregated before the join."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["alt.dim_closeout"])["alt.dim_closeout"]
+    return _build(t, "alt.dim_closeout")
 
 
 def _lifecycle_phase_sql(c: str, i: int) -> str:
@@ -1081,12 +1044,7 @@ def q_alt_fact_award_lifecycle(t):
     """Award lifecycle fact, one row per accepted line: modifications per acquisition, invoices
     through the line's invoice items (D-10), latest accrual by keep-one, IA through the bridge
     (D-18), contractor and solicitation reduced to one before joining, seven dimension keys."""
-    from gildhall.plans.domain import DP1_ORDER, build_all
-    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
-        "alt.dim_acquisition", "alt.dim_solicitation", "alt.dim_contractor", "alt.dim_closeout",
-        "alt.fact_award_lifecycle"]
-    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
-    return gold["alt.fact_award_lifecycle"]
+    return _build(t, "alt.fact_award_lifecycle")
 
 
 def _fre_sql():
@@ -1119,16 +1077,13 @@ FRE_SQL = _fre_sql()
 @query("q_fre_dim_fpds_contractor", f"{_DIMS_WITH}, {CONTRACTOR_SQL}, {FRE_SQL} SELECT * FROM d_fpds_contractor")
 def q_fre_dim_fpds_contractor(t):
     """FPDS contractor: the contractor dimension extended by a left join on its key (row count kept)."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["alt.dim_contractor", "fre.dim_fpds_contractor"],
-                     materialise=lambda name, df: df.checkpoint(eager=True))["fre.dim_fpds_contractor"]
+    return _build(t, "fre.dim_fpds_contractor")
 
 
 @query("q_fre_dim_fpds_psc", f"{_DIMS_WITH}, {CONTRACTOR_SQL}, {FRE_SQL} SELECT * FROM d_fpds_psc")
 def q_fre_dim_fpds_psc(t):
     """FPDS product / service codes: first non-blank description, supply or service category by type pattern."""
-    from gildhall.plans.domain import build_all
-    return build_all(derived_silver(t), AS_OF, order=["fre.dim_fpds_psc"])["fre.dim_fpds_psc"]
+    return _build(t, "fre.dim_fpds_psc")
 
 
 def _fpds_txn_sql():
@@ -1209,9 +1164,4 @@ SELECT * FROM fpds_txn""")
 def q_fre_fact_fpds_transaction(t):
     """FPDS transaction fact, one row per award modification: ledger, companies, plans, snapshots and
     offers each reduced to one row per key before joining; first line's PSC by keep-one; eight keys."""
-    from gildhall.plans.domain import DP1_ORDER, build_all
-    order = DP1_ORDER[1:DP1_ORDER.index("common.dim_line_item") + 1] + [
-        "alt.dim_contractor", "fre.dim_fpds_contractor", "fre.dim_fpds_psc", "fre.dim_fpds_agency",
-        "fre.dim_fpds_award", "fre.fact_fpds_transaction"]
-    gold = build_all(derived_silver(t), AS_OF, order=order, materialise=lambda name, df: df.checkpoint(eager=True))
-    return gold["fre.fact_fpds_transaction"]
+    return _build(t, "fre.fact_fpds_transaction")

@@ -239,3 +239,28 @@ def test_cdc_fact_accrual_only_when_fresh(spark, gold):
     off = refresh_fact(silver, gold, "2022-02-01", "2022-03-01", "2022-03-01", "c", audit=stale).collect()
     assert {r.accrued_amt for r in on} == {D("10.00")}
     assert {r.accrued_amt for r in off} == {D("0.00")}
+
+
+def test_lazy_gold_builds_only_the_closure(spark):
+    """Asking for one target builds exactly what its builders read, each once, in
+    dependency order; the target itself comes back unmaterialised; cycles fail."""
+    from gildhall.plans.domain import LazyGold
+    calls, mats = [], []
+
+    def mk(name, reads):
+        def build(silver, gold, as_of):
+            calls.append(name)
+            for r in reads:
+                gold[r]
+            return spark.range(1).withColumnRenamed("id", name.replace(".", "_"))
+        return build
+
+    builders = {"a": mk("a", []), "b": mk("b", ["a"]), "c": mk("c", ["a", "b"]), "unused": mk("unused", ["a"])}
+    g = LazyGold({}, "2024-01-01", materialise=lambda n, df: (mats.append(n), df)[1], builders=builders)
+    g.plan("c")
+    assert calls == ["c", "a", "b"] and mats == ["a", "b"] and g.built() == ["a", "b"]
+    assert "unused" in g and "zzz" not in g
+    cyc = LazyGold({}, "2024-01-01", builders={"x": mk("x", ["y"]), "y": mk("y", ["x"])})
+    import pytest
+    with pytest.raises(ValueError, match="cycle"):
+        cyc.plan("x")
