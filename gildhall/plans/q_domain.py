@@ -1165,3 +1165,21 @@ def q_fre_fact_fpds_transaction(t):
     """FPDS transaction fact, one row per award modification: ledger, companies, plans, snapshots and
     offers each reduced to one row per key before joining; first line's PSC by keep-one; eight keys."""
     return _build(t, "fre.fact_fpds_transaction")
+
+
+FPDS_AWARD_SQL = f"""d_fpds_award AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY o.o_orderkey) AS fpds_award_sk, o.o_orderkey AS award_id, {PIID_SQL} AS piid,
+         CAST(NULL AS VARCHAR) AS idv_piid, CAST(NULL AS VARCHAR) AS idv_agency_id,
+         CAST(NULL AS VARCHAR) AS referenced_idv_type_cd, ap.contract_type_cd, CAST(NULL AS VARCHAR) AS bundled_contract_cd,
+         CAST(NULL AS VARCHAR) AS consolidated_contract_cd, CAST(NULL AS VARCHAR) AS multi_year_contract_cd,
+         CAST(NULL AS VARCHAR) AS performance_type_cd, CAST(NULL AS VARCHAR) AS who_can_use_cd,
+         'FINAL' AS fpds_car_status_cd,
+         CASE WHEN o.o_orderkey % 2 = 0 THEN CAST(CAST(o.o_orderdate AS DATE) + 2 AS TIMESTAMP) END AS last_submitted_dt
+  FROM orders o LEFT JOIN a_plan ap ON ap.acquisition_id = o.o_orderkey - o.o_orderkey % 4)"""
+
+
+@query("q_fre_dim_fpds_award", f"{_DIMS_WITH}, {ACQ_SQL}, {FPDS_AWARD_SQL} SELECT * FROM d_fpds_award")
+def q_fre_dim_fpds_award(t):
+    """FPDS award: latest modification's CAR status, latest acquisition plan (keep-one), last
+    transmittal date per PIID aggregated before the join."""
+    return _build(t, "fre.dim_fpds_award")
