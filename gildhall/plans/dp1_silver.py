@@ -496,6 +496,19 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
     s["aasbs_transmit_po_summary"] = lambda: s["aasbs_award"].select(
         F.col("id").alias("transmittal_id"), F.when(F.col("id") % 2 == 0, F.col("award_piid")).alias("contract_number"),
         F.lit(None).cast("boolean").alias("is_deleted"))
+    # postings of solicitation amendments (smi): direct postings on first lines of every third order
+    # (every ninth with an external source), connect postings on second lines of every fourth order
+    s["aasbs_solicit_posting_direct"] = lambda: lines().filter(
+        (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 3 == 0)).select(
+        li_id.alias("id"), li_id.alias("solicit_amendment_id"),
+        F.concat(F.lit("R"), (F.col("l_orderkey") % 5).cast("string")).alias("reason_for_direct_cd"),
+        F.when(F.col("l_orderkey") % 9 == 0, F.concat(F.lit("EXT"), F.col("l_orderkey").cast("string")))
+         .alias("external_source_ref"),
+        F.col("_start").alias("open_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_solicit_posting_connect"] = lambda: lines().filter(
+        (F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 4 == 0)).select(
+        li_id.alias("id"), li_id.alias("solicit_amendment_id"), (F.col("l_orderkey") % 50).alias("pm_responsible_user_id"),
+        F.col("_end").alias("open_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

@@ -1183,3 +1183,36 @@ def q_fre_dim_fpds_award(t):
     """FPDS award: latest modification's CAR status, latest acquisition plan (keep-one), last
     transmittal date per PIID aggregated before the join."""
     return _build(t, "fre.dim_fpds_award")
+
+
+def _posting_sql():
+    from gildhall.plans.domain.iat_smi import POSTING_DIRECT, POSTING_DIRECT_CONNECT, POSTING_INFORMAL, POSTING_OPEN
+
+    def pick(i):
+        return (f"CASE WHEN pd.id IS NOT NULL AND pd.ext IS NOT NULL THEN '{POSTING_DIRECT_CONNECT[i]}' "
+                f"WHEN pd.id IS NOT NULL THEN '{POSTING_DIRECT[i]}' WHEN pc.id IS NOT NULL THEN '{POSTING_OPEN[i]}' "
+                f"ELSE '{POSTING_INFORMAL[i]}' END")
+    return f"""p_direct AS (
+  SELECT l_orderkey AS solicit_id, MIN(lia) AS id, MIN('R' || CAST(l_orderkey % 5 AS VARCHAR)) AS reason,
+         MIN(CASE WHEN l_orderkey % 9 = 0 THEN 'EXT' || CAST(l_orderkey AS VARCHAR) END) AS ext, MIN(start_dt) AS open_dt
+  FROM d_lines WHERE l_linenumber = 1 AND l_orderkey % 3 = 0 GROUP BY 1),
+p_connect AS (
+  SELECT l_orderkey AS solicit_id, MIN(lia) AS id, MIN(l_orderkey % 50) AS pm, MIN(end_dt) AS open_dt
+  FROM d_lines WHERE l_linenumber = 2 AND l_orderkey % 4 = 0 GROUP BY 1),
+d_posting_type AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY o.o_orderkey) AS posting_type_sk, o.o_orderkey AS solicit_id,
+         {pick(0)} AS posting_type_cd, {pick(1)} AS posting_type_desc, COALESCE(pd.open_dt, pc.open_dt) AS open_dt,
+         pc.pm AS pm_responsible_user_id, pd.reason AS ja_reason_cd, pd.ext AS external_source_ref
+  FROM orders o LEFT JOIN p_direct pd ON pd.solicit_id = o.o_orderkey
+  LEFT JOIN p_connect pc ON pc.solicit_id = o.o_orderkey
+  WHERE o.o_orderkey % 2 = 0)"""
+
+
+POSTING_SQL = _posting_sql()
+
+
+@query("q_smi_dim_posting_type", f"{_DIMS_WITH}, {POSTING_SQL} SELECT * FROM d_posting_type")
+def q_smi_dim_posting_type(t):
+    """Posting type per solicitation: direct and connect postings aggregated to the solicitation
+    before the join, type by the first matching rule."""
+    return _build(t, "smi.dim_posting_type")
