@@ -137,6 +137,7 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         # awards of up to four consecutive order keys share one acquisition; even keys were solicited
         (F.col("o_orderkey") - F.col("o_orderkey") % 4).alias("acquisition_id"),
         F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("solicit_id"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") * 100 + 1).alias("solicit_response_id"),
         F.lit(None).cast("string").alias("bundled_contract_cd"), F.lit(None).cast("string").alias("consolidated_contract_cd"),
         F.lit(None).cast("string").alias("perf_based_svc_contract_cd"),
         _aac(F.col("o_custkey") % 25).alias("lead_svc_activity_address_cd"),
@@ -402,7 +403,12 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
     s["aasbs_solicit_response"] = lambda: lines().select(
         li_id.alias("id"), F.col("l_orderkey").alias("solicit_id"),
         F.when((F.col("_status") == "F") & (F.col("l_linenumber") == 1), "Y").otherwise("N").alias("winning_response_yn"),
+        F.when(F.col("l_linenumber") != 5, li_id).alias("solicit_company_id"),
+        _pad(F.col("_part") % 1000, 9).alias("response_company_duns"), F.col("_end").alias("latest_response_update_dt"),
+        F.when(F.col("l_linenumber") == 3, F.lit("y")).alias("no_response_yn"),
         F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_solicit_company"] = lambda: lines().filter(F.col("l_linenumber") != 5).select(
+        li_id.alias("id"), (F.col("_part") % 120).alias("ipartner_id"), F.lit(None).cast("boolean").alias("is_deleted"))
     # contractors (alt): the company on each award's latest modification; every fifth is ingested twice
     # (the later ingestion on the base modification wins); partners are the suppliers, every tenth with
     # an older duplicate row

@@ -1216,3 +1216,49 @@ def q_smi_dim_posting_type(t):
     """Posting type per solicitation: direct and connect postings aggregated to the solicitation
     before the join, type by the first matching rule."""
     return _build(t, "smi.dim_posting_type")
+
+
+SMI_FACT_SQL = f"""sm_resp AS (
+  SELECT lia AS id, l_orderkey AS solicit_id, l_linenumber, part, end_dt,
+         status = 'F' AND l_linenumber = 1 AS win, l_orderkey % 2 = 0 AND l_linenumber = 1 AS has_award,
+         CASE WHEN l_linenumber <> 5 THEN part % 120 END AS ipartner_id, {_pad('part % 1000', 9)} AS duns
+  FROM d_lines),
+sm_first_amc AS (SELECT o_custkey % 100 AS ipartner_id, MIN(o_orderkey) AS amc_id FROM orders GROUP BY 1),
+sm_duns AS (SELECT duns_num, MIN(contractor_sk) AS c2, arg_min(small_business_flag, contractor_sk) AS sb2
+            FROM d_contractor WHERE duns_num IS NOT NULL GROUP BY 1),
+smi_fact AS (
+  SELECT COALESCE(so.solicitation_sk, -1) AS solicitation_sk, COALESCE(acq.acquisition_sk, -1) AS acquisition_sk,
+         COALESCE(c1.contractor_sk, d.c2, -1) AS contractor_sk, COALESCE(pt.posting_type_sk, -1) AS posting_type_sk,
+         CASE WHEN r.has_award THEN pi.piid_sk END AS piid_sk,
+         CASE WHEN o.o_orderkey % 2 = 0 THEN COALESCE(ga.agency_sk, -1) ELSE -1 END AS agency_sk,
+         CASE WHEN r.has_award THEN COALESCE(gi.ia_sk, -1) ELSE -1 END AS ia_sk,
+         CAST(strftime(r.end_dt, '%Y%m%d') AS INTEGER) AS response_date_sk,
+         CASE WHEN r.has_award THEN CAST(strftime(o.o_orderdate + INTERVAL 31 DAY, '%Y%m%d') AS INTEGER) END
+           AS award_date_sk,
+         r.id AS source_response_id,
+         CASE WHEN r.win THEN 'AWARDED' WHEN r.l_linenumber = 3 THEN 'NO_RESPONSE' ELSE 'SUBMITTED' END
+           AS response_status_cd,
+         r.win AS is_winner_flag, COALESCE(c1.small_business_flag, d.sb2, FALSE) AS is_small_business_flag,
+         CAST(NULL AS DECIMAL(15,2)) AS bid_total_amt, CAST(NULL AS INTEGER) AS bid_clin_count,
+         CASE WHEN r.win THEN CAST(CASE WHEN r.has_award THEN {DMUL("o.o_totalprice", "0.3")} ELSE 0 END AS DECIMAL(15,2))
+           END AS award_total_amt,
+         CAST(NULL AS DECIMAL(15,2)) AS bid_vs_award_variance, CAST(NULL AS INTEGER) AS competition_rank
+  FROM sm_resp r
+  JOIN orders o ON o.o_orderkey = r.solicit_id
+  LEFT JOIN sm_first_amc fa ON fa.ipartner_id = r.ipartner_id
+  LEFT JOIN d_contractor c1 ON c1.award_mod_company_id = fa.amc_id
+  LEFT JOIN sm_duns d ON d.duns_num = r.duns
+  LEFT JOIN d_solicitation so ON so.solicit_id = r.solicit_id
+  LEFT JOIN d_acquisition acq ON acq.acquisition_id = r.solicit_id AND r.solicit_id % 2 = 0
+  LEFT JOIN d_posting_type pt ON pt.solicit_id = r.solicit_id
+  LEFT JOIN d_piid pi ON pi.piid_id = o.o_orderkey
+  LEFT JOIN g_agency ga ON ga.activity_address_cd = 'AAC' || {_pad('o.o_custkey % 25', 3)}
+  LEFT JOIN g_ia gi ON gi.ia_id = o.o_custkey)"""
+
+
+@query("q_smi_fact_solicitation_response", f"""{_DIMS_WITH}, {ACQ_SQL}, {SOL_SQL}, {CONTRACTOR_SQL}, {POSTING_SQL},
+{WPR_SMI_SQL}, {SMI_FACT_SQL} SELECT * FROM smi_fact""")
+def q_smi_fact_solicitation_response(t):
+    """Solicitation response fact: one award per response (smallest), contractor by partner then
+    DUNS (first hit), seven dimension keys, response status from the Y/N flags."""
+    return _build(t, "smi.fact_solicitation_response")
