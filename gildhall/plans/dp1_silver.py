@@ -515,6 +515,17 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         (F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 4 == 0)).select(
         li_id.alias("id"), li_id.alias("solicit_amendment_id"), (F.col("l_orderkey") % 50).alias("pm_responsible_user_id"),
         F.col("_end").alias("open_dt"), F.lit(None).cast("boolean").alias("is_deleted"))
+    # receiving reports (tpp): one per fulfilled order, its lineitem rows as detail lines
+    s["aasbs_transmit_rr_summary"] = lambda: T("orders").filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("PG"), F.col("o_orderkey").cast("string")).alias("pegasys_invoice_number"),
+        F.date_add(F.to_date("o_orderdate"), 20).cast("timestamp_ntz").alias("accepted_dt"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("max_approved_amt"),
+        (F.col("o_orderkey") % 7 + 1).cast("int").alias("number_of_detail_lines"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_transmit_rr_detail"] = lambda: T("lineitem").select(
+        F.col("l_orderkey").alias("rr_summary_id"),
+        dmul("l_extendedprice", F.lit(1) - F.col("l_discount")).alias("total_mdl_amount"),
+        (F.col("l_returnflag") == "R").alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

@@ -1262,3 +1262,17 @@ def q_smi_fact_solicitation_response(t):
     """Solicitation response fact: one award per response (smallest), contractor by partner then
     DUNS (first hit), seven dimension keys, response status from the Y/N flags."""
     return _build(t, "smi.fact_solicitation_response")
+
+
+@query("q_tpp_dim_receiving_report", f"""SELECT ROW_NUMBER() OVER (ORDER BY o.o_orderkey) AS receiving_report_sk,
+       o.o_orderkey AS rr_summary_id, 'PG' || CAST(o.o_orderkey AS VARCHAR) AS pegasys_invoice_num,
+       CAST(CAST(o.o_orderdate AS DATE) + 20 AS TIMESTAMP) AS rr_acceptance_dt,
+       CAST(o.o_totalprice AS DECIMAL(15,2)) AS total_rr_amt, CAST(o.o_orderkey % 7 + 1 AS INTEGER) AS rr_line_count,
+       CAST(COALESCE(d.amt, 0) AS DECIMAL(15,2)) AS mdl_amt
+FROM orders o
+LEFT JOIN (SELECT l_orderkey, SUM({DMUL("l_extendedprice", "1 - l_discount")}) AS amt FROM lineitem
+           WHERE NOT (l_returnflag = 'R') GROUP BY 1) d ON d.l_orderkey = o.o_orderkey
+WHERE o.o_orderstatus = 'F'""")
+def q_tpp_dim_receiving_report(t):
+    """Receiving reports with their detail amounts aggregated before the join."""
+    return _build(t, "tpp.dim_receiving_report")
