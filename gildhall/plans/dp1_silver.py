@@ -526,6 +526,15 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
         F.col("l_orderkey").alias("rr_summary_id"),
         dmul("l_extendedprice", F.lit(1) - F.col("l_discount")).alias("total_mdl_amount"),
         (F.col("l_returnflag") == "R").alias("is_deleted"))
+    # transmittal types (tpp): one per order priority; spec versions are the years the type was used
+    ttype = F.upper(F.regexp_replace(F.substring("o_orderpriority", 3, 20), " ", "_"))
+    s["aasbs_transmit_lu_transmittal_type"] = lambda: T("orders").select(ttype.alias("cd")).distinct().select(
+        "cd", F.concat(F.lit("Type "), F.col("cd")).alias("description"),
+        F.when(F.col("cd") != "LOW", F.concat(F.lit("FF_"), F.substring("cd", 1, 3))).alias("flatfile_cd"),
+        F.lit(None).cast("boolean").alias("is_deleted"))
+    s["aasbs_transmit_transmittal_spec_version"] = lambda: T("orders").select(
+        ttype.alias("transmittal_type_cd"), F.year("o_orderdate").cast("string").alias("specification_version"),
+        (F.col("o_orderstatus") == "P").alias("is_deleted"))
     s["aasbs_lu_competition_type"] = lambda: _code_table(
         s["aasbs_acquisition_plan"].filter(F.col("competition_type_cd") != "LIMITED"), "competition_type_cd")
     k = F.col("conv_id") % 4

@@ -1276,3 +1276,18 @@ WHERE o.o_orderstatus = 'F'""")
 def q_tpp_dim_receiving_report(t):
     """Receiving reports with their detail amounts aggregated before the join."""
     return _build(t, "tpp.dim_receiving_report")
+
+
+_TTYPE = "upper(replace(substr(o_orderpriority, 3, 20), ' ', '_'))"
+
+
+@query("q_tpp_dim_transmittal_type", f"""SELECT ROW_NUMBER() OVER (ORDER BY t.cd) AS transmittal_type_sk,
+       t.cd AS transmittal_type_cd, 'Type ' || t.cd AS transmittal_type_desc,
+       CASE WHEN t.cd <> 'LOW' THEN 'FF_' || substr(t.cd, 1, 3) END AS flat_file_code, v.spec_version,
+       CAST(NULL AS VARCHAR) AS envelope_format, CAST(NULL AS VARCHAR) AS poc_name, CAST(NULL AS VARCHAR) AS poc_email
+FROM (SELECT DISTINCT {_TTYPE} AS cd FROM orders) t
+LEFT JOIN (SELECT {_TTYPE} AS cd, MAX(CAST(year(o_orderdate) AS VARCHAR)) AS spec_version FROM orders
+           WHERE NOT (o_orderstatus = 'P') GROUP BY 1) v ON v.cd = t.cd""")
+def q_tpp_dim_transmittal_type(t):
+    """Transmittal types with their latest spec version aggregated before the join."""
+    return _build(t, "tpp.dim_transmittal_type")
