@@ -151,3 +151,15 @@ def test_scd2_changes_only_and_bucketed_rewrite(spark, tmpdir_run):
     want = sorted(tuple(r) for r in full.filter(F.col("is_current_flag")).drop("_action")
                   .select(*_dim(spark).columns).collect())
     assert got == want
+
+
+def test_scd2_changes_only_plan_restricts_before_the_full_join(spark):
+    """changes_only puts a left-semi join on the change set under the classifying
+    full outer join, so untouched current rows never reach the big join."""
+    plan = scd2_apply(_dim(spark), _incoming(spark), ["k"], ["tracked"], ["inplace"], "2002-01-01",
+                      changes_only=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "FullOuter" in plan
+    assert plan.index("FullOuter") < plan.index("LeftSemi")      # the semi-join sits below the full join
+    full = scd2_apply(_dim(spark), _incoming(spark), ["k"], ["tracked"], ["inplace"],
+                      "2002-01-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in full
