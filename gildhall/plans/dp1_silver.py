@@ -438,7 +438,13 @@ def derived_silver(t) -> Mapping[str, DataFrame]:
             F.concat(F.lit("S"), (F.col("s_suppkey") % 50).cast("string")).alias("state"), F.lit("US").alias("country"),
             _pad("s_suppkey", 5).alias("zip"),
             F.date_add(F.to_date(F.lit("2000-01-01")), (F.col("s_suppkey") - days).cast("int")).cast("timestamp_ntz")
-             .alias("creation_date"))
+             .alias("creation_date"),
+            F.concat(F.lit("Partner "), F.col("s_name")).alias("ipartner_company_name"),
+            F.when(F.col("s_acctbal") < 0, "INACTIVE").otherwise("ACTIVE").alias("ipartner_inc_status"),
+            _pad("s_suppkey", 9).alias("ipartner_ftin"),
+            # the older duplicate rows are retired with the character delete flag
+            F.lit("Y" if days else None).cast("string").alias("delete_flag"),
+            F.lit(None).cast("boolean").alias("is_deleted"))
     s["table_master_industry_partners"] = lambda: _partner("C", 0).unionByName(
         _partner("OLD", 365).filter(F.col("ipartner_id") % 10 == 0))
     # closeouts (alt): one per fulfilled order; checklist items are its lines

@@ -1291,3 +1291,14 @@ LEFT JOIN (SELECT {_TTYPE} AS cd, MAX(CAST(year(o_orderdate) AS VARCHAR)) AS spe
 def q_tpp_dim_transmittal_type(t):
     """Transmittal types with their latest spec version aggregated before the join."""
     return _build(t, "tpp.dim_transmittal_type")
+
+
+@query("q_wpr_dim_industry_partner", f"""SELECT ROW_NUMBER() OVER (ORDER BY s_suppkey) AS industry_partner_sk,
+       s_suppkey AS partner_id, 'Partner ' || s_name AS company_name,
+       CASE WHEN s_acctbal < 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS contract_status_cd, {_pad('s_suppkey', 9)} AS ftin,
+       'City' || CAST(s_nationkey AS VARCHAR) AS address_city, 'S' || CAST(s_suppkey % 50 AS VARCHAR) AS address_state_cd,
+       'US' AS address_country_cd, {SCD_COLS_SQL}
+FROM supplier""")
+def q_wpr_dim_industry_partner(t):
+    """Industry partners: rows retired by the character delete flag dropped, then keyed."""
+    return _build(t, "wpr.dim_industry_partner")
