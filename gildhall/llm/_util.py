@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import re
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +50,42 @@ def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
+def word_blocks(data: bytes, block: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of ``data`` in lists of about a megabyte, so a long text is never a list at once."""
+    at, n = 0, len(data)
+    while at < n:
+        to = min(n, at + block)
+        if to < n:
+            m = _SPACE.search(data, to)
+            to = m.start() if m else n
+        yield data[at:to].split()
+        at = to
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once for each application, wherever the driver imported it from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="gildhall-py-")
+    path = os.path.join(folder, f"gildhall-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gildhall.llm import _util
+from gildhall.llm import _util, lang_id
 from gildhall.llm.exact_dedup import exact_duplicates
+from gildhall.llm.simhash_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +37,16 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
 """)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_util.documents(spark, sf_dir))
+
+
+@query("op2_lang_id")
+def op2_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _util.documents(spark, sf_dir)
+    out = _util.held_out(F.col("doc_id"), 4, 2)
+    model = lang_id.fit(docs, ~out)
+    return lang_id.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_simhash_dedup")
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_util.documents(spark, sf_dir))
