@@ -18,8 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE = 1 << 18
-INDEX_BITS = np.uint64(24)
+SLICE = 1 << 17
 MULTIPLIERS = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gildhall.llm import _util, lang_id
 from gildhall.llm.exact_dedup import exact_duplicates
 from gildhall.llm.simhash_dedup import near_duplicates
+from gildhall.llm.substring_dedup import remove_earlier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +51,8 @@ def op2_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash_dedup")
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_util.documents(spark, sf_dir))
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier(_util.documents(spark, sf_dir)).drop("kept_text")
