@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildhall.llm import _util, lang_id
 from gildhall.llm.exact_dedup import exact_duplicates
+from gildhall.llm.packing import pack_documents
 from gildhall.llm.simhash_dedup import near_duplicates
 from gildhall.llm.substring_dedup import remove_earlier
 
@@ -56,3 +58,8 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_earlier(_util.documents(spark, sf_dir)).drop("kept_text")
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_util.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
