@@ -12,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gildhall.session import checkpoint_dir
 
@@ -85,7 +86,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)

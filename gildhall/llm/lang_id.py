@@ -150,31 +150,52 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     return LangModel(langs, (landmarks.T @ alpha).astype(np.float32))
 
 
+def _judge(model: LangModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the language (past the last: undetermined) and score of each text."""
+    pred = np.full(len(texts), len(model.langs))
+    conf = np.zeros(len(texts))
+    if model.langs:
+        for i, j, grams in _blocks(texts):
+            f = np.clip((model.scores(grams) + 1) / 2, 0, 1).astype(np.float64) + 1e-9
+            pred[i:j] = f.argmax(axis=1)
+            conf[i:j] = f.max(axis=1) / f.sum(axis=1)
+        for i, t in enumerate(texts):
+            if not LETTER.search(t.as_py()):
+                pred[i], conf[i] = len(model.langs), 0.0
+    return pred, conf
+
+
 def predict(docs: DataFrame, model: LangModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (0 to 1) for every row of ``docs``.
 
     A text that is null or has no letter is ``und`` with score 0, as is every
     text when nothing could be learned. Ties go to the language that sorts
-    first. Reads nothing but the text; other columns are ignored.
+    first. Reads nothing but the text; other columns are ignored. Rows with a
+    null id and repeated rows are scored like any other.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
-        m = shared.value
-        names = np.array([*m.langs, UNDETERMINED], dtype=object)
+        names = np.array([*shared.value.langs, UNDETERMINED], dtype=object)
         for b in batches:
-            texts = b.column("text")
-            pred = np.full(len(texts), len(m.langs))
-            conf = np.zeros(len(texts))
-            if m.langs:
-                for i, j, grams in _blocks(texts):
-                    f = np.clip((m.scores(grams) + 1) / 2, 0, 1).astype(np.float64) + 1e-9
-                    pred[i:j] = f.argmax(axis=1)
-                    conf[i:j] = f.max(axis=1) / f.sum(axis=1)
-                for i, t in enumerate(texts):
-                    if not LETTER.search(t.as_py()):
-                        pred[i], conf[i] = len(m.langs), 0.0
+            pred, conf = _judge(shared.value, b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(names[pred], pa.string()), pa.array(conf)], ["doc_id", "lang_pred", "score"])
 
     return map_arrow(id_text(docs, id_col, text_col), score, "doc_id long, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: LangModel, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is determined with at least ``min_score``.
+
+    A filter within the scan's own partitions: nothing is shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        for b in batches:
+            at = b.schema.get_field_index(text_col)
+            pred, conf = _judge(shared.value, pc.fill_null(b.column(at), ""))
+            yield b.filter(pa.array((pred < len(shared.value.langs)) & (conf >= min_score)))
+
+    return map_arrow(docs, keep, docs.schema)

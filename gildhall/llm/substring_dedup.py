@@ -72,7 +72,8 @@ def remove_earlier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Every row of ``docs`` without the words that an earlier document's windows cover.
 
     Returns ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` (kept words
-    joined by one space) and ``kept_text``. Windows are judged on the input.
+    joined by one space) and ``kept_text`` (the same, but the text as it was
+    where nothing goes). Windows are judged on the input.
     A null text has no words; a text of fewer than ``window`` words loses
     nothing. A row without an id has no place in the order: it loses nothing
     and removes nothing. Rows that repeat an id repeat one document and get
@@ -91,7 +92,7 @@ def remove_earlier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     starts, stops = merged_spans(starts, stops)
                 n, removed, pieces = kept_words(t.as_py(), starts, stops)
                 kept = b" ".join(pieces)
-                rows.append((n, removed, hashlib.sha256(kept).hexdigest(), kept.decode()))
+                rows.append((n, removed, hashlib.sha256(kept).hexdigest(), kept.decode() if removed else t.as_py()))
             cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
