@@ -21,6 +21,18 @@ def parts(text: str) -> list[str]:
     return CUT.split(text) if NEAR_SPACE.search(text) or text[:1] == " " or text[-1:] == " " else text.split(" ")
 
 
+def blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """``text`` in pieces of about ``size`` characters, cut at the same places."""
+    at = 0
+    while len(text) - at > size:
+        m = CUT.search(text, at + size)
+        to = m.start() if m else len(text)
+        yield text[at:to]
+        at = to
+    if at < len(text) or not at:
+        yield text[at:]
+
+
 class PartCache:
     """Part → encoded bytes, at most ``limit`` parts of at most ``longest`` characters; full, it starts anew."""
 
@@ -30,25 +42,28 @@ class PartCache:
 
     def joined(self, texts: list[str]) -> list[bytes]:
         """The encoded bytes of each text."""
+        if all(len(t) <= 1 << 21 for t in texts):
+            return self._joined(texts)
+        return [b"".join(self._joined([b])[0] for b in blocks(t)) for t in texts]
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
         lists = [parts(t) for t in texts]
-        new = set().union(*(p[1:] for p in lists)).difference(self.known) if lists else set()
-        if len(self.known) + len(new) > self.limit:
+        heads = [p.pop(0) for p in lists]
+        used = set().union(*lists)
+        if len(self.known) > self.limit:
             self.known = {}
-            new = set().union(*(p[1:] for p in lists))
-        new = list(new)
+        new = list(used.difference(self.known))
         fresh = dict(zip(new, self.encode([" " + p for p in new]), strict=True))
-        known = self.known
-        known.update((p, v) for p, v in fresh.items() if len(p) <= self.longest)
-        heads = self.encode([p[0] for p in lists])
-        if len(known) and all(len(p) <= self.longest for p in fresh):
-            get = known.__getitem__
-        else:
-            def get(p):
-                return fresh[p] if p in fresh else known[p]
-        return [head + b"".join(map(get, p[1:])) for head, p in zip(heads, lists, strict=True)]
-
-
-def text_batches(texts: list[str], rows: int = 256, chars: int = 1 << 20) -> Iterable[tuple[int, list[str]]]:
+        long = {p for p in new if len(p) > self.longest}
+        self.known.update(fresh)
+        get = self.known.__getitem__
+        out = [head + b"".join(map(get, p)) for head, p in zip(self.encode(heads), lists, strict=True)]
+        for p in long:
+            del self.known[p]
+        return out
+
+
+def text_batches(texts: list[str], rows: int = 256, chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """(first index, texts) of about a megabyte at a time."""
     at = size = 0
     for i, t in enumerate(texts):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildhall.llm import _util, lang_id
+from gildhall.llm.bpe import encode_documents
 from gildhall.llm.exact_dedup import exact_duplicates
 from gildhall.llm.packing import pack_documents
 from gildhall.llm.simhash_dedup import near_duplicates
@@ -63,3 +64,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_util.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op1_byte_bpe")
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_util.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                            public_tokenizers.PATTERN, keep=False)
