@@ -26,7 +26,7 @@ from gildhall.llm._util import id_text, map_arrow
 from gildhall.llm.pretoken import PartCache, text_batches
 
 #: States kept before the tables start anew; the result does not depend on it.
-MAX_STATES = 120_000
+MAX_STATES = 220_000
 #: Matches of the splitting pattern whose tokens are remembered; likewise.
 MAX_MATCHES = 250_000
 
@@ -68,7 +68,7 @@ class MergeTransducer:
         self.pairs: dict[int, bool] = {}
         self.ids: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.next: list[dict[int, tuple]] = []
+        self.next: dict[int, tuple] = {}  # state << 8 | byte
         self.ends: list[tuple[int, ...] | None] = []
         self._state((((), 0),))
 
@@ -77,7 +77,6 @@ class MergeTransducer:
         if at is None:
             at = self.ids[paths] = len(self.states)
             self.states.append(paths)
-            self.next.append({})
             self.ends.append(next((pending for pending, node in paths if node == 0), None))
         return at
 
@@ -135,21 +134,21 @@ class MergeTransducer:
             made = (None, self._move(alive), None)
         else:
             made = (tested, self._move([*alive, ((tested,), 0)]), self._move(alive))
-        self.next[at][byte] = made
+        self.next[at << 8 | byte] = made
         return made
 
     def encode(self, data: bytes) -> list[int]:
         """Tokens of one match of the splitting pattern."""
-        if len(self.states) > MAX_STATES or len(self.pairs) > 5 * MAX_STATES:
+        if len(self.states) > MAX_STATES or len(self.pairs) > 3 * MAX_STATES:
             self._restart()
-        at, last, out, moves, pairs = 0, -1, [], self.next, self.pairs
+        at, last, out, moves, pairs = 0, -1, [], self.next.get, self.pairs.get
         for byte in data:
-            made = moves[at].get(byte)
+            made = moves(at << 8 | byte)
             if made is None:
                 made = self._step(at, byte)
             tested, yes, no = made
             if tested is not None:
-                fits = pairs.get(last << 32 | tested)
+                fits = pairs(last << 32 | tested)
                 if fits is None:
                     fits = self.compatible(last, tested)
                 if not fits:
@@ -165,7 +164,7 @@ class MergeTransducer:
         """Tokens of one match that arrives in chunks, each token as soon as it is certain."""
         at, last = 0, -1
         for byte in (b for chunk in chunks for b in chunk):
-            tested, yes, no = self.next[at].get(byte) or self._step(at, byte)
+            tested, yes, no = self.next.get(at << 8 | byte) or self._step(at, byte)
             at, sure = yes if tested is None or self.compatible(last, tested) else no
             if sure:
                 yield from sure
