@@ -31,6 +31,7 @@ ORDERS = (1, 2, 3, 4)
 #: Documented bounds of the fit: labelled rows for each language, landmarks over all languages.
 PER_LANG = 400
 LANDMARKS = 256
+SLICES = 16
 RIDGE = 1e-3
 UNDETERMINED = "und"
 
@@ -110,12 +111,17 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: C
     The rows are picked from the two narrow columns; their texts are then
     turned into bits where they lie.
     """
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    def first(*keys: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
+
     picked = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), learn.alias("learn"))
               .where("learn AND lang IS NOT NULL AND doc_id IS NOT NULL")
               .select("doc_id", "lang", F.xxhash64(F.lit("lang"), "doc_id").alias("h"))
               .dropDuplicates(["doc_id"])
-              .withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= PER_LANG)
+              # a language that most rows have is thinned in slices first
+              .withColumn("slice", F.pmod("h", F.lit(SLICES)))
+              .withColumn("rn", first("lang", "slice")).where(F.col("rn") <= PER_LANG)
+              .withColumn("rn", first("lang")).where(F.col("rn") <= PER_LANG)
               .select("doc_id", "lang", "rn"))
     texts = id_text(docs, id_col, text_col)
 

@@ -14,6 +14,7 @@ from gildhall.llm.exact_dedup import exact_duplicates
 from gildhall.llm.packing import pack_documents
 from gildhall.llm.simhash_dedup import near_duplicates
 from gildhall.llm.substring_dedup import remove_earlier
+from gildhall.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +71,8 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_util.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                             public_tokenizers.PATTERN, keep=False)
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_util.documents(spark, sf_dir), keep=False)

@@ -242,21 +242,6 @@ def classes(runs: DataFrame) -> DataFrame:
     return groups.join(rivals, "key", "left").withColumn("rivals", F.coalesce("rivals", F.lit(1)))
 
 
-def window_hashes(left: bytes, right: bytes, n: int, place: int, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each of a run's windows without the anchor, which ``key`` stands for."""
-    if shape.words:
-        both = left + b" " + right
-        one = Batch(np.frombuffer(both, dtype=np.uint8), np.array([0, len(both)]), True)
-        values = one.values
-    else:
-        values = A.BYTE_VALUE[np.frombuffer(left + right, dtype=np.uint8)]
-    size = shape.m - shape.k
-    lo = np.arange(n)
-    # the place of the anchor within the window keeps equal unit lists at another place apart
-    at = A.mix((place - lo).astype(np.uint64) + np.uint64(1))
-    return tuple(A.mix(A.Rolling(values, w).at(lo, lo + size) ^ at) for w in (0, 1))
-
-
 def split_flank(flank: bytes, place: int, words: bool) -> tuple[bytes, bytes]:
     if words:
         left, _, right = flank.partition(b"\n")
@@ -264,22 +249,38 @@ def split_flank(flank: bytes, place: int, words: bool) -> tuple[bytes, bytes]:
     return flank[:place], flank[place + 1:]
 
 
-def exact_windows(runs: DataFrame, shape: Shape) -> DataFrame:
-    """One row per window of the given runs: ``doc_id``, ``at``, and (``key``, ``w1``, ``w2``) that equal windows share."""
+def exact_windows(runs: DataFrame, shape: Shape, *carry: str) -> DataFrame:
+    """One row per window of the given runs: ``doc_id``, ``at``, and (``key``, ``w1``, ``w2``) that equal windows share.
+
+    The two hashes cover the window's units without the anchor, which ``key``
+    stands for, and the anchor's place in it. ``carry`` names further long
+    columns to repeat.
+    """
+    size = shape.m - shape.k
 
     def emit(batches):
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("doc_id", "lo", "n", "place", "key", "flank")]
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, lo, n, place, key, flank in zip(*cols, strict=True):
-                w1, w2 = window_hashes(*split_flank(flank, place, shape.words), n, place, shape)
-                for o, v in zip(out, (np.full(n, doc), lo + np.arange(n), np.full(n, key), w1.view(np.int64), w2.view(np.int64)), strict=True):
-                    o.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["doc_id", "at", "key", "w1", "w2"])
-
-    return map_arrow(runs.select("doc_id", "lo", "n", "place", "key", "flank"), emit,
-                     "doc_id long, at long, key long, w1 long, w2 long")
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                doc, lo, n, place, key = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                                          for c in ("doc_id", "lo", "n", "place", "key"))
+                sides = [b"\n".join(split_flank(f, p, True)) if shape.words else b"".join(split_flank(f, p, False))
+                         for f, p in zip(part.column("flank").to_pylist(), place.tolist(), strict=True)]
+                data = np.frombuffer(b"".join(sides), dtype=np.uint8)
+                units = Batch(data, np.r_[0, np.cumsum([len(s) for s in sides])], shape.words)
+                values = units.values if shape.words else A.BYTE_VALUE[data]
+                row = np.repeat(np.arange(len(n)), n)
+                step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                start = units.base[row] + step
+                where = A.mix((place[row] - step).astype(np.uint64) + np.uint64(1))
+                hashes = [A.mix(A.Rolling(values, w).at(start, start + size) ^ where).view(np.int64) for w in (0, 1)]
+                more = [part.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[row] for c in carry]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[row], lo[row] + step, key[row], *hashes, *more)],
+                                                 ["doc_id", "at", "key", "w1", "w2", *carry])
+
+    rows = runs.select("doc_id", "lo", "n", "place", "key", "flank", *carry)
+    schema = ", ".join(f"{c} long" for c in ("doc_id", "at", "key", "w1", "w2", *carry))
+    return map_arrow(rows.repartition(shuffle_partitions(runs.sparkSession)), emit, schema)
 
 
 def removed_spans(spans: DataFrame) -> DataFrame:
