@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gildhall.llm import _util, lang_id
 from gildhall.llm.bpe import encode_documents
 from gildhall.llm.exact_dedup import exact_duplicates
+from gildhall.llm.lm_score import score_documents
 from gildhall.llm.packing import pack_documents
 from gildhall.llm.simhash_dedup import near_duplicates
 from gildhall.llm.substring_dedup import remove_earlier
@@ -76,3 +77,9 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_util.documents(spark, sf_dir), keep=False)
+
+
+@query("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_util.documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"),
+                           _util.held_out(F.col("doc_id"), 7, 2))
