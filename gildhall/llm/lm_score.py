@@ -89,10 +89,10 @@ class Lattice:
         rolling = A.Rolling(A.mix(codes.astype(np.uint64) + np.uint64(1)))
         self.piece: list[np.ndarray] = []
         for length in range(1, min(v.longest, int(self.size.max(initial=0))) + 1):
-            end = np.arange(length - 1, len(codes))
+            end = np.flatnonzero(inside >= length - 1)
             key = rolling.at(end - length + 1, end + 1)
             at = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-            known = (v.keys[at] == key) & (inside[end] >= length - 1)
+            known = v.keys[at] == key
             found = np.full(len(codes), -1, dtype=np.int64)
             found[end[known]] = v.ids[at[known]]
             self.piece.append(found)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildhall.llm import _util, lang_id
+from gildhall.llm.ann import nearest
 from gildhall.llm.bpe import encode_documents
 from gildhall.llm.exact_dedup import exact_duplicates
 from gildhall.llm.lm_score import score_documents
@@ -83,3 +84,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_util.documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"),
                            _util.held_out(F.col("doc_id"), 7, 2))
+
+
+@query("op8_ann")
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(table, F.col("vec_id") % 20 == 0)
