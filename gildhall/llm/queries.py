@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gildhall.llm import _util, lang_id
+from gildhall.llm import _util, lang_id, toxicity
 from gildhall.llm.ann import nearest
 from gildhall.llm.bpe import encode_documents
 from gildhall.llm.exact_dedup import exact_duplicates
@@ -90,3 +90,12 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest(table, F.col("vec_id") % 20 == 0)
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _util.documents(spark, sf_dir)
+    out = _util.held_out(F.col("doc_id"), 4, 2)
+    net = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~out)
+    return toxicity.score_documents(docs, net).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
