@@ -31,7 +31,8 @@ ORDERS = (3, 4)
 TRAIN_ROWS = {1: 1000, 0: 3000}
 TRAIN_BYTES = 1 << 16
 SLICES = 16
-EPOCHS, BATCH, RATE = 8, 256, 0.01
+REPEATED = 600
+EPOCHS, STEPS, BATCH, RATE = 8, 24, 256, 0.01  # at least STEPS steps an epoch, however small the sample
 SEED = 3
 
 GROUP_BYTES = 4 << 20
@@ -258,20 +259,30 @@ def train(texts: list[bytes], y: np.ndarray, prior: float, seed: int = SEED) ->
     where = np.repeat(begin[words.owner], pairs) + np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
     net.p["char"][:, 0] = _odds(gram, words.doc[by_word[where]], y, CHAR_BUCKETS)
     of, first, length = windows(words.doc, len(texts))
+    # a word said over and over is no evidence by itself: negatives of one repeated word from the negative texts
+    clean = np.flatnonzero(y[words.doc] == 0)
+    extra = np.unique(words.word[rng.choice(clean, REPEATED)]) if len(clean) else np.zeros(0, dtype=np.int64)
+    of = np.r_[of, len(texts) + np.arange(len(extra))]
+    first = np.r_[first, len(words.word) + WINDOW * np.arange(len(extra))]
+    length = np.r_[length, np.full(len(extra), WINDOW)]
+    words.word = np.r_[words.word, np.repeat(extra, WINDOW)]
+    y, n_texts = np.r_[y, np.zeros(len(extra), dtype=y.dtype)], len(texts) + len(extra)
     positives = max(1, int(y.sum()))
     for epoch in range(EPOCHS):
         score = net.logits(words, first, length)
         order = np.lexsort((-score + (rng.gumbel(size=len(score)) if epoch == 0 else 0), of))
-        rank = np.arange(len(of)) - np.repeat(np.cumsum(np.bincount(of[order], minlength=len(texts))) - np.bincount(of, minlength=len(texts)), np.bincount(of, minlength=len(texts)))
-        top = np.zeros(len(of), dtype=np.int64)
-        top[order] = rank
+        n = np.bincount(of, minlength=n_texts)
+        top = np.empty(len(of), dtype=np.int64)
+        top[order] = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
         doubtful = (score > -3) & (epoch > 1)  # every window of a negative that comes near the threshold
         chosen = np.flatnonzero(np.where(y[of] == 1, top < 1, (top < 1) | doubtful | (rng.random(len(of)) < 0.02)))
         weight = np.where(y[of[chosen]] == 1, len(chosen) / (4 * positives), 1.0)
-        for i in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // BATCH)):
-            if len(i):
-                c = chosen[i]
-                net.step(net.gradient(words, first[c], length[c], y[of[c]], weight[i]), RATE * (1 - 0.8 * epoch / EPOCHS))
+        steps = max(STEPS, len(chosen) // BATCH)
+        passes = -(-steps * BATCH // len(chosen))
+        turns = np.concatenate([rng.permutation(len(chosen)) for _ in range(passes)])[:steps * BATCH]
+        for i in np.array_split(turns, steps):
+            c = chosen[i]
+            net.step(net.gradient(words, first[c], length[c], y[of[c]], weight[i]), RATE * (1 - 0.8 * epoch / EPOCHS))
     net.state, net.prior = {}, prior
     return net
 
