@@ -59,7 +59,24 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_util.documents(spark, sf_dir))
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", oracle=r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+win AS (
+  SELECT doc_id, s, md5(array_to_string(list_slice(words, s, s + 49), ' ')) AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS s FROM w)),
+earliest AS (SELECT k, min(doc_id) AS first_id FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM win JOIN earliest USING (k) WHERE doc_id > first_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, (len(w.words) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""")
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_earlier(_util.documents(spark, sf_dir)).drop("kept_text")
 
