@@ -72,7 +72,7 @@ def main(argv):
     con = duck(sf_dir)
     bad = 0
     for name, fn in qs.items():
-        if only and name not in only:
+        if only and name not in only or name not in sqls:
             continue
         t0 = time.time()
         try:
