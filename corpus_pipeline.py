@@ -7,16 +7,19 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildhall.llm import lang_id
-from gildhall.llm._util import documents, held_out, stage
+from gildhall.llm._util import documents, held_out, scratch
 from gildhall.llm.exact_dedup import exact_duplicates
 from gildhall.llm.packing import pack_documents
 from gildhall.llm.simhash_dedup import near_duplicates
 from gildhall.llm.substring_dedup import remove_earlier
+from gildhall.session import checkpoint_dir
 
 #: No stage can be told in SQL as a whole: the first is a fitted classifier. Tested against a brute-force version.
 ORACLE_SQL = None
@@ -70,7 +73,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage staged goes once its result is written."""
     docs = documents(spark, sf_dir)
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+        with scratch(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,6 +8,8 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,20 +37,41 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+_used: ContextVar[list[str] | None] = ContextVar("staged tables of this scope", default=None)
+
+
 def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs the running tasks, never the
     Python or text work above. Values that are not stable under recomputation
     (row numbers, batch numbers) are fixed by it. The folder is the one named
-    by ``spark.checkpoint.dir``.
+    by ``spark.checkpoint.dir``; a table stays there until its :func:`scratch`
+    scope ends, or the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    if _used.get() is not None:
+        _used.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged within are deleted at the end, so what they feed must be written by then."""
+    paths: list[str] = []
+    token = _used.set(paths)
+    try:
+        yield
+    finally:
+        _used.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
