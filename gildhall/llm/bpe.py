@@ -221,7 +221,7 @@ class Codec:
         self.transducer = MergeTransducer(ranks)
         self.split: Callable[[str], list[str]] = regex.compile(pattern).findall
         self.matches: dict[str, list[int]] = {}
-        self.cache = PartCache(self._encode_parts, limit=400_000)
+        self.cache = PartCache(self._encode_parts, limit=450_000)
         self.table = [self.transducer.tokens[r] for r in range(len(ranks))]
 
     def _encode_parts(self, texts: list[str]) -> list[bytes]:

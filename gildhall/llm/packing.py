@@ -9,6 +9,7 @@ other under a new dealing and pack them again, as long as bins are saved.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Callable
 
@@ -40,9 +41,23 @@ def tokenizer_cache(path: str) -> PartCache:
         tok.encode_special_tokens = True
 
         def encode(batch: list[str]) -> list[bytes]:
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(batch, add_special_tokens=False)]
-
-        _caches[path] = PartCache(encode)
+            return [struct.pack(f"<{len(e)}I", *e.ids) for e in tok.encode_batch_fast(batch, add_special_tokens=False)]
+
+        # one call for many parts: a token that begins with a space begins a part
+        space = tok.encode(" a", add_special_tokens=False).tokens[0][0]
+        begins = np.array([(tok.id_to_token(i) or "").startswith(space) for i in range(tok.get_vocab_size())])
+
+        def encode_parts(parts: list[str]) -> list[bytes]:
+            out: list[bytes] = []
+            for i in range(0, len(parts), 4096):
+                some = parts[i:i + 4096]
+                ids = np.array(tok.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+                at = np.flatnonzero(begins[ids]) * 4
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in zip(at.tolist(), [*at[1:].tolist(), len(data)], strict=True)]
+            return out
+
+        _caches[path] = PartCache(encode, marks=".,", encode_parts=encode_parts)
     return _caches[path]
 
 

@@ -12,13 +12,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-NEAR_SPACE = re.compile(r" \s|\s ")
 CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-def parts(text: str) -> list[str]:
-    """The parts of ``text``; every part but the first stands for itself with one space before it."""
-    return CUT.split(text) if NEAR_SPACE.search(text) or text[:1] == " " or text[-1:] == " " else text.split(" ")
+#: Letters that every Unicode version in use knows as letters.
+FAMILIAR = "\u0370"
 
 
 def blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
@@ -34,11 +30,25 @@ def blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
 
 
 class PartCache:
-    """Part → encoded bytes, at most ``limit`` parts of at most ``longest`` characters; full, it starts anew."""
+    """Part → encoded bytes, at most ``limit`` parts of at most ``longest`` characters.
+
+    At half the limit the parts become the old generation; those seen again
+    move to the new one, the rest go with the next change.
+
+    ``marks`` are single characters, neither letter, digit nor white space: a
+    part of letters and one mark behind them splits between the two, so it is
+    put together from the encodings of both. ``encode_parts`` may encode many
+    parts without a space in them or white space at their ends, each with one
+    space before it, faster.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 600_000, longest: int = 48):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, longest: int = 48, marks: str = "",
+                 encode_parts: Callable[[list[str]], list[bytes]] | None = None):
         self.encode, self.limit, self.longest = encode, limit, longest
+        self.encode_parts = encode_parts or (lambda parts: encode([" " + p for p in parts]))
+        self.marks = dict(zip(marks, encode(list(marks)), strict=True))
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def joined(self, texts: list[str]) -> list[bytes]:
         """The encoded bytes of each text."""
@@ -46,20 +56,45 @@ class PartCache:
             return self._joined(texts)
         return [b"".join(self._joined([b])[0] for b in blocks(t)) for t in texts]
 
+    def _parts(self, texts: list[str]) -> tuple[list[str], list[list[str]], set[str]]:
+        """First part and other parts of each text, and the parts that are not known."""
+        lists = [t.split(" ") for t in texts]
+        new = set().union(*lists).difference(self.known)
+        # where a space stands beside other white space or at an edge, only some spaces are cuts
+        odd = {p for p in new if not p or p.strip() != p}
+        if odd:
+            lists = [p if odd.isdisjoint(p) else CUT.split(t) for p, t in zip(lists, texts, strict=True)]
+            new = set().union(*lists).difference(self.known)
+            new.discard("")  # an empty text
+        return [p.pop(0) for p in lists], lists, new
+
     def _joined(self, texts: list[str]) -> list[bytes]:
-        lists = [parts(t) for t in texts]
-        heads = [p.pop(0) for p in lists]
-        used = set().union(*lists)
-        if len(self.known) > self.limit:
-            self.known = {}
-        new = list(used.difference(self.known))
-        fresh = dict(zip(new, self.encode([" " + p for p in new]), strict=True))
-        long = {p for p in new if len(p) > self.longest}
-        self.known.update(fresh)
-        get = self.known.__getitem__
+        if len(self.known) > self.limit // 2:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        heads, lists, new = self._parts(texts)
+        again = old.keys() & new
+        known.update(zip(again, map(old.__getitem__, again), strict=True))
+        new -= again
+        marked = {p for p in new if p[-1] in self.marks and p[:-1].isalpha() and max(p) < FAMILIAR}
+        plain = list((new - marked).union(p[:-1] for p in marked).difference(known))
+        known.update(self._fresh(plain))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
+        get = known.__getitem__
         out = [head + b"".join(map(get, p)) for head, p in zip(self.encode(heads), lists, strict=True)]
-        for p in long:
-            del self.known[p]
+        # parts that end or begin in white space are cut differently elsewhere; long ones are not worth the room
+        for p in plain:
+            if len(p) > self.longest or p.strip() != p:
+                del known[p]
+        return out
+
+    def _fresh(self, parts: list[str]) -> dict[str, bytes]:
+        whole = [p for p in parts if " " not in p and p.strip() == p]
+        out = dict(zip(whole, self.encode_parts(whole), strict=True))
+        if len(whole) < len(parts):
+            rest = [p for p in parts if p not in out]
+            out.update(zip(rest, self.encode([" " + p for p in rest]), strict=True))
         return out
 
 
