@@ -16,6 +16,7 @@ differ around it; the two operators settle those each in their own way.
 from __future__ import annotations
 
 import dataclasses
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,6 +134,15 @@ def _cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
     return A.mix(key, row + 1) >> np.uint64(64 - bits)
 
 
+def _coded(cells: np.ndarray) -> bytes:
+    """Sorted cells as compressed differences."""
+    return zlib.compress(np.diff(cells, prepend=np.uint32(0)).tobytes(), 1)
+
+
+def _decoded(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(blob), dtype=np.uint32), dtype=np.uint32)
+
+
 def sketch(docs: DataFrame, shape: Shape, bits: int) -> np.ndarray:
     """Merged sketch as bits: cell counted at least twice (``ROWS`` × 2**bits / 8 bytes)."""
     low = bits - SEGMENT_BITS
@@ -150,7 +160,7 @@ def sketch(docs: DataFrame, shape: Shape, bits: int) -> np.ndarray:
                 local = cells & np.uint32((1 << low) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(1 << SEGMENT_BITS, dtype=np.int32) + (r << SEGMENT_BITS)),
-                     pa.array([local[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())],
+                     pa.array([_coded(local[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.binary())],
                     ["segment", "cells"])
 
         for b in batches:
@@ -170,7 +180,7 @@ def sketch(docs: DataFrame, shape: Shape, bits: int) -> np.ndarray:
             for seg, blob in zip(b.column("segment").to_pylist(), b.column("cells"), strict=True):
                 if seg not in counts:
                     counts[seg] = np.zeros(1 << low, dtype=np.uint8)
-                cells = np.frombuffer(blob.as_buffer(), dtype=np.uint32)
+                cells = _decoded(blob.as_py())
                 twice = cells[1:][cells[1:] == cells[:-1]]
                 c = counts[seg]
                 c[cells] = np.minimum(c[cells] + 1, 2)
@@ -238,7 +248,8 @@ def classes(runs: DataFrame) -> DataFrame:
     """
     groups = stage(runs.groupBy(*CLASS, "flank").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("first_id"),
                                                      F.min("lo").alias("lo")))
-    rivals = groups.groupBy("key").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1")
+    # staged, so that Spark can split the join where one anchor has very many classes
+    rivals = stage(groups.groupBy("key").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1"))
     return groups.join(rivals, "key", "left").withColumn("rivals", F.coalesce("rivals", F.lit(1)))
 
 
