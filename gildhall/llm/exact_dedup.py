@@ -83,9 +83,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         raise RuntimeError("chunk identifiers collided under every salt")
     rows = stage(recipes(docs, id_col, text_col, salt))
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
-    groups = (rows.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-              .select("recipe", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"),
-                      "group_size"))
+    # staged, so that the join below is one whose large partitions Spark can split: a group may hold a third of the rows
+    groups = stage(rows.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+                   .select("recipe", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"),
+                           "group_size"))
     return (rows.join(groups, "recipe")
             .select("doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"),
                     "text_sha256"))
