@@ -36,6 +36,7 @@ EPOCHS, STEPS, BATCH, RATE = 8, 24, 256, 0.01  # at least STEPS steps an epoch,
 SEED = 3
 
 GROUP_BYTES = 4 << 20
+SLICE = 1 << 18
 BLOCK = 2048
 SPACE = 32
 
@@ -45,7 +46,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts: ``word[i]`` numbers the distinct words, ``doc[i]`` the texts; n-gram buckets by distinct word."""
+    """The words of some texts: ``word[i]`` numbers the distinct words, ``doc[i]`` the texts; n-gram buckets in the order of the distinct words."""
 
     def __init__(self, texts: list[bytes]):
         data = BYTE_CLASS[np.frombuffer(b" " + b" ".join(texts) + b" \0\0\0", dtype=np.uint8)]
@@ -54,26 +55,30 @@ class Words:
         start, end = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
         if inside[-1]:
             end = np.r_[end, len(data)]
-        value = A.mix(A.Rolling(A.BYTE_VALUE[data]).at(start, end) + (end - start).astype(np.uint64))
+        value = np.empty(len(start), dtype=np.uint64)
+        cut = np.unique(np.r_[np.searchsorted(start, np.arange(0, len(data), SLICE)), len(start)])
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            at = start[i]
+            value[i:j] = A.Rolling(A.BYTE_VALUE[data[at:end[j - 1]]]).at(start[i:j] - at, end[i:j] - at)
+        value = A.mix(value + (end - start).astype(np.uint64))
         begins = np.cumsum([1] + [len(t) + 1 for t in texts])
         self.doc = np.searchsorted(begins, start, side="right") - 1
         distinct, first, self.word = np.unique(value, return_index=True, return_inverse=True)
         self.bucket = (distinct >> np.uint64(49)).astype(np.int64)
         start, size = start[first], end[first] - start[first]
-        wide = data.astype(np.uint32)
-        four = np.zeros(len(data), dtype=np.uint32)
-        four[:-3] = wide[:-3] | wide[1:-2] << np.uint32(8) | wide[2:-1] << np.uint32(16) | wide[3:] << np.uint32(24)
         codes, owners = [], []
         for order in ORDERS:
             n = np.maximum(size + 3 - order, 0)  # with one space on either side
-            owner = np.repeat(np.arange(len(size)), n)
+            owner = np.repeat(np.arange(len(size), dtype=np.int32), n)
             at = start[owner] - 1 + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-            code = four[at] & np.uint32((1 << 8 * order) - 1)
-            codes.append(((code + np.uint32(0x9E37 * order)) * np.uint32(0x9E3779B1) >> np.uint32(18)).astype(np.int64))
+            code = np.zeros(len(at), dtype=np.uint32)
+            for k in range(order):
+                code |= data[at + k].astype(np.uint32) << np.uint32(8 * k)
+            codes.append(((code + np.uint32(0x9E37 * order)) * np.uint32(0x9E3779B1) >> np.uint32(18)).astype(np.int32))
             owners.append(owner)
-        order = np.argsort(np.concatenate(owners), kind="stable")
-        self.gram, self.owner = np.concatenate(codes)[order], np.concatenate(owners)[order]
-        self.grams = np.bincount(self.owner, minlength=len(size))
+        owner = np.concatenate(owners)
+        self.gram = np.concatenate(codes)[np.argsort(owner, kind="stable")]
+        self.grams = np.bincount(owner, minlength=len(size))
         self.begin = np.cumsum(self.grams) - self.grams
 
     def spelling(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,29 +240,34 @@ class Network:
             self.p[k] -= (rate * (m / (1 - 0.9 ** n)) / (np.sqrt(s / (1 - 0.99 ** n)) + 1e-8)).astype(np.float32)
 
 
-def _odds(rows: np.ndarray, docs: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+def _odds(pos: np.ndarray, every: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Smoothed log odds of a document being positive given a bucket; buckets of fewer than three documents say nothing."""
-    pair = np.unique(rows.astype(np.int64) * len(y) + docs)
-    bucket, doc = pair // len(y), pair % len(y)
-    pos, every = np.bincount(bucket, y[doc], minlength=size), np.bincount(bucket, minlength=size)
     rate = (y.sum() + 1) / (len(y) + 2)
     odds = np.log((pos + rate) / (every - pos + 1 - rate)) - np.log(rate / (1 - rate))
     return np.where(every >= 3, np.clip(odds, -3, 3), 0.0).astype(np.float32)
 
 
+def _evidence(words: Words, y: np.ndarray, docs: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of the word buckets and of the n-gram buckets, some documents at a time."""
+    seen = [np.zeros((2, WORD_BUCKETS)), np.zeros((2, CHAR_BUCKETS))]
+    edge = np.searchsorted(words.doc, np.arange(0, len(y) + docs, docs))
+    for i, j in zip(edge[:-1], edge[1:], strict=True):
+        pair = np.unique(words.doc[i:j].astype(np.int64) * len(words.bucket) + words.word[i:j])
+        doc, word = pair // max(1, len(words.bucket)), pair % max(1, len(words.bucket))
+        gram, owner = words.spelling(word)
+        for (pos, every), bucket, of in ((seen[0], words.bucket[word], doc), (seen[1], gram, doc[owner])):
+            pair = np.unique(of * len(every) + bucket)
+            of, bucket = pair // len(every), pair % len(every)
+            pos += np.bincount(bucket, y[of], minlength=len(every))
+            every += np.bincount(bucket, minlength=len(every))
+    return tuple(_odds(*s, y) for s in seen)
+
+
 def train(texts: list[bytes], y: np.ndarray, prior: float, seed: int = SEED) -> Network:
     """Fit on texts with labels 0 and 1; the first input dimensions start at the sample's log odds."""
     net, rng = Network.new(seed), np.random.default_rng(seed)
     words = Words(texts)
-    net.p["word"][:, 0] = _odds(words.bucket[words.word], words.doc, y, WORD_BUCKETS)
-    by_word = np.argsort(words.word, kind="stable")
-    n = np.bincount(words.word, minlength=len(words.bucket))
-    begin = np.cumsum(n) - n
-    # documents of each n-gram, through those of each distinct word
-    pairs = n[words.owner]
-    gram = np.repeat(words.gram, pairs)
-    where = np.repeat(begin[words.owner], pairs) + np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
-    net.p["char"][:, 0] = _odds(gram, words.doc[by_word[where]], y, CHAR_BUCKETS)
+    net.p["word"][:, 0], net.p["char"][:, 0] = _evidence(words, y)
     of, first, length = windows(words.doc, len(texts))
     # a word said over and over is no evidence by itself: negatives of one repeated word from the negative texts
     clean = np.flatnonzero(y[words.doc] == 0)
