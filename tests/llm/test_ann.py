@@ -72,3 +72,23 @@ def test_hilbert_steps_are_neighbours():
         assert sorted(key.tolist()) == list(range(len(cells)))
         walk = cells[np.argsort(key)]
         assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_copies_of_one_vector(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 8))
+    x[rng.permutation(1500)[:500]] = x[0]
+    x[:, 0] = np.where(np.arange(1500) % 2, 0.0, -0.0)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    group = np.flatnonzero((x == x[0]).all(axis=1))
+    monkeypatch.setattr(N, "BLOCK", 64)
+    monkeypatch.setattr(N, "WINDOW_ROWS", 64)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in N.nearest(table, F.col("vec_id") % 10 == 0, share=0.08).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(got) == list(range(0, 1500, 10))
+    inside = [q for q in got if q in set(group.tolist())]
+    assert len(inside) > 30
+    for q in inside:
+        assert [v for _, v in sorted(got[q])] == [i for i in group.tolist() if i != q][:20]
