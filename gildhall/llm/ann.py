@@ -29,6 +29,8 @@ BLOCK = 1024
 #: Share of the classes around its place that a query meets on each curve, and the least number of them.
 WINDOW_SHARE = 0.08
 WINDOW_ROWS = 2048
+#: Queries that are scored against a block at a time.
+ASKS = 1024
 #: Classes that a task collects before it hands them on.
 HELD = 20_000
 #: Bound of the sample that the quantiles are read from.
@@ -177,18 +179,16 @@ def _near(scores: np.ndarray, k: int, slack: float) -> np.ndarray:
 
 
 def _rerank(batches, k: int):
-    """Classes sorted by (curve, block), candidates before queries: the best ``k`` ids of the block for each class that asks."""
-
-    def done(rows):
-        cand = [r for r in rows if not r[2]]
-        asks = [r for r in rows if r[2]]
-        if not cand or not asks:
-            return None
-        reps = np.array([r[3] for r in cand])
-        members = [np.frombuffer(r[5], dtype=np.int64) for r in cand]
-        x = np.frombuffer(b"".join(r[4] for r in cand), dtype=np.float64).reshape(len(cand), -1)
-        q = np.frombuffer(b"".join(r[4] for r in asks), dtype=np.float64).reshape(len(asks), -1)
-        rounding = x.shape[1] * np.finfo(np.float64).eps * np.sqrt((x * x).sum(axis=1).max() * (q * q).sum(axis=1))
+    """Classes sorted by (curve, block), candidates before queries: the best ``k`` ids of the block for each class that asks.
+
+    A task holds one block's candidates and ``ASKS`` queries at most, however
+    many meet the block.
+    """
+
+    def done(cand, asks):
+        reps, members, x, longest = cand
+        q = np.frombuffer(b"".join(a[1] for a in asks), dtype=np.float64).reshape(len(asks), -1)
+        rounding = x.shape[1] * np.finfo(np.float64).eps * longest * np.sqrt((q * q).sum(axis=1))
         scores = q @ x.T
         out = []
         for i, ask in enumerate(asks):
@@ -200,24 +200,33 @@ def _rerank(batches, k: int):
             found = [members[j] for j in some[top]]
             ids, s = np.concatenate([*found, np.array([], dtype=np.int64)]), np.repeat(s[top], [len(f) for f in found])
             order = np.lexsort((ids, -s))[:k]
-            out.append((ask[3], ids[order].tobytes(), s[order].tobytes()))
+            out.append((ask[0], ids[order].tobytes(), s[order].tobytes()))
         cols = list(zip(*out, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
                                           ["rep", "ids", "scores"])
 
-    held, last = [], None
+    def candidates(rows):
+        x = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.float64).reshape(len(rows), -1)
+        return np.array([r[0] for r in rows]), [np.frombuffer(r[2], dtype=np.int64) for r in rows], x, np.sqrt((x * x).sum(axis=1).max())
+
+    rows, cand, asks, last = [], None, [], None
     for b in batches:
-        for row in zip(*(b.column(c).to_pylist() for c in ("curve", "block", "ask", "rep", "v", "ids")), strict=True):
-            if last is not None and row[:2] != last:
-                found = done(held)
-                if found is not None:
-                    yield found
-                held = []
-            last = row[:2]
-            held.append(row)
-    found = done(held) if held else None
-    if found is not None:
-        yield found
+        for curve, block, ask, *row in zip(*(b.column(c).to_pylist() for c in ("curve", "block", "ask", "rep", "v", "ids")), strict=True):
+            if (curve, block) != last:
+                if asks:
+                    yield done(cand, asks)
+                rows, cand, asks, last = [], None, [], (curve, block)
+            if not ask:
+                rows.append(row)
+            elif rows or cand:
+                if rows:
+                    cand, rows = candidates(rows), []
+                asks.append(row)
+                if len(asks) >= ASKS:
+                    yield done(cand, asks)
+                    asks = []
+    if asks:
+        yield done(cand, asks)
 
 
 def _merge(batches, k: int):

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gildhall.llm import ann as N
@@ -92,3 +93,25 @@ def test_copies_of_one_vector(spark, monkeypatch):
     assert len(inside) > 30
     for q in inside:
         assert [v for _, v in sorted(got[q])] == [i for i in group.tolist() if i != q][:20]
+
+
+def test_a_block_is_scored_in_slices():
+    """However many queries meet a block, they are answered as they come, in bounded parts."""
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(100, 4)), rng.normal(size=(5000, 4))
+    rows = [(0, 7, 0, i, v.tobytes(), np.array([i]).tobytes()) for i, v in enumerate(x)] + [(0, 7, 1, 1000 + i, v.tobytes(), None) for i, v in enumerate(q)]
+    names, read = ("curve", "block", "ask", "rep", "v", "ids"), []
+
+    def batches():
+        for at in range(0, len(rows), 500):
+            read.append(at)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at:at + 500], strict=True)], names)
+
+    found, sizes, early = {}, [], 0
+    for b in N._rerank(batches(), 5):
+        sizes.append(b.num_rows)
+        early += len(read) < len(rows) / 500
+        found.update(zip(b.column("rep").to_pylist(), b.column("ids").to_pylist(), strict=True))
+    assert sum(sizes) == len(found) == 5000 and max(sizes) <= 1024 and early
+    for i in range(0, 5000, 97):
+        assert np.frombuffer(found[1000 + i], dtype=np.int64).tolist() == np.argsort(-(x @ q[i]), kind="stable")[:5].tolist()
