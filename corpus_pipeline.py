@@ -10,15 +10,16 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gildhall.llm import lang_id
-from gildhall.llm._util import documents, held_out, scratch
-from gildhall.llm.exact_dedup import exact_duplicates
+from gildhall.llm._util import documents, held_out, scratch, stage
+from gildhall.llm.exact_dedup import exact_duplicates, normalised
 from gildhall.llm.packing import pack_documents
 from gildhall.llm.simhash_dedup import near_duplicates
 from gildhall.llm.substring_dedup import remove_earlier
+from gildhall.operators.sequence import ordinal
 from gildhall.session import checkpoint_dir
 
 #: No stage can be told in SQL as a whole: the first is a fitted classifier. Tested against a brute-force version.
@@ -40,21 +41,38 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for white space one stays; rows that repeat an id become one row."""
-    kept = exact_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of texts equal but for white space the row decided on stays; rows that repeat an id stay where their texts differ."""
+    kept = exact_duplicates(docs).where("kept").select("doc_id", "text_sha256")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
+    # rows that repeat an id and a text: the one with the most code points, as exact_duplicates chooses
+    first = Window.partitionBy("doc_id", "text_sha256").orderBy(
+        F.length(F.coalesce("row.text", F.lit(""))).desc(), "row.text", F.xxhash64("row"))
+    return (rows.join(kept, ["doc_id", "text_sha256"], "left_semi").withColumn("place", F.row_number().over(first))
+            .where("place = 1").select("row.*"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``key``, in the order of the ids: the id, or numbers of (id, text) where rows repeat an id."""
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn("key", F.col("doc_id"))
+    texts = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    keys = stage(ordinal(texts.select("doc_id", "text_sha256").distinct(), [], ["doc_id", "text_sha256"], name="key"))
+    return stage(texts.join(keys, ["doc_id", "text_sha256"]).select(*docs.columns, "key"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash group the document with the smallest id stays."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    rows = keyed(docs)
+    kept = near_duplicates(rows, "key").where("doc_id = component_id").select(F.col("doc_id").alias("key"))
+    return rows.join(kept, "key", "left_semi").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that an earlier document's windows cover go, and documents that lose all of theirs."""
-    cut = remove_earlier(docs).where("n_removed = 0 OR n_removed < n_words").select("doc_id", "kept_text")
-    rest = docs.drop("text", "n_chars").join(cut, "doc_id").withColumnRenamed("kept_text", "text")
+    rows = keyed(docs)
+    cut = (remove_earlier(rows, "key").where("n_removed = 0 OR n_removed < n_words")
+           .select(F.col("doc_id").alias("key"), "kept_text"))
+    rest = rows.drop("text", "n_chars").join(cut, "key").withColumnRenamed("kept_text", "text")
     return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -82,3 +82,26 @@ def test_empty_documents(spark):
     for _, step in C.STAGES:
         docs = _util.stage(step(spark, docs, SF))
         assert docs.count() == 0
+
+
+def test_rows_that_repeat_an_id_keep_their_texts(spark):
+    def rows(*texts):
+        return _util.stage(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long"))
+
+    def texts(df):
+        return sorted((r["doc_id"], r["text"]) for r in df.collect())
+
+    # of id 5, one text loses to id 9's longer copy, and two others stay
+    docs = rows((5, "alpha beta"), (5, "gamma delta"), (5, "epsilon"), (9, "alpha  beta"), (9, "zeta"), (9, "ze ta"), (9, "z eta"), (5, "gammadelta"), (5, "epsilon"))
+    assert texts(C.exact_dedup(spark, docs, SF)) == [(5, "epsilon"), (5, "gamma delta"), (9, "alpha  beta"), (9, "z eta")]
+
+    a, b, c = (" ".join(f"{w}{i}" for i in range(120)) for w in "abc")
+    near = texts(C.near_dedup(spark, rows((3, a), (4, b), (4, a + " a0"), (4, c)), SF))
+    expected = groups([1, 2, 3, 4], [fingerprint(t) for t in (a, b, a + " a0", c)])
+    assert near == sorted([p for k, p in zip((1, 2, 3, 4), [(3, a), (4, b), (4, a + " a0"), (4, c)], strict=True) if expected[k] == k])
+    assert expected[3] == 1 and len(near) == 3
+
+    whole = C.substring_dedup(spark, rows((3, a), (4, b + " " + a), (4, c), (4, b)), SF).collect()
+    assert len(whole) == 3 and {r["doc_id"] for r in whole} == {3, 4}
+    assert sorted(set(" ".join(r["text"] for r in whole).split())) == sorted((a + " " + b + " " + c).split())
+    assert sum(len(r["text"].split()) for r in whole) == 360 and all(r["n_chars"] == len(r["text"]) for r in whole)
