@@ -14,6 +14,7 @@ from gildhall.llm.bpe import encode_documents
 from gildhall.llm.exact_dedup import exact_duplicates
 from gildhall.llm.lm_score import score_documents
 from gildhall.llm.packing import pack_documents
+from gildhall.llm.prefix_trie import prefix_trie, turn_sequences, with_shared_heads
 from gildhall.llm.simhash_dedup import near_duplicates
 from gildhall.llm.substring_dedup import remove_earlier
 from gildhall.llm.suffix_dedup import remove_repeats
@@ -116,3 +117,46 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~out)
     return toxicity.score_documents(docs, net).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op11_prefix_trie", oracle=r"""
+WITH named AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+  FROM conversations WHERE conv_id IS NOT NULL),
+t AS (
+  SELECT conv_id, name, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) - 1 AS j
+  FROM named),
+c AS (
+  -- crc32 of the decimal digits, bit by bit
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+           list_prepend(4294967295, flatten([[ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for ch in string_split(conv_id::VARCHAR, '')])),
+           lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+s AS (
+  SELECT c.conv_id, 0 AS part, t.j, t.name, t.words FROM c JOIN t ON t.conv_id = c.base AND t.j < c.h
+  UNION ALL SELECT c.conv_id, 1, t.j, t.name, t.words FROM c JOIN t ON t.conv_id = c.conv_id AND t.j >= c.h),
+seq AS (
+  SELECT conv_id, list(name ORDER BY part, j) AS names, list(words ORDER BY part, j) AS words FROM s GROUP BY conv_id),
+p AS (
+  SELECT conv_id, d, array_to_string(list_slice(names, 1, d), ',') AS prefix,
+         CASE WHEN d > 0 THEN array_to_string(list_slice(names, 1, d - 1), ',') END AS parent,
+         CASE WHEN d > 0 THEN words[d] ELSE 0 END AS w, d = coalesce(len(names), 0) AS ends
+  FROM (SELECT c.conv_id, names, words, unnest(range(0, coalesce(len(names), 0) + 1)) AS d FROM c LEFT JOIN seq USING (conv_id))),
+node AS (
+  SELECT d, prefix, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(w) AS w,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY d, prefix),
+kids AS (SELECT d - 1 AS d, parent AS prefix, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (d, prefix)),
+sub AS (
+  SELECT up.d, up.prefix, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.w) AS saved
+  FROM full_node f JOIN p up ON up.conv_id = f.conv_id AND up.d <= f.d GROUP BY ALL)
+SELECT f.conv_id, f.d::BIGINT AS depth, par.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       sub.n_leaves::BIGINT AS n_leaves, sub.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_node f JOIN sub USING (d, prefix) LEFT JOIN node par ON par.d = f.d - 1 AND par.prefix = f.parent
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = turn_sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie(*with_shared_heads(sequences)).drop("name")
