@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from gildhall.llm import _util, lang_id, toxicity
 from gildhall.llm.ann import nearest
 from gildhall.llm.bpe import encode_documents
+from gildhall.llm.collocations import collocations
 from gildhall.llm.exact_dedup import exact_duplicates
+from gildhall.llm.license_scan import digest, scan
 from gildhall.llm.lm_score import score_documents
 from gildhall.llm.packing import pack_documents
 from gildhall.llm.prefix_trie import prefix_trie, turn_sequences, with_shared_heads
@@ -160,3 +162,46 @@ FROM full_node f JOIN sub USING (d, prefix) LEFT JOIN node par ON par.d = f.d -
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = turn_sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return prefix_trie(*with_shared_heads(sequences)).drop("name")
+
+
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan(_util.documents(spark, sf_dir)))
+
+
+@query("op13_collocations", oracle=r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (
+  SELECT lang, words, len(words) AS size
+  FROM (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM piece)),
+gram AS (
+  SELECT lang, k, array_to_string(list_slice(words, s, s + k - 1), ' ') AS phrase
+  FROM (SELECT lang, words, size, k, unnest(range(1, size - k + 2)) AS s FROM w, (SELECT unnest(range(1, 6)) AS k))),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM gram GROUP BY ALL HAVING count(*) >= 100),
+total AS (SELECT lang, sum(size)::HUGEINT AS n FROM w GROUP BY lang),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+covered AS (
+  SELECT lang, array_to_string(list_slice(words, s, s + m - 1), ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, k, words, a, m, unnest(range(1, k - m + 2)) AS s
+        FROM (SELECT lang, k, words, a, unnest(range(2, k)) AS m FROM cand))
+  GROUP BY ALL),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, c.c, l.f AS l, r.f AS r, t.n, (1000 * c.a * t.n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.words, 1, c.c), ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.words, c.c + 1, c.k), ' ')
+  JOIN total t ON t.lang = c.lang),
+weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (
+  SELECT weakest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM weakest LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_util.documents(spark, sf_dir))
