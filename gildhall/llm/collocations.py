@@ -27,13 +27,13 @@ from gildhall.llm import anchors as A
 from gildhall.llm._util import map_arrow, shuffle_partitions, stage
 
 LONGEST, THRESHOLD = 5, 100
-#: Phrase occurrences a hash partition is made for, and at least so many partitions (powers of two).
-SEGMENT_MASS, MIN_SEGMENT_BITS = 1 << 27, 6
+#: Phrase occurrences a hash partition is made for, and least and most partitions (powers of two).
+SEGMENT_MASS, MIN_SEGMENT_BITS, MAX_SEGMENT_BITS = 1 << 24, 6, 16
 #: Bits of the survivors' table for each summary counter, and at most 2**MAX_BITS bits (64 MB, the bound of what is broadcast).
 #: Beyond that it passes more phrases to the exact counts, never fewer.
 BITS_PER_COUNTER, MAX_BITS = 16, 29
 #: Characters worked on at once, phrase hashes a task holds before it sends them, exact counts it holds.
-GROUP_BYTES, FLUSH, HELD = 1 << 21, 1 << 22, 1 << 19
+GROUP_BYTES, FLUSH, HELD = 1 << 20, 1 << 21, 1 << 18
 
 #: ASCII as it counts here: A-Z in lower case; the marks and line ends that end a piece are line feeds, a tab is a space.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
@@ -128,10 +128,15 @@ def by_language(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 def segment_bits(docs: DataFrame) -> tuple[int, int]:
     """Hash partitions, and bits of the survivors' table, for the size of the texts (both as powers of two)."""
     mass = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6 * LONGEST
-    segments = int(np.clip(np.ceil(np.log2(mass / SEGMENT_MASS + 1)), MIN_SEGMENT_BITS, 24))
+    segments = int(np.clip(np.ceil(np.log2(mass / SEGMENT_MASS + 1)), MIN_SEGMENT_BITS, MAX_SEGMENT_BITS))
     return segments, int(np.clip(np.ceil(np.log2(BITS_PER_COUNTER * mass / THRESHOLD + 1)), segments + 10, MAX_BITS))
 
 
+def partitions(docs: DataFrame, segments: int) -> int:
+    """Tasks to sum up hash partitions: at most four of them each, however many there are."""
+    return max(shuffle_partitions(docs.sparkSession), 1 << max(segments - 2, 0))
+
+
 def _coded(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Keys met once, keys met more often, and how often."""
     once = counts == 1
@@ -242,7 +247,7 @@ def survivors(docs: DataFrame, segments: int, bits: int, threshold: int = THRESH
         if summary is not None:
             yield done()
 
-    parts = dealt(docs, segments).repartition(shuffle_partitions(docs.sparkSession), "segment").sortWithinPartitions("segment", "turn")
+    parts = dealt(docs, segments).repartition(partitions(docs, segments), "segment").sortWithinPartitions("segment", "turn")
     out, n = np.zeros((1 << segments, (1 << slice_bits) // 8), dtype=np.uint8), 0
     for r in map_arrow(parts, run, "segment int, n long, bits binary").toLocalIterator():  # one slice at a time
         out[r["segment"]] = np.frombuffer(r["bits"], dtype=np.uint8)
@@ -278,10 +283,54 @@ class Tally:
                 setattr(self, name, np.insert(getattr(self, name), place, values))
             self.h = [np.insert(old, place, x[new]) for old, x in zip(self.h, (h, h2), strict=True)]
 
-    def rows(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(self.lang, pa.string()), pa.array(self.size.astype(np.int32)), pa.array([p.decode() for p in self.phrase], pa.string()),
-             pa.array(self.counts)], ["lang", "n", "phrase", "f"])
+    def rows(self, segments: int, words: dict[str, int] | None = None) -> pa.RecordBatch:
+        """One row for each hash partition: lists of languages, lengths, phrases and counts (``words``: length 0)."""
+        words = words or {}
+        seg = (self.h[0] >> np.uint64(64 - segments)).astype(np.int64)
+        extra = np.array([Phrases.salt(x, 0) >> (64 - segments) for x in words], dtype=np.int64)
+        order = np.argsort(np.r_[seg, extra], kind="stable")
+        seg = np.r_[seg, extra][order]
+        first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]][:len(seg)])
+        offsets = pa.array(np.r_[first, len(seg)].astype(np.int32))
+        lists = [pa.array(np.r_[self.lang, np.array(list(words), dtype=object)][order], pa.string()),
+                 pa.array(np.r_[self.size.astype(np.int32), np.zeros(len(words), dtype=np.int32)][order]),
+                 pa.array([p.decode() for p in np.r_[self.phrase, np.array([b""] * len(words), dtype=object)][order]], pa.string()),
+                 pa.array(np.r_[self.counts, np.array(list(words.values()), dtype=np.int64)][order])]
+        return pa.RecordBatch.from_arrays([pa.array(seg[first].astype(np.int32)), *(pa.ListArray.from_arrays(offsets, x) for x in lists)],
+                                          ["segment", *COUNTED])
+
+
+COUNTED = ["lang", "n", "phrase", "f"]
+
+
+def summed(rows: DataFrame, threshold: int, partitions: int) -> DataFrame:
+    """Exact counts from the tasks' lists, a hash partition at a time; phrases under the threshold go."""
+    def run(batches):
+        segment, held = None, []
+
+        def merged():
+            t = pa.concat_tables(held).group_by(COUNTED[:3]).aggregate([("f", "sum")])
+            return t.select([*COUNTED[:3], "f_sum"]).rename_columns(COUNTED)
+
+        def done():
+            t = merged()
+            keep = (t["n"].to_numpy() == 0) | (t["f"].to_numpy() >= threshold)
+            yield from t.filter(pa.array(keep)).combine_chunks().to_batches(max_chunksize=1 << 14)
+
+        for b in batches:
+            for i, seg in enumerate(b.column("segment").to_pylist()):
+                if segment is not None and seg != segment:
+                    yield from done()
+                    held = []
+                segment = seg
+                held.append(pa.table([b.column(c)[i].values for c in COUNTED], COUNTED))
+                if sum(map(len, held)) > 1 << 18 and len(held) > 8:
+                    held = [merged()]
+        if held:
+            yield from done()
+
+    parts = rows.repartition(partitions, "segment").sortWithinPartitions("segment")
+    return map_arrow(parts, run, "lang string, n int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -310,15 +359,12 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, text_col: str
                     if keep.any():
                         tally.add(p, n, first[keep], h[keep], h2[keep])
                 if len(tally.counts) >= HELD:
-                    yield tally.rows()
+                    yield tally.rows(segments)
                     tally = Tally()
-        yield tally.rows()
-        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array([0] * len(words), pa.int32()),
-                                          pa.array([""] * len(words), pa.string()), pa.array(list(words.values()), pa.int64())],
-                                         ["lang", "n", "phrase", "f"])
+        yield tally.rows(segments, words)
 
-    rows = map_arrow(docs, count, "lang string, n int, phrase string, f long")
-    found = stage(rows.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).where((F.col("n") == 0) | (F.col("f") >= threshold)))
+    rows = map_arrow(docs, count, "segment int, lang array<string>, n array<int>, phrase array<string>, f array<long>")
+    found = stage(summed(rows, threshold, partitions(docs, segments)))
     seen.destroy()
     return found
 
