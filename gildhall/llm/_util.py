@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -12,6 +13,8 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
 
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,7 +40,7 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-_used: ContextVar[list[str] | None] = ContextVar("staged tables of this scope", default=None)
+_used: ContextVar[list | None] = ContextVar("staged tables and broadcasts of this scope", default=None)
 
 
 def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
@@ -57,19 +60,30 @@ def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """A broadcast that the enclosing :func:`scratch` scope takes back from all executors at its end."""
+    held = spark.sparkContext.broadcast(value)
+    if _used.get() is not None:
+        _used.get().append(held)
+    return held
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables staged within are deleted at the end, so what they feed must be written by then."""
-    paths: list[str] = []
-    token = _used.set(paths)
+    """Tables staged and values shared within go at the end, so what they feed must be written by then."""
+    used: list = []
+    token = _used.set(used)
     try:
         yield
     finally:
         _used.reset(token)
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for p in paths:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+        for x in used:
+            if isinstance(x, str):
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x)
+                path.getFileSystem(conf).delete(path, True)
+            else:
+                x.destroy()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -109,7 +123,42 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_worker_caches: list[dict] = []
+_served: list[str] = []
+
+
+def worker_cache(cache: dict) -> dict:
+    """Register a module's cache: a worker empties it when a task of another operator begins."""
+    _worker_caches.append(cache)
+    return cache
+
+
+def _begin(operator: str) -> None:
+    if _served != [operator]:
+        _served[:] = [operator]
+        for cache in _worker_caches:
+            cache.clear()
+
+
+def _end() -> None:
+    """Hand freed memory back: workers are reused, and what one operator needed at its peak would stay with them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
 def map_arrow(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, which give memory back between tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    operator = f"{fn.__module__}.{fn.__qualname__}"
+
+    def task(batches):
+        _begin(operator)
+        try:
+            yield from fn(batches)
+        finally:
+            _end()
+
+    return df.mapInArrow(task, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gildhall.llm import anchors as A
-from gildhall.llm._util import id_text, map_arrow, ship, stage, word_blocks
+from gildhall.llm._util import id_text, map_arrow, share, ship, stage, word_blocks
 
 CHUNK_BYTES = 32 << 20
 CHUNK_DOCS = 1 << 15
@@ -237,7 +237,7 @@ def fit(words: DataFrame, v: Vocabulary, n_ends: int, rounds: int = ROUNDS) -> n
     logp = v.logp
     prior = np.exp(v.logp) * PRIOR
     for _ in range(rounds):
-        shared = words.sparkSession.sparkContext.broadcast((v, logp))
+        shared = share(words.sparkSession, (v, logp))
 
         def expect(batches, shared=shared):
             vocabulary, now = shared.value
@@ -280,7 +280,7 @@ def score_documents(docs: DataFrame, model_path: str, held: Column, id_col: str
 
     v = Vocabulary.read(model_path)
     logp = fit(words, v, n_ends)
-    shared = docs.sparkSession.sparkContext.broadcast((v, logp))
+    shared = share(docs.sparkSession, (v, logp))
 
     def weigh(batches):
         vocabulary, now = shared.value

@@ -233,7 +233,9 @@ def repeated_runs(docs: DataFrame, shape: Shape) -> DataFrame:
                          pa.array(run["key"][keep].view(np.int64)), pa.array(run["c2"][keep].view(np.int64)),
                          pa.array(flanks, pa.binary())], ["doc_id", "lo", "n", "place", "key", "c", "flank"])
 
-    return stage(map_arrow(docs, emit, "doc_id long, lo long, n int, place int, key long, c long, flank binary"))
+    runs = stage(map_arrow(docs, emit, "doc_id long, lo long, n int, place int, key long, c long, flank binary"))
+    seen.destroy()  # the runs are written; a worker keeps no copy of the table either
+    return runs
 
 
 CLASS = ["key", "place", "n", "c"]
