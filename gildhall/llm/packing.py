@@ -8,9 +8,11 @@ other under a new dealing and pack them again, as long as bins are saved.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -19,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gildhall.llm._util import id_text, map_arrow, ship, stage
-from gildhall.llm.pretoken import PartCache, text_batches
+from gildhall.llm._util import id_text, map_arrow, ship, stage, worker_cache
+from gildhall.llm.pretoken import RUNS, PartCache, text_batches
 
 CAPACITY = 1024
 END_ID = 2
@@ -28,17 +30,30 @@ END_ID = 2
 GROUP_PIECES = 1 << 14
 MAX_ROUNDS = 6
 
-_caches: dict[str, PartCache] = {}
+_caches: dict[str, PartCache] = worker_cache({})
+
+
+def byte_ranks(model: dict) -> dict[bytes, int] | None:
+    """The ids by bytes, where merging by them is merging by the list: every merge makes a new token, in their order."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in visible)}
+    vocab = model["vocab"]
+    made = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "", 1)) for m in model["merges"]]
+    singles = [vocab.get(c) for c in byte]
+    if None in made or None in singles or sorted(set(made)) != made or max(singles) >= made[0] or model.get("ignore_merges"):
+        return None
+    by_id = {i: t for t, i in vocab.items()}
+    return {bytes(byte[c] for c in by_id[i]): i for i in [*sorted(singles), *made]}
 
 
 def tokenizer_cache(path: str) -> PartCache:
-    """Per worker process: ids of text parts by the ``tokenizers`` file at ``path``, special tokens read as text."""
+    """Per worker process: ids of text parts by the ``tokenizers`` file at ``path``, added tokens found as it finds them."""
     if path not in _caches:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
 
         def encode(batch: list[str]) -> list[bytes]:
             return [struct.pack(f"<{len(e)}I", *e.ids) for e in tok.encode_batch_fast(batch, add_special_tokens=False)]
@@ -57,7 +72,35 @@ def tokenizer_cache(path: str) -> PartCache:
                 out += [data[a:b] for a, b in zip(at.tolist(), [*at[1:].tolist(), len(data)], strict=True)]
             return out
 
-        _caches[path] = PartCache(encode, marks=".,", encode_parts=encode_parts)
+        # a familiar run is one match of the splitting pattern, so only the merges are left to do
+        ranks = byte_ranks(json.loads(tok.to_str())["model"])
+        piece = ranks and tiktoken.Encoding("ranks", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        between: dict[str, bytes] = {}  # runs of marks, few and frequent
+
+        def encode_run(run: str) -> bytes:
+            if run.isalpha():
+                return array("I", piece(run.encode())).tobytes()
+            if run not in between:
+                if len(between) > 10_000:
+                    between.clear()
+                between[run] = array("I", piece(run.encode())).tobytes()
+            return between[run]
+
+        def encode_words(words: list[str]) -> list[bytes]:
+            out = []
+            for w in words:
+                if w.isalpha():
+                    out.append(array("I", piece((" " + w).encode())).tobytes())
+                else:
+                    first, *rest = RUNS.findall(w)
+                    out.append(b"".join([array("I", piece((" " + first).encode())).tobytes(), *map(encode_run, rest)]))
+            return out
+
+        added = tok.get_added_tokens_decoder()
+        plain = all(not (t.single_word or t.lstrip or t.rstrip or t.normalized) for t in added.values())
+        _caches[path] = PartCache(encode, marks=".,", encode_parts=encode_parts, encode_words=encode_words if ranks else None,
+                                  added={t.content: struct.pack("<I", i) for i, t in added.items()} if plain else {},
+                                  whole=() if plain else tuple(t.content for t in added.values()))
     return _caches[path]
 
 

@@ -10,11 +10,16 @@ in a bounded cache, and only parts not seen lately are encoded.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator, Sequence
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Letters that every Unicode version in use knows as letters.
 FAMILIAR = "\u0370"
+_LETTERS = "".join(c for c in map(chr, range(0x370)) if c.isalpha())
+_MARKS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+#: A run of familiar letters, of ASCII marks (no apostrophe) or a single line feed is one match of the pattern, wherever it is.
+RUNS = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n")
+FAMILIAR_RUNS = re.compile(f"(?:[{_LETTERS}{_MARKS}]+\n)*[{_LETTERS}{_MARKS}]+")
 
 
 def blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
@@ -39,23 +44,43 @@ class PartCache:
     part of letters and one mark behind them splits between the two, so it is
     put together from the encodings of both. ``encode_parts`` may encode many
     parts without a space in them or white space at their ends, each with one
-    space before it, faster.
+    space before it, faster, and ``encode_words`` parts of familiar runs.
+
+    ``added`` are strings that stand for themselves wherever they are, with
+    their encodings: texts are cut there first. Texts with a string in
+    ``whole`` are encoded in one go.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, longest: int = 48, marks: str = "",
-                 encode_parts: Callable[[list[str]], list[bytes]] | None = None):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 500_000, longest: int = 48, marks: str = "",
+                 encode_parts: Callable[[list[str]], list[bytes]] | None = None,
+                 encode_words: Callable[[list[str]], list[bytes]] | None = None,
+                 added: dict[str, bytes] | None = None, whole: Sequence[str] = ()):
         self.encode, self.limit, self.longest = encode, limit, longest
         self.encode_parts = encode_parts or (lambda parts: encode([" " + p for p in parts]))
+        self.encode_words = encode_words
+        self.added, self.whole = added or {}, tuple(whole)
+        # of strings that begin alike the longest is found
+        self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.marks = dict(zip(marks, encode(list(marks)), strict=True))
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def joined(self, texts: list[str]) -> list[bytes]:
         """The encoded bytes of each text."""
+        if self.whole and any(w in t for w in self.whole for t in texts):
+            return [self.encode([t])[0] if any(w in t for w in self.whole) else self.joined([t])[0] for t in texts]
+        if any(a in t for a in self.added for t in texts):
+            return [self._around(t) if any(a in t for a in self.added) else self.joined([t])[0] for t in texts]
         if all(len(t) <= 1 << 21 for t in texts):
             return self._joined(texts)
         return [b"".join(self._joined([b])[0] for b in blocks(t)) for t in texts]
 
+    def _around(self, text: str) -> bytes:
+        """A text with strings of ``added`` in it: what lies between them is encoded alone."""
+        pieces = self.cut_added.split(text)
+        rest = iter(self.joined(pieces[::2]))
+        return b"".join(self.added[p] if i % 2 else next(rest) for i, p in enumerate(pieces))
+
     def _parts(self, texts: list[str]) -> tuple[list[str], list[list[str]], set[str]]:
         """First part and other parts of each text, and the parts that are not known."""
         lists = [t.split(" ") for t in texts]
@@ -90,10 +115,15 @@ class PartCache:
         return out
 
     def _fresh(self, parts: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        if self.encode_words:
+            words = list(filter(FAMILIAR_RUNS.fullmatch, parts))
+            out = dict(zip(words, self.encode_words(words), strict=True))
+            parts = [p for p in parts if p not in out]
         whole = [p for p in parts if " " not in p and p.strip() == p]
-        out = dict(zip(whole, self.encode_parts(whole), strict=True))
-        if len(whole) < len(parts):
-            rest = [p for p in parts if p not in out]
+        out.update(zip(whole, self.encode_parts(whole), strict=True))
+        rest = [p for p in parts if p not in out]
+        if rest:
             out.update(zip(rest, self.encode([" " + p for p in rest]), strict=True))
         return out
 

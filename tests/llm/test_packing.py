@@ -15,9 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check_layout(rows):
@@ -55,12 +53,35 @@ def test_query(spark, tokenizer):
     assert least <= check_layout(rows) <= least * 1.02 + 1
 
 
+ADDED = ["<|endoftext|>", "a <|endoftext|> b", " <|endoftext|>\n<|endoftext|>  c", "<|endoftext|<|endoftext|>|>", "x<|endoftext|>y " * 900]
+
+
+def test_added_tokens_and_runs_as_the_library(tokenizer):
+    """Added tokens beside all kinds of white space, and random mixtures of letters, marks and line feeds."""
+    cache = P.tokenizer_cache(PATH)
+    rng = np.random.default_rng(4)
+    alphabet = [*"aZé,.'#$\n 1ß_-\t日", "<|endoftext|>", "\n\n", " the", "don't"]
+    texts = [*ADDED, *("".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(5000))]
+    for turn in range(2):  # the second time from the cache
+        assert cache.joined(texts) == cache.encode(texts)
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids.count(50256) == 1
+
+
+def test_workers_drop_caches_of_other_operators():
+    _util._begin("one")
+    cache = P.tokenizer_cache(PATH)
+    _util._begin("one")
+    assert P.tokenizer_cache(PATH) is cache
+    _util._begin("two")
+    assert P._caches == {}
+
+
 def test_awkward_rows_in_many_groups(spark, tokenizer):
-    docs = with_repeats(spark, [*AWKWARD, "<|endoftext|> is text", "word " * 700])
+    docs = with_repeats(spark, [*AWKWARD, "<|endoftext|> is an id", "word " * 700, *ADDED])
     rows = P.pack_documents(docs, PATH, group_pieces=3).collect()
     check_layout(rows)
     single = [r for r in rows if r["doc_id"] not in (7, None)]
-    check_pieces(single, [(i, t) for i, t in enumerate([*AWKWARD, "<|endoftext|> is text", "word " * 700], 1) if i != 7], tokenizer)
+    check_pieces(single, [(i, t) for i, t in enumerate([*AWKWARD, "<|endoftext|> is an id", "word " * 700, *ADDED], 1) if i != 7], tokenizer)
     assert sum(r["doc_id"] == 7 for r in rows) == 2 and sum(r["doc_id"] is None for r in rows) == 2
     assert P.pack_documents(empty(spark), PATH).collect() == []
 
