@@ -24,16 +24,20 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gildhall.llm._util import id_text, map_arrow
+from gildhall.llm._util import id_text, map_arrow, share
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3, 4)
 #: Documented bounds of the fit: labelled rows for each language, landmarks over all languages.
 PER_LANG = 400
+SAMPLE_ROWS = 20_000  # of all languages together, 2 KB each on the driver
 LANDMARKS = 256
 SLICES = 16
 RIDGE = 1e-3
 UNDETERMINED = "und"
+#: Distinct n-grams from which on a text's best output says whether it is in any of the languages at all. Noise of letters
+#: is refused up to ``SHARE`` of the way from its own best output to the lowest one of labelled texts.
+EVIDENCE, SHARE = 1000, 0.15
 
 ROWS_PER_BLOCK = 64
 STRIDE = 1 << 19
@@ -99,6 +103,8 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 class LangModel:
     langs: list[str]
     weights: np.ndarray  # buckets × languages
+    #: Best output under which a text of at least ``EVIDENCE`` n-grams is in none of the languages.
+    floor: float = -np.inf
 
     def scores(self, matrix: np.ndarray) -> np.ndarray:
         """Ridge outputs (texts × languages), +1 for the language and -1 for the rest."""
@@ -106,7 +112,7 @@ class LangModel:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column) -> list:
-    """Presence bits of at most ``PER_LANG`` labelled rows of each language, by hash of the id.
+    """Presence bits of at most ``PER_LANG`` labelled rows of each language (``SAMPLE_ROWS`` of all), by hash of the id.
 
     The rows are picked from the two narrow columns; their texts are then
     turned into bits where they lie.
@@ -123,6 +129,8 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: C
               .withColumn("rn", first("lang", "slice")).where(F.col("rn") <= PER_LANG)
               .withColumn("rn", first("lang")).where(F.col("rn") <= PER_LANG)
               .select("doc_id", "lang", "rn"))
+    # with very many languages fewer rows of each: every one's first row, then every one's second, ...
+    picked = picked.orderBy("rn", "lang").limit(SAMPLE_ROWS)
     texts = id_text(docs, id_col, text_col)
 
     def bits(batches):
@@ -145,15 +153,52 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     langs = sorted({r["lang"] for r in rows})
     if not rows:
         return LangModel([], np.zeros((BUCKETS, 0), dtype=np.float32))
-    x = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in rows), dtype=np.uint8).reshape(len(rows), -1), axis=1)
-    x = _unit(x.astype(np.float32))
-    y = np.where(np.array([r["lang"] for r in rows])[:, None] == np.array(langs)[None, :], 1.0, -1.0)
-    landmarks = x[:max(LANDMARKS, len(langs))]
-    k_nm = (x @ landmarks.T).astype(np.float64)
+
+    model = _solved(rows, langs)
+    model.floor = _floor(rows, langs)
+    return model
+
+
+def _matrix(rows: list) -> np.ndarray:
+    packed = np.frombuffer(b"".join(r["bits"] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
+    return np.unpackbits(packed, axis=1).astype(np.float32)
+
+
+def _slices(rows: list) -> Iterator[list]:
+    """Rows whose dense form is held at a time."""
+    return (rows[i:i + 512] for i in range(0, len(rows), 512))
+
+
+def _solved(rows: list, langs: list[str]) -> LangModel:
+    landmarks = _unit(_matrix(rows[:max(LANDMARKS, len(langs))]))
     k_mm = (landmarks @ landmarks.T).astype(np.float64)
-    lhs = k_nm.T @ k_nm + RIDGE * len(rows) * k_mm + 1e-6 * len(rows) * np.eye(len(landmarks))
-    alpha = np.linalg.solve(lhs, k_nm.T @ y)
-    return LangModel(langs, (landmarks.T @ alpha).astype(np.float32))
+    lhs = RIDGE * len(rows) * k_mm + 1e-6 * len(rows) * np.eye(len(landmarks))
+    rhs = np.zeros((len(landmarks), len(langs)))
+    for some in _slices(rows):
+        k_nm = (_unit(_matrix(some)) @ landmarks.T).astype(np.float64)
+        y = np.where(np.array([r["lang"] for r in some])[:, None] == np.array(langs)[None, :], 1.0, -1.0)
+        lhs += k_nm.T @ k_nm
+        rhs += k_nm.T @ y
+    return LangModel(langs, (landmarks.T @ np.linalg.solve(lhs, rhs)).astype(np.float32))
+
+
+def _floor(rows: list, langs: list[str]) -> float:
+    """Between noise of letters and labelled rows that a model of the other three quarters has not seen.
+
+    Minus infinity (nothing is refused) where too few rows have the evidence,
+    or some of them look no better than noise.
+    """
+    seen, unseen = ([r for r in rows if (r["rn"] % 4 == 0) == out] for out in (False, True))
+    if not seen or not unseen:
+        return -np.inf
+    model = _solved(seen, langs)
+    best = [model.scores(m).max(axis=1)[m.sum(axis=1) >= EVIDENCE] for m in map(_matrix, _slices(unseen))]
+    low = min((float(b.min()) for b in best if len(b)), default=-np.inf)
+    rng = np.random.default_rng(7)
+    letters = rng.integers(ord("a"), ord("z") + 1, (64, 4000)).astype(np.uint8)
+    letters[rng.random(letters.shape) < 0.15] = ord(" ")
+    noise = float(model.scores(presence(letters.ravel(), np.arange(65) * letters.shape[1])).max())
+    return noise + SHARE * (low - noise) if low > noise else -np.inf
 
 
 def _judge(model: LangModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +224,7 @@ def predict(docs: DataFrame, model: LangModel, id_col: str = "doc_id", text_col:
     first. Reads nothing but the text; other columns are ignored. Rows with a
     null id and repeated rows are scored like any other.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def score(batches):
         names = np.array([*shared.value.langs, UNDETERMINED], dtype=object)
@@ -191,17 +236,25 @@ def predict(docs: DataFrame, model: LangModel, id_col: str = "doc_id", text_col:
     return map_arrow(id_text(docs, id_col, text_col), score, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: LangModel, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is determined with at least ``min_score``.
+def accepted(docs: DataFrame, model: LangModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are in one of the model's languages.
 
-    A filter within the scan's own partitions: nothing is shuffled.
+    Texts without a letter go, and texts of at least ``EVIDENCE`` distinct n-grams
+    whose best output lies below the model's floor: those resemble none of
+    the languages as far as any learned text does. Shorter texts say too little
+    and stay. Repeated rows are judged alike; an empty table stays empty. A
+    filter within the scan's own partitions: nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def keep(batches):
+        m = shared.value
         for b in batches:
-            at = b.schema.get_field_index(text_col)
-            pred, conf = _judge(shared.value, pc.fill_null(b.column(at), ""))
-            yield b.filter(pa.array((pred < len(shared.value.langs)) & (conf >= min_score)))
+            texts = pc.fill_null(b.column(b.schema.get_field_index(text_col)), "")
+            good = np.zeros(len(texts), dtype=bool)
+            for i, j, grams in _blocks(texts) if m.langs else ():
+                good[i:j] = (grams.sum(axis=1) < EVIDENCE) | (m.scores(grams).max(axis=1) >= m.floor)
+            good &= np.array([bool(LETTER.search(t.as_py())) for t in texts], dtype=bool)
+            yield b.filter(pa.array(good))
 
     return map_arrow(docs, keep, docs.schema)

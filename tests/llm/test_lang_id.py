@@ -53,3 +53,28 @@ def test_long_text_in_strides(monkeypatch):
     whole = lang_id.presence(data, np.array([0, 600, len(data)]))
     monkeypatch.setattr(lang_id, "STRIDE", 64)
     assert (lang_id.presence(data, np.array([0, 600, len(data)])) == whole).all()
+
+
+def test_accepted_rejects_noise_of_letters_only(spark):
+    rng = np.random.default_rng(0)
+    letters = np.array([*"abcdefghijklmnopqrstuvwxyz"])
+
+    def noise(words):
+        return " ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(words))
+    docs = _util.documents(spark, SF)
+    model = lang_id.fit(docs, ~_util.held_out(F.col("doc_id"), 4, 2))
+    assert -1 < model.floor < 0
+    rows = [noise(n) for n in (300, 1000, 3000)] + [noise(5), "ok", None, "", "12 !"]
+    more = spark.createDataFrame(list(enumerate(rows, 1_000_000)), "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1).cast("long")})
+    kept = {r["doc_id"] for r in lang_id.accepted(docs.unionByName(more), model).collect()}
+    clean = {r["doc_id"] for r in docs.where(r"text RLIKE '\\p{L}'").collect()}
+    assert kept == clean | {1_000_003, 1_000_004}
+    assert lang_id.accepted(empty(spark), model).collect() == []
+
+
+def test_very_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "SAMPLE_ROWS", 60)
+    docs = spark.range(900).selectExpr("id AS doc_id", "concat('wort', id % 30, ' x', id % 30) AS text", "concat('l', id % 30) AS lang")
+    model = lang_id.fit(docs, F.lit(True))
+    assert len(model.langs) == 30
