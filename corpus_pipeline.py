@@ -27,11 +27,13 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is undetermined go, and rows without an id, which no later stage could name.
+    """Documents without a letter go, and long ones that resemble none of the languages; so do rows without an id.
 
     Learns from this stage's own input, where it has a language and the id is
-    not held out. Where nothing can be learned, every language is undetermined;
-    then only texts without a letter go.
+    not held out; how little a text may resemble a language is read off the
+    texts learned from. Where nothing can be learned, only texts without a letter
+    go. An empty table stays empty, repeated rows are judged alike. A row
+    without an id could be named by no later stage.
     """
     docs = docs.where("doc_id IS NOT NULL")
     model = lang_id.fit(docs, ~held_out(F.col("doc_id"), 4, 2))
