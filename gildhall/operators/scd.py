@@ -9,6 +9,8 @@ rows with the incoming rows on the natural key, and classifies every pair:
   updated     key in both, only in-place columns differ → rewritten in place
   new         key only incoming (net-new)
   kept        key only current (not in this batch)
+  rejected    incoming row without a whole key, or with a key that the batch
+              repeats; it changes nothing (only with ``rejects``)
 
 One pass emits every output row (the closed version and its successor come
 from the same joined row through ``explode``), so nothing depends on "rows
@@ -44,42 +46,87 @@ def _any_changed(cols: Sequence[str]) -> Column:
     return out
 
 
+def scd2_screen(incoming: DataFrame, key: Sequence[str], on_duplicate: str = "raise") -> tuple[DataFrame, DataFrame]:
+    """``incoming`` as (rows with a whole key, rows without), both with ``_reason``.
+
+    The first have ``_reason`` NULL, or ``repeated_key`` where the batch has the
+    key more than once (``on_duplicate="reject"``; with ``"raise"`` reading such
+    a row fails the job). Which of the repeated rows is right is not
+    guessed: none is applied. The second have ``null_key``: any part of
+    the key is NULL. They stay out of every join, so a batch full of them
+    is no hot key.
+    """
+    if on_duplicate not in ("raise", "reject"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate}")
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    rows = incoming.filter(whole)
+    names = {k: f"_scr_{i}" for i, k in enumerate(key)}
+    counts = rows.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(F.count(F.lit(1)).alias("_scr_n"))
+    cond = None
+    for k, n in names.items():
+        c = F.col(k) == F.col(n)
+        cond = c if cond is None else cond & c
+    text = F.concat_ws(", ", *[F.col(k).cast("string") for k in key])
+    found = (F.lit("repeated_key") if on_duplicate == "reject"
+             else F.raise_error(F.concat(F.lit("incoming key repeated: "), text)).cast("string"))
+    keyed = (rows.join(counts, cond).withColumn("_reason", F.when(F.col("_scr_n") > 1, found))
+             .drop("_scr_n", *names.values()))
+    return keyed, incoming.filter(~whole).withColumn("_reason", F.lit("null_key"))
+
+
 def scd2_classify(current: DataFrame, incoming: DataFrame, key: Sequence[str],
-                  tracked: Sequence[str], inplace: Sequence[str], changes_only: bool = False) -> DataFrame:
-    """Joined frame with an ``_action`` column (one row per key).
+                  tracked: Sequence[str], inplace: Sequence[str], changes_only: bool = False,
+                  on_duplicate: str = "raise") -> DataFrame:
+    """Joined frame with an ``_action`` column (one row per key; one per
+    rejected row besides).
 
     With ``changes_only`` the current rows are first restricted to the
     incoming keys (a semi-join against the usually small change set), so a
     refresh never shuffles the untouched part of a large dimension."""
+    keyed, keyless = scd2_screen(incoming, key, on_duplicate)
     cur = current.filter(F.col("is_current_flag"))
     if changes_only:
         cur = cur.join(incoming.select(*key).distinct(), list(key), "left_semi")
-    cur = cur.alias("_cur")
-    inc = incoming.alias("_inc")
-    cond = None
+    # markers, not key columns, say which side a row came from
+    cur = cur.withColumn("_in_cur", F.lit(True)).alias("_cur")
+    inc = keyed.withColumn("_in_inc", F.lit(True)).alias("_inc")
+    cond = F.col("_inc._reason").isNull()
     for k in key:
-        c = F.col(f"_cur.{k}") == F.col(f"_inc.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"_cur.{k}") == F.col(f"_inc.{k}"))
     j = cur.join(inc, cond, "full_outer")
-    in_cur = F.col(f"_cur.{key[0]}").isNotNull()
-    in_inc = F.col(f"_inc.{key[0]}").isNotNull()
-    action = (F.when(in_cur & ~in_inc, "kept")
+    in_cur, in_inc = F.col("_in_cur").isNotNull(), F.col("_in_inc").isNotNull()
+    action = (F.when(F.col("_reason").isNotNull(), "rejected")
+               .when(in_cur & ~in_inc, "kept")
                .when(~in_cur & in_inc, "new")
                .when(_any_changed(tracked), "closed")
                .when(_any_changed(inplace), "updated")
                .otherwise("unchanged"))
-    return j.withColumn("_action", action)
+    j = j.withColumn("_action", action).select(
+        F.when(in_cur, F.struct("_cur.*")).alias("_cur"), F.when(in_inc, F.struct("_inc.*")).alias("_inc"), "_action")
+    none = keyless.withColumn("_in_inc", F.lit(True)).select(
+        F.lit(None).cast(j.schema["_cur"].dataType).alias("_cur"), F.struct("*").alias("_inc"), F.lit("rejected").alias("_action"))
+    return j.union(none)
 
 
 def scd2_apply(current: DataFrame, incoming: DataFrame, key: Sequence[str], tracked: Sequence[str],
                inplace: Sequence[str], as_of: str, batch_id: str | None = None,
-               changes_only: bool = False) -> DataFrame:
+               changes_only: bool = False, on_duplicate: str = "raise", rejects: bool = False) -> DataFrame:
     """Next state of the current partition plus the rows it closes.
 
     Returns one DataFrame of the dimension's columns plus ``_action``
     (``closed`` rows have ``is_current_flag = false`` and an end date; all
     others are current). Write current rows over the current partition and
-    append closed rows to history. ``incoming`` must be unique on ``key``.
+    append closed rows to history.
+
+    An incoming row with a NULL in any part of its key is never applied. A
+    key that ``incoming`` repeats fails the job, or with
+    ``on_duplicate="reject"`` none of its rows is applied and the current
+    version stays. With ``rejects`` those rows come back too, in the same
+    frame: ``_action`` is ``rejected``, ``_reason`` says why (NULL on all other
+    rows), ``is_current_flag`` and the dates are NULL. Applying a batch again
+    changes nothing and rejects the same rows.
 
     ``changes_only``: return only the rows of keys in ``incoming`` whose
     state changes (closed, inserted, updated, new) and never touch the rest
@@ -92,7 +139,9 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: Sequence[str], trac
         "_gold_created_at", "_gold_updated_at", "_source_batch_id")]
     audit = [c for c in ("_gold_created_at", "_gold_updated_at", "_source_batch_id") if c in current.columns]
     ts = F.lit(as_of).cast("timestamp_ntz")
-    cls = scd2_classify(current, incoming, key, tracked, inplace, changes_only=changes_only)
+    cls = scd2_classify(current, incoming, key, tracked, inplace, changes_only=changes_only, on_duplicate=on_duplicate)
+    if not rejects:
+        cls = cls.filter(F.col("_action") != "rejected")
     if changes_only:
         cls = cls.filter(~F.col("_action").isin("kept", "unchanged"))
     a = F.col("_action")
@@ -108,7 +157,7 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: Sequence[str], trac
         for c in attrs:
             if kind == "closed":
                 v = pick(c, "cur")
-            elif kind in ("insert", "new"):
+            elif kind in ("insert", "new", "rejected"):
                 v = pick(c, "inc") if c in inc_cols else pick(c, "cur")
             elif kind == "updated":
                 v = pick(c, "inc") if c in inplace else pick(c, "cur")
@@ -117,21 +166,24 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: Sequence[str], trac
             fields.append(v.alias(c))
         start = ts if kind in ("insert", "new") else F.col("_cur.eff_start_dt")
         end = ts if kind == "closed" else F.lit(None).cast("timestamp_ntz")
-        fields += [start.alias("eff_start_dt"), end.alias("eff_end_dt"),
-                   F.lit(kind != "closed").alias("is_current_flag")]
+        flag = F.lit(None).cast("boolean") if kind == "rejected" else F.lit(kind != "closed")
+        fields += [start.alias("eff_start_dt"), end.alias("eff_end_dt"), flag.alias("is_current_flag")]
         if audit:
             created = ts if kind in ("insert", "new") else F.col("_cur._gold_created_at")
-            touched = kind in ("closed", "insert", "new", "updated")
+            touched = kind in ("closed", "insert", "new", "updated", "rejected")
             fields += [created.alias("_gold_created_at"),
                        (ts if touched else F.col("_cur._gold_updated_at")).alias("_gold_updated_at"),
                        (F.lit(batch_id) if touched else F.col("_cur._source_batch_id")).alias("_source_batch_id")]
         label = {"closed": "closed", "insert": "inserted", "new": "new", "updated": "updated"}.get(kind)
         fields.append((F.lit(label) if label else a).alias("_action"))
+        if rejects:
+            fields.append((F.col("_inc._reason") if kind == "rejected" else F.lit(None).cast("string")).alias("_reason"))
         return F.struct(*fields)
 
     versions = (F.when(a == "closed", F.array(version("closed"), version("insert")))
                  .when(a == "new", F.array(version("new")))
                  .when(a == "updated", F.array(version("updated")))
+                 .when(a == "rejected", F.array(version("rejected")))
                  .otherwise(F.array(version("keep"))))
     return cls.select(F.explode(versions).alias("_v")).select("_v.*")
 

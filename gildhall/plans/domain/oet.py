@@ -42,9 +42,10 @@ def ledger_grain(ledger: DataFrame) -> DataFrame:
 
 
 def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame | None = None,
-                                accrual_gate=None) -> DataFrame:
+                                accrual_gate=None, carry: tuple[str, ...] = ()) -> DataFrame:
     """``affected``: optional ``(line_item_accepted_id, loa_id)`` grains to
-    re-aggregate in full (CDC); otherwise the full load.
+    re-aggregate in full (CDC); otherwise the full load. ``carry``: columns of
+    the ledger grain to return as well.
 
     ``accrual_gate``: optional boolean Column (a scalar subquery over the audit
     log, CDC-6). When given, accrual income per accepted line is aggregated
@@ -101,5 +102,5 @@ def fact_obligation_expenditure(silver, gold, as_of: str, affected: DataFrame |
         "loa_transaction_type_cd",
         F.coalesce("invoice_count", F.lit(0)).cast("int").alias("invoice_count"),
         F.coalesce("acceptance_count", F.lit(0)).cast("int").alias("acceptance_count"),
-        F.col("line_item_id").alias("source_line_item_id"), "source_loa_ledger_ids")
+        F.col("line_item_id").alias("source_line_item_id"), "source_loa_ledger_ids", *carry)
     return out.filter(~all_zero(["obligated_amt", "accepted_amt", "invoiced_amt"]))

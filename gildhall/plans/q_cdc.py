@@ -97,6 +97,52 @@ def q_scd2_inplace(t):
     return applied(t).filter(F.col("_action") == "updated")
 
 
+REJECT_SQL = f"""{V_SQL},
+batch AS (
+  SELECT c_custkey, c_nationkey AS part, c_name, c_nationkey, c_acctbal, c_mktsegment FROM v2
+  UNION ALL SELECT NULL, c_nationkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM v2 WHERE c_custkey % 13 = 0
+  UNION ALL SELECT c_custkey, NULL, c_name, c_nationkey, c_acctbal, c_mktsegment FROM v2 WHERE c_custkey % 19 = 0
+  UNION ALL SELECT c_custkey, c_nationkey, c_name, c_nationkey, c_acctbal + 5, c_mktsegment FROM v2 WHERE c_custkey % 17 = 0),
+flagged AS (
+  SELECT *, CASE WHEN c_custkey IS NULL OR part IS NULL THEN 'null_key'
+                 WHEN COUNT(*) OVER (PARTITION BY c_custkey, part) > 1 THEN 'repeated_key' END AS reason FROM batch),
+rj AS (
+  SELECT a.c_custkey AS k1, b.c_custkey AS k2, a.c_nationkey AS p1, b.part AS p2, a.c_name AS n1, b.c_name AS n2,
+         a.c_acctbal AS b1, b.c_acctbal AS b2, a.c_mktsegment AS s1, b.c_mktsegment AS s2,
+         CASE WHEN b.c_custkey IS NULL THEN 'kept' WHEN a.c_custkey IS NULL THEN 'new'
+              WHEN a.c_acctbal IS DISTINCT FROM b.c_acctbal THEN 'closed'
+              WHEN a.c_mktsegment IS DISTINCT FROM b.c_mktsegment OR a.c_name IS DISTINCT FROM b.c_name THEN 'updated'
+              ELSE 'unchanged' END AS a
+  FROM v1 a FULL OUTER JOIN (SELECT * FROM flagged WHERE reason IS NULL) b
+    ON a.c_custkey = b.c_custkey AND a.c_nationkey = b.part)"""
+
+
+@query("q_scd2_rejects", f"""WITH {REJECT_SQL}
+SELECT k1 AS c_custkey, p1 AS part, n1 AS c_name, b1 AS c_acctbal, s1 AS c_mktsegment, TIMESTAMP '{START}' AS eff_start_dt,
+       TIMESTAMP '{AS_OF}' AS eff_end_dt, FALSE AS is_current_flag, 'closed' AS _action, CAST(NULL AS VARCHAR) AS _reason
+FROM rj WHERE a = 'closed'
+UNION ALL
+SELECT k2, p2, n2, b2, s2, TIMESTAMP '{AS_OF}', NULL, TRUE, CASE a WHEN 'closed' THEN 'inserted' ELSE a END, NULL
+FROM rj WHERE a IN ('closed', 'new')
+UNION ALL
+SELECT k1, p1, n2, b1, s2, TIMESTAMP '{START}', NULL, TRUE, a, NULL FROM rj WHERE a = 'updated'
+UNION ALL
+SELECT k1, p1, n1, b1, s1, TIMESTAMP '{START}', NULL, TRUE, a, NULL FROM rj WHERE a IN ('kept', 'unchanged')
+UNION ALL
+SELECT c_custkey, part, c_name, c_acctbal, c_mktsegment, NULL, NULL, NULL, 'rejected', reason FROM flagged WHERE reason IS NOT NULL""")
+def q_scd2_rejects(t):
+    """A batch with a two-part key, parts of it NULL or the whole key repeated: the bad rows come back
+    beside the applied ones and change nothing (SCD-2a, SCD-2b, SCD-2d)."""
+    cols = ["c_custkey", "part", "c_name", "c_acctbal", "c_mktsegment"]
+    rows = v2(t).withColumn("part", F.col("c_nationkey"))
+    k = F.col("c_custkey")
+    batch = (rows.unionByName(rows.filter(k % 13 == 0).withColumn("c_custkey", F.lit(None).cast("long")))
+             .unionByName(rows.filter(k % 19 == 0).withColumn("part", F.lit(None).cast("int")))
+             .unionByName(rows.filter(k % 17 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 5))).select(*cols)
+    current = scd2_initial(v1(t).withColumn("part", F.col("c_nationkey")).select(*cols), START)
+    return scd2_apply(current, batch, ["c_custkey", "part"], ["c_acctbal"], INPLACE, AS_OF, on_duplicate="reject", rejects=True)
+
+
 @query("q_scd2_stats", f"WITH {V_SQL} SELECT _action, COUNT(*) AS n_rows FROM applied GROUP BY 1")
 def q_scd2_stats(t):
     """Change counts by action from the classified rows (SCD-2e, fix for D-1)."""

@@ -4,6 +4,10 @@ DuckDB SQL as the oracle."""
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import functions as F
+
 from gildhall.plans.dp1_silver import derived_silver
 from gildhall.plans.registry import query
 from gildhall.plans.standins import AS_OF, DMUL, FY, LEDGER_SQL
@@ -74,6 +78,11 @@ g_ia_rows AS (
   LEFT JOIN g_agency ag ON ag.activity_address_cd = i.activity_address_cd),
 g_ia AS (SELECT ROW_NUMBER() OVER (ORDER BY ia_id) AS ia_sk, * FROM g_ia_rows)"""
 
+def _materialized(sql: str) -> str:
+    """``sql`` with each of its common tables computed once, instead of expanded wherever it is read."""
+    return re.sub(r"(?<![\w)] )\b(\w+) AS \((?=\s*SELECT)", r"\1 AS MATERIALIZED (", sql)
+
+
 SCD_COLS_SQL = f"TIMESTAMP '{AS_OF}' AS eff_start_dt, CAST(NULL AS TIMESTAMP) AS eff_end_dt, TRUE AS is_current_flag"
 
 
@@ -179,6 +188,48 @@ def q_dp1_fact_obligation(t):
     return _build(t, "oet.fact_obligation_expenditure")
 
 
+# loads of the fact: everything that had arrived by the first cutoff, then the changes up to each later one. A ledger
+# row arrives when it is created, one in seven of them 40 days later, after the load that should have read it
+CUTOFFS = ("1998-01-01", "1998-02-01", "1998-03-01")
+LATE_DAYS = 45
+ARRIVED = "(l_shipdate + CASE WHEN (l_orderkey * 100 + l_linenumber) % 7 = 3 THEN INTERVAL 40 DAY ELSE INTERVAL 0 DAY END)"
+CDC_FACT_SQL = FACT_SQL.replace("FROM ledger l JOIN orders o ON o.o_orderkey = l.l_orderkey)",
+                                f"FROM ledger l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE {ARRIVED} < TIMESTAMP '{CUTOFFS[2]}')") \
+    .replace("li.line_item_id AS source_line_item_id, g.source_loa_ledger_ids",
+             "li.line_item_id AS source_line_item_id, g.source_loa_ledger_ids, g.line_item_accepted_id, g.loa_id")
+
+
+@query("q_dp1_cdc_fact", f"""WITH {SILVER_DIM_SQL}, {CDC_FACT_SQL},
+last_load AS (
+  SELECT l_orderkey * 100 + l_linenumber AS line_item_accepted_id, l_suppkey AS loa_id,
+         CAST(MAX(CASE WHEN {ARRIVED} < TIMESTAMP '{CUTOFFS[0]}' THEN 0 WHEN {ARRIVED} < TIMESTAMP '{CUTOFFS[1]}' THEN 1 ELSE 2 END)
+              AS INTEGER) AS _load_sk
+  FROM ledger WHERE {ARRIVED} < TIMESTAMP '{CUTOFFS[2]}' GROUP BY 1, 2)
+SELECT fact.*, last_load._load_sk FROM fact JOIN last_load USING (line_item_accepted_id, loa_id)""")
+def q_dp1_cdc_fact(t):
+    """The obligation fact by a full load and two change loads, the first of them repeated, with ledger rows that
+    arrive after their window: the latest state equals a build from the final ledger, and each row is from
+    the last load that had a changed row of its grain, so rows read again appended nothing (CDC-1, CDC-4..6, SNK-3, SNP-1)."""
+    import uuid
+    from collections import ChainMap
+
+    from gildhall.operators import SnapshotFact
+    from gildhall.plans.domain.cdc import FACT_GRAIN, load_fact
+    from gildhall.session import checkpoint_dir
+    silver = derived_silver(t)
+    gold = _gold(t, silver)
+    spark = t["lineitem"].sparkSession
+    ledger = silver["aasbs_loa_ledger"]
+    late = F.when(F.col("id") % 7 == 3, F.expr("INTERVAL 40 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    fact = SnapshotFact(spark, f"{checkpoint_dir(spark).rstrip('/')}/cdc-fact-{uuid.uuid4().hex}", FACT_GRAIN, ["id"], buckets=16)
+    for load in (0, 1, 1, 2):
+        hi = CUTOFFS[load]
+        there = ledger.filter(F.col("created_dt") + late < F.lit(hi).cast("timestamp_ntz"))
+        load_fact(fact, load, ChainMap({"aasbs_loa_ledger": there}, silver), gold, CUTOFFS[load - 1] if load else None, hi,
+                  overlap_days=LATE_DAYS)
+    return fact.state()
+
+
 CFO_SQL = f"""g_line_item_attrs AS (
   SELECT li.line_item_id, lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || 'AA' AS clin_num,
          COALESCE(CASE WHEN li.type_cd = 'F' THEN 'Fulfilled' END, li.type_cd) AS line_item_type_desc, p.p_brand AS psc_cd
@@ -467,7 +518,7 @@ scs_fact AS (
 
 
 @query("q_psc_fact_service_charge_schedule",
-       f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {BILLING_SQL}, {SCS_FACT_SQL} SELECT * FROM scs_fact")
+       _materialized(f"WITH {SILVER_DIM_SQL}, {FACT_SQL}, {BILLING_SQL}, {SCS_FACT_SQL} SELECT * FROM scs_fact"))
 def q_psc_fact_service_charge_schedule(t):
     """Service charge schedule fact: one row per live schedule, invoice and travel measures from
     one containment join, four key resolutions, the +/-10 % on-schedule flag."""

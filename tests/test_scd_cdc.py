@@ -163,3 +163,67 @@ def test_scd2_changes_only_plan_restricts_before_the_full_join(spark):
     full = scd2_apply(_dim(spark), _incoming(spark), ["k"], ["tracked"], ["inplace"],
                       "2002-01-01")._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" not in full
+
+
+KEYED = "k int, part string, tracked string, inplace string"
+
+
+def _keyed_dim(spark):
+    rows = [(1, "a", "x", "i"), (2, "a", "x", "i"), (2, "b", "x", "i"), (3, "a", "x", "i")]
+    return scd2_initial(spark.createDataFrame(rows, KEYED), "2001-01-01")
+
+
+def _bad_batch(spark):
+    return spark.createDataFrame([
+        (None, "a", "n1", "i"), (None, None, "n2", "i"), (2, None, "n3", "i"),   # parts of the key missing
+        (1, "a", "y", "i"), (1, "a", "z", "i"), (9, "a", "p", "i"), (9, "a", "p", "i"),  # repeated: one in the dimension, one not
+        (2, "b", "y", "i"), (7, "a", "new", "i"), (3, "a", "x", "j")], KEYED)
+
+
+def _state(df):
+    return sorted((r.k, r.part, r.tracked, r.inplace, r.is_current_flag, r._action, r._reason) for r in df.collect()
+                  if r._action != "rejected")
+
+
+def _merge(current, batch, **more):
+    return scd2_apply(current, batch, ["k", "part"], ["tracked"], ["inplace"], "2002-01-01", on_duplicate="reject", rejects=True, **more)
+
+
+def test_null_and_repeated_keys_are_rejected_and_change_nothing(spark):
+    out = _merge(_keyed_dim(spark), _bad_batch(spark))
+    assert _state(out) == [
+        (1, "a", "x", "i", True, "kept", None), (2, "a", "x", "i", True, "kept", None), (2, "b", "x", "i", False, "closed", None),
+        (2, "b", "y", "i", True, "inserted", None), (3, "a", "x", "j", True, "updated", None), (7, "a", "new", "i", True, "new", None)]
+    bad = sorted(((r.tracked, r._reason, r.is_current_flag) for r in out.collect() if r._action == "rejected"))
+    assert bad == [("n1", "null_key", None), ("n2", "null_key", None), ("n3", "null_key", None), ("p", "repeated_key", None),
+                   ("p", "repeated_key", None), ("y", "repeated_key", None), ("z", "repeated_key", None)]
+
+
+def test_a_batch_with_rejects_applied_twice_is_a_no_op(spark):
+    first = _merge(_keyed_dim(spark), _bad_batch(spark))
+    current = first.filter("is_current_flag").drop("_action", "_reason")
+    again = _merge(current, _bad_batch(spark))
+    assert {r._action for r in again.collect()} == {"kept", "unchanged", "rejected"}
+    assert sorted(map(str, current.collect())) == sorted(map(str, again.filter("is_current_flag").drop("_action", "_reason").collect()))
+    few = _merge(current, _bad_batch(spark), changes_only=True)
+    assert {r._action for r in few.collect()} == {"rejected"}
+
+
+def test_repeated_keys_raise_by_default(spark):
+    import pytest
+    with pytest.raises(Exception, match="incoming key repeated"):
+        scd2_apply(_keyed_dim(spark), _bad_batch(spark), ["k", "part"], ["tracked"], ["inplace"], "2002-01-01").collect()
+    fine = _bad_batch(spark).filter("k NOT IN (1, 9) OR k IS NULL")
+    out = scd2_apply(_keyed_dim(spark), fine, ["k", "part"], ["tracked"], ["inplace"], "2002-01-01").collect()
+    assert "rejected" not in {r._action for r in out} and all(r.k is not None and r.part is not None for r in out)
+    assert "_reason" not in out[0].__fields__
+
+
+def test_null_keys_stay_out_of_the_join(spark):
+    """A third of the batch without a key: those rows are appended, not shuffled to the join's NULL partition."""
+    batch = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, CAST(id AS INT)) AS k", "'a' AS part", "'t' AS tracked", "'i' AS inplace")
+    out = _merge(_keyed_dim(spark), batch)
+    assert out.filter("_action = 'rejected'").count() == 1000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1
+    assert plan.index("Union") < plan.index("Join FullOuter")     # appended above the join
