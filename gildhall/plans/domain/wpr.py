@@ -55,13 +55,13 @@ def dim_industry_partner(silver, gold, as_of: str) -> DataFrame:
     return scd2_initial(assign_sk(out, ["partner_id"], name="industry_partner_sk"), as_of)
 
 
-def dim_org_hierarchy(silver, gold, as_of: str, max_depth: int = 64) -> DataFrame:
+def dim_org_hierarchy(silver, gold, as_of: str) -> DataFrame:
     orgs = live(silver["assist_lu_emp_orgs"])
     xref = live(silver["assist_lu_emp_org_xref"]).filter(F.col("emp_org_child_id").isNotNull())
     parent = pick_one(xref, "emp_org_child_id", "emp_org_id", how="min", out="parent_org_id") \
         .withColumnRenamed("emp_org_child_id", "emp_org_id")
     nodes = orgs.join(parent, "emp_org_id", "left")
-    paths = org_paths(nodes, node="emp_org_id", parent="parent_org_id", name="emp_org_name", max_depth=max_depth) \
+    paths = org_paths(nodes, node="emp_org_id", parent="parent_org_id", name="emp_org_name") \
         .select(F.col("node_id").alias("emp_org_id"), F.col("path").alias("org_path"))
     out = nodes.join(paths, "emp_org_id", "left").select(
         F.col("emp_org_id").alias("org_id"), F.coalesce("emp_org_short_name", "emp_org_name").alias("org_code"),

@@ -59,7 +59,7 @@ p(node_id, parent_id, node_name, level, path, ids, root_id) AS (
 SELECT node_id, parent_id, node_name, CAST(level AS INTEGER) AS level, path, root_id FROM p""")
 def q_org_path(t):
     """Root-to-node path, level and parent (REC-1, REC-2, JON-14)."""
-    return org_paths(org_nodes(t), max_depth=16)
+    return org_paths(org_nodes(t))
 
 
 @query("q_org_checks", f"""WITH {PATHS_SQL},
@@ -73,4 +73,4 @@ def q_org_checks(t):
     """Self-references, nodes never reached from a root (cycles) and deep
     nodes (REC-3); the depth warning is set to 2 so the demo tree trips it."""
     nodes = org_nodes(t)
-    return org_checks(nodes, org_paths(nodes, max_depth=16), warn_depth=2)
+    return org_checks(nodes, org_paths(nodes), warn_depth=2)

@@ -24,6 +24,39 @@ def test_org_paths_and_checks(spark):
     assert issues == [("C", "deep"), ("S", "self_reference"), ("S", "unreached"), ("X", "unreached"), ("Y", "unreached")]
 
 
+def test_deep_chains_and_long_cycles(spark):
+    """A chain of 5,000 levels and cycles of 1 to 300 nodes with tails: depths right, only cycles unreached."""
+    rows = [(f"c{i}", f"c{i - 1}" if i else None, "n") for i in range(5000)]
+    for size in (1, 2, 7, 300):
+        rows += [(f"y{size}_{i}", f"y{size}_{(i + 1) % size}", "n") for i in range(size)]
+        rows += [(f"t{size}_{i}", f"t{size}_{i - 1}" if i else f"y{size}_0", "n") for i in range(50)]
+    nodes = spark.createDataFrame(rows, "node_id string, parent_id string, node_name string")
+    paths = org_paths(nodes, sep="")
+    got = {r.node_id: (r.level, len(r.path), r.root_id) for r in paths.collect()}
+    assert got == {f"c{i}": (i + 1, i + 1, "c0") for i in range(5000)}
+    issues = org_checks(nodes, paths, warn_depth=4990).collect()
+    assert sum(r.issue == "deep" for r in issues) == 10
+    assert {r.node_id for r in issues if r.issue == "unreached"} == {r[0] for r in rows if r[0][0] in "yt"}
+    assert [r.node_id for r in issues if r.issue == "self_reference"] == ["y1_0"]
+
+
+def test_rounds_follow_the_logarithm_of_the_depth(spark):
+    from gildhall.operators.tree import _doubled
+    state = spark.createDataFrame([(i, i - 1 if i else None, 1, None, None if i else 0) for i in range(300)],
+                                  "node_id int, _anc int, level int, path string, root_id int")
+    joins = []
+    arrived, going = _doubled(state, lambda above, own: joins.append(1) or F.lit(None).cast("string"))
+    assert len(joins) == 9 and going.count() == 0    # 2 ** 9 > 300
+    assert {r.node_id: r.level for r in arrived.collect()} == {i: i + 1 for i in range(300)}
+
+
+def test_null_node_ids_are_roots_of_nothing(spark):
+    nodes = spark.createDataFrame([(None, None, "x"), ("a", None, "A"), ("b", "a", "B")], "node_id string, parent_id string, node_name string")
+    assert sorted((r.node_id or "", r.path) for r in org_paths(nodes).collect()) == [("", "x"), ("a", "A"), ("b", "A / B")]
+    empty = nodes.limit(0)
+    assert org_paths(empty).collect() == [] and org_checks(empty, org_paths(empty)).collect() == []
+
+
 def test_profile_is_one_pass(spark):
     df = spark.createDataFrame([(1, True, None), (2, False, None), (3, None, None)], "id int, f boolean, g string")
     prof = profile(df, {"rows": (F.count(F.lit(1)), Q.eq(3)), "true": (Q.true_count("f"), None),
