@@ -142,19 +142,63 @@ def preagg_join(left: DataFrame, right: DataFrame, on, aggs: Sequence[Column],
     return j
 
 
+def _day(c: str) -> Column:
+    return F.unix_date(F.to_date(F.col(c)))
+
+
 def period_contains(items: DataFrame, periods: DataFrame, on, item_start: str, item_end: str,
                     period_start: str, period_end: str, how: str = "inner") -> DataFrame:
     """Equi-join plus containment ``period_start <= item_start`` and
-    ``item_end <= period_end`` (JON-8). Planned as a hash/sort-merge join on
-    the equality keys with a residual range predicate."""
+    ``item_end <= period_end`` (JON-8).
+
+    Joined on the equality keys and a time bin, so one hot key is as many join
+    keys as its periods cover bins. Bins are powers of two of days: a period
+    goes to the width that is just as long as itself, where it covers at most
+    two bins, and an item looks up the one bin its start falls in, for every
+    width that some period has (found by one aggregate, no more than the bits
+    of a day number). So neither one endless period nor many short ones blow
+    anything up. The residual predicate decides. Items that end before they
+    start can lie in a period whose bins they miss; those rows (only) are joined
+    on the keys alone. ``how``: ``inner`` or ``left`` (an item without a period
+    keeps one row).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"period_contains cannot join {how}")
     ks = _keys(on)
-    cond = [items[k] == periods[k] for k in ks]
-    cond.append(periods[period_start] <= items[item_start])
-    cond.append(items[item_end] <= periods[period_end])
-    j = items.join(periods, on=cond, how=how)
-    for k in ks:
-        j = j.drop(periods[k])
-    return j
+    names = {k: f"_pc_{i}" for i, k in enumerate(ks)}
+    first, last = _day(period_start), _day(period_end)
+    p = periods.filter(F.col(period_start) <= F.col(period_end)).withColumn(
+        "_pc_width", F.ceil(F.log2((last - first + 1).cast("double"))).cast("int"))
+    p = p.withColumn("_pc_bin", F.explode(F.expr(
+        f"sequence(shiftright(unix_date(to_date(`{period_start}`)), _pc_width), shiftright(unix_date(to_date(`{period_end}`)), _pc_width))")))
+    p = p.withColumnsRenamed(names)
+    widths = p.agg(F.collect_set("_pc_width").alias("_pc_widths")).scalar()
+    inside = (F.col(period_start) <= F.col(item_start)) & (F.col(item_end) <= F.col(period_end))
+    straight = F.coalesce(F.col(item_start) <= F.col(item_end), F.lit(False))
+
+    def matched(left: DataFrame, right: DataFrame, more: Sequence[tuple[str, str]] = ()) -> DataFrame:
+        cond = inside
+        for k in ks:
+            cond = cond & (F.col(k) == F.col(names[k]))
+        for x, y in more:
+            cond = cond & (F.col(x) == F.col(y))
+        return left.join(right, cond)
+
+    probe = items.filter(straight).withColumn("_pc_iw", F.explode(widths)).withColumn(
+        "_pc_ib", F.expr(f"shiftright(unix_date(to_date(`{item_start}`)), _pc_iw)"))
+    binned = matched(probe, p, [("_pc_iw", "_pc_width"), ("_pc_ib", "_pc_bin")])
+    bent = matched(items.filter(~straight & F.col(item_start).isNotNull() & F.col(item_end).isNotNull()),
+                   periods.withColumnsRenamed(names))
+    keep = [*items.columns, *[c for c in periods.columns if c not in ks]]
+    out = binned.select(*keep).unionByName(bent.select(*keep))
+    if how == "inner":
+        return out
+    # rows without a match, repeated and NULL ones included: equal items match alike, so compare whole rows
+    item = F.struct(*items.columns)
+    some = out.select(F.xxhash64(item).alias("_pc_h"), item.alias("_pc_item")).distinct()
+    alone = items.withColumn("_pc_h0", F.xxhash64(item)).join(
+        some, (F.col("_pc_h0") == F.col("_pc_h")) & item.eqNullSafe(F.col("_pc_item")), "left_anti").drop("_pc_h0")
+    return out.unionByName(alone, allowMissingColumns=True)
 
 
 def like_literal(text: str) -> str:

@@ -52,6 +52,50 @@ def test_period_contains_edges(spark):
     assert got == ["equal", "inside"]
 
 
+def _period_rows(seed, n_items, n_periods):
+    import random
+    rng = random.Random(seed)
+    day = lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rng.randrange(-400, 800))
+    def span(longest):
+        a = day()
+        return a, a + dt.timedelta(days=rng.choice([0, 1, rng.randrange(longest), rng.randrange(longest)]))
+    items = [(rng.choice([1, 1, 2, None]), i, *span(40)) for i in range(n_items)]
+    periods = [(rng.choice([1, 1, 2, None]), i, *span(90)) for i in range(n_periods)]
+    periods += [(1, n_periods, dt.date(1900, 1, 1), dt.date(9999, 12, 31)), (1, n_periods + 1, None, dt.date(2021, 1, 1)),
+                (1, n_periods + 2, dt.date(2021, 1, 9), dt.date(2021, 1, 2)), (2, n_periods + 3, dt.date(2020, 5, 5), dt.date(2020, 5, 5))]
+    items += [(1, n_items, dt.date(2020, 5, 9), dt.date(2020, 5, 1)), (1, n_items + 1, None, dt.date(2020, 1, 1)),
+              (1, n_items + 2, dt.date(2020, 1, 1), None), (2, 0, dt.date(2020, 5, 5), dt.date(2020, 5, 5))]
+    return items, periods
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_period_contains_is_the_plain_predicate(spark, how):
+    """All pairs, with endless, inverted and NULL periods and items that end before they start."""
+    items, periods = _period_rows(3, 300, 200)
+    want = []
+    for ik, i, s, e in items:
+        hit = [(ik, i, s, e, p, ps, pe) for k, p, ps, pe in periods
+               if None not in (ik, k, s, e, ps, pe) and ik == k and ps <= s and e <= pe]
+        want += hit or ([(ik, i, s, e, None, None, None)] if how == "left" else [])
+    got = period_contains(spark.createDataFrame(items, "k int, i int, s date, e date"),
+                          spark.createDataFrame(periods, "k int, p int, ps date, pe date"), "k", "s", "e", "ps", "pe", how)
+    assert got.columns == ["k", "i", "s", "e", "p", "ps", "pe"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want)) and len(want) > 400
+
+
+def test_period_contains_spreads_a_hot_key(spark):
+    """One key with 10,000 monthly periods and a third of the items: no (key, bin) holds more than a few periods."""
+    periods = spark.range(10_000).selectExpr("1 AS k", "id AS p", "date_add(DATE'1300-01-01', CAST(id * 30 AS INT)) AS ps",
+                                             "date_add(DATE'1300-01-01', CAST(id * 30 + 29 AS INT)) AS pe")
+    items = spark.range(30_000).selectExpr("IF(id % 3 = 0, 1, CAST(id AS INT)) AS k", "id AS i",
+                                           "date_add(DATE'1300-01-01', CAST(id * 10 AS INT)) AS s",
+                                           "date_add(DATE'1300-01-01', CAST(id * 10 AS INT)) AS e")
+    got = period_contains(items, periods, "k", "s", "e", "ps", "pe")
+    assert got.count() == 10_001 and got.filter("p <> floor(i / 3)").count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_pc_bin#" in plan
+
+
 def test_poly_ref_escapes_underscore(spark):
     ev = spark.createDataFrame([(1, "AWARD"), (2, "FOO_IA"), (3, "IA"), (4, "MEDIA"), (5, None)], "id long, code string")
     ia = spark.createDataFrame([(i, i * 10) for i in range(1, 6)], "ia_id long, ia_sk long")
