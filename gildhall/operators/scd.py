@@ -22,10 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gildhall.functions.rules import is_distinct
+from gildhall.session import checkpoint_dir
 
 SCD_COLS = ("eff_start_dt", "eff_end_dt", "is_current_flag")
 
@@ -195,16 +196,56 @@ def scd2_stats(applied: DataFrame) -> DataFrame:
 
 def scd2_asof(dim: DataFrame, df: DataFrame, on: Sequence[str], ts: str,
               cols: Sequence[str]) -> DataFrame:
-    """Version valid at ``df[ts]`` (SCD-2g): equi-join on the key with
-    ``eff_start_dt <= t < eff_end_dt`` (open end = current) as a residual."""
-    d = dim.select(*on, "eff_start_dt", "eff_end_dt", *cols)
-    cond = [df[k] == d[k] for k in on]
-    cond.append(d["eff_start_dt"] <= df[ts])
-    cond.append(d["eff_end_dt"].isNull() | (df[ts] < d["eff_end_dt"]))
-    j = df.join(d, cond, "left")
-    for k in on:
-        j = j.drop(d[k])
-    return j.drop("eff_start_dt", "eff_end_dt")
+    """Version valid at ``df[ts]`` (SCD-2g): the last one with
+    ``eff_start_dt <= t``, if ``t < eff_end_dt`` or it is open; else NULLs.
+
+    Versions and rows go into one frame in the order of (key, time), range-
+    partitioned, so a key with very many of either is spread over tasks.
+    Within a partition the last version is carried forward by a window that
+    never leaves it; a partition's own last version per key (at most one row
+    for each key whose rows go on after a border, and one key at most spans any
+    border) is carried into those that follow. No row meets more than one
+    version, and nothing is compared pair by pair.
+
+    A version with no or an inverted interval is never valid. Where versions of
+    a key overlap, which SCD2 rules out (``scd2_invariants``), the one that
+    started last counts. Rows with a NULL key or time keep NULLs.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    keys = {k: f"_ak_{i}" for i, k in enumerate(on)}
+    names = list(keys.values())
+    value = F.struct(F.col("eff_start_dt"), F.col("eff_end_dt"), *cols)
+    versions = dim.filter(F.col("eff_end_dt").isNull() | (F.col("eff_start_dt") < F.col("eff_end_dt"))).select(
+        *[F.col(k).alias(n) for k, n in keys.items()], F.col("eff_start_dt").cast("timestamp_ntz").alias("_at"), value.alias("_v"),
+        F.lit(None).cast(df.select(F.struct(*df.columns)).schema[0].dataType).alias("_row"))
+    rows = df.select(*[F.col(k).alias(n) for k, n in keys.items()], F.col(ts).cast("timestamp_ntz").alias("_at"),
+                     F.lit(None).cast(versions.schema["_v"].dataType).alias("_v"), F.struct(*df.columns).alias("_row"))
+    known = F.col("_at").isNotNull()
+    for n in names:
+        known = known & F.col(n).isNotNull()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (versions.filter(known).unionByName(rows.filter(known)).repartitionByRange(n, *names, "_at", F.col("_row").isNotNull())
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    # at one time versions come before rows; of versions that start together the one that sorts last is carried
+    within = Window.partitionBy("_pid", *names).orderBy("_at", F.col("_row").isNotNull(), "_v").rowsBetween(Window.unboundedPreceding, 0)
+    here = placed.withColumn("_last", F.last("_v", ignorenulls=True).over(within))
+    # the last version a key has in each partition, and in the partitions before it: one row per (partition, key)
+    ends = placed.filter(F.col("_v").isNotNull()).groupBy(*names, "_pid").agg(
+        F.max(F.struct("_at", "_v")).alias("_end"))
+    spans = placed.filter(F.col("_row").isNotNull()).groupBy(*names).agg(F.min("_pid").alias("_p0"), F.max("_pid").alias("_p1"))
+    firsts = spans.select(*names, F.explode(F.sequence("_p0", "_p1")).alias("_pid"))
+    before = Window.partitionBy(*names).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (firsts.join(ends, [*names, "_pid"], "full_outer")
+             .withColumn("_before", F.last("_end", ignorenulls=True).over(before))
+             .filter(F.col("_before").isNotNull()).select(*names, "_pid", F.col("_before._v").alias("_carry")))
+    found = (here.filter(F.col("_row").isNotNull()).join(carry, [*names, "_pid"], "left")
+             .withColumn("_hit", F.coalesce("_last", "_carry")))
+    open_ = F.col("_hit.eff_end_dt").isNull() | (F.col("_at") < F.col("_hit.eff_end_dt"))
+    out = found.select("_row.*", *[F.when(open_, F.col(f"_hit.{c}")).alias(c) for c in cols])
+    rest = rows.filter(~F.coalesce(known, F.lit(False))).select(
+        "_row.*", *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in cols])
+    return out.unionByName(rest)
 
 
 def key_bucket(key: Sequence[str], n_buckets: int) -> Column:

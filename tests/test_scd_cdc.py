@@ -227,3 +227,44 @@ def test_null_keys_stay_out_of_the_join(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join FullOuter") == 1
     assert plan.index("Union") < plan.index("Join FullOuter")     # appended above the join
+
+
+def test_asof_against_all_pairs(spark):
+    """Keys with 1 to 3,000 versions and rows spread over partitions: the same as comparing every pair."""
+    import datetime as dt
+    import random
+    rng = random.Random(5)
+    day = lambda n: dt.datetime(2000, 1, 1) + dt.timedelta(days=n)
+    versions, facts = [], []
+    for k, n in ((1, 3000), (2, 1), (3, 7), (4, 0), (5, 40)):
+        cuts = sorted(rng.sample(range(5000), n))
+        for i, c in enumerate(cuts):
+            end = cuts[i + 1] if i + 1 < n else None
+            if end and rng.random() < 0.2:
+                end = max(c + 1, end - 3)          # a gap without a version
+            versions.append((k, f"v{k}_{i}", day(c), day(end) if end else None))
+        facts += [(k, j, day(rng.randrange(-100, 5200))) for j in range(2000 if k == 1 else 60)]
+        facts += [(k, 9000 + i, day(c)) for i, c in enumerate(cuts[:5])]     # at the very start of a version
+    versions += [(3, "inverted", day(50), day(40)), (None, "keyless", day(0), None)]
+    facts += [(None, 1, day(3)), (1, 2, None)]
+    dim = spark.createDataFrame(versions, "k int, name string, eff_start_dt timestamp_ntz, eff_end_dt timestamp_ntz")
+    df = spark.createDataFrame(facts, "k int, id int, t timestamp_ntz")
+    want = []
+    for k, i, t in facts:
+        hit = [v for kk, v, s, e in versions if None not in (k, t, kk) and kk == k and s <= t and (e is None or t < e)]
+        assert len(hit) <= 1
+        want.append((k, i, t, hit[0] if hit else None))
+    got = scd2_asof(dim, df, ["k"], "t", ["name"])
+    assert got.columns == ["k", "id", "t", "name"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_asof_spreads_a_key_with_very_many_versions(spark):
+    """100,000 versions of one key and as many rows: no task of the lookup holds more than a share of them."""
+    versions = spark.range(100_000).selectExpr("1 AS k", "id AS name", "timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ'2000-01-01') AS eff_start_dt",
+                                               "timestampadd(HOUR, CAST(id + 1 AS INT), TIMESTAMP_NTZ'2000-01-01') AS eff_end_dt")
+    rows = spark.range(100_000).selectExpr("1 AS k", "id", "timestampadd(MINUTE, CAST(id * 60 + 30 AS INT), TIMESTAMP_NTZ'2000-01-01') AS t")
+    got = scd2_asof(versions, rows, ["k"], "t", ["name"])
+    assert got.filter("id = name").count() == 100_000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "eff_start_dt" not in plan.split("Join")[1].split("\n")[0]   # no range condition in a join
