@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Check = tuple[Column, Callable[[Column], Column] | None]
@@ -128,3 +128,45 @@ def preflight(inputs: Mapping[str, DataFrame]) -> DataFrame:
     flags = present.distinct().withColumn("has_rows", F.lit(True))
     return names.join(flags, "input_name", "left").select(
         "input_name", F.coalesce(F.col("has_rows"), F.lit(False)).alias("has_rows"))
+
+
+def _key_text(cols: Sequence[str]) -> Column:
+    """The columns' values as one string that no other values share; NULL apart from every value."""
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")),
+                                         F.lit("n")) for c in cols])
+
+
+def quality_suite(df: DataFrame, unique: Mapping[str, Sequence[str]] | None = None,
+                  sentinels: Mapping[str, Column] | None = None, distributions: Mapping[str, int] | None = None,
+                  sentinel: int = -1) -> DataFrame:
+    """Uniqueness, sentinel and distribution checks in one scan (CHK-4, CHK-6, CHK-9): ``check``, ``item``, ``n``.
+
+    Every row becomes one tagged key for each check and all checks are counted
+    by one aggregate on (check, key), combined before its shuffle, so hot keys
+    and values cost nothing extra; a second one folds each uniqueness check to a
+    number. ``unique`` names key lists (``item`` NULL, ``n`` keys with more than
+    one row), ``sentinels`` maps key columns to when a sentinel is legitimate
+    (``item`` expected or unexpected, ``n`` rows), ``distributions`` maps columns to
+    how many of their most frequent values to return (ties by value, NULL as
+    an item of its own). A check without anything to report has no row, but
+    for uniqueness: 0, unless the table is empty.
+    """
+    tags = [F.struct(F.lit(f"unique:{name}").alias("check"), _key_text(cols).alias("key")) for name, cols in (unique or {}).items()]
+    for c, legitimate in (sentinels or {}).items():
+        what = F.when(F.coalesce(legitimate, F.lit(False)), "expected").otherwise("unexpected")
+        tags.append(F.when(F.col(c) == F.lit(sentinel), F.struct(F.lit(f"sentinel:{c}").alias("check"), what.alias("key"))))
+    top = {f"values:{c}": n for c, n in (distributions or {}).items()}
+    tags += [F.struct(F.lit(f"values:{c}").alias("check"), F.col(c).cast("string").alias("key")) for c in distributions or {}]
+    counts = (df.select(F.explode(F.array(*tags)).alias("_t")).filter(F.col("_t").isNotNull())
+              .groupBy(F.col("_t.check").alias("check"), F.col("_t.key").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    is_key = F.col("check").startswith("unique:")
+    folded = counts.groupBy("check", F.when(~is_key, F.col("key")).alias("item")).agg(
+        F.sum(F.when(is_key, (F.col("n") > 1).cast("long")).otherwise(F.col("n"))).alias("n"))
+    limit = F.lit(None).cast("int")
+    for check, n in top.items():
+        limit = F.when(F.col("check") == check, F.lit(n)).otherwise(limit)
+    most = max(top.values(), default=0)
+    place = F.row_number().over(Window.partitionBy("check").orderBy(F.desc("n"), F.asc_nulls_last("item")))
+    # the outer limit lets Spark keep the first rows of a check before the shuffle
+    ranked = folded.withColumn("_place", place).filter(F.col("_place") <= max(most, 2))
+    return ranked.filter(F.coalesce(F.col("_place") <= limit, F.lit(True))).drop("_place")

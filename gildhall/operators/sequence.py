@@ -151,3 +151,25 @@ def exact_percentile(df: DataFrame, group: Sequence[str], value: str,
         F.max("_frac").alias("_frac"))
     per = per.withColumn("_pval", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
     return per.groupBy(*group).pivot("_pname", list(pcts)).agg(F.first("_pval"))
+
+
+def quantile_sketches(df: DataFrame, group: Sequence[str], value: str, k: int = 800) -> DataFrame:
+    """A mergeable quantile sketch per group (AGG-4, approximate): ``group``, ``sketch``, ``n``.
+
+    KLL sketches of some k log n bytes: a rank is off by about 1.33 % at k = 200
+    and 0.36 % at k = 800 (``k`` up to 65535), whatever the number of rows.
+    Combined before the shuffle, so a hot group moves one sketch a task. NULL
+    values are ignored; a group with none but NULLs has no row.
+    """
+    v = F.col(value).cast("double")
+    return df.filter(v.isNotNull()).groupBy(*group).agg(F.kll_sketch_agg_double(v, k).alias("sketch"), F.count(F.lit(1)).alias("n"))
+
+
+def merged_sketches(parts: DataFrame, group: Sequence[str], k: int = 800) -> DataFrame:
+    """Sketches of the same groups as one each: what a refresh does with its kept sketches and those of the new rows."""
+    return parts.groupBy(*group).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("n").alias("n"))
+
+
+def sketch_percentiles(sketches: DataFrame, group: Sequence[str], pcts: Mapping[str, float]) -> DataFrame:
+    """Percentiles read from sketches: an actual value whose rank is within the sketch's error (no interpolation)."""
+    return sketches.select(*group, "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(name) for name, p in pcts.items()])

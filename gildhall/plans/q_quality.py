@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gildhall.functions import fiscal_month, fiscal_year, flag, money
-from gildhall.operators import pick_one, profile, resolve_sk
+from gildhall.operators import pick_one, profile, quality_suite, resolve_sk
 from gildhall.operators import quality as Q
 from gildhall.plans.registry import query
 from gildhall.plans.standins import IA_DIM_SQL, LEDGER_FACT_SQL, LEDGER_SQL, ia_dim, ledger, ledger_fact, supp_dim
@@ -191,3 +191,43 @@ def q_period_span(t):
     return t["orders"].groupBy("o_custkey").agg(
         F.min(d).alias("first_order_dt"), F.max(d).alias("last_order_dt"),
         F.count_distinct(fiscal_year(d) * 100 + fiscal_month(d)).alias("n_periods"))
+
+
+@query("q_quality_suite", """WITH l AS (SELECT *, CASE WHEN l_suppkey % 10 = 0 THEN -1 ELSE l_suppkey END AS supp_sk FROM lineitem),
+v AS (
+  SELECT 'values:l_returnflag' AS chk, l_returnflag AS item, COUNT(*) AS n, 2 AS top FROM l GROUP BY 2
+  UNION ALL SELECT 'values:l_linenumber', CAST(l_linenumber AS VARCHAR), COUNT(*), 5 FROM l GROUP BY 2)
+SELECT 'unique:line' AS "check", CAST(NULL AS VARCHAR) AS item,
+       CAST((SELECT COUNT(*) FROM (SELECT 1 FROM l GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)) AS BIGINT) AS n
+UNION ALL
+SELECT 'unique:order', NULL, (SELECT COUNT(*) FROM (SELECT 1 FROM l GROUP BY l_orderkey HAVING COUNT(*) > 1))
+UNION ALL
+SELECT 'sentinel:supp_sk', CASE WHEN l_linestatus = 'F' THEN 'expected' ELSE 'unexpected' END, COUNT(*)
+FROM l WHERE supp_sk = -1 GROUP BY 2
+UNION ALL
+SELECT chk, item, n FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY chk ORDER BY n DESC, item) AS rn FROM v) WHERE rn <= top""")
+def q_quality_suite(t):
+    """Two uniqueness checks, a sentinel check and two distributions from one scan (CHK-4, CHK-6, CHK-9)."""
+    supp = F.when(F.col("l_suppkey") % 10 == 0, F.lit(-1)).otherwise(F.col("l_suppkey"))
+    return quality_suite(t["lineitem"].withColumn("supp_sk", supp),
+                         unique={"line": ["l_orderkey", "l_linenumber"], "order": ["l_orderkey"]},
+                         sentinels={"supp_sk": F.col("l_linestatus") == "F"},
+                         distributions={"l_returnflag": 2, "l_linenumber": 5})
+
+
+@query("q_write_metrics", f"""WITH {LEDGER_FACT_SQL}
+SELECT COUNT(*) AS n_rows, CAST(SUM(obligated_amt) AS DECIMAL(38,2)) AS obligated_total,
+       CAST(COUNT(*) FILTER (WHERE fiscal_month = 1) AS BIGINT) AS october_rows FROM ledger_fact""")
+def q_write_metrics(t):
+    """Rows written, a control total and a count, observed by the job that writes the fact (CHK-2, CHK-8, AUD-1)."""
+    import uuid
+
+    from gildhall.session import checkpoint_dir
+    from gildhall.sources import write_observed
+    f = ledger_fact(t)
+    spark = f.sparkSession
+    _, seen = write_observed(f, f"{checkpoint_dir(spark).rstrip('/')}/metrics-{uuid.uuid4().hex}", {
+        "n_rows": F.count(F.lit(1)), "obligated_total": F.sum("obligated_amt").cast("decimal(38,2)"),
+        "october_rows": F.count_if(F.col("fiscal_month") == 1)})
+    return spark.createDataFrame([tuple(seen[c] for c in ("n_rows", "obligated_total", "october_rows"))],
+                                 "n_rows long, obligated_total decimal(38,2), october_rows long")

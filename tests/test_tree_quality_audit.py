@@ -108,3 +108,41 @@ def test_id_list_and_avg_of_counts(spark):
     assert {r.k: r.ids for r in id_list(df, ["k"], "id", out="ids").collect()} == {1: "10,30", 2: "5"}
     a = avg_of_counts(spark.createDataFrame([("n", 1), ("n", 1), ("n", 2)], "p string, e int"), ["e"], ["p"]).first()
     assert float(a.avg_count) == 1.5 and a.n_entities == 2
+
+
+def test_quality_suite_is_one_scan_and_tells_keys_apart(spark, tmpdir_run):
+    rows = [("a", "b|c", 1, -1), ("a|b", "c", 1, -1), (None, "x", 2, 5), (None, "x", 2, -1), ("n", "x", 2, None), ("", None, 3, 7)]
+    spark.createDataFrame(rows, "p string, q string, v int, sk int").write.parquet(f"{tmpdir_run}/t")
+    df = spark.read.parquet(f"{tmpdir_run}/t")
+    suite = Q.quality_suite(df, unique={"pq": ["p", "q"], "q": ["q"]}, sentinels={"sk": F.col("p").isNull()}, distributions={"v": 2, "q": 1})
+    got = sorted(((r.check, r.item, r.n) for r in suite.collect()), key=str)
+    assert got == [("sentinel:sk", "expected", 1), ("sentinel:sk", "unexpected", 2), ("unique:pq", None, 1), ("unique:q", None, 1),
+                   ("values:q", "x", 3), ("values:v", "1", 2), ("values:v", "2", 3)]
+    plan = suite._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Aggregate [") == 2
+    assert Q.quality_suite(df.limit(0), unique={"pq": ["p", "q"]}).collect() == []
+
+
+def test_write_observed_counts_what_is_written_without_a_second_scan(spark, tmpdir_run):
+    from gildhall.plans.domain.load import load_target
+    from gildhall.sources import write_observed
+    scans = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            scans.add(b.num_rows)
+            yield b
+    df = spark.range(1000).selectExpr("id", "IF(id % 10 = 0, -1, id) AS sk", "CAST(id AS DECIMAL(15,2)) AS amt").mapInArrow(touch, "id long, sk long, amt decimal(15,2)")
+    checks = {"total": F.sum("amt"), "sentinels": F.count_if(F.col("sk") == -1)}
+    status, seen = write_observed(df, f"{tmpdir_run}/t", {"rows": F.count(F.lit(1)), **checks})
+    assert (status, seen["rows"], int(seen["total"]), seen["sentinels"]) == ("SUCCESS", 1000, 499500, 100)
+    assert scans.value == 1000
+    load_target(df, "t", f"{tmpdir_run}/t2", f"{tmpdir_run}/audit", "r1", "2024-01-01T00:00:00", metrics=checks)
+    assert scans.value == 2000
+    done = run_state(spark.read.parquet(f"{tmpdir_run}/audit")).first()
+    assert done.rows_written == 1000 and '"sentinels": 100' in done.message
+    # a skipped load has nothing to observe, and does not wait for it
+    for n, status in ((1000, "SUCCESS"), (0, "SKIPPED")):
+        load_target(df, "s", f"{tmpdir_run}/s", f"{tmpdir_run}/audit2_{status}", "r", "2024-01-01T00:00:00", mode="insert_only")
+        r = run_state(spark.read.parquet(f"{tmpdir_run}/audit2_{status}")).first()
+        assert (r.run_status, r.rows_written) == (status, n)
