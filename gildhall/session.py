@@ -48,8 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    used as is. Only when it is unset in a local session (tests) a scratch
+    folder is created and registered; on a cluster that is an error, since
+    no executor could read a folder of the driver's.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="gildhall-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
