@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from gildhall.operators.dedup import keep_one
 from gildhall.operators.scd import key_bucket, scd2_apply, scd2_initial
+from gildhall.operators.sequence import assign_sk
 from gildhall.session import checkpoint_dir
 from gildhall.sources.sinks import _exists, read_table, write
 
@@ -55,6 +56,10 @@ def history_path(dim_path: str) -> str:
     return _join(dim_path, "history")
 
 
+def rejected_path(dim_path: str) -> str:
+    return _join(dim_path, "rejected")
+
+
 def initial_load(df: DataFrame, dim_path: str, as_of: str, key: Sequence[str] | None = None,
                  buckets: int | None = None) -> str:
     """Seed the dimension: every row current from ``as_of`` (SCD-2f)."""
@@ -81,22 +86,42 @@ def _staged(spark: SparkSession, dim_path: str, epoch_id: int, compute) -> DataF
 
 def apply_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, dim_path: str, key: Sequence[str],
                 order_col: str, tracked: Sequence[str], inplace: Sequence[str],
-                buckets: int | None = None) -> None:
-    """Apply one micro-batch of changed rows to the dimension."""
+                buckets: int | None = None, sk: str | None = None) -> None:
+    """Apply one micro-batch of changed rows to the dimension.
+
+    Of rows that share a key the latest counts. Rows with a NULL in their key are
+    appended to the ``rejected`` folder, by epoch. ``sk`` names the dimension's
+    surrogate key: new versions and new keys are numbered after its greatest value.
+    """
     if batch.isEmpty():
         return
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
 
     def classify() -> DataFrame:
-        latest = keep_one(batch, key, [F.col(order_col).desc()] + [F.col(c).desc_nulls_last() for c in batch.columns
-                                                                   if c not in key and c != order_col])
+        latest = keep_one(batch.filter(whole), key, [F.col(order_col).desc()] + [
+            F.col(c).desc_nulls_last() for c in batch.columns if c not in key and c != order_col]).unionByName(batch.filter(~whole))
         as_of = latest.select(F.max(order_col).cast("string")).first()[0]   # one scalar per batch
         current = _read_current(spark, dim_path, buckets)
         if buckets:
             current = current.drop("_bucket")
-        return scd2_apply(current, latest.drop(order_col), key, tracked, inplace, as_of,
-                          batch_id=f"epoch-{epoch_id}", changes_only=bool(buckets))
+        out = scd2_apply(current, latest.drop(order_col), key, tracked, inplace, as_of,
+                         batch_id=f"epoch-{epoch_id}", changes_only=bool(buckets), rejects=True)
+        if not sk:
+            return out
+        checkpoint_dir(spark)
+        out = out.checkpoint(eager=True)                        # read twice below
+        fresh = F.col("_action").isin("inserted", "new")
+        top = dimension_history(spark, dim_path, buckets).agg(F.max(sk)).first()[0] or 0    # one scalar
+        numbered = assign_sk(out.filter(fresh).drop(sk), key, start=top + 1, name=sk)
+        return out.filter(~fresh).unionByName(numbered.select(*out.columns))
 
     applied = _staged(spark, dim_path, epoch_id, classify)
+    bad = applied.filter(F.col("_action") == "rejected")
+    if not bad.isEmpty():
+        write(bad.drop("_action").withColumn("_epoch", F.lit(epoch_id)), rejected_path(dim_path), "append_snapshot", snapshot_col="_epoch")
+    applied = applied.drop("_reason")
     closed = applied.filter(~F.col("is_current_flag")).drop("_action").withColumn("_epoch", F.lit(epoch_id))
     write(closed, history_path(dim_path), "append_snapshot", snapshot_col="_epoch")
     now_current = applied.filter(F.col("is_current_flag")).drop("_action")
@@ -120,7 +145,7 @@ def apply_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, dim_path:
 def refresh_dimension(spark: SparkSession, source_dir: str, schema: T.StructType | str, dim_path: str,
                       key: Sequence[str], order_col: str, tracked: Sequence[str], inplace: Sequence[str],
                       name: str = "dim", fmt: str = "parquet", checkpoint: str | None = None,
-                      buckets: int | None = None) -> int:
+                      buckets: int | None = None, sk: str | None = None) -> int:
     """Process every file not yet seen under ``source_dir`` and stop.
 
     Returns the number of micro-batches run. The stream checkpoint lives
@@ -131,7 +156,7 @@ def refresh_dimension(spark: SparkSession, source_dir: str, schema: T.StructType
     epochs: list[int] = []
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        apply_batch(spark, batch, epoch_id, dim_path, key, order_col, tracked, inplace, buckets)
+        apply_batch(spark, batch, epoch_id, dim_path, key, order_col, tracked, inplace, buckets, sk)
         epochs.append(epoch_id)
 
     q = (stream.writeStream.foreachBatch(handle)

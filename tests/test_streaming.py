@@ -101,3 +101,24 @@ def test_stream_replay_after_partial_write(spark, tmpdir_run, monkeypatch):
     h = dimension_history(spark, dim)
     got = sorted((r.k, r.tracked, r.is_current_flag) for r in h.collect())
     assert got == [(1, "A", True), (1, "a", False), (2, "b", True)]
+
+
+def test_new_versions_get_fresh_keys_and_keyless_rows_are_kept_apart(spark, tmpdir_run):
+    from gildhall.streaming.cdc_stream import rejected_path
+    t = dt.datetime
+    for buckets in (None, 4):
+        src, dim = os.path.join(tmpdir_run, f"src{buckets}"), os.path.join(tmpdir_run, f"dim{buckets}")
+        base = spark.createDataFrame([(1, "a", "x", 1), (2, "b", "y", 2), (3, "c", "z", 3)], "k int, tracked string, inplace string, sk long")
+        initial_load(base, dim, "2024-01-01", key=["k"], buckets=buckets)
+        args = dict(spark=spark, source_dir=src, schema=SCHEMA, dim_path=dim, key=["k"], order_col="updated_dt", tracked=["tracked"],
+                    inplace=["inplace"], checkpoint=os.path.join(tmpdir_run, f"ckpt{buckets}"), buckets=buckets, sk="sk")
+        spark.createDataFrame([(1, "A", "x", t(2024, 2, 1)), (2, "b", "Y", t(2024, 2, 1)), (None, "n1", "i", t(2024, 2, 1)),
+                               (None, "n2", "i", t(2024, 2, 1)), (9, "n", "n", t(2024, 2, 1))], SCHEMA).write.mode("append").parquet(src)
+        assert refresh_dimension(**args) == 1
+        spark.createDataFrame([(1, "B", "x", t(2024, 3, 1))], SCHEMA).write.mode("append").parquet(src)
+        assert refresh_dimension(**args) == 1
+        h = dimension_history(spark, dim, buckets)
+        assert {r.k: (r.tracked, r.sk) for r in h.filter("is_current_flag").collect()} == {1: ("B", 6), 2: ("b", 2), 3: ("c", 3), 9: ("n", 5)}
+        assert sorted((r.k, r.tracked, r.sk) for r in h.filter("NOT is_current_flag").collect()) == [(1, "A", 4), (1, "a", 1)]
+        bad = spark.read.parquet(rejected_path(dim)).collect()
+        assert sorted((r.tracked, r._reason, r._epoch) for r in bad) == [("n1", "null_key", 0), ("n2", "null_key", 0)]
