@@ -221,7 +221,7 @@ def q_dp1_cdc_fact(t):
     spark = t["lineitem"].sparkSession
     ledger = silver["aasbs_loa_ledger"]
     late = F.when(F.col("id") % 7 == 3, F.expr("INTERVAL 40 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
-    fact = SnapshotFact(spark, f"{checkpoint_dir(spark).rstrip('/')}/cdc-fact-{uuid.uuid4().hex}", FACT_GRAIN, ["id"], buckets=16)
+    fact = SnapshotFact(spark, f"{checkpoint_dir(spark).rstrip('/')}/cdc-fact-{uuid.uuid4().hex}", FACT_GRAIN, ["id", "loa_id"], buckets=16)
     for load in (0, 1, 1, 2):
         hi = CUTOFFS[load]
         there = ledger.filter(F.col("created_dt") + late < F.lit(hi).cast("timestamp_ntz"))
