@@ -219,7 +219,7 @@ def q_dp1_cdc_fact(t):
     silver = derived_silver(t)
     gold = _gold(t, silver)
     spark = t["lineitem"].sparkSession
-    ledger = silver["aasbs_loa_ledger"]
+    ledger = _ckpt("aasbs_loa_ledger", silver["aasbs_loa_ledger"])      # read by every load
     late = F.when(F.col("id") % 7 == 3, F.expr("INTERVAL 40 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
     fact = SnapshotFact(spark, f"{checkpoint_dir(spark).rstrip('/')}/cdc-fact-{uuid.uuid4().hex}", FACT_GRAIN, ["id", "loa_id"], buckets=16)
     for load in (0, 1, 1, 2):
