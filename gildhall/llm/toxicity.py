@@ -1,9 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
 A word enters as an embedding of itself and the mean of the embeddings of its
-character n-grams. Windows of ``WINDOW`` words, ``STRIDE`` apart, run through
-the network in both directions; attention pools the states to one logit, and a
-document scores as its highest window. Trained in numpy on a bounded sample of
+character n-grams. Every window of ``WINDOW`` words in a row, one starting at
+each word, runs through the network in both directions; attention pools the
+states to one logit, and a document scores as its highest window. Trained in numpy on a bounded sample of
 labelled rows: in each epoch all windows of the sample are scored, and each
 document is learned from by its highest ones, negatives also by every window
 that comes near the threshold.
@@ -23,13 +23,13 @@ from gildhall.llm import anchors as A
 from gildhall.llm._util import id_text, map_arrow
 from gildhall.llm.lang_id import BYTE_CLASS
 
-WINDOW, STRIDE = 32, 16
+WINDOW = 6
 HIDDEN, WORD_DIMS, CHAR_DIMS = 8, 8, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 14
 ORDERS = (3, 4)
 #: Documented bounds of the fit: rows of each label, and bytes of a text to learn from (longer ones are scored whole all the same).
 TRAIN_ROWS = {1: 1000, 0: 3000}
-TRAIN_BYTES = 1 << 16
+TRAIN_BYTES = 1 << 14
 SLICES = 16
 REPEATED = 600
 EPOCHS, STEPS, BATCH, RATE = 8, 24, 256, 0.01  # at least STEPS steps an epoch, however small the sample
@@ -90,13 +90,12 @@ class Words:
 
 
 def windows(doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, first word and length of all windows; the last of a document ends at its end."""
+    """Document, first word and length of all windows; a shorter text is one window, a text without words none."""
     n = np.bincount(doc, minlength=n_docs)
     first = np.cumsum(n) - n
-    count = np.where(n == 0, 0, np.maximum(-(-(n - WINDOW) // STRIDE), 0) + 1)
+    count = np.where(n == 0, 0, np.maximum(n - WINDOW, 0) + 1)
     of = np.repeat(np.arange(n_docs), count)
-    k = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    start = np.minimum(k * STRIDE, np.maximum(n[of] - WINDOW, 0))
+    start = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
     return of, first[of] + start, np.minimum(n[of], WINDOW)
 
 

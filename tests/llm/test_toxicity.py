@@ -1,8 +1,13 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from cases import AWKWARD, empty, with_repeats
 from gildhall.llm import toxicity as T
+from gildhall.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 
 def corpus(n, seed):
@@ -61,15 +66,32 @@ def test_gradient_is_the_slope():
             assert abs((up - down) / 2e-2 - slope[i]) < 2e-4 + 0.05 * abs(slope[i]), name
 
 
-def test_windows_cover_every_word():
-    n = [0, 1, 31, 32, 33, 47, 48, 49, 200]
+def test_windows_start_at_every_word():
+    n = [0, 1, T.WINDOW - 1, T.WINDOW, T.WINDOW + 1, 47, 200]
     doc = np.repeat(np.arange(len(n)), n)
     of, first, length = T.windows(doc, len(n))
-    covered = np.zeros(len(doc), dtype=bool)
-    for d, a, k in zip(of, first, length, strict=True):
-        assert (doc[a:a + k] == d).all() and k == min(n[d], T.WINDOW)
-        covered[a:a + k] = True
-    assert covered.all() and not (of == 0).any()
+    begin = np.cumsum(n) - n
+    want = [(d, begin[d] + i, min(k, T.WINDOW)) for d, k in enumerate(n) if k for i in range(max(k - T.WINDOW, 0) + 1)]
+    assert list(zip(of.tolist(), first.tolist(), length.tolist(), strict=True)) == want
+
+
+def test_score_is_that_of_the_highest_window():
+    texts, y = corpus(60, 4)
+    net = T.train([t.lower().encode() for t in texts], y, 0.3)
+    for text, score in zip(texts[:20], T.scores(net, texts[:20]), strict=True):
+        w = text.split()
+        alone = T.scores(net, [" ".join(w[i:i + T.WINDOW]) for i in range(max(len(w) - T.WINDOW, 0) + 1)])
+        assert abs(alone.max() - score) < 1e-5
+
+
+def test_registered_query(spark):
+    rows = QUERIES["op3_toxicity"](spark, SF).collect()
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+        assert docs[r["doc_id"]] or r["score"] == 0
 
 
 def test_long_text_in_segments(monkeypatch):
