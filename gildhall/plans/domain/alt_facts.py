@@ -46,9 +46,10 @@ def fact_award_lifecycle(silver, gold, as_of: str) -> DataFrame:
     today = F.to_date(F.lit(as_of))
     lia = live(silver["aasbs_line_item_accepted"]).select(F.col("id").alias("lia_id"), "award_mod_id")
     awards = live(silver["aasbs_award"])
-    by_mod = pick_one(awards.select(F.col("latest_award_mod_id").alias("award_mod_id"), F.col("id").alias("award_id")),
-                      "award_mod_id", "award_id", how="min")
-    by_mod = by_mod.join(awards.select(F.col("id").alias("award_id"), "acquisition_id"), "award_id")
+    # the smallest award of a modification, with its acquisition
+    first = F.min(F.struct(F.col("id").alias("award_id"), "acquisition_id")).alias("_first")
+    by_mod = awards.where(F.col("id").isNotNull()).groupBy(F.col("latest_award_mod_id").alias("award_mod_id")).agg(first) \
+        .select("award_mod_id", "_first.award_id", "_first.acquisition_id")
     f = lia.join(by_mod, "award_mod_id", "left")
     mods = live(silver["aasbs_award_mod"]).join(
         awards.select(F.col("id").alias("award_id"), "acquisition_id"), "award_id")

@@ -213,3 +213,33 @@ def q_fact_fact(t):
                        on=["yr", "mo"], aggs=[money_sum("l_extendedprice").alias("line_amt")], fill={"line_amt": 0})
 
 
+
+
+@query("q_bucketed_resolve", """WITH award AS (SELECT o_orderkey, o_orderstatus, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS award_sk
+  FROM orders WHERE o_orderkey % 10 <> 0),
+closeout AS (SELECT l_orderkey, ROW_NUMBER() OVER (ORDER BY l_orderkey) AS closeout_sk, MAX(l_shipdate) AS last_ship
+  FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey)
+SELECT l.l_orderkey, l.l_linenumber, COALESCE(a.award_sk, -1) AS award_sk, a.o_orderstatus AS award_status,
+       COALESCE(c.closeout_sk, -1) AS closeout_sk, c.last_ship
+FROM lineitem l LEFT JOIN award a ON a.o_orderkey = l.l_orderkey LEFT JOIN closeout c ON c.l_orderkey = l.l_orderkey""")
+def q_bucketed_resolve(t):
+    """Lines and two dimensions written in the same buckets of the order key: both keys are resolved, and both
+    dimensions' attributes carried, by merging buckets, without a shuffle of the lines (JON-3, JON-5)."""
+    import uuid
+
+    from gildhall.operators import assign_sk
+    from gildhall.session import checkpoint_dir
+    from gildhall.sources.bucketed import Lookup, resolve_bucketed, write_bucketed
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_linestatus", "l_shipdate")
+    spark = lines.sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/bucketed-{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))   # what the cluster is sized for
+    award = assign_sk(t["orders"].where("o_orderkey % 10 <> 0").select("o_orderkey", F.col("o_orderstatus").alias("status")),
+                      ["o_orderkey"], name="award_sk")
+    closeout = assign_sk(lines.where("l_linestatus = 'F'").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("shipped")),
+                         ["l_orderkey"], name="closeout_sk")
+    fact = write_bucketed(lines.select("l_orderkey", "l_linenumber"), f"{root}/lines", "l_orderkey", buckets)
+    out = resolve_bucketed(fact, [
+        Lookup(write_bucketed(award, f"{root}/award", "o_orderkey", buckets), "award_sk", carry={"status": "award_status"}),
+        Lookup(write_bucketed(closeout, f"{root}/closeout", "l_orderkey", buckets), "closeout_sk", carry={"shipped": "last_ship"})])
+    return out.select("l_orderkey", "l_linenumber", "award_sk", "award_status", "closeout_sk", "last_ship")
