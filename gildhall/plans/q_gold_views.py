@@ -7,10 +7,11 @@ from collections import ChainMap
 
 from pyspark.sql import functions as F
 
+from gildhall.operators import assign_sk
 from gildhall.plans import views as V
 from gildhall.plans.q_domain import (
-    _DIMS_WITH, ACQ_SQL, AMEND_SQL, CONTRACTOR_SQL, FACT_SQL, FY, SILVER_DIM_SQL, SOL_SQL, _award_lifecycle_sql, _gold,
-    _materialized,
+    _DIMS_WITH, ACQ_SQL, AMEND_SQL, CONTRACTOR_SQL, FACT_SQL, FY, POSTING_SQL, REVIEW_SQL, SILVER_DIM_SQL, SMI_FACT_SQL,
+    SOL_SQL, WPR_SMI_SQL, _award_lifecycle_sql, _gold, _materialized,
 )
 from gildhall.plans.registry import query
 from gildhall.plans.standins import AS_OF
@@ -26,6 +27,11 @@ def _with_days(t):
     return ChainMap({"common.dim_date": date_spine(t["orders"].sparkSession, *DAYS)}, _gold(t))
 
 
+def _keyed(gold, fact: str, key: str, sk: str):
+    """``gold`` with ``fact`` numbered by its source key, as its load numbers it."""
+    return gold.new_child({fact: assign_sk(gold[fact], [key], name=sk)})
+
+
 def _sums(df, names):
     return df.select(*[F.col(c).cast("decimal(38,2)").alias(c) if c in names else F.col(c) for c in df.columns])
 
@@ -139,3 +145,36 @@ WHERE {_in_days('f.amend_date_sk')}"""))
 def q_iat_v_fin_code_history(t):
     """Amendments of every IA with agency, date and overrides."""
     return V.v_fin_code_history(_with_days(t))
+
+
+@query("q_smi_v_competition_analytics", _materialized(f"""{_DIMS_WITH}, {ACQ_SQL}, {SOL_SQL}, {CONTRACTOR_SQL}, {POSTING_SQL},
+{WPR_SMI_SQL}, {SMI_FACT_SQL}
+SELECT ag.agency_name, ia.ia_num, acq.acquisition_type_desc, acq.competition_type_desc,
+       {FY(_day('f.response_date_sk'))} AS solicitation_fy, COUNT(DISTINCT f.solicitation_sk) AS solicitation_count,
+       round(CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT f.solicitation_sk), 2) AS avg_responses_per_sol,
+       CAST(COUNT(*) FILTER (WHERE f.is_small_business_flag) AS BIGINT) AS sb_responses,
+       round(CAST(100 AS DOUBLE) * COUNT(*) FILTER (WHERE f.is_small_business_flag) / COUNT(*), 2) AS sb_response_pct,
+       CAST(SUM(f.award_total_amt) AS DECIMAL(38,2)) AS total_awarded
+FROM smi_fact f
+JOIN d_acquisition acq ON acq.acquisition_sk = f.acquisition_sk
+JOIN g_agency ag ON ag.agency_sk = f.agency_sk
+JOIN g_ia ia ON ia.ia_sk = f.ia_sk
+WHERE {_in_days('f.response_date_sk')} GROUP BY ALL"""))
+def q_smi_v_competition_analytics(t):
+    """Responses for each solicitation (D-8), small-business share and awards by agency, IA, acquisition and year."""
+    gold = _keyed(_with_days(t), "smi.fact_solicitation_response", "source_response_id", "sol_response_sk")
+    return _sums(V.v_competition_analytics(gold), ("total_awarded",))
+
+
+@query("q_iat_v_ia_annual_review_status", _materialized(f"""WITH {SILVER_DIM_SQL}, {FACT_SQL}, {AMEND_SQL}, {REVIEW_SQL}
+SELECT ia.ia_num, ia.ia_status_desc, ia.ia_end_dt, ag.agency_name, {FY(_day('r.review_date_sk'))} AS review_fy,
+       COUNT(*) AS reviews_completed,
+       CAST(COUNT(*) FILTER (WHERE r.days_overdue > 0) AS BIGINT) AS overdue_reviews, MAX(r.days_overdue) AS max_days_overdue,
+       MIN(CASE WHEN NOT r.review_completed_flag THEN r.days_overdue END) AS current_days_overdue
+FROM review_fact r
+JOIN g_ia ia ON ia.ia_sk = r.ia_sk
+JOIN g_agency ag ON ag.agency_sk = r.agency_sk
+WHERE {_in_days('r.review_date_sk')} GROUP BY ALL"""))
+def q_iat_v_ia_annual_review_status(t):
+    """Reviews of every IA by fiscal year, with those overdue."""
+    return V.v_ia_annual_review_status(_keyed(_with_days(t), "iat.fact_ia_review", "source_ia_review_id", "ia_review_sk"))
