@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from gildhall.operators import assign_sk
 from gildhall.plans import views as V
 from gildhall.plans.q_domain import (
-    _DIMS_WITH, ACQ_SQL, AMEND_SQL, CONTRACTOR_SQL, FACT_SQL, FY, POSTING_SQL, REVIEW_SQL, SILVER_DIM_SQL, SMI_FACT_SQL,
-    SOL_SQL, WPR_SMI_SQL, _award_lifecycle_sql, _gold, _materialized,
+    _DIMS_WITH, _EV_SQL, ACQ_SQL, AMEND_SQL, CONTRACTOR_SQL, FACT_SQL, FY, LIFECYCLE_SQL, POSTING_SQL, REVIEW_SQL,
+    SILVER_DIM_SQL, SMI_FACT_SQL, SOL_SQL, WPR_SMI_SQL, _award_lifecycle_sql, _gold, _materialized,
 )
 from gildhall.plans.registry import query
 from gildhall.plans.standins import AS_OF
@@ -178,3 +178,18 @@ WHERE {_in_days('r.review_date_sk')} GROUP BY ALL"""))
 def q_iat_v_ia_annual_review_status(t):
     """Reviews of every IA by fiscal year, with those overdue."""
     return V.v_ia_annual_review_status(_keyed(_with_days(t), "iat.fact_ia_review", "source_ia_review_id", "ia_review_sk"))
+
+
+@query("q_cat_v_event_timeline", f"""{_DIMS_WITH}, {LIFECYCLE_SQL}, d_event AS ({_EV_SQL})
+SELECT et.lifecycle_phase_cd, et.event_type_desc, ia.ia_num, aw.award_piid, ag.agency_name,
+       {_day('f.event_date_sk')} AS event_date, f.event_timestamp, f.event_user_id, f.event_description, f.collab_type_cd,
+       f.collab_status_cd, f.email_status_cd
+FROM (SELECT * FROM chron_rows UNION ALL SELECT * FROM collab_rows) f
+JOIN d_event et ON et.event_type_sk = f.event_type_sk
+JOIN g_agency ag ON ag.agency_sk = f.agency_sk
+LEFT JOIN g_ia ia ON ia.ia_sk = f.ia_sk
+LEFT JOIN d_award aw ON aw.award_sk = f.award_sk
+WHERE {_day('f.event_date_sk')} BETWEEN DATE '2000-01-01' AND DATE '2040-12-31'""")
+def q_cat_v_event_timeline(t):
+    """Events and collaborations with phase, agency and date; IA and award where there is one."""
+    return V.v_event_timeline(_gold(t))
