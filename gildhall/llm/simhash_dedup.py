@@ -4,8 +4,8 @@ Any two fingerprints within three bits agree on at least one of their four
 16-bit blocks, so the fingerprints are dealt four times, each time rotated to
 bring one block to the top: the trie nodes at depth 16 are the shuffle keys.
 A node with more than ``NODE_ROWS`` fingerprints is opened further before the
-shuffle; each pair of its children whose prefixes differ by at most three bits
-is one key. Below that, tasks walk pairs of trie nodes together, add up
+shuffle, until no child has more; each pair of its children whose prefixes
+differ by at most three bits is one key. Below that, tasks walk pairs of trie nodes together, add up
 differing bits and drop a pair once it exceeds the budget. A task returns a
 spanning forest of the links it finds, never all pairs.
 """
@@ -201,40 +201,74 @@ def _links(batches, budget: int):
 def _masks(spark, budget: int) -> DataFrame:
     """For each number of opened bits, the prefix differences within the budget (bounded: MAX_OPEN and budget fix it)."""
     bits = [m for r in range(budget + 1) for m in (sum(1 << i for i in c) for c in itertools.combinations(range(MAX_OPEN), r))]
-    rows = [(d, m) for d in range(MAX_OPEN + 1) for m in bits if m < 1 << d]
+    rows = [(d, m) for d in range(1, MAX_OPEN + 1) for m in bits if m < 1 << d]
     return spark.createDataFrame(rows, "depth int, mask long")
 
 
-def links(classes: DataFrame, budget: int = MAX_BITS, node_rows: int = NODE_ROWS) -> DataFrame:
-    """Links ``a``, ``b`` between the ids (``rep``) of distinct fingerprints (``fp``) within ``budget`` bits.
+def opened(dealt: DataFrame, node_rows: int) -> DataFrame:
+    """Children (``node``, ``depth``, ``sub``) of the nodes with over ``node_rows`` of the rows ``dealt``.
 
-    They span the same components as all such pairs. ``budget`` is three at
-    most, since four blocks carry the pigeonhole argument.
+    A node is opened by as few bits as leave ``node_rows`` at most below each
+    child, by counts of the children and not by the node's size: where
+    fingerprints share bits below the block too, one child of an even split
+    would hold nearly all of them. Only where ``MAX_OPEN`` bits do not do is
+    a child larger: over ``node_rows`` fingerprints then share 36 of their
+    64 bits.
+    """
+    # at most BLOCKS * 2**BLOCK_BITS nodes can be on this side
+    large = F.broadcast(dealt.groupBy("node").count().where(F.col("count") > node_rows).select("node"))
+    leaves = (dealt.join(large, "node")
+              .withColumn("top", F.shiftrightunsigned("x", 64 - BLOCK_BITS - MAX_OPEN).bitwiseAND(F.lit((1 << MAX_OPEN) - 1)))
+              .groupBy("node", "top").agg(F.count(F.lit(1)).alias("n")))
+    levels = (leaves.select("node", "top", "n", F.explode(F.sequence(F.lit(1), F.lit(MAX_OPEN))).alias("depth"))
+              .groupBy("node", "depth", F.expr(f"shiftright(top, {MAX_OPEN} - depth)").alias("sub")).agg(F.sum("n").alias("n")))
+    levels = stage(levels)
+    enough = F.min(F.when(F.col("most") <= node_rows, F.col("depth")))
+    depths = (levels.groupBy("node", "depth").agg(F.max("n").alias("most"))
+              .groupBy("node").agg(F.coalesce(enough, F.lit(MAX_OPEN)).alias("depth")))
+    return levels.join(depths, ["node", "depth"]).select("node", "depth", "sub")
+
+
+def trie_nodes(classes: DataFrame, budget: int = MAX_BITS, node_rows: int = NODE_ROWS) -> DataFrame:
+    """``key``, ``depth``, ``x`` and ``rep``: the rows of every node pair that is walked as one.
+
+    A node that is not opened is paired with itself; of an opened one, each
+    child with itself and with the children that exist within ``budget`` bits.
     """
-    if not 0 <= budget < BLOCKS:
-        raise ValueError("the bit budget must be smaller than the number of blocks")
-    spark = classes.sparkSession
     turned = F.array(*[F.struct(F.lit(t).cast("long").alias("t"),
                                 (F.shiftleft("fp", 16 * t).bitwiseOR(F.shiftrightunsigned("fp", 64 - 16 * t))
                                  if t else F.col("fp")).alias("x")) for t in range(BLOCKS)])
     dealt = (classes.where("rep IS NOT NULL").select("rep", F.explode(turned).alias("r"))
              .select("rep", F.col("r.t").alias("t"), F.col("r.x").alias("x"))
              .withColumn("node", F.shiftleft("t", BLOCK_BITS).bitwiseOR(F.shiftrightunsigned("x", 64 - BLOCK_BITS))))
-    sizes = dealt.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    need = F.ceil(F.log2(F.col("n") / node_rows)).cast("int")
-    # at most BLOCKS * 2**BLOCK_BITS nodes can be on this side
-    hot = F.broadcast(sizes.where(F.col("n") > node_rows).select("node", F.least(need, F.lit(MAX_OPEN)).alias("depth")))
-    mask = F.lit((1 << MAX_OPEN) - 1)
-    opened = (dealt.join(hot, "node", "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
-              .join(F.broadcast(_masks(spark, budget)), "depth")
-              .withColumn("sub", F.expr(f"shiftright(shiftrightunsigned(x, {64 - BLOCK_BITS - MAX_OPEN}) & {(1 << MAX_OPEN) - 1}, {MAX_OPEN} - depth)"))
-              .withColumn("other", F.col("sub").bitwiseXOR(F.col("mask"))))
-    keyed = opened.select(
+    kids = stage(opened(dealt, node_rows))
+    depths = F.broadcast(kids.select("node", "depth").distinct())  # as many rows as large nodes
+    # pairs are made of children, before any row: a child has node_rows rows at most, and only pairs that exist get them
+    pairs = (kids.join(F.broadcast(_masks(classes.sparkSession, budget)), "depth")
+             .withColumn("other", F.col("sub").bitwiseXOR(F.col("mask")))
+             .join(kids.select("node", F.col("sub").alias("other")), ["node", "other"], "left_semi"))
+    small = dealt.join(depths, "node", "left_anti").select(
+        F.shiftleft("node", 2 * MAX_OPEN).alias("key"), F.lit(0).alias("depth"), "x", "rep")
+    top = f"(shiftrightunsigned(x, {64 - BLOCK_BITS - MAX_OPEN}) & {(1 << MAX_OPEN) - 1})"
+    large = (dealt.join(depths, "node").withColumn("sub", F.expr(f"shiftright({top}, {MAX_OPEN} - depth)"))
+             .join(pairs.select("node", "sub", "other"), ["node", "sub"]).select(
         F.shiftleft("node", 2 * MAX_OPEN).bitwiseOR(F.shiftleft(F.least("sub", "other"), MAX_OPEN))
-        .bitwiseOR(F.greatest("sub", "other")).alias("key"), "depth", "x", "rep")
+        .bitwiseOR(F.greatest("sub", "other")).alias("key"), "depth", "x", "rep"))
+    return small.unionByName(large)
+
+
+def links(classes: DataFrame, budget: int = MAX_BITS, node_rows: int = NODE_ROWS) -> DataFrame:
+    """Links ``a``, ``b`` between the ids (``rep``) of distinct fingerprints (``fp``) within ``budget`` bits.
+
+    They span the same components as all such pairs. ``budget`` is three at
+    most, since four blocks carry the pigeonhole argument.
+    """
+    if not 0 <= budget < BLOCKS:
+        raise ValueError("the bit budget must be smaller than the number of blocks")
+    spark = classes.sparkSession
     # unsigned order of x within a key
     order = F.col("x").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
-    nodes = keyed.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", order)
+    nodes = trie_nodes(classes, budget, node_rows).repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", order)
     return map_arrow(nodes, lambda batches: _links(batches, budget), "a long, b long")
 
 

@@ -1,5 +1,6 @@
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from cases import AWKWARD, WORDS, empty, make, with_repeats
 from gildhall.llm import _util
@@ -80,6 +81,22 @@ def test_trie_join_with_opened_nodes(spark):
         assert {i: got.get(i, i) for i in range(len(values))} == expected
 
 
+def test_fingerprints_that_share_bits_below_their_block(spark):
+    """A node whose rows share 14 further bits is opened until its children are small, in one step of counting."""
+    rng = np.random.default_rng(2)
+    head = 0x5A5A3FFC << 32
+    values = sorted({head | int(v) for v in rng.integers(0, 1 << 34, 3000, dtype=np.uint64)}
+                    | {head | 1 << k for k in range(30)} | {int(v) for v in rng.integers(0, 2**63, 500, dtype=np.uint64)})
+    table = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, i) for i, v in enumerate(values)], "fp long, rep long")
+    node_rows = 700
+    keyed = S.trie_nodes(table, node_rows=node_rows)
+    sizes = {r["key"]: r["n"] for r in keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert max(sizes.values()) <= 2 * node_rows  # a pair of two children at most
+    assert {r["depth"] for r in keyed.select("depth").distinct().collect()} > {0}
+    got = {r["v"]: r["m"] for r in components(S.links(table, node_rows=node_rows)).collect()}
+    assert {i: got.get(i, i) for i in range(len(values))} == groups(list(range(len(values))), values)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (200, 159)]
     got = {r["v"]: r["m"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
