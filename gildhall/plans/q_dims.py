@@ -37,9 +37,9 @@ def _dated(df, kind):
     return df.withColumn("created_dt", F.lit("2001-12-01").cast("timestamp_ntz")).withColumn("updated_dt", _seen(kind))
 
 
-def _refresh(t, name: str, changed: dict):
+def _refresh(t, silver, name: str, changed: dict):
     from gildhall.plans.domain.cdc import refresh_dimension
-    return refresh_dimension(ChainMap(changed, derived_silver(t)), _gold(t), name, CDC_LO, CDC_HI, CDC_AS_OF, "cdc-1")
+    return refresh_dimension(ChainMap(changed, silver), _gold(t, silver), name, CDC_LO, CDC_HI, CDC_AS_OF, "cdc-1")
 
 
 def _refreshed_sql(dim: str, key: str, sk: str, kind: str, in_place: str, new: str) -> str:
@@ -71,7 +71,7 @@ def q_dp1_cdc_award(t):
     award = silver["aasbs_award"].withColumn(
         "latest_award_mod_id", F.col("latest_award_mod_id") + F.when(F.col("id") % 20 == NEW, 1).otherwise(0))
     old = _dated(mods.withColumn("co_signature_dt", later), F.when(last & (kind != NEW), kind))
-    return _refresh(t, "common.dim_award", {"aasbs_award": award, "aasbs_award_mod": old.unionByName(_created(added))})
+    return _refresh(t, silver, "common.dim_award", {"aasbs_award": award, "aasbs_award_mod": old.unionByName(_created(added))})
 
 
 @query("q_dp1_cdc_funding", _materialized(f"{_DIMS_WITH}, " + _refreshed_sql(
@@ -91,7 +91,7 @@ def q_dp1_cdc_funding(t):
     funding = silver["aasbs_funding"].withColumn(
         "fund_status_cd", F.when(own.isin(NEW, LATE), F.lit("FS9")).otherwise(F.col("fund_status_cd"))).withColumn(
         "latest_funding_amendment_id", F.col("latest_funding_amendment_id") + F.when(own == IN_PLACE, 1).otherwise(0))
-    return _refresh(t, "common.dim_funding", {
+    return _refresh(t, silver, "common.dim_funding", {
         "aasbs_funding": funding,
         "aasbs_funding_amendment": _dated(amendments, F.when(kind != IN_PLACE, kind)).unionByName(_created(further)),
         "aasbs_funding_amendment_loa": silver["aasbs_funding_amendment_loa"].unionByName(money)})
@@ -114,7 +114,7 @@ def q_dp1_cdc_line_item(t):
     items = silver["aasbs_line_item"].withColumn(
         "line_item_type_cd", F.when(kind("id").isin(IN_PLACE, LATE), F.lit("Z")).otherwise(F.col("line_item_type_cd")))
     child = kind("line_item_id")
-    return _refresh(t, "common.dim_line_item", {
+    return _refresh(t, silver, "common.dim_line_item", {
         "aasbs_line_item": items,
         "aasbs_line_item_accepted": _dated(accepted, F.when(child != NEW, child)).unionByName(_created(further))})
 
