@@ -39,11 +39,16 @@ def test_code_tables_are_still_broadcast(ten_mb):
     assert "BroadcastHashJoin" in _joins(rows.join(codes, "cd", "left"))
 
 
-def test_measured_sides_keep_the_threshold(ten_mb):
+def test_measured_sides_keep_a_quarter_of_the_threshold(ten_mb):
+    """In the driver a relation takes up to four times its rows."""
     measured_broadcasts(ten_mb)
     measured_broadcasts(ten_mb)
     assert _bytes(ten_mb.conf.get(BROADCAST)) == ESTIMATED_BROADCAST
-    assert _bytes(ten_mb.conf.get(MEASURED_BROADCAST)) == 10 << 20
+    assert _bytes(ten_mb.conf.get(MEASURED_BROADCAST)) == 10 << 18
+    ten_mb.conf.set(BROADCAST, "10m")
+    ten_mb.conf.set(MEASURED_BROADCAST, "20m")
+    measured_broadcasts(ten_mb)
+    assert ten_mb.conf.get(MEASURED_BROADCAST) == "20m"
 
 
 def test_a_lower_threshold_is_left_alone(ten_mb):
